@@ -42,3 +42,14 @@ def cut(df: DataFrame, tag: str, codec: str = "snappy") -> DataFrame:
     path = scratch_path(spark, tag)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def per_process(key: str, make):
+    """``make()``'s value, made once in this Python process and kept between tasks."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_tallyglass_kept", types.ModuleType("_tallyglass_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
