@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tallyglass.llm import simhash
+from tallyglass.llm import packing, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op4_packing": packing.op4_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
