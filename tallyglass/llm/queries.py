@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tallyglass.llm import packing, simhash
+from tallyglass.llm import langid, packing, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op4_packing": packing.op4_packing,
+    "op5_langid": langid.op5_langid,
 }
 
 ORACLE_SQL: dict[str, str] = {}
