@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from tallyglass.llm import langid, packing, simhash
+from tallyglass.llm import langid, media, packing, simhash, topk
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_topk": topk.op2_topk,
+    "op3_media": media.op3_media,
     "op4_packing": packing.op4_packing,
     "op5_langid": langid.op5_langid,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_topk": topk.ORACLE,
+}
