@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyglass.llm import langid, media, packing, simhash, topk
+from tallyglass.llm import langid, media, packing, simhash, topk, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -10,8 +10,10 @@ QUERIES = {
     "op3_media": media.op3_media,
     "op4_packing": packing.op4_packing,
     "op5_langid": langid.op5_langid,
+    "op6_urlfilter": urlfilter.op6_urlfilter,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_topk": topk.ORACLE,
+    "op6_urlfilter": urlfilter.ORACLE,
 }
