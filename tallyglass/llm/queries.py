@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyglass.llm import langid, media, packing, simhash, topk, urlfilter
+from tallyglass.llm import langid, media, packing, simhash, topk, urlfilter, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_packing": packing.op4_packing,
     "op5_langid": langid.op5_langid,
     "op6_urlfilter": urlfilter.op6_urlfilter,
+    "op7_warc": warc.op7_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {
