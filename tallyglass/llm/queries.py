@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyglass.llm import langid, media, packing, simhash, topk, urlfilter, warc
+from tallyglass.llm import langid, media, mixing, packing, simhash, topk, urlfilter, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_langid": langid.op5_langid,
     "op6_urlfilter": urlfilter.op6_urlfilter,
     "op7_warc": warc.op7_warc,
+    "op8_mixing": mixing.op8_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {
