@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyglass.llm import langid, media, mixing, packing, sharding, simhash, topk, urlfilter, warc
+from tallyglass.llm import langid, lmscore, media, mixing, packing, sharding, simhash, topk, urlfilter, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_urlfilter": urlfilter.op6_urlfilter,
     "op7_warc": warc.op7_warc,
     "op8_mixing": mixing.op8_mixing,
+    "op9_lmscore": lmscore.op9_lmscore,
     "op10_sharding": sharding.op10_sharding,
 }
 
