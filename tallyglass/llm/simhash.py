@@ -68,12 +68,13 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fps = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps)], names=["doc_id", "t", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) for every row of ``docs``."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_fingerprints, "doc_id long, fp long")
+    """``doc_id, t, fp`` for every row of ``docs``: a hash of the text, and the 64 bits as a signed long."""
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("t"))
+    return rows.mapInArrow(_fingerprints, "doc_id long, t long, fp long")
 
 
 _FLIP = np.uint64(1) << np.arange(32, dtype=np.uint64)
@@ -208,6 +209,18 @@ def links(fps: DataFrame, max_local: int = MAX_LOCAL) -> DataFrame:
     return near.unionByName(far).distinct()
 
 
+def _grouped(docs: DataFrame, max_local: int) -> DataFrame:
+    """``doc_id, t, fp, root, component_id``: ``root`` names the component by a fingerprint."""
+    rows = cut(fingerprints(docs), "simhash-fp")
+    per_fp = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    linked = connected_components(links(per_fp.select("fp"), max_local), "a", "b")
+    linked = linked.select(F.col("node").alias("fp"), F.col("component").alias("root"))
+    per_fp = per_fp.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    per_root = per_fp.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = per_fp.join(per_root, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp").select("doc_id", "t", "fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, max_local: int = MAX_LOCAL) -> DataFrame:
     """``doc_id, fp, component_id`` for every row of ``docs``.
 
@@ -217,14 +230,21 @@ def near_duplicates(docs: DataFrame, max_local: int = MAX_LOCAL) -> DataFrame:
     linking but is never a component's id unless no row there has one. Repeated
     rows and ids are kept. An empty table gives no rows; other columns are ignored.
     """
-    rows = cut(fingerprints(docs), "simhash-fp")
-    per_fp = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    linked = connected_components(links(per_fp.select("fp"), max_local), "a", "b")
-    linked = linked.select(F.col("node").alias("fp"), F.col("component").alias("root"))
-    per_fp = per_fp.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    per_root = per_fp.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = per_fp.join(per_root, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    return _grouped(docs, max_local).select("doc_id", "fp", "component_id")
+
+
+def representatives(docs: DataFrame, max_local: int = MAX_LOCAL) -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns: that of the smallest doc_id (nulls last)."""
+    rows = cut(_grouped(docs, max_local).select("doc_id", "t", "root"), "simhash-rows")
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("x"))
+    copies = rows.groupBy("doc_id", "t", "root").agg(F.count("*").alias("__n"))
+    chosen = first.select(F.col("x.doc_id").alias("__id"), F.col("x.t").alias("__t"))
+    copies = copies.select(F.col("doc_id").alias("__i"), F.col("t").alias("__u"), "__n")
+    chosen = chosen.join(copies, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__t") == F.col("__u"))).drop("__i", "__u")
+    on = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__t"))
+    found = docs.join(chosen, on)
+    again = found.where("__n > 1").dropDuplicates(["__id", "__t"])  # the same row more than once
+    return found.where("__n = 1").unionByName(again).select(*docs.columns)
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:

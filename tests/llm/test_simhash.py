@@ -74,6 +74,11 @@ def test_rows_kept_and_named(spark):
     out = sorted(map(tuple, S.near_duplicates(docs).select("doc_id", "component_id").collect()), key=str)
     assert out == sorted([(5, 2), (2, 2), (2, 2), (None, 2), (9, 7), (7, 7), (None, None)], key=str)
     assert S.near_duplicates(docs.limit(0)).count() == 0
+    stay = S.representatives(docs).collect()
+    assert S.representatives(docs).columns == docs.columns and S.representatives(docs.limit(0)).count() == 0
+    assert sorted((r.doc_id is None, r.doc_id or 0, (r.text or "").lower()) for r in stay) == [(False, 2, "a b c d"), (False, 7, ""), (True, 0, "zz yy xx ww vv")]
+    same = S.representatives(docs.where("doc_id = 5").union(docs.where("doc_id = 5"))).collect()
+    assert [tuple(r) for r in same] == [(5, "a b c d", "x")]
 
 
 def test_query(spark):
