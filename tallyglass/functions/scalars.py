@@ -145,11 +145,8 @@ def is_entity(name: Column | str) -> Column:
 
 def top_role(owners: Column | str) -> Column:
     """The first role in order of weight that any owner's ``rel`` has."""
-    out = None
-    for letter in ROLE_ORDER:
-        hit = F.exists(owners, lambda o, c=letter: F.coalesce(o["rel"], F.lit("")).contains(c))
-        out = F.when(hit, letter) if out is None else out.when(hit, letter)
-    return out.otherwise("X")
+    letters = F.array_join(F.transform(owners, lambda o: F.coalesce(o["rel"], F.lit(""))), "")
+    return F.coalesce(*[F.when(letters.contains(c), c) for c in ROLE_ORDER], F.lit("X"))
 
 
 def primary_owner(owners: Column | str) -> Column:

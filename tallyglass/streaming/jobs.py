@@ -114,4 +114,4 @@ def live_changes(snapshot: DataFrame, quotes: DataFrame) -> DataFrame:
 
 def windowed_counts(events: DataFrame, late: str = "1 hour", width: str = "1 day") -> DataFrame:
     """Events by kind in tumbling windows with a watermark: an extension beyond the batch operators."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
