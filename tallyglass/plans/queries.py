@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyglass.functions import scalars as S
 from tallyglass.functions.scalars import ratio, rnd
 from tallyglass.operators import asof, filings, gates, owners, panel, positions, repair, series, slices, stats
+from tallyglass.plans import compute
 from tallyglass.operators.components import connected_components
 from tallyglass.sources import tpch
 from tallyglass.sources.tpch import SQL_BARS, SQL_BENCH, SQL_TRADES, table
@@ -815,3 +816,101 @@ def survival_by_year(spark, d):
     return x.groupBy(F.year("tdate").cast("long").alias("year")).agg(n.alias("buys"), gone.alias("missing"), rnd(gone / n).alias("share"))
 
 
+# --- the batch job -----------------------------------------------------------------------------------------------
+
+
+@query(
+    f"""SELECT acc, line, ent.ticker, tdate, val, CASE WHEN e.i < li THEN {r4('la / e.adj - 1')} END AS chg, {r4('la / b.adj - 1')} AS chg_trade
+FROM ent LEFT JOIN bars e ON e.ticker = ent.ticker AND e.i = ent.ei LEFT JOIN (SELECT ticker, max(i) AS li, max_by(adj, i) AS la FROM bars GROUP BY ticker) l ON l.ticker = ent.ticker
+ASOF LEFT JOIN bars b ON b.ticker = ent.ticker AND ent.tdate >= b.d""",
+    SQL_BARS, SQL_TRADES, SQL_ENTRY,
+)
+def change_since_entry(spark, d):
+    """Change from the entry, and from the trade, to the last bar."""
+    return compute.change_since(tpch.trades(spark, d), _bars(spark, d)).select("acc", "line", "ticker", "tdate", "val", "chg", "chg_trade")
+
+
+@query(
+    """SELECT o_orderkey, ticker, day, d, close FROM (SELECT p.*, b.d, b.close, row_number() OVER (PARTITION BY o_orderkey ORDER BY abs(b.d - day), b.d DESC) AS r
+  FROM (SELECT o_orderkey, o_custkey % 50 + 1 AS ticker, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderkey % 5 = 0) p JOIN bars b ON b.ticker = p.ticker) WHERE r = 1""",
+    SQL_BARS,
+)
+def nearest_bar(spark, d):
+    """The bar nearest to a day on either side."""
+    p = table(spark, d, "orders").where("o_orderkey % 5 = 0").select("o_orderkey", (F.col("o_custkey") % 50 + 1).alias("ticker"), F.col("o_orderdate").cast("date").alias("day"))
+    return compute.nearest(p, _bars(spark, d), "day").where("near is not null").select("o_orderkey", "ticker", "day", "near.d", "near.close")
+
+
+@query(
+    f"""SELECT dim, grp, hold, months, {r4('pow(1 + mean, 12) - 1')} AS ex, floor(t * 100 + 0.5) / 100 AS ex_t FROM (
+  SELECT dim, grp, hold, count(*) AS months, avg(v) AS mean,
+    avg(v) / sqrt(greatest((sum(e * e) + 1.5 * coalesce(sum(e * e1), 0) + 1.0 * coalesce(sum(e * e2), 0) + 0.5 * coalesce(sum(e * e3), 0)) / count(*), 1e-15) / count(*)) AS t
+  FROM (SELECT *, lag(e, 1) OVER w AS e1, lag(e, 2) OVER w AS e2, lag(e, 3) OVER w AS e3 FROM (
+    SELECT g.dim, g.grp, g.hold, g.k, g.r / 100 - u.r / 100 AS v, g.r / 100 - u.r / 100 - avg(g.r / 100 - u.r / 100) OVER (PARTITION BY g.dim, g.grp, g.hold) AS e FROM grid g JOIN uni u ON u.k = g.k)
+    WINDOW w AS (PARTITION BY dim, grp, hold ORDER BY k)) GROUP BY dim, grp, hold) WHERE months >= 36""",
+    *PANEL, SQL_TRADES, SQL_STACK, UNIVERSE,
+    f"""grid AS (SELECT dim, grp, hold, h.k + 1 AS k, count(*) AS n, avg(next_ret) AS r FROM (
+    SELECT DISTINCT dim, grp, hold, ticker, unnest(range(k, k + hold)) AS k FROM st JOIN mon USING (m), (VALUES (3), (6), (12)) v(hold)) h
+  JOIN rets ON rets.ticker = h.ticker AND rets.k = h.k WHERE dv >= {MIN_DV} AND next_ret IS NOT NULL GROUP BY dim, grp, hold, h.k HAVING count(*) >= {MIN_NAMES})""",
+)
+def slice_cells(spark, d):
+    """Excess over the universe and its t for every slice (of a hundredth of the noisy returns)."""
+    x = tpch.trades(spark, d).where("code = 'P' and val >= 30000").select("ticker", "fdate", "form", "val")
+    dims = {"all": F.lit("all"), "form": F.col("form"), "year": F.year("fdate"), "size": S.size_bucket("val")}
+    st = slices.stacked(x, dims).select("dim", "grp", "ticker", S.month("fdate").alias("m"))
+    rets = _rets(spark, d)
+    grid = slices.portfolio_grid(rets, st, (3, 6, 12), MIN_DV, MIN_NAMES).withColumn("r", F.col("r") / 100)
+    uni = panel.universe(rets, 1, MIN_DV).withColumn("r", F.col("r") / 100)
+    return compute.cells(grid, uni, uni).select("dim", "grp", "hold", "months", "ex", "ex_t")
+
+
+@query(None)
+def slice_cells_full(spark, d):
+    """All statistics of every slice, with three-factor alphas."""
+    x = tpch.trades(spark, d).where("code = 'P' and val >= 30000").select("ticker", "fdate", "form", "val")
+    st = slices.stacked(x, {"all": F.lit("all"), "form": F.col("form")}).select("dim", "grp", "ticker", S.month("fdate").alias("m"))
+    rets = _rets(spark, d)
+    grid = slices.portfolio_grid(rets, st, (3, 6, 12), MIN_DV, MIN_NAMES)
+    uni = panel.universe(rets, 1, MIN_DV)
+    f = uni.select("m", F.col("r").alias("market"))
+    for by, name in (("dv", "size"), ("mom", "momentum")):
+        f = f.join(panel.tercile_spread(rets, by, by == "dv", MIN_DV).select("m", F.col("spread").alias(name)), "m", "left")
+    return compute.cells(grid, uni, uni, f)
+
+
+@query(None)
+def trade_features(spark, d):
+    """Every trade with all features, its gate and whether it is in the working set."""
+    return compute.features(tpch.trades(spark, d), _bars(spark, d))
+
+
+@query(
+    """SELECT acc, line, ticker, tdate, fdate, val, CASE WHEN tdate < fdate THEN len(list_filter(range(CAST(tdate AS TIMESTAMP), CAST(fdate AS TIMESTAMP), INTERVAL 1 DAY), lambda x: isodow(x) < 6)) ELSE 0 END AS delay,
+  DATE '1998-12-31' - fdate AS age, fdate + 90 AS exit FROM trades WHERE fdate >= DATE '1998-12-31' - 200""",
+    SQL_TRADES,
+)
+def feed_rows(spark, d):
+    """Recent trades as the feed shows them."""
+    x = tpch.trades(spark, d).withColumn("entry_day", F.lit(None).cast("date"))
+    x = compute.feed(x, F.lit(AS_OF).cast("date"))
+    return x.select("acc", "line", "ticker", "tdate", "fdate", "val", F.col("delay").cast("long").alias("delay"), F.col("age").cast("long").alias("age"), "exit")
+
+
+@query(
+    """SELECT ticker, max(why) AS why FROM (
+  SELECT ticker, 'recent' AS why FROM b WHERE f >= DATE '1998-12-31' - 760
+  UNION ALL SELECT s_suppkey, 'again' FROM supplier WHERE s_suppkey % 3 = 0 AND s_suppkey % 5 < 4 AND s_suppkey IN (SELECT ticker FROM b)
+  UNION ALL SELECT ticker, 'stale' FROM (SELECT s.ticker FROM (SELECT l_suppkey AS ticker, max(CAST(l_shipdate AS DATE)) - CAST(l_suppkey % 60 AS INTEGER) AS last FROM lineitem GROUP BY l_suppkey) s
+    WHERE last < DATE '1998-12-31' - 20 AND ticker % 2 = 0 AND ticker IN (SELECT ticker FROM b) ORDER BY last, ticker LIMIT 20)) GROUP BY ticker""",
+    SQL_TRADES, "b AS (SELECT ticker, max(fdate) - 660 AS f FROM trades WHERE code = 'P' AND val > 80000 GROUP BY ticker)",
+)
+def refresh_candidates(spark, d):
+    """Which series to load anew, and why."""
+    today = F.lit(AS_OF).cast("date")
+    big = tpch.trades(spark, d).where("val > 80000").withColumn("fdate", F.date_sub("fdate", 660))  # so that the window is of the last hundred days
+    have = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("ticker")).agg(F.max(F.col("l_shipdate").cast("date")).alias("l"))
+    have = have.select("ticker", F.date_sub("l", (F.col("ticker") % 60).cast("int")).alias("last"))
+    sup = table(spark, d, "supplier")
+    missing = sup.where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("ticker"), (F.col("s_suppkey") % 5).alias("tries"), F.lit(None).cast("date").alias("tried"))
+    alive = sup.where("s_suppkey % 2 = 0").select(F.col("s_suppkey").alias("ticker"), today.alias("through"))
+    return compute.refresh_candidates(big, have, missing, alive, today, 20)

@@ -59,7 +59,8 @@ def test_cards_and_live_changes(spark):
 def test_windowed_counts(spark, tmp_path):
     path = "/root/testdata/sf0.001/events.parquet"
     schema = spark.read.parquet(path).schema
-    stream = jobs.windowed_counts(spark.readStream.schema(schema).parquet(path), "0 seconds")
+    spark.read.parquet(path).write.parquet(f"{tmp_path}/e")
+    stream = jobs.windowed_counts(spark.readStream.schema(schema).parquet(f"{tmp_path}/e"), "0 seconds")
     q = stream.writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("counts").agg(F.sum("n")).first()[0] == spark.read.parquet(path).count()
