@@ -178,13 +178,14 @@ def forward_returns(trades: DataFrame, bars: DataFrame, bench: DataFrame, as_of_
 
 
 def as_of_features(trades: DataFrame, bars: DataFrame) -> DataFrame:
-    """``trades`` with the as-of bar's ``close``, ``hist_days`` (bars so far), entry day and price."""
+    """``trades`` with the as-of bar's ``close``, ``hist_days`` (bars so far; null without a series), entry day and price."""
     found = as_of(trades, bars.select("ticker", "d", "close", "i"), "tdate", name="__b")
     found = entry_after(found, bars.select("ticker", "d", "close", "i"), "fdate")
+    found = found.join(bars.where("i = 0").select("ticker", F.lit(True).alias("__any")), "ticker", "left")
     return found.select(
         *trades.columns,
         F.col("__b.close").alias("close"),
-        (F.coalesce(F.col("__b.i"), F.lit(-1)) + 1).cast("int").alias("hist_days"),
+        F.when(F.col("__any"), F.coalesce(F.col("__b.i"), F.lit(-1)) + 1).cast("int").alias("hist_days"),
         F.col("entry.d").alias("entry_day"),
         F.col("entry.close").alias("entry_px"),
     )
