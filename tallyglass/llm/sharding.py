@@ -93,6 +93,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, seed: int
     rows = cut(rows.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "t")), "shard-rows")
     same = ["t", "text_crc32", "size"]
     groups = rows.groupBy(*same).agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1").drop("n")
+    groups = cut(groups, "shard-groups")  # so that both sides of the join below are shuffled for it, and a large group can be split
     tied = cut(rows.join(groups, same).select("node", "h", "hub"), "shard-tied")
 
     n = rows.count()
