@@ -1,8 +1,10 @@
 """As-of joins without a range join.
 
-Bars and probes are laid end to end, each series is sorted once by day with bars
-before probes of the same day, and a running last value carries the bar over.
-Work is linear in both sides; a range join would compare them within a ticker.
+Only the distinct days of a series are probed: these and the bars are laid end to
+end, each series is sorted once by day with bars before probes of the same day,
+and a running last value carries the bar over. What a task holds of one series is
+bounded by the calendar, however many rows ask; they get the answer by an equal
+join on series and day, whose large keys the adaptive skew join can split.
 """
 
 from __future__ import annotations
@@ -11,16 +13,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def per_day(probes: DataFrame, by: str, day: str, answer) -> DataFrame:
+    """``probes`` with the columns that ``answer`` adds to their distinct ``by, day`` (null where either is null)."""
+    asked = probes.select(F.col(by), F.col(day).alias("__d")).distinct().where(F.col(by).isNotNull() & F.col("__d").isNotNull())
+    found = answer(asked)
+    new = [c for c in found.columns if c not in (by, "__d")]
+    found = found.select(F.col(by).alias("__by"), F.col("__d").alias("__day"), *[F.col(c).alias(c) for c in new])
+    return probes.join(found, (F.col(by) == F.col("__by")) & (F.col(day) == F.col("__day")), "left").select(*probes.columns, *new)
+
+
 def as_of(probes: DataFrame, bars: DataFrame, day: str, by: str = "ticker", bar_day: str = "d", name: str = "bar") -> DataFrame:
     """``probes`` with a struct ``name``: the last row of ``bars`` of the same ``by`` at or before ``day``, else null."""
-    keys = [by]
-    fields = [c for c in bars.columns if c not in keys]
-    one = F.struct(*[F.col(c) for c in fields])
-    left = probes.select(*keys, F.col(day).alias("__d"), F.lit(1).alias("__k"), F.lit(None).cast(bars.select(one.alias("x")).schema["x"].dataType).alias("__bar"), F.struct(*probes.columns).alias("__p"))
-    right = bars.select(*keys, F.col(bar_day).alias("__d"), F.lit(0).alias("__k"), one.alias("__bar"), F.lit(None).cast(left.schema["__p"].dataType).alias("__p"))
-    w = Window.partitionBy(*keys).orderBy("__d", "__k").rowsBetween(Window.unboundedPreceding, 0)
-    laid = left.unionByName(right).withColumn("__last", F.last("__bar", ignorenulls=True).over(w)).where("__k = 1")
-    return laid.select("__p.*", F.col("__last").alias(name))
+    one = F.struct(*[F.col(c) for c in bars.columns if c != by])
+    right = bars.select(F.col(by), F.col(bar_day).alias("__d"), F.lit(0).alias("__k"), one.alias("__bar"))
+
+    def answer(asked: DataFrame) -> DataFrame:
+        left = asked.select(by, "__d", F.lit(1).alias("__k"), F.lit(None).cast(right.schema["__bar"].dataType).alias("__bar"))
+        w = Window.partitionBy(by).orderBy("__d", "__k").rowsBetween(Window.unboundedPreceding, 0)
+        return left.unionByName(right).withColumn(name, F.last("__bar", ignorenulls=True).over(w)).where("__k = 1").select(by, "__d", name)
+
+    return per_day(probes, by, day, answer)
 
 
 def calendar_as_of(series: DataFrame, days: DataFrame, day: str = "d", name: str = "b") -> DataFrame:
@@ -60,9 +72,11 @@ def interval_lookup(probes: DataFrame, intervals: DataFrame, day: str, by: str =
     no probe meets an interval that does not hold it.
     """
     w = Window.partitionBy(by).orderBy("__d", "__k").rowsBetween(Window.unboundedPreceding, 0)
-    none = F.lit(None).cast(probes.select(F.struct(*probes.columns).alias("x")).schema["x"].dataType)
-    opens = intervals.select(by, F.col(start).alias("__d"), F.lit(0).alias("__k"), F.lit(1).alias("__n"), none.alias("__p"))
-    closes = intervals.select(by, F.col(end).alias("__d"), F.lit(2).alias("__k"), F.lit(-1).alias("__n"), none.alias("__p"))
-    asks = probes.select(by, F.col(day).alias("__d"), F.lit(1).alias("__k"), F.lit(0).alias("__n"), F.struct(*probes.columns).alias("__p"))
-    laid = opens.unionByName(closes).unionByName(asks).withColumn("hits", F.sum("__n").over(w)).where("__k = 1")
-    return laid.select("__p.*", "hits")
+    edges = intervals.select(F.col(by), F.explode(F.array(F.struct(F.col(start).alias("d"), F.lit(0).alias("k"), F.lit(1).alias("n")), F.struct(F.col(end).alias("d"), F.lit(2).alias("k"), F.lit(-1).alias("n")))).alias("x"))
+    edges = edges.groupBy(by, F.col("x.d").alias("__d"), F.col("x.k").alias("__k")).agg(F.sum("x.n").alias("__n"))
+
+    def answer(asked: DataFrame) -> DataFrame:
+        laid = edges.unionByName(asked.select(by, "__d", F.lit(1).alias("__k"), F.lit(0).cast("long").alias("__n")))
+        return laid.withColumn("hits", F.sum("__n").over(w)).where("__k = 1").select(by, "__d", "hits")
+
+    return per_day(probes, by, day, answer).withColumn("hits", F.coalesce("hits", F.lit(0)))

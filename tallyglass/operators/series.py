@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyglass.functions.scalars import adv_bucket, ratio, rnd
-from tallyglass.operators.asof import as_of, calendar_as_of, entry_after
+from tallyglass.operators.asof import as_of, calendar_as_of, entry_after, per_day
 
 YEAR_BARS, MONTH_BARS, MIN_BARS = 252, 21, 30
 HORIZONS = {"3": 63, "6": 126, "12": 252, "24": 504}
@@ -34,21 +34,23 @@ def drawdown_bars(bars: DataFrame) -> DataFrame:
 def drawdown_calendar(bars: DataFrame, probes: DataFrame, day: str = "tdate", days: int = 365) -> DataFrame:
     """``probes`` with ``dd``: the as-of close against the high of the ``days`` before ``day``.
 
-    The window begins at the probe's day, not at the bar's: probes stand in the
-    same ordered series as bars, as rows without a price.
+    The window begins at the probe's day, not at the bar's: the distinct days that
+    are asked for stand in the same ordered series as bars, as rows without a price.
     """
     none = F.lit(None)
-    p = F.struct(*probes.columns)
-    left = probes.select("ticker", F.col(day).alias("__d"), none.cast("double").alias("close"), none.cast("int").alias("i"), p.alias("__p"))
-    right = bars.select("ticker", F.col("d").alias("__d"), "close", F.col("i").cast("int").alias("i"), none.cast(left.schema["__p"].dataType).alias("__p"))
-    rows = left.unionByName(right).withColumn("__n", F.datediff("__d", F.lit("1970-01-01").cast("date")))
-    span = Window.partitionBy("ticker").orderBy("__n").rangeBetween(-days, 0)
-    upto = Window.partitionBy("ticker").orderBy("__n").rangeBetween(Window.unboundedPreceding, 0)
-    # the last bar is the one with the largest place; its close rides along in the struct
-    last = F.max(F.when(F.col("i").isNotNull(), F.struct("i", "close"))).over(upto)
-    rows = rows.withColumn("__high", F.max("close").over(span)).withColumn("__last", last).where("__p is not null")
-    dd = F.when((F.col("__last.i") >= MIN_BARS) & (F.col("__high") > 0) & (F.col("__last.close") > 0), rnd(ratio("__last.close", "__high") - 1))
-    return rows.select("__p.*", dd.alias("dd"))
+    right = bars.select("ticker", F.col("d").alias("__d"), "close", F.col("i").cast("int").alias("i"), F.lit(False).alias("__asked"))
+
+    def answer(asked: DataFrame) -> DataFrame:
+        left = asked.select("ticker", "__d", none.cast("double").alias("close"), none.cast("int").alias("i"), F.lit(True).alias("__asked"))
+        rows = left.unionByName(right).withColumn("__n", F.datediff("__d", F.lit("1970-01-01").cast("date")))
+        w = Window.partitionBy("ticker").orderBy("__n")
+        # the last bar is the one with the largest place; its close rides along in the struct
+        last = F.max(F.when(F.col("i").isNotNull(), F.struct("i", "close"))).over(w.rangeBetween(Window.unboundedPreceding, 0))
+        rows = rows.withColumn("__high", F.max("close").over(w.rangeBetween(-days, 0))).withColumn("__last", last).where("__asked")
+        ok = (F.col("__last.i") >= MIN_BARS) & (F.col("__high") > 0) & (F.col("__last.close") > 0)
+        return rows.select("ticker", "__d", F.when(ok, rnd(ratio("__last.close", "__high") - 1)).alias("dd"))
+
+    return per_day(probes, "ticker", day, answer)
 
 
 def momentum(bars: DataFrame) -> DataFrame:

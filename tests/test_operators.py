@@ -265,3 +265,19 @@ def test_feed(spark):
     assert ids() == [1, 2] and ids(gate="dropped") == [3] and ids(gate="all") == [1, 2, 3] and ids(gate="all", val=(60, None)) == [1]
     assert ids(growth=(None, 0.6)) == [2] and ids(roles=["C"]) == [1] and ids(set_only=True) == [1] and ids(text="BET") == [2]
     assert [r.ticker for r in slices.page(df, [F.col("ticker")], 2, 1).collect()] == [3]
+
+
+def test_as_of_edges(spark):
+    from tallyglass.operators import asof
+
+    d = lambda n: DAY + dt.timedelta(days=n)
+    b = spark.createDataFrame([("A", d(1), 1.0, 0), ("A", d(5), 2.0, 1), ("B", d(30), 3.0, 0)], "ticker string, d date, close double, i int")
+    rows = [("A", d(0)), ("A", d(1)), ("A", d(4)), ("A", d(4)), ("A", d(9)), ("B", d(25)), ("B", d(1)), ("C", d(1)), (None, d(1)), ("A", None)]
+    p = spark.createDataFrame([(*r, "x", 7) for r in rows], "ticker string, day date, d string, close int")
+    got = sorted(((r.ticker, r.day, r.bar and r.bar.close) for r in asof.as_of(p, b, "day").collect()), key=str)
+    assert got == sorted([("A", d(0), None), ("A", d(1), 1), ("A", d(4), 1), ("A", d(4), 1), ("A", d(9), 2), ("B", d(25), None), ("B", d(1), None), ("C", d(1), None), (None, d(1), None), ("A", None, None)], key=str)
+    got = sorted(((r.ticker, r.day, r.entry and r.entry.d) for r in asof.entry_after(p, b, "day").where("ticker in ('A', 'B') and day is not null").distinct().collect()), key=str)
+    assert got == sorted([("A", d(0), d(1)), ("A", d(1), d(5)), ("A", d(4), d(5)), ("A", d(9), None), ("B", d(25), d(30)), ("B", d(1), None)], key=str)
+    spans = spark.createDataFrame([("A", d(0), d(4)), ("A", d(4), d(4)), ("B", d(1), d(2))], "ticker string, start date, end date")
+    hits = {(r.ticker, r.day): r.hits for r in asof.interval_lookup(p, spans, "day").collect()}
+    assert (hits["A", d(0)], hits["A", d(4)], hits["A", d(9)], hits["B", d(1)], hits["C", d(1)], hits[None, d(1)]) == (1, 2, 0, 1, 0, 0)
