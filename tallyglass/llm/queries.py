@@ -20,4 +20,5 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op2_topk": topk.ORACLE,
     "op6_urlfilter": urlfilter.ORACLE,
+    "op7_warc": warc.ORACLE,
 }

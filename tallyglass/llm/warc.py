@@ -372,3 +372,14 @@ def op7_warc(spark, sf_dir: str) -> DataFrame:
     write_warc(deduplicated(spark.read.parquet(f"{sf_dir}/pages.parquet")), path, level="4")
     found = read_warc(spark, path, payload="digest").where(F.col("record_type").isin("response", "revisit"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS least, count(*) AS n FROM p GROUP BY h),
+g AS (SELECT p.*, least, list_transform(range(8), lambda i: CAST('0x' || substr(p.h, CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT)) AS five FROM p JOIN f USING (h))
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(five, lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v // 32768) % 32 + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v // 1024) % 32 + 1, 1)
+    || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v // 32) % 32 + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v % 32 + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> least THEN least END AS refers_to FROM g
+"""
