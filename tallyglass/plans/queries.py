@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyglass.functions import scalars as S
@@ -914,3 +914,73 @@ def refresh_candidates(spark, d):
     missing = sup.where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("ticker"), (F.col("s_suppkey") % 5).alias("tries"), F.lit(None).cast("date").alias("tried"))
     alive = sup.where("s_suppkey % 2 = 0").select(F.col("s_suppkey").alias("ticker"), today.alias("through"))
     return compute.refresh_candidates(big, have, missing, alive, today, 20)
+
+
+# --- more of the feed and its measures ---------------------------------------------------------------------------
+
+
+@query("SELECT m, count(*) AS names FROM sig GROUP BY m", SQL_SIGNALS)
+def signals_by_month(spark, d):
+    """Tickers signalled in each month, however many trades."""
+    return _signals(spark, d).groupBy("m").agg(F.count("*").alias("names"))
+
+
+@query(
+    f"""SELECT grp, count(*) AS months, {r4('avg(r)')} AS mean FROM (
+  SELECT grp, h.k, count(*) AS n, avg(next_ret) AS r FROM (SELECT DISTINCT grp, ticker, unnest(range(k, k + 12)) AS k FROM (
+      SELECT coalesce("drop", 'ok') AS grp, ticker, strftime(fdate, '%Y-%m') AS m FROM gated WHERE code = 'P'
+      UNION ALL SELECT 'any drop', ticker, strftime(fdate, '%Y-%m') FROM gated WHERE code = 'P' AND "drop" IS NOT NULL) JOIN mon USING (m)) h
+  JOIN rets ON rets.ticker = h.ticker AND rets.k = h.k WHERE dv >= {MIN_DV} AND next_ret IS NOT NULL GROUP BY grp, h.k HAVING count(*) >= {MIN_NAMES}) GROUP BY grp""",
+    *PANEL, SQL_ADV, SQL_TRADES, SQL_GATES,
+)
+def avoid_slices(spark, d):
+    """Portfolios of what the gates let through and of what they dropped, by reason and together."""
+    x = _gated(spark, d).where("code = 'P'").select("ticker", "drop", S.month("fdate").alias("m"))
+    dims = {"gate": F.coalesce("drop", F.lit("ok")), "any": F.when(F.col("drop").isNotNull(), "any drop")}
+    st = slices.stacked(x, dims).select(F.lit("gate").alias("dim"), "grp", "ticker", "m")
+    grid = slices.portfolio_grid(_rets(spark, d), st, (12,), MIN_DV, MIN_NAMES)
+    return grid.groupBy("grp").agg(F.count("*").alias("months"), rnd(F.avg("r")).alias("mean"))
+
+
+@query(
+    """SELECT o_orderkey, age, CASE WHEN age < 21 THEN 'new' WHEN age < 30 THEN 'fresh' WHEN age < 91.5 THEN 'held' ELSE 'closed' END AS status
+FROM (SELECT o_orderkey, DATE '1998-12-31' - CAST(o_orderdate AS DATE) AS age FROM orders WHERE o_orderdate >= DATE '1998-07-01')"""
+)
+def position_status(spark, d):
+    """Positions by age."""
+    today, day = F.lit(AS_OF).cast("date"), F.col("o_orderdate").cast("date")
+    x = table(spark, d, "orders").where(F.col("o_orderdate") >= F.lit("1998-07-01").cast("date"))
+    return x.select("o_orderkey", F.datediff(today, day).cast("long").alias("age"), positions.status(day, today).alias("status"))
+
+
+@query(
+    f"""SELECT acc, code, di, CASE WHEN o IS NULL OR s = 0 OR o - s < 0 THEN NULL WHEN o = s THEN 9.99 ELSE {r4('s / (o - s)')} END::DOUBLE AS growth
+FROM (SELECT acc, code, di, CASE di WHEN 'M' THEN sh_d ELSE sh END AS s, CASE di WHEN 'M' THEN own_d ELSE own END AS o FROM (
+  SELECT acc, code, sum(sh) AS sh, CASE WHEN count(DISTINCT di) = 2 THEN 'M' ELSE min(di) END AS di, CASE WHEN code = 'S' THEN min(val) ELSE max(val) END AS own,
+    CASE WHEN code = 'S' THEN min(val) FILTER (di = 'D') ELSE max(val) FILTER (di = 'D') END AS own_d, sum(sh) FILTER (di = 'D') AS sh_d
+  FROM (SELECT * REPLACE (floor(val / 1000) AS val), CASE WHEN form = '4' THEN 'D' ELSE 'I' END AS di FROM trades) GROUP BY acc, code))""",
+    SQL_TRADES,
+)
+def ownership_growth(spark, d):
+    """Shares traded against the holding before."""
+    x = tpch.trades(spark, d).withColumn("di", F.when(F.col("form") == "4", "D").otherwise("I")).withColumn("val", F.floor(F.col("val") / 1000).cast("double"))
+    x = filings.fold_ownership(x, ["acc", "code"], own="val")
+    return x.select("acc", "code", "di", S.ownership_growth("sh", "own", F.col("di") == "M", "sh_d", "own_d").alias("growth"))
+
+
+@query(
+    """SELECT n_nationkey, list_sort(list_distinct(list_filter(list_transform(string_split(upper(s), ','), lambda x: trim(x)), lambda x: regexp_matches(x, '^[A-Z][A-Z0-9./-]{0,9}$'))))[1:3] AS symbols
+FROM (SELECT n_nationkey, n_name || ', b.a ,B.A,,1x, ' || substr(n_name, 1, 2) || ',zz' AS s FROM nation)"""
+)
+def quote_request(spark, d):
+    """Requested symbols, cleaned, distinct, sorted, the first three."""
+    s = F.concat("n_name", F.lit(", b.a ,B.A,,1x, "), F.substring("n_name", 1, 2), F.lit(",zz"))
+    return table(spark, d, "nation").select("n_nationkey", S.quote_symbols(s, 3).alias("symbols"))
+
+
+@query("SELECT acc, line, ticker, tdate, val FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY tdate DESC, val DESC, acc, line) AS r FROM trades WHERE code = 'P') WHERE r <= 5", SQL_TRADES)
+def ticker_cards(spark, d):
+    """The last five purchases of every ticker."""
+    w = Window.partitionBy("ticker").orderBy(F.desc("tdate"), F.desc("val"), "acc", "line")
+    x = tpch.trades(spark, d).where("code = 'P'").withColumn("r", F.row_number().over(w)).where("r <= 5")
+    return x.select("acc", "line", "ticker", "tdate", "val")
