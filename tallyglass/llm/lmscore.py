@@ -55,7 +55,10 @@ class Pieces:
             elif ranks[-1] is not None and piece:
                 self.number[piece] = i
         self.end, self.size = model.eos_id(), model.get_piece_size()
-        self.longest = max(map(len, self.number))
+        #: The longest piece that begins with two given characters.
+        self.reach: dict[str, int] = {}
+        for piece in self.number:
+            self.reach[piece[:2]] = max(len(piece), self.reach.get(piece[:2], 0))
         start = np.array([0.0 if r is None else 1.0 / (r + RANK_OFFSET) for r in ranks])
         start[self.end] = start.max()
         self.start = start / start.sum()
@@ -78,8 +81,10 @@ class Lattice:
 
     def __init__(self, vocabulary: Pieces, weights: np.ndarray):
         self.vocabulary = vocabulary
-        logs = np.log(np.maximum(weights, 1e-300))
+        weights = np.maximum(weights, 1e-300)
+        logs = np.log(weights)
         self.log = {p: float(logs[i]) for p, i in vocabulary.number.items()}
+        self.entry = {p: (i, float(weights[i])) for p, i in vocabulary.number.items()}
         self.bytes = [float(logs[i]) for i in vocabulary.bytes]
         self.end = float(logs[vocabulary.end])
 
@@ -90,57 +95,83 @@ class Lattice:
         """Natural log of the probability, summed over all segmentations."""
         if token == END:
             return self.end
-        text, get, longest = _SPACE + token, self.log.get, self.vocabulary.longest
+        text, get, reach = _SPACE + token, self.log.get, self.vocabulary.reach.get
         n = len(text)
         terms: list[list[float]] = [[] for _ in range(n + 1)]
-        here = 0.0
+        terms[0].append(0.0)
         for i in range(n):
-            if i:
-                here = _sum(terms[i])
-                terms[i] = []
+            here = terms[i]
+            here = here[0] if len(here) == 1 else _sum(here)
+            terms[i] = ()
             p = get(text[i])
             terms[i + 1].append(here + (self._spelt(text[i]) if p is None else p))
-            for j in range(i + 2, min(n, i + longest) + 1):
+            for j in range(i + 2, min(n, i + reach(text[i : i + 2], 0)) + 1):
                 p = get(text[i:j])
                 if p is not None:
                     terms[j].append(here + p)
         return _sum(terms[n])
 
-    def expect(self, token: str, count: float, into: np.ndarray) -> None:
-        """Add to ``into`` the expected number of each piece in ``count`` times ``token``."""
+    def expect(self, token: str, count: float, into: list[float]) -> None:
+        """Add to ``into`` the expected number of each piece in ``count`` times ``token``.
+
+        Short tokens are summed as they are; where that would leave the range of a
+        double, in log space.
+        """
         v = self.vocabulary
         if token == END:
             into[v.end] += count
             return
-        text, get = _SPACE + token, self.log.get
+        text, get, reach = _SPACE + token, self.entry.get, v.reach.get
         n = len(text)
-        edges: list[list[tuple[int, float]]] = []
-        forward: list[list[float]] = [[] for _ in range(n + 1)]
         before = [0.0] * (n + 1)
+        before[0] = 1.0
+        edges: list[tuple[int, int, int, float]] = []
         for i in range(n):
-            if i:
-                before[i] = _sum(forward[i])
-            p = get(text[i])
-            own = [(i + 1, self._spelt(text[i]) if p is None else p)]
-            for j in range(i + 2, min(n, i + v.longest) + 1):
-                p = get(text[i:j])
-                if p is not None:
-                    own.append((j, p))
-            edges.append(own)
-            for j, p in own:
-                forward[j].append(before[i] + p)
-        whole = _sum(forward[n])
-        after = [0.0] * (n + 1)
-        for i in range(n - 1, -1, -1):
-            after[i] = _sum([p + after[j] for j, p in edges[i]])
-            for j, p in edges[i]:
-                share = count * math.exp(before[i] + p + after[j] - whole)
-                piece = text[i:j]
-                if piece in v.number:
-                    into[v.number[piece]] += share
-                else:
-                    for b in piece.encode("utf-8", "surrogatepass"):
-                        into[v.bytes[b]] += share
+            here = before[i]
+            e = get(text[i])
+            number, p = e if e else (-1, math.exp(self._spelt(text[i])))
+            before[i + 1] += here * p
+            edges.append((i, i + 1, number, p))
+            for j in range(i + 2, min(n, i + reach(text[i : i + 2], 0)) + 1):
+                e = get(text[i:j])
+                if e:
+                    before[j] += here * e[1]
+                    edges.append((i, j, e[0], e[1]))
+        if before[n] > 1e-250:
+            after = [0.0] * n + [count / before[n]]
+            shares = []
+            for i, j, number, p in reversed(edges):
+                x = p * after[j]
+                after[i] += x
+                shares.append((i, number, x * before[i]))
+        else:
+            shares = self._long_shares(n, count, edges, text)
+        for i, number, x in shares:
+            if number >= 0:
+                into[number] += x
+            else:
+                for b in text[i].encode("utf-8", "surrogatepass"):
+                    into[v.bytes[b]] += x
+
+    def _long_shares(self, n: int, count: float, edges: list, text: str) -> list[tuple[int, int, float]]:
+        """The shares of the edges, forward and backward in log space."""
+        logs = [self._spelt(text[i]) if number < 0 else math.log(p) for i, _, number, p in edges]
+        ends: list[list[float]] = [[] for _ in range(n + 1)]
+        before, after = [0.0] * (n + 1), [0.0] * (n + 1)
+        done = 0
+        for (i, j, _, _), p in zip(edges, logs):
+            if i > done:
+                before[i], done = _sum(ends[i]), i
+            ends[j].append(before[i] + p)
+        whole = _sum(ends[n])
+        starts: list[list[float]] = [[] for _ in range(n + 1)]
+        done = n
+        for (i, j, _, _), p in zip(reversed(edges), reversed(logs)):  # edges from a place come together, later places first
+            while done > i + 1:
+                done -= 1
+                after[done] = _sum(starts[done])
+            starts[i].append(p + after[j])
+        return [(i, number, count * math.exp(before[i] + p + after[j] - whole)) for (i, j, number, _), p in zip(edges, logs)]
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -208,12 +239,13 @@ def _fit(counted: DataFrame, name: str) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = pieces(name)
-        lattice, total = Lattice(v, v.start), np.zeros(v.size)
+        lattice, total = Lattice(v, v.start), [0.0] * v.size
         for batch in batches:
             for token, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 lattice.expect(token, c, total)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["piece", "n"])
+        found = np.array(total)
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(found[some])], names=["piece", "n"])
 
     sums = counted.select("token", "c").mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
     v = pieces(name)

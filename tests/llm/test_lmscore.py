@@ -33,7 +33,7 @@ def test_lattice_sums_all_segmentations(token):
     v = L.pieces()
     lattice = L.Lattice(v, v.start)
     assert lattice.score(token) == pytest.approx(slow_score(v, v.start, token), rel=1e-9)
-    got, eps = np.zeros(v.size), 1e-5
+    got, eps = [0.0] * v.size, 1e-5
     lattice.expect(token, 2.0, got)
     for i in np.flatnonzero(got)[:6]:  # an expected count is the derivative by the log weight
         up = v.start.copy()
@@ -41,16 +41,37 @@ def test_lattice_sums_all_segmentations(token):
         assert got[i] == pytest.approx(2 * (slow_score(v, up, token) - slow_score(v, v.start, token)) / eps, rel=1e-3, abs=1e-8)
 
 
+def test_long_tokens_are_counted_alike():
+    v = L.pieces()
+    lattice = L.Lattice(v, v.start)
+    for token in ("thenation" * 12, "日本é" * 5):
+        got, edges = [0.0] * v.size, []
+        lattice.expect(token, 3.0, got)
+        text = "▁" + token
+        for i in range(len(text)):
+            for j in range(i + 1, len(text) + 1):
+                n = v.number.get(text[i:j], -1)
+                if n >= 0 or j == i + 1:
+                    edges.append((i, j, n, v.start[n] if n >= 0 else 0.0))
+        far = [0.0] * v.size
+        for i, n, x in lattice._long_shares(len(text), 3.0, edges, text):
+            for k in [n] if n >= 0 else [v.bytes[b] for b in text[i].encode()]:
+                far[k] += x
+        assert far == pytest.approx(got, rel=1e-9, abs=1e-12)
+    lattice.expect("😀" * 5000, 1.0, got)
+    assert np.isfinite(got).all()
+
+
 def brute(docs):
     words = lambda t: [w for w in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if w]
     c = Counter(x for i, t, out in docs if not out for x in [*words(t), ""])
     n, v = sum(c.values()), len(c)
     p = L.pieces()
-    total = np.zeros(p.size)
+    total = [0.0] * p.size
     start = L.Lattice(p, p.start)
     for t, k in c.items():
         start.expect(t, k, total)
-    total += p.start * L.PRIOR
+    total = np.array(total) + p.start * L.PRIOR
     lattice = L.Lattice(p, total / total.sum())
     out = []
     for i, t, held in docs:
