@@ -39,10 +39,6 @@ def _lower_median(x: np.ndarray) -> float:
     return float(np.sort(x)[(len(x) - 1) // 2]) if len(x) else 0.0
 
 
-def _true_median(x: np.ndarray) -> float:
-    return float(np.median(x)) if len(x) else 0.0
-
-
 def _positive(x: np.ndarray) -> np.ndarray:
     return x[x > 0]
 
@@ -60,7 +56,8 @@ def drop_spikes(s: Bars, window: int = 30, limit: float = 3.0, passes: int = 3)
         lo, hi = np.maximum(0, at - window), np.minimum(n - 1, at + window)
         others = np.maximum(hi - lo, 1)
         far = np.abs(ln - (total[hi + 1] - total[lo] - ln) / others) >= log(1.25)
-        gone = [i for i in np.flatnonzero(far & (at - lo >= 3) & (hi - at >= 3)) if _is_spike(s, i, lo[i], hi[i], limit)]
+        tested = np.flatnonzero(far & (at - lo >= 3) & (hi - at >= 3))
+        gone = tested[_spikes(s, tested, window, limit)].tolist()
         if not gone:
             break
         s.count("spikes", len(gone))
@@ -68,19 +65,31 @@ def drop_spikes(s: Bars, window: int = 30, limit: float = 3.0, passes: int = 3)
     return s
 
 
-def _is_spike(s: Bars, i: int, lo: int, hi: int, limit: float) -> bool:
-    left, right = s.adj[lo:i], s.adj[i + 1 : hi + 1]
-    a, b = _true_median(left), _true_median(right)
-    if min(a, b) > 0 and max(a, b) / min(a, b) > limit:
-        return False  # the level shifts here
-    middle = _true_median(np.concatenate([left, right]))
-    if middle <= 0 or s.adj[i] <= 0:
-        return middle > 0
-    off = max(s.adj[i] / middle, middle / s.adj[i])
-    if off <= limit:
-        return False
-    usual = _true_median(_positive(np.concatenate([s.vol[lo:i], s.vol[i + 1 : hi + 1]])))
-    return off >= 10 or not (usual > 0 and s.vol[i] > 1.5 * usual)
+def _row_medians(x: np.ndarray) -> np.ndarray:
+    """True medians of the rows, without NaN; 0 for a row of nothing else."""
+    x = np.sort(x, axis=1)  # NaN comes last
+    n = (~np.isnan(x)).sum(axis=1)
+    row = np.arange(len(x))
+    return np.where(n > 0, (x[row, np.maximum(n - 1, 0) // 2] + x[row, np.minimum(n // 2, x.shape[1] - 1)]) / 2, 0.0)
+
+
+def _spikes(s: Bars, tested: np.ndarray, window: int, limit: float) -> np.ndarray:
+    """Which of the tested bars are spikes, all at once."""
+    if not len(tested):
+        return np.zeros(0, bool)
+    steps = np.concatenate([np.arange(-window, 0), np.arange(1, window + 1)])
+    at = tested[:, None] + steps
+    inside = (at >= 0) & (at < len(s))
+    at = np.clip(at, 0, len(s) - 1)
+    price = np.where(inside, s.adj[at], np.nan)
+    volume = np.where(inside & (s.vol[at] > 0), s.vol[at], np.nan)
+    left, right, middle, usual = _row_medians(price[:, :window]), _row_medians(price[:, window:]), _row_medians(price), _row_medians(volume)
+    own = s.adj[tested]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        shifted = (np.minimum(left, right) > 0) & (np.maximum(left, right) / np.minimum(left, right) > limit)
+        off = np.where(own > 0, np.maximum(own / middle, middle / own), np.inf)
+    confirmed = (off < 10) & (usual > 0) & (s.vol[tested] > 1.5 * usual)
+    return (middle > 0) & ~shifted & (off > limit) & ~confirmed
 
 
 def apply_missed_splits(s: Bars, splits: list[tuple[int, float]], tolerance: float = 0.25, around: int = 3) -> Bars:
