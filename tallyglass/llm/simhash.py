@@ -235,7 +235,12 @@ def near_duplicates(docs: DataFrame, max_local: int = MAX_LOCAL) -> DataFrame:
 
 def representatives(docs: DataFrame, max_local: int = MAX_LOCAL) -> DataFrame:
     """One row of ``docs`` for each component, with all its columns: that of the smallest doc_id (nulls last)."""
-    rows = cut(_grouped(docs, max_local).select("doc_id", "t", "root"), "simhash-rows")
+    return first_rows(docs, _grouped(docs, max_local).select("doc_id", "t", "root"))
+
+
+def first_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The row of ``docs`` with the smallest doc_id (nulls last) of each ``root`` of ``rows``, which has ``doc_id, t, root`` for every row."""
+    rows = cut(rows, "first-rows")
     first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("x"))
     copies = rows.groupBy("doc_id", "t", "root").agg(F.count("*").alias("__n"))
     chosen = first.select(F.col("x.doc_id").alias("__id"), F.col("x.t").alias("__t"))
