@@ -841,6 +841,13 @@ def nearest_bar(spark, d):
     return compute.nearest(p, _bars(spark, d), "day").where("near is not null").select("o_orderkey", "ticker", "day", "near.d", "near.close")
 
 
+@query()
+def nearest_bar_all(spark, d):
+    """The bar nearest to the day of every order, on either side."""
+    p = table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 50 + 1).alias("ticker"), F.col("o_orderdate").cast("date").alias("day"))
+    return compute.nearest(p, _bars(spark, d), "day").where("near is not null").select("o_orderkey", "ticker", "day", "near.d", "near.close")
+
+
 @query(
     f"""SELECT dim, grp, hold, months, {r4('pow(1 + mean, 12) - 1')} AS ex, floor(t * 100 + 0.5) / 100 AS ex_t FROM (
   SELECT dim, grp, hold, count(*) AS months, avg(v) AS mean,
