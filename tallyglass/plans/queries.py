@@ -715,6 +715,17 @@ def owner_groups(spark, d):
     return found.groupBy("component").agg(F.count("*").alias("size")).groupBy("size").agg(F.count("*").alias("groups"))
 
 
+@query()
+def owner_groups_all(spark, d):
+    """Sizes of components of owners who filed together: every member of every group of orders, linked to the group's smallest."""
+    keys = [F.col("o_orderdate").cast("date").alias("day"), F.col("o_orderpriority").alias("kind"), (F.col("o_orderkey") % 5).alias("part")]
+    x = table(spark, d, "orders").select("o_custkey", *keys).distinct()
+    least = x.groupBy("day", "kind", "part").agg(F.min("o_custkey").alias("a"))
+    edges = x.join(least, ["day", "kind", "part"]).where("a <> o_custkey").select("a", F.col("o_custkey").alias("b"))
+    found = connected_components(edges, "a", "b")
+    return found.groupBy("component").agg(F.count("*").alias("size")).groupBy("size").agg(F.count("*").alias("groups"))
+
+
 def _gated(spark, d):
     """Trades with what the cascade reads."""
     b = _bars(spark, d)

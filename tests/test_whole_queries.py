@@ -1,5 +1,8 @@
 """Queries over all rows, against the SQL of the narrower ones without its filter, or brute force."""
 
+import datetime as dt
+from collections import Counter
+
 import duckdb
 
 from tallyglass.plans.queries import ORACLE_SQL, QUERIES
@@ -21,3 +24,25 @@ def test_nearest_bar_for_every_order(spark):
     out = QUERIES["nearest_bar_all"](spark, D)
     assert sorted((tuple(r[c] for c in columns) for r in out.collect()), key=str) == want
     assert len(want) > 4 * QUERIES["nearest_bar"](spark, D).count()
+
+
+def test_owner_groups_of_all_members(spark):
+    c = duckdb.connect()
+    rows = c.sql(f"select o_custkey, cast(o_orderdate as date), o_orderpriority, o_orderkey % 5 from '{D}/orders.parquet'").fetchall()
+    met = {}
+    for owner, *key in rows:
+        met.setdefault(tuple(key), set()).add(owner)
+    root = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for members in met.values():
+        for b in members if len(members) > 1 else ():
+            root[find(b)] = find(min(members))
+    sizes = Counter(Counter(map(find, list(root))).values())
+    assert {r["size"]: r["groups"] for r in QUERIES["owner_groups_all"](spark, D).collect()} == sizes
+
+
+def test_owner_groups_link_the_middle_members(spark, tmp_path):
+    day = dt.datetime(2020, 1, 1)
+    rows = [(5, 1, day, "a"), (10, 2, day, "a"), (15, 3, day, "a"), (20, 2, day, "b"), (25, 9, day, "b"), (30, 7, day, "c"), (35, 7, day, "c")]
+    spark.createDataFrame([(*r, 1.0) for r in rows], "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderpriority string, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    assert [tuple(r) for r in QUERIES["owner_groups_all"](spark, str(tmp_path)).collect()] == [(4, 1)]
