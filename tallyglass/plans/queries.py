@@ -665,6 +665,17 @@ def regular_series(spark, d):
     return owners.with_regular(rows).select("ticker", "tdate", "code", "regular")
 
 
+@query()
+def regular_series_all(spark, d):
+    """All trades at even distances, by forty pooled owners; earlier trades come from a window over distinct days, at most four of a day."""
+    x = tpch.trades(spark, d).select((F.col("owner") % 40).alias("ticker"), "tdate", "code")
+    days = x.groupBy("ticker", "code", "tdate").agg(F.least(F.count("*"), F.lit(4)).cast("int").alias("n"))
+    w = Window.partitionBy("ticker", "code").orderBy("tdate").rowsBetween(-4, -1)
+    item = F.array_repeat(F.struct("tdate", "ticker", "code"), F.col("n"))
+    rows = days.withColumn("hist", F.flatten(F.collect_list(item).over(w)))
+    return owners.with_regular(rows).select("ticker", "tdate", "code", "regular")
+
+
 @query(
     """SELECT acc, line, ticker, owner, tdate, code, val, CASE WHEN first IS NULL THEN NULL WHEN buys = 0 THEN 'first-ever' WHEN tdate - first >= 1095 AND recent = 0 THEN 'first-in-3y' END AS inflection
 FROM (SELECT t.*, (SELECT min(h.tdate) FROM trades h WHERE h.owner = t.owner AND h.tdate < t.tdate) AS first,

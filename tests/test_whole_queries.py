@@ -46,3 +46,10 @@ def test_owner_groups_link_the_middle_members(spark, tmp_path):
     rows = [(5, 1, day, "a"), (10, 2, day, "a"), (15, 3, day, "a"), (20, 2, day, "b"), (25, 9, day, "b"), (30, 7, day, "c"), (35, 7, day, "c")]
     spark.createDataFrame([(*r, 1.0) for r in rows], "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderpriority string, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
     assert [tuple(r) for r in QUERIES["owner_groups_all"](spark, str(tmp_path)).collect()] == [(4, 1)]
+
+
+def test_regular_series_of_all_trades(spark):
+    want, columns = rows_of(ORACLE_SQL["regular_series"], " WHERE val >= 95000")
+    out = QUERIES["regular_series_all"](spark, D)
+    assert sorted((tuple(r[c] for c in columns) for r in out.collect()), key=str) == want
+    assert len(want) > 4 * QUERIES["regular_series"](spark, D).count()
