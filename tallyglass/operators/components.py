@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyglass.storage import cut
+from tallyglass.storage import remove, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -22,7 +22,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     of a neighbourhood is a partially aggregated ``min`` and the join back is an
     ordinary equi-join, so a hub with very many edges is split by the adaptive
     skew join instead of landing in one task. Rounds grow with the logarithm of
-    the longest path. Each round's edges are written to the shared folder.
+    the longest path. Each round's edges are written to the shared folder, and those
+    of the round before are removed.
 
     Null ends and self loops are ignored. Returns ``node, component``, a row for
     each node with an edge to another; no edges give no rows.
@@ -33,7 +34,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
-    e = cut(e, "cc")
+    spark = edges.sparkSession
+    e, path = written(e, "cc")
     before = _state(e)
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -49,7 +51,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
             .where("u <> v")
             .distinct()
         )
-        e = cut(small, "cc")
+        old = path
+        e, path = written(small, "cc")
+        remove(spark, old)
         now = _state(e)
         if now == before:
             break

@@ -1,34 +1,74 @@
 """Where a job may keep intermediate tables, and how it cuts lineage.
 
 Everything goes to the folder that the cluster names in ``spark.checkpoint.dir``
-(shared by the driver and all executors). Only where that is unset, as in unit
-tests, a folder of our own is made.
+(shared by the driver and all executors). Only where that is unset on a local
+master, as in unit tests, a folder of our own is made; elsewhere a folder of the
+driver's machine would hold a part of each table only, so that is an error.
+
+Tables stay until they are removed: ``with scratch(spark):`` around an operator
+and the action on its result removes those that were made inside.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+_MADE: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared scratch folder of this session."""
+    """The shared scratch folder of this session; without one, RuntimeError unless the master is local."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="spark-")
-    return _OWN[app]
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if context.applicationId not in _OWN:
+        _OWN[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="spark-")
+    return _OWN[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables; paths that are gone already are passed over."""
+    made = _MADE.get(spark.sparkContext.applicationId, [])
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        if path in made:
+            made.remove(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[set[str]]:
+    """Remove the scratch tables made inside, except for paths put into the set that it gives."""
+    made = _MADE.setdefault(spark.sparkContext.applicationId, [])
+    before, keep = set(made), set()
+    try:
+        yield keep
+    finally:
+        remove(spark, *[p for p in list(made) if p not in before and p not in keep])
+
+
+def written(df: DataFrame, tag: str, codec: str = "snappy") -> tuple[DataFrame, str]:
+    """``cut``, and the path of the table."""
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
+    df.write.option("compression", codec).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def cut(df: DataFrame, tag: str, codec: str = "snappy") -> DataFrame:
@@ -38,10 +78,7 @@ def cut(df: DataFrame, tag: str, codec: str = "snappy") -> DataFrame:
     costs no recomputation of what came before, and each use reads files
     instead of running the plan again.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, tag)
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, tag, codec)[0]
 
 
 def per_process(key: str, make):
