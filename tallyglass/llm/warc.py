@@ -1,13 +1,16 @@
 """WARC archives as a Spark data source, written and read by tasks.
 
 Writing: every task writes gzip archives of bounded size, one gzip member per
-record, under names of its own; only what the driver commits is listed in the
-manifest, so retried or lost tasks leave nothing that a reader sees. A member
+record, under names of its own; only what the driver commits is listed in a
+manifest, so retried or lost tasks leave nothing that a reader sees. Each write
+adds a manifest of its own and readers take all of them, so writes to one path
+add up; a write in overwrite mode replaces those before it. A member
 carries its length in the gzip header ("sl" extra field), so that a reader can
 step over it.
 
 Reading: a partition is a set of files of about ``partition_bytes``. Predicates
-on record type and header columns are pushed down. Of each member only the first
+on record type and header columns are pushed down; on the digest only where it is
+taken from the header (``none``), as a foreign header may lack it or spell it otherwise. Of each member only the first
 bytes are inflated, the headers are parsed, and if a predicate fails, or the
 payload isn't asked for, the rest is stepped over.
 
@@ -32,9 +35,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, StringStartsWith, WriterCommitMessage
 
-from tallyglass.storage import scratch_path
+from tallyglass.storage import cut, scratch_path
 
-MANIFEST = "_manifest.json"
+#: Names of manifests begin so.
+MANIFEST = "_manifest"
 WRITE_SCHEMA = "page_id long, url string, payload binary, record_type string, refers_to long"
 READ_SCHEMA = (
     "page_id long, record_type string, target_uri string, refers_to long, payload_digest string, payload_bytes long, "
@@ -42,6 +46,8 @@ READ_SCHEMA = (
 )
 #: Columns that come from headers, on which predicates are pushed down.
 HEADER_COLUMNS = ("record_type", "page_id", "target_uri", "refers_to", "payload_digest")
+#: Repeated payloads, of 40 bytes each, that are broadcast to the pages.
+MOST_BROADCAST = 500_000
 _HEAD_BYTES = 2048
 
 
@@ -101,9 +107,24 @@ class _Files(InputPartition):
     paths: list
 
 
+def _manifests(fs, root: str) -> list[str]:
+    """Paths of the manifests under ``root``."""
+    found = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+    return sorted(x.path for x in found if x.is_file and x.base_name.startswith(MANIFEST))
+
+
+def _listed(fs, manifests: list[str]) -> list[str]:
+    """Names of the archives in ``manifests``."""
+    names: list[str] = []
+    for path in manifests:
+        with fs.open_input_stream(path) as f:
+            names += json.loads(f.read())
+    return names
+
+
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, options: dict):
-        self.path = options["path"]
+    def __init__(self, options: dict, overwrite: bool = False):
+        self.path, self.overwrite = options["path"], overwrite
         self.most = int(options.get("file_bytes", 64 << 20))
         self.level = int(options.get("level", 6))
 
@@ -127,8 +148,11 @@ class _Writer(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         fs, root = pafs.FileSystem.from_uri(self.path)
         fs.create_dir(root, recursive=True)
-        with fs.open_output_stream(f"{root}/{MANIFEST}") as out:
+        old = _manifests(fs, root) if self.overwrite else []
+        with fs.open_output_stream(f"{root}/{MANIFEST}-{uuid.uuid4().hex}.json") as out:
             out.write(json.dumps(sorted(f for m in messages if m for f in m.files)).encode())
+        for path in [*old, *(f"{root}/{name}" for name in _listed(fs, old))]:
+            fs.delete_file(path)
 
     def abort(self, messages: list) -> None:
         fs, root = pafs.FileSystem.from_uri(self.path)
@@ -149,7 +173,7 @@ class _Reader(DataSourceReader):
     def pushFilters(self, filters):
         for f in filters:
             name = ".".join(f.attribute) if hasattr(f, "attribute") else ""
-            if name not in HEADER_COLUMNS:
+            if name not in HEADER_COLUMNS or (name == "payload_digest" and self.payload != "none"):
                 yield f
             elif isinstance(f, EqualTo):
                 self.tests.append((name, "in", (f.value,)))
@@ -162,11 +186,9 @@ class _Reader(DataSourceReader):
 
     def partitions(self):
         fs, root = pafs.FileSystem.from_uri(self.path)
-        listed = f"{root}/{MANIFEST}"
-        if fs.get_file_info(listed).type == pafs.FileType.File:
-            with fs.open_input_stream(listed) as f:
-                names = json.loads(f.read())
-            infos = fs.get_file_info([f"{root}/{n}" for n in names])
+        manifests = _manifests(fs, root)
+        if manifests:
+            infos = fs.get_file_info([f"{root}/{n}" for n in _listed(fs, manifests)])
         else:
             infos = [x for x in fs.get_file_info(pafs.FileSelector(root, recursive=True)) if x.path.endswith((".warc.gz", ".warc"))]
         parts, now, used = [], [], 0
@@ -327,11 +349,11 @@ class WarcDataSource(DataSource):
         return _Reader(dict(self.options))
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return _Writer(dict(self.options))
+        return _Writer(dict(self.options), overwrite)
 
 
 def read_warc(spark: SparkSession, path: str, payload: str = "bytes", **options: str) -> DataFrame:
-    """The records under ``path``: those of its manifest, or all ``.warc`` and ``.warc.gz`` files.
+    """The records under ``path``: those of its manifests, or all ``.warc`` and ``.warc.gz`` files.
 
     Spark keeps pushed predicates with the loaded DataFrame, so each set of
     predicates needs a load of its own.
@@ -341,25 +363,38 @@ def read_warc(spark: SparkSession, path: str, payload: str = "bytes", **options:
     return spark.read.format("warc").options(payload=payload, **options).load(path)
 
 
-def write_warc(records: DataFrame, path: str, **options: str) -> None:
-    """Write ``page_id, url, payload, record_type, refers_to`` as archives under ``path``."""
+def write_warc(records: DataFrame, path: str, mode: str = "append", **options: str) -> None:
+    """Write ``page_id, url, payload, record_type, refers_to`` as archives under ``path``.
+
+    Records are added to those of earlier writes (``mode="overwrite"`` replaces
+    them). A null url gives no target header, a null payload an empty one; null
+    ids are written as such; repeated rows are records each, and no rows leave an
+    empty manifest. Other columns are ignored.
+    """
     records.sparkSession.dataSource.register(WarcDataSource)
     columns = [F.col(x.split()[0]).cast(x.split()[1]).alias(x.split()[0]) for x in WRITE_SCHEMA.split(", ")]
-    records.select(*columns).write.format("warc").options(**options).mode("append").save(path)
+    records.select(*columns).write.format("warc").options(**options).mode(mode).save(path)
 
 
-def deduplicated(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+def deduplicated(pages: DataFrame, least_bytes: int = 0, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """Rows of ``pages`` as records: of equal payloads the smallest page_id is a response, others revisit it.
 
     A null html is an empty payload. Payloads under ``least_bytes`` are all
     responses. Repeated rows of the smallest page_id are responses each; where
-    no row of a payload has a page_id, all are.
+    no row of a payload has a page_id, all are. An empty table gives no rows.
+
+    Only digests and ids are shuffled to find payloads that repeat. Where these
+    are at most ``most_broadcast`` (counted first) they are broadcast to the
+    rows; beyond that rows are joined by a shuffle, with the same result.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload")
-    ).withColumn("same", F.sha2("payload", 256))
+    ).withColumn("same", F.unhex(F.sha2("payload", 256)))
     shared = rows.where(F.length("payload") >= least_bytes).groupBy("same").agg(F.min("page_id").alias("least"), F.count("*").alias("n")).where("n > 1 and least is not null")
-    found = rows.join(shared.select("same", "least"), "same", "left")
+    shared = cut(shared.select("same", "least"), "warc-shared")
+    if shared.count() <= most_broadcast:
+        shared = F.broadcast(shared)
+    found = rows.join(shared, "same", "left")
     again = F.col("least").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("least"))
     return found.select(
         "page_id", "url", "payload", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("least")).alias("refers_to")

@@ -71,3 +71,32 @@ def test_query(spark):
     d = "/root/testdata/sf0.001"
     rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{d}/pages.parquet").collect()]
     assert sorted(map(tuple, W.op7_warc(spark, d).collect()), key=str) == brute(rows)
+
+
+def test_writes_add_up_unless_they_overwrite(spark, tmp_path):
+    path = f"file://{tmp_path}/a"
+    page = lambda i: W.deduplicated(spark.createDataFrame([(i, "u", f"text {i}")], "page_id long, url string, html string"))
+    ids = lambda: sorted(r.page_id for r in W.read_warc(spark, path).collect())
+    W.write_warc(page(1), path)
+    W.write_warc(page(2), path)
+    assert ids() == [1, 2]
+    W.write_warc(page(3), path, mode="overwrite")
+    assert ids() == [3] and len(list((tmp_path / "a").glob("*.warc.gz"))) == 1
+    W.write_warc(page(1), path)
+    assert ids() == [1, 3]
+
+
+def test_digest_of_headers_that_lack_or_misspell_it(spark, tmp_path):
+    def rec(name, more):
+        return b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:%d>\r\n%sContent-Length: 4\r\n\r\nbody\r\n\r\n" % (name, more)
+
+    d = W.digest(b"body")
+    (tmp_path / "x.warc").write_bytes(rec(1, b"") + rec(2, b"WARC-Payload-Digest: sha1:" + d.lower().encode() + b"\r\n") + rec(3, b"WARC-Payload-Digest: sha1:" + d.encode() + b"\r\n"))
+    asked = lambda payload: sorted(r.page_id for r in W.read_warc(spark, f"file://{tmp_path}", payload).where(f"payload_digest = '{d}'").collect())
+    assert asked("digest") == asked("bytes") == [1, 2, 3] and asked("none") == [3]
+
+
+def test_broadcast_and_shuffle_agree(spark):
+    pages = spark.createDataFrame([(*r, 1) for r in ROWS], "page_id long, url string, html string, least int")
+    a, b = (sorted(map(tuple, W.deduplicated(pages, most_broadcast=n).collect()), key=str) for n in (0, 100))
+    assert a == b and W.deduplicated(pages.limit(0)).count() == 0
