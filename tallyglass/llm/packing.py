@@ -12,6 +12,11 @@ padding plus penalties plus a fixed cost for each window:
 Padding is 1024 minus the length, so the minimum over all i within 1024 is a
 sliding minimum of f(i) + p_i, kept by a monotone queue; a length that is a
 power of two has no padding, which adds at most ten direct transitions.
+
+A stream is worked off in pieces of memory: after ``HELD_CHARS`` characters the
+windows on which all cuts that may still follow agree are given out, and what is
+behind them is kept. The result is that of the whole stream at once. A document
+by itself is held whole.
 """
 
 from __future__ import annotations
@@ -35,8 +40,10 @@ from tallyglass.storage import per_process
 VOCABULARY = "byte_bpe_50k.tiktoken"
 WINDOW = 1024
 DOCS_PER_SHARD = 256
-#: A shard's stream is cut off and packed when it holds so many ids, whatever the documents' lengths.
-MOST_IDS = 4_000_000
+#: Shards that a task packs, one after the other.
+SHARDS_PER_TASK = 64
+#: Characters of a shard that are laid out at a time.
+HELD_CHARS = 8_000_000
 END_ID = 0
 SENTENCE_PENALTY, HARD_PENALTY, WINDOW_COST = 4, 24, 64
 #: In a stretch of more than GAP ids without a document or sentence end, every STEP-th place is a possible cut.
@@ -156,8 +163,12 @@ def candidates(doc_stop: np.ndarray, sentence_stop: np.ndarray) -> tuple[np.ndar
     return at, penalty
 
 
-def best_cuts(at: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """The ends of the windows, by the dynamic program of the module's text."""
+def best_cuts(at: np.ndarray, penalty: np.ndarray, window: int = WINDOW, last: bool = True) -> np.ndarray:
+    """The ends of the windows, by the dynamic program of the module's text.
+
+    If the stream goes on behind its ``last`` place, only those ends on which the
+    best ways to all places that a later cut can follow agree.
+    """
     place = np.full(int(at[-1]) + 1, -1, np.int64)
     place[at] = np.arange(len(at))
     also: dict[int, list[int]] = {}
@@ -187,76 +198,131 @@ def best_cuts(at: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> np.n
         while queue and queue[-1][0] >= cost:
             queue.pop()
         queue.append((cost, here, j))
-    ends, j = [], len(p) - 1
+    j = len(p) - 1
+    if not last:
+        open_ = {i for i in range(int(np.searchsorted(at, at[-1] - window, "right")), len(p))}
+        while len(open_) > 1:
+            j = max(open_)
+            open_.remove(j)
+            open_.add(came[j])
+        (j,) = open_
+    ends = []
     while j:
         ends.append(p[j])
         j = came[j]
     return np.array(ends[::-1], np.int64)
 
 
-def _pack(vocabulary: str):
-    def one(encoder: Encoder, shard: int, sequence: int, ids: list, texts: list) -> tuple[pa.RecordBatch, int]:
+class _Stream:
+    """One shard's ids, laid end to end; what is behind the last settled window is held."""
+
+    def __init__(self, shard: int):
+        self.shard, self.sequence = shard, 0
+        self.tokens = np.zeros(0, np.uint32)
+        self.at, self.penalty = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.doc_ids = pa.array([], pa.int64())
+        self.stop, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, encoder: Encoder, ids: list, texts: list) -> None:
         tokens, size, sentence = encoder.encode(texts)
-        stop = np.cumsum(size)
-        ends = best_cuts(*candidates(stop, sentence))
-        edge = np.union1d(stop, ends)
+        held, stop = len(self.tokens), np.cumsum(size)
+        at, penalty = candidates(stop, sentence)
+        self.tokens = np.concatenate([self.tokens, tokens])
+        self.at, self.penalty = np.concatenate([self.at, at[1:] + held]), np.concatenate([self.penalty, penalty[1:]])
+        self.doc_ids = pa.concat_arrays([self.doc_ids, pa.array(ids, pa.int64())])
+        self.stop, self.size = np.concatenate([self.stop, stop + held]), np.concatenate([self.size, size])
+
+    def settled(self, last: bool) -> pa.RecordBatch | None:
+        """The pieces in windows that are final (all, if these were the ``last`` documents)."""
+        if not len(self.stop):
+            return None
+        ends = best_cuts(self.at, self.penalty, last=last)
+        if not len(ends):
+            return None
+        done, stop, size = int(ends[-1]), self.stop, self.size
+        edge = np.union1d(stop[stop <= done], ends)
         begin = np.concatenate([[0], edge[:-1]])
         doc, win = np.searchsorted(stop, begin, "right"), np.searchsorted(ends, begin, "right")
-        crc = [zlib.crc32(tokens[a:b]) for a, b in zip(begin.tolist(), edge.tolist())]
         columns = [
-            pa.array(ids, pa.int64()).take(pa.array(doc)),
+            self.doc_ids.take(pa.array(doc)),
             pa.array(begin - (stop - size)[doc]),
             pa.array(edge - begin),
-            pa.array(crc, pa.int64()),
+            pa.array([zlib.crc32(self.tokens[a:b]) for a, b in zip(begin.tolist(), edge.tolist())], pa.int64()),
             pa.array(size[doc]),
-            pa.array((shard << 32) + sequence + win),
+            pa.array((self.shard << 32) + self.sequence + win),
             pa.array(begin - np.concatenate([[0], ends[:-1]])[win]),
         ]
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-        return pa.RecordBatch.from_arrays(columns, names=names), sequence + len(ends)
+        self.sequence += len(ends)
+        self.tokens = self.tokens[done:]
+        keep = self.at >= done
+        self.at, self.penalty = self.at[keep] - done, self.penalty[keep]
+        open_ = stop > done
+        self.doc_ids, self.stop, self.size = self.doc_ids.filter(pa.array(open_)), stop[open_] - done, size[open_]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
+
+def _pack(vocabulary: str, held_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_process(f"encoder {vocabulary}", lambda: Encoder(vocabulary))
-        now, sequence, ids, texts, held = None, 0, [], [], 0
+        stream, ids, texts, held = None, [], [], 0
+
+        def laid(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal ids, texts, held
+            if texts:
+                stream.add(encoder, ids, texts)
+            ids, texts, held = [], [], 0
+            out = stream.settled(last)
+            if out is not None:
+                yield out
+
         for batch in batches:
             for shard, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if ids and (shard != now or held > MOST_IDS * 2):
-                    out, sequence = one(encoder, now, sequence, ids, texts)
-                    yield out
-                    ids, texts, held = [], [], 0
-                if shard != now:
-                    now, sequence = shard, 0
+                if stream is None or shard != stream.shard:
+                    if stream is not None:
+                        yield from laid(True)
+                    stream = _Stream(shard)
                 ids.append(doc_id)
                 texts.append(text)
                 held += len(text or "")
-        if ids:
-            yield one(encoder, now, sequence, ids, texts)[0]
+                if held >= held_chars:
+                    yield from laid(False)
+        if stream is not None:
+            yield from laid(True)
 
     return run
 
 
-def pack(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str = VOCABULARY, held_chars: int = HELD_CHARS) -> DataFrame:
     """A row for each piece of a document in a sequence.
 
     ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``. A null
-    or empty text has the end id alone. A null doc_id is kept as it is; repeated
-    rows are packed each. Equal doc_ids lie in order of text. An empty table gives
-    no rows; other columns are ignored.
+    or empty text has the end id alone. Strings of special tokens are ordinary
+    text: the vocabulary's splitting and merges are all that is applied to them.
+    A null doc_id is kept as it is; repeated rows are packed each. Equal doc_ids
+    lie in order of text. An empty table gives no rows; other columns are ignored.
     """
+    spark = docs.sparkSession
     shards = max(1, -(-docs.count() // DOCS_PER_SHARD))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // SHARDS_PER_TASK))
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards))
     return (
         docs.select(F.col("doc_id").cast("long"), "text")
         .select(shard.alias("shard"), "doc_id", "text")
-        .repartition("shard")
+        .repartition(tasks, "shard")
         .sortWithinPartitions("shard", "doc_id", "text")
         .mapInArrow(
-            _pack(vocabulary),
+            _pack(vocabulary, held_chars),
             "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
         )
     )
 
 
 def op4_packing(spark, sf_dir: str) -> DataFrame:
-    """Pack every document into sequences of 1024 ids."""
+    """Pack every document into sequences of 1024 ids.
+
+    Ids are the vocabulary's own: ``<|endoftext|>`` and its like inside a text
+    are encoded as the text they are, never as special ids, which the
+    documents' public tokenizers ask for (``encode_special_tokens``).
+    """
     return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -93,3 +93,12 @@ def test_speed_path_on_whole_texts(tokenizer, spark):
     for i in range(0, 300, 60):
         ids, size, _ = encoder.encode(texts[i : i + 60])
         assert ids.tolist() == [x for t in texts[i : i + 60] for x in [*tokenizer.encode(t, add_special_tokens=False).ids, 0]]
+
+
+@pytest.mark.parametrize("held", [1, 40, 3000])
+def test_held_pieces_give_the_whole_stream(spark, held):
+    r = np.random.default_rng(4)
+    texts = [(i, " ".join("word. " if x % 9 == 0 else "wörd" * (x % 4 + 1) for x in r.integers(0, 40, r.integers(0, 900)))) for i in range(120)]
+    docs = spark.createDataFrame(texts + [(500, "long " * 40_000), (501, None)], "doc_id long, text string")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(P.pack(docs, held_chars=held)) == rows(P.pack(docs, held_chars=10**12))
