@@ -53,6 +53,8 @@ def _netpbm(data: bytes) -> np.ndarray:
         at = m.end()
     width, height = numbers[:2]
     most = numbers[2] if want == 3 else 1
+    if not width or not height or not 0 < most < 65536:
+        raise ValueError("a Netpbm image without pixels, or of a depth that is none")
     colours = 3 if kind in (b"P3", b"P6") else 1
     n = width * height * colours
     if kind == b"P4":
@@ -72,8 +74,12 @@ def _netpbm(data: bytes) -> np.ndarray:
 
 
 def _bmp(data: bytes) -> np.ndarray:
+    if len(data) < 54:
+        raise ValueError("a BMP header ends early")
     start, header, width, height = struct.unpack_from("<I", data, 10) + struct.unpack_from("<Iii", data, 14)
     bits, packing = struct.unpack_from("<HI", data, 28)
+    if width <= 0 or not height:
+        raise ValueError("a BMP without pixels")
     if packing or bits not in (8, 24, 32):
         raise ValueError("only uncompressed BMP of 8, 24 or 32 bits is read")
     stride = -(-width * bits // 32) * 4
@@ -84,12 +90,14 @@ def _bmp(data: bytes) -> np.ndarray:
         return rows[:, : width * bits // 8].reshape(abs(height), width, bits // 8)[:, :, 2::-1].copy()
     used = struct.unpack_from("<I", data, 46)[0] or 256
     palette = np.frombuffer(data, np.uint8, used * 4, 14 + header).reshape(used, 4)[:, 2::-1]
+    if rows[:, :width].max() >= used:
+        raise ValueError("a BMP pixel is beyond the palette")
     pixels = palette[rows[:, :width]]
     return pixels[:, :, 0].copy() if (pixels == pixels[:, :, :1]).all() else pixels
 
 
 def decode(data: bytes) -> np.ndarray:
-    """Pixels of a Netpbm (P1 to P6) or BMP image; other bytes raise ValueError."""
+    """Pixels of a Netpbm (P1 to P6) or BMP image; other bytes, and images cut short or without pixels, raise ValueError."""
     if data[:1] == b"P" and data[1:2] in b"123456" and len(data) > 2:
         return _netpbm(data)
     if data[:2] == b"BM":
@@ -121,7 +129,9 @@ def area_sums(pixels: np.ndarray, height: int, width: int) -> np.ndarray:
 
 
 def area_resize(pixels: np.ndarray, height: int = TILE_HEIGHT, width: int = TILE_WIDTH) -> np.ndarray:
-    """The mean of each area, rounded half up, as uint8. Colours are averaged to grey first."""
+    """The mean of each area, rounded half up, as uint8. Colours are averaged to grey first; there must be a pixel."""
+    if not pixels.size:
+        raise ValueError("an image without pixels")
     if pixels.ndim == 3:
         pixels = (pixels.astype(np.int64).sum(2) + 1) // 3
     n = pixels.shape[0] * pixels.shape[1]
@@ -147,13 +157,15 @@ def payload_pixels(text: str | None) -> tuple[int, np.ndarray]:
     return len(raw), np.frombuffer(raw.ljust(size, b"\0"), np.uint8).reshape(-1, WIDTH)
 
 
-def store(docs: DataFrame, form: str = "pgm") -> DataFrame:
-    """``doc_id, n_bytes, media``: every text as an 8-bit image ("pgm" or "bmp").
+def store(docs: DataFrame, form: str | None = None) -> DataFrame:
+    """``doc_id, n_bytes, media``: every text as an 8-bit image, a PGM ("pgm") or BMP ("bmp").
 
-    A null text is stored like an empty one, as one row of zeros. Rows are kept
-    one for one, repeated or not; other columns are ignored.
+    Without ``form`` the text decides: by a bit of its CRC-32 half of the texts
+    become the one, half the other, equal texts the same. A null text is stored
+    like an empty one, as one row of zeros. Rows are kept one for one, repeated
+    or not; an empty table gives no rows; other columns are ignored.
     """
-    encode = {"pgm": encode_pgm, "bmp": encode_bmp}[form]
+    encoders = {"pgm": (encode_pgm,) * 2, "bmp": (encode_bmp,) * 2, None: (encode_pgm, encode_bmp)}[form]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,7 +175,7 @@ def store(docs: DataFrame, form: str = "pgm") -> DataFrame:
                 for text in own.column(1).to_pylist():
                     n, pixels = payload_pixels(text)
                     sizes.append(n)
-                    images.append(encode(pixels))
+                    images.append(encoders[zlib.crc32(pixels) & 1](pixels))
                 yield pa.RecordBatch.from_arrays([own.column(0), pa.array(sizes, pa.int64()), pa.array(images, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
@@ -175,7 +187,8 @@ def features(media: DataFrame) -> DataFrame:
     ``payload_bytes, payload_sha256, tail_crc32`` are of the pixels, ``media_bytes,
     media_sha256`` of the stored form, ``feature`` is the difference hash and
     ``tile`` the resized image as NPY. A null image gives nulls; bytes that are no
-    image raise ValueError.
+    image, or one without pixels, raise ValueError. Rows are kept one for one,
+    repeated or not; an empty table gives no rows; other columns are ignored.
     """
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile"]
 
@@ -199,6 +212,6 @@ def features(media: DataFrame) -> DataFrame:
 
 
 def op3_media(spark, sf_dir: str) -> DataFrame:
-    """Store every text as an image, read the images back and compute their features."""
+    """Store every text as an image, read the images back and compute their features; ``tile`` is the resized image as NPY."""
     stored = cut(store(spark.read.parquet(f"{sf_dir}/documents.parquet")), "media", "zstd")
-    return features(stored).drop("tile")
+    return features(stored)
