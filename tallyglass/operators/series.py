@@ -179,15 +179,63 @@ def forward_returns(trades: DataFrame, bars: DataFrame, bench: DataFrame, as_of_
     return rows.select(*trades.columns, F.col("entry.d").alias("entry_day"), *figures, *short, "no_entry")
 
 
-def as_of_features(trades: DataFrame, bars: DataFrame) -> DataFrame:
-    """``trades`` with the as-of bar's ``close``, ``hist_days`` (bars so far; null without a series), entry day and price."""
-    found = as_of(trades, bars.select("ticker", "d", "close", "i"), "tdate", name="__b")
-    found = entry_after(found, bars.select("ticker", "d", "close", "i"), "fdate")
-    found = found.join(bars.where("i = 0").select("ticker", F.lit(True).alias("__any")), "ticker", "left")
-    return found.select(
-        *trades.columns,
-        F.col("__b.close").alias("close"),
-        F.when(F.col("__any"), F.coalesce(F.col("__b.i"), F.lit(-1)) + 1).cast("int").alias("hist_days"),
-        F.col("entry.d").alias("entry_day"),
-        F.col("entry.close").alias("entry_px"),
-    )
+def nominal_closes(bars: DataFrame, splits: DataFrame) -> DataFrame:
+    """``bars`` with ``nominal``: the close as it was quoted, by the ratios of all splits after its day, to four places.
+
+    ``splits``: ticker, d, ratio.
+    """
+    rows = bars.withColumn("__ratio", F.lit(None).cast("double")).unionByName(splits.select("ticker", "d", F.col("ratio").cast("double").alias("__ratio")), allowMissingColumns=True)
+    x = rows.withColumn("__n", F.datediff("d", F.lit("1970-01-01").cast("date")))
+    later = Window.partitionBy("ticker").orderBy("__n").rangeBetween(1, Window.unboundedFollowing)
+    x = x.withColumn("__f", F.coalesce(F.product("__ratio").over(later), F.lit(1.0))).where("__ratio is null")
+    return x.select(*bars.columns, rnd(F.col("close") * F.col("__f")).alias("nominal"))
+
+
+def day_features(trades: DataFrame, bars: DataFrame, splits: DataFrame | None = None, day: str = "tdate", days: int = 365) -> DataFrame:
+    """``trades`` with what the series says on ``day``: ``close, hist_days, adv, bucket, dd``.
+
+    ``close`` is that of the last bar so far, as it was quoted on ``day`` (see
+    ``nominal_closes``; without ``splits`` as it is); ``hist_days`` the number of
+    bars so far, null without a series; ``adv`` and ``bucket`` those of that bar,
+    ``bars`` has them; ``dd`` see ``drawdown_calendar``. Bars, splits and the
+    distinct days asked for are sorted once for all of it.
+    """
+    kinds = {"close": "double", "i": "int", "adv": "double", "bucket": "string", "__ratio": "double", "__asked": "boolean"}
+    laid = lambda df, **own: df.select("ticker", "__d", *[own.get(c, F.lit(None)).cast(t).alias(c) for c, t in kinds.items()])
+    rows = laid(bars.withColumnRenamed("d", "__d"), **{c: F.col(c) for c in ("close", "i", "adv", "bucket")}, __asked=F.lit(False))
+    if splits is not None:
+        rows = rows.unionByName(laid(splits.withColumnRenamed("d", "__d"), __ratio=F.col("ratio"), __asked=F.lit(False)))
+
+    def answer(asked: DataFrame) -> DataFrame:
+        x = rows.unionByName(laid(asked, __asked=F.lit(True))).withColumn("__n", F.datediff("__d", F.lit("1970-01-01").cast("date")))
+        w = Window.partitionBy("ticker").orderBy("__n")
+        bar = F.when(F.col("i").isNotNull(), F.struct("i", "close", "adv", "bucket"))
+        x = x.withColumns(
+            {
+                "__high": F.max("close").over(w.rangeBetween(-days, 0)),
+                "__last": F.max(bar).over(w.rangeBetween(Window.unboundedPreceding, 0)),
+                "__f": F.coalesce(F.product("__ratio").over(w.rangeBetween(1, Window.unboundedFollowing)), F.lit(1.0)),
+                "__any": F.count("i").over(Window.partitionBy("ticker")) > 0,
+            }
+        ).where("__asked")
+        ok = (F.col("__last.i") >= MIN_BARS) & (F.col("__high") > 0) & (F.col("__last.close") > 0)
+        return x.select(
+            "ticker",
+            "__d",
+            (rnd(F.col("__last.close") * F.col("__f")) if splits is not None else F.col("__last.close")).alias("close"),
+            F.when(F.col("__any"), F.coalesce(F.col("__last.i"), F.lit(-1)) + 1).cast("int").alias("hist_days"),
+            F.col("__last.adv").alias("adv"),
+            F.col("__last.bucket").alias("bucket"),
+            F.when(ok, rnd(ratio("__last.close", "__high") - 1)).alias("dd"),
+        )
+
+    new = [c for c in ("close", "hist_days", "adv", "bucket", "dd") if c in trades.columns]
+    return per_day(trades.drop(*new), "ticker", day, answer)
+
+
+def entry_features(trades: DataFrame, bars: DataFrame, splits: DataFrame | None = None) -> DataFrame:
+    """``trades`` with ``entry_day, entry_px``: the first bar after the filing and its close as it was quoted then."""
+    b = bars.select("ticker", "d", "close", "i")
+    b = b.withColumn("nominal", F.col("close")) if splits is None else nominal_closes(b, splits)
+    found = entry_after(trades, b.select("ticker", "d", "nominal", "i"), "fdate")
+    return found.select(*trades.columns, F.col("entry.d").alias("entry_day"), F.col("entry.nominal").alias("entry_px"))

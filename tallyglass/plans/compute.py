@@ -7,13 +7,16 @@ Everything is lazy; the caller decides what to write. Thresholds are in
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyglass.functions import scalars as S
 from tallyglass.functions.scalars import ratio, rnd
-from tallyglass.operators import asof, gates, owners, series, stats
+from tallyglass.operators import asof, gates, owners, panel, series, slices, stats
+from tallyglass.storage import cut
 
 HOLD_MONTHS, FEED_DAYS, ROUND_TRIP, LEAST_MONTHS, THIN, SPLIT_MONTH = 3, 200, 0.005, 36, 10, "2021-01"
 
@@ -38,21 +41,28 @@ def reassigned(trades: DataFrame, latest: DataFrame, known: DataFrame) -> DataFr
     return x.withColumn("same", same).drop("__s", "__e", "__k")
 
 
-def features(trades: DataFrame, bars: DataFrame, limits: gates.Limits = gates.Limits()) -> DataFrame:
-    """All that the gates and the feed need, the gates' verdict and the working set.
+def planned(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``planned``: the form's box (``plan_box``) is ticked, or a footnote (``fn_b5``) says so; a flag that is there already counts too."""
+    has = [F.coalesce(F.col(c).cast("boolean"), F.lit(False)) for c in ("planned", "plan_box", "fn_b5") if c in rows.columns]
+    return rows.withColumn("planned", reduce(or_, has, F.lit(False)))
 
-    ``trades`` needs ticker, owner, fdate, tdate, code, sh, px, val; flags in it
-    (``fn_*``, ``planned``, ``fund_only``, ``cancelled``, ``reassigned``) are used
-    where present. ``bars`` has ``i``. A reassigned row gets no prices.
+
+def verdicts(trades: DataFrame, bars: DataFrame, limits: gates.Limits = gates.Limits(), splits: DataFrame | None = None, groups: DataFrame | None = None) -> DataFrame:
+    """All that the gates read, their verdict and the working set.
+
+    ``trades`` needs ticker, owner, tdate, code, sh, px, val; flags in it
+    (``fn_*``, ``planned``, ``plan_box``, ``fund_only``, ``cancelled``,
+    ``reassigned``) are used where present. ``bars`` has ``i``. ``splits``
+    (ticker, d, ratio) make closes comparable with the trade's price: as quoted
+    on the day. ``groups`` (node, component) are owners who file together. A
+    reassigned row gets no prices.
     """
-    x = series.as_of_features(trades, bars)
-    x = asof.as_of(x, series.adv(bars).select("ticker", "d", "adv", "bucket"), "tdate", name="__a")
-    x = series.drawdown_calendar(bars, x.withColumn("adv", F.col("__a.adv")).withColumn("bucket", F.coalesce(F.col("__a.bucket"), F.lit("н/д"))).drop("__a"))
+    x = series.day_features(trades, series.adv(bars).select("ticker", "d", "close", "i", "adv", "bucket"), splits)
+    x = x.withColumn("bucket", F.coalesce("bucket", F.lit("н/д")))
     if "reassigned" in trades.columns:
-        for c in ("close", "hist_days", "entry_day", "entry_px", "adv", "dd"):
-            x = x.withColumn(c, F.when(~F.col("reassigned"), F.col(c)))
-    x = owners.with_history(owners.sync_count(x))
-    x = owners.with_regular(x).withColumn("routine", owners.routine("hist", "tdate")).withColumn("first", owners.inflection("hist")).drop("hist")
+        gone = F.coalesce(F.col("reassigned"), F.lit(False))
+        x = x.withColumns({c: F.when(~gone, F.col(c)) for c in ("close", "hist_days", "adv", "dd")} | {"bucket": F.when(gone, "н/д").otherwise(F.col("bucket"))})
+    x = planned(owners.with_regular(owners.with_past(owners.sync_count(x, groups))))
     x = x.withColumn("no_price", F.col("close").isNull()).withColumn("no_liquidity", F.col("close").isNotNull() & F.col("adv").isNull())
     mismatch = owners.units_mismatch(x).where("mismatch").select("ticker", F.lit(True).alias("units"))
     x = gates.apply_gates(x.join(mismatch, "ticker", "left"), limits)
@@ -60,6 +70,52 @@ def features(trades: DataFrame, bars: DataFrame, limits: gates.Limits = gates.Li
     return x.withColumn("in_set", gates.in_set(limits))
 
 
+def features(trades: DataFrame, bars: DataFrame, limits: gates.Limits = gates.Limits(), splits: DataFrame | None = None, groups: DataFrame | None = None) -> DataFrame:
+    """``verdicts`` with ``entry_day, entry_px``: where a reader of the filing comes in, and at what quoted price; ``trades`` needs fdate."""
+    x = series.entry_features(verdicts(trades, bars, limits, splits, groups), bars, splits)
+    if "reassigned" in trades.columns:
+        x = x.withColumns({c: F.when(~F.coalesce(F.col("reassigned"), F.lit(False)), F.col(c)) for c in ("entry_day", "entry_px")})
+    return x
+
+
+def dimensions(rows: DataFrame) -> dict[str, Column]:
+    """The ten dimensions by which rows with verdicts are sliced; a null group leaves a row out.
+
+    Only ``gate`` and ``routine`` see dropped rows. ``role`` is a column of ``rows``.
+    """
+    passed = lambda c: F.when(F.col("ok"), c)
+    return {
+        "set": passed(F.when(F.col("in_set"), "set").otherwise("outside")),
+        "gate": F.coalesce("drop", F.lit("ok")),
+        "all": passed(F.lit("passed")),
+        "role": passed(F.col("role")),
+        "size": passed(S.size_bucket("val")),
+        "liquidity": passed(F.col("bucket")),
+        "routine": F.when(F.col("routine"), "routine").when(~F.col("routine"), "opportunistic").otherwise("no history"),
+        "inflect": passed(F.coalesce("inflection", F.lit("usual"))),
+        "dd": passed(S.drawdown_label("dd")),
+        "year": passed(F.year("fdate")),
+    }
+
+
+#: Slices that are known to do worse than the index, and the months they are held.
+AVOID = (
+    ("routine", 12, "drop = 'routine'"), ("planned", 12, "drop = 'planned'"), ("deep", 3, "ok and dd < -0.3"),
+    ("role X", 12, "ok and role = 'X'"), ("role O", 12, "ok and role = 'O'"), ("dropped", 12, "not ok"),
+)
+#: What a set is held against: all that passed.
+REFERENCE = (("passed", 12, "ok"),)
+SET = (("set", HOLD_MONTHS, "in_set"),)
+
+
+def named_signals(rows: DataFrame, wanted: Sequence[tuple[str, int, str]]) -> DataFrame:
+    """``key, hold, ticker, m, signals``: months of the rows that fulfil each of ``wanted`` (key, hold, condition); ``signals`` is how many rows each key has."""
+    hits = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(h).alias("hold"), F.expr(c).alias("on")) for k, h, c in wanted])
+    x = rows.withColumn("__h", F.explode(F.filter(hits, lambda x: F.coalesce(x["on"], F.lit(False)))))
+    x = x.groupBy("__h.key", "__h.hold", "ticker", S.month("fdate").alias("m")).agg(F.count("*").alias("__n"))
+    return x.withColumn("signals", F.sum("__n").over(Window.partitionBy("key"))).drop("__n")
+
+
 def feed(rows: DataFrame, today: Column, days: int = FEED_DAYS) -> DataFrame:
     """Recent rows as the feed shows them: delay in business days, age, day of exit."""
     x = rows.where(F.col("fdate") >= F.date_sub(today, days))
@@ -90,11 +146,12 @@ def cells(grid: DataFrame, market: DataFrame, universe: DataFrame, factors: Data
     """A row of statistics for every series of ``grid`` (``by``, k, n, r), all in one pass.
 
     ``market`` and ``universe`` are ``m, k, r``; ``factors`` is ``m, market, size,
-    momentum``. Means are annualised. Series under ``least`` months are left out;
+    momentum``. Means are annualised; ``ex_mean`` is the monthly one. Series under ``least`` months are left out;
     ``thin`` marks few names; ``early, late`` are the excess before and after the
     split month, null under 24 months.
     """
     by = list(by)
+    grid = cut(grid, "cells")  # a few hundred months of each series, read several times below
     long_enough = grid.groupBy(*by).agg(F.count("*").alias("months")).where(F.col("months") >= least)
     s = grid.join(long_enough, by)
     p = stats.path(s, by)
@@ -106,8 +163,8 @@ def cells(grid: DataFrame, market: DataFrame, universe: DataFrame, factors: Data
         F.when(te > 0, rnd(F.avg("d") * 12 / te, 2)).alias("ir"), F.when(vol > 0, rnd(F.avg(F.col("r") - stats.risk_free("m")) * 12 / vol, 2)).alias("sharpe"),
         half(F.col("m") < SPLIT_MONTH).alias("early"), half(F.col("m") >= SPLIT_MONTH).alias("late"),
     )
-    excess = lambda x, a, b: stats.newey_west(x, "d", by=by).select(*by, rnd(stats.annualised(F.col("mean"))).alias(a), rnd("t", 2).alias(b))
-    out = long_enough.join(p, by).join(more, by, "left").join(excess(m, "ex", "ex_t"), by, "left").join(excess(u, "over_all", "over_all_t"), by, "left")
+    excess = lambda x, a, b, *own: stats.newey_west(x, "d", by=by).select(*by, *own, rnd(stats.annualised(F.col("mean"))).alias(a), rnd("t", 2).alias(b))
+    out = long_enough.join(p, by).join(more, by, "left").join(excess(m, "ex", "ex_t", rnd("mean").alias("ex_mean")), by, "left").join(excess(u, "over_all", "over_all_t"), by, "left")
     if factors is not None:
         named = s.join(F.broadcast(market.select("k", "m")), "k")
         a = stats.factor_alpha(named, factors, ["market", "size", "momentum"], by)
@@ -116,9 +173,10 @@ def cells(grid: DataFrame, market: DataFrame, universe: DataFrame, factors: Data
     return out.withColumn("thin", F.col("avg_n") < THIN)
 
 
-def net_of_costs(cell: DataFrame, turnover: DataFrame, round_trip: float = ROUND_TRIP) -> DataFrame:
-    """``cell`` with yearly ``turnover``, ``cost`` and ``net`` excess."""
-    x = cell.join(F.broadcast(turnover.select(F.col("turnover").alias("__t"))))
+def net_of_costs(cell: DataFrame, turnover: DataFrame, by: Sequence[str] = (), round_trip: float = ROUND_TRIP) -> DataFrame:
+    """``cell`` with yearly ``turnover``, ``cost`` and ``net`` excess; ``turnover`` has a row for each ``by``, one row without."""
+    t = turnover.select(*by, F.col("turnover").alias("__t"))
+    x = cell.join(t, list(by), "left") if by else cell.join(F.broadcast(t))
     cost = F.col("__t") / 2 * 12 * round_trip
     return x.withColumns({"turnover": rnd(F.col("__t") * 12), "cost": rnd(cost), "net": rnd(F.col("ex") - cost)}).drop("__t")
 
@@ -129,6 +187,66 @@ def by_year(series_: DataFrame, market: DataFrame) -> DataFrame:
     return x.groupBy(F.substring("m", 1, 4).alias("year")).agg(rnd(F.sum(F.col("r") - F.col("__o"))).alias("ex"))
 
 
+def set_cells(
+    rows: DataFrame, rets: DataFrame, market: DataFrame, factors: DataFrame | None = None, wanted: Sequence[tuple[str, int, str]] = (*SET, *AVOID, *REFERENCE), min_dv: float = 3e6, min_names: int = 5
+) -> DataFrame:
+    """A row for each named set of ``rows`` (with verdicts, ``role``, fdate), for the universe and for the index.
+
+    ``key, hold``, the statistics of ``cells``, ``signals`` (rows of the set), and
+    ``turnover, cost, net``. ``universe`` is every liquid name, held a month;
+    ``index`` is ``market`` (m, k, r) itself, with no excess, alpha or names.
+    """
+    by, liquid = ["key", "hold"], rets.where(F.col("dv") >= min_dv)
+    sig = cut(named_signals(rows, wanted), "sets")
+    held = slices.held(sig, rets, by)
+    whole = panel.universe(rets, 1, min_dv)
+    all_ = liquid.select(F.lit("universe").alias("key"), F.lit(1).alias("hold"), "ticker", "k")
+    grid = slices.held_series(held, rets, by, min_dv, min_names).unionByName(whole.select(F.lit("universe").alias("key"), F.lit(1).alias("hold"), "k", "n", "r"))
+    found = cells(grid, market, whole, factors, by)
+    found = net_of_costs(found, slices.held_turnover(held.unionByName(all_), rets, by, min_dv), by)
+    found = found.join(sig.select(*by, "signals").distinct(), by, "left")
+    index = cells(market.select(F.lit("index").alias("key"), F.lit(0).alias("hold"), "k", F.lit(1).cast("long").alias("n"), "r"), market, whole, None, by)
+    return found.unionByName(index.withColumns({"ex_t": F.lit(None).cast("double"), "ir": F.lit(None).cast("double")}), allowMissingColumns=True)
+
+
+#: Steps of the two ladders: depth below the high, and the least size of a purchase.
+DEPTHS, SIZES = (-0.01, -0.02, -0.05, -0.10, -0.20, -0.35), (0.0, 1e4, 5e4, 1e5, 2.5e5, 5e5)
+
+
+def ladders(rows: DataFrame, rets: DataFrame, market: DataFrame, limits: gates.Limits = gates.Limits(), hold: int = HOLD_MONTHS, min_dv: float = 3e6, min_names: int = 5, depths: Sequence[float] = DEPTHS, sizes: Sequence[float] = SIZES) -> DataFrame:
+    """``ladder, step, months, avg_n, ex_mean, ex, ex_t``: the working set with one threshold moved in steps, so that a jump at the chosen one would show."""
+    liquid = f"ok and adv >= {limits.set_adv}"
+    wanted = [(f"depth {x}", hold, f"{liquid} and dd >= {x} and val >= {limits.set_val}") for x in depths]
+    wanted += [(f"size {x}", hold, f"{liquid} and dd >= {limits.set_dd} and val >= {x}") for x in sizes]
+    by = ["key", "hold"]
+    grid = slices.held_series(slices.held(named_signals(rows, wanted), rets, by), rets, by, min_dv, min_names)
+    found = cells(grid, market, panel.universe(rets, 1, min_dv), None, by)
+    return found.select(F.split("key", " ")[0].alias("ladder"), F.split("key", " ")[1].cast("double").alias("step"), "months", "avg_n", "ex_mean", "ex", "ex_t")
+
+
+def entry_lags(rows: DataFrame, rets: DataFrame, market: DataFrame, condition: str = "in_set", lags: Sequence[int] = (0, 1, 2), hold: int = HOLD_MONTHS, min_dv: float = 3e6, min_names: int = 5) -> DataFrame:
+    """``lag, months, ex_mean, ex, ex_t``: a set whose signals are taken some months late."""
+    sig = named_signals(rows, [("set", hold, condition)])
+    late = reduce(DataFrame.unionByName, [panel.shifted(sig.select("ticker", "m"), rets, n).withColumns({"lag": F.lit(n), "hold": F.lit(hold)}) for n in lags])
+    by = ["lag", "hold"]
+    grid = slices.held_series(slices.held(late, rets, by), rets, by, min_dv, min_names)
+    return cells(grid, market, panel.universe(rets, 1, min_dv), None, by).select("lag", "months", "ex_mean", "ex", "ex_t")
+
+
+def working_set(rows: DataFrame, rets: DataFrame, market: DataFrame, factors: DataFrame | None = None, limits: gates.Limits = gates.Limits(), min_dv: float = 3e6, min_names: int = 5) -> dict[str, DataFrame]:
+    """The working set's page: its ``cell``, ``control`` (all names that were as near their high), ``years``, ``ladders`` and ``lags``."""
+    sig = named_signals(rows, SET).select("ticker", "m").distinct()
+    series_ = panel.portfolio(rets, sig, HOLD_MONTHS, min_dv, min_names)
+    near = panel.universe(rets, HOLD_MONTHS, min_dv, F.col("dd_hi") >= limits.set_dd)
+    return {
+        "cell": set_cells(rows, rets, market, factors, SET, min_dv, min_names).where("key = 'set'"),
+        "control": stats.paired(series_, near),
+        "years": by_year(series_, market),
+        "ladders": ladders(rows, rets, market, limits, min_dv=min_dv, min_names=min_names),
+        "lags": entry_lags(rows, rets, market, min_dv=min_dv, min_names=min_names),
+    }
+
+
 def refresh_candidates(trades: DataFrame, have: DataFrame, missing: DataFrame, alive: DataFrame, today: Column, most: int = 150) -> DataFrame:
     """``ticker, why``: recent purchases (760 days), failed ones to try again, and the ``most`` stalest series that still trade.
 
@@ -137,8 +255,8 @@ def refresh_candidates(trades: DataFrame, have: DataFrame, missing: DataFrame, a
     bought = trades.where("code = 'P'").groupBy("ticker").agg(F.max("fdate").alias("f"))
     recent = bought.where(F.col("f") >= F.date_sub(today, 760)).select("ticker", F.lit("recent").alias("why"))
     again = missing.where((F.col("tries") < 4) & (F.col("tried").isNull() | (F.col("tried") < F.date_sub(today, 7)))).join(bought, "ticker", "left_semi").select("ticker", F.lit("again").alias("why"))
-    cut = F.date_sub(today, 20)
-    stale = have.where(F.col("last") < cut).join(bought, "ticker", "left_semi").join(alive.where(F.col("through") >= cut), "ticker", "left_semi")
+    old = F.date_sub(today, 20)
+    stale = have.where(F.col("last") < old).join(bought, "ticker", "left_semi").join(alive.where(F.col("through") >= old), "ticker", "left_semi")
     stale = stale.orderBy("last", "ticker").limit(most).select("ticker", F.lit("stale").alias("why"))
     return recent.unionByName(again).unionByName(stale).groupBy("ticker").agg(F.max("why").alias("why"))
 
@@ -180,7 +298,7 @@ def missed_days(last: Column, today: Column) -> Column:
 def needs_replay(rows: DataFrame, floor: int = 0) -> DataFrame:
     """Days of rows that an older version wrote (they lack ``own_d`` where ownership is known), unless no more than ``floor`` remain."""
     old = rows.where(F.col("own_d").isNull() & F.col("own").isNotNull() & (F.col("di") == "D"))
-    return old.groupBy("fdate").agg(F.count("*").alias("n")).withColumn("__all", F.sum("n").over(stats.Window.partitionBy(F.lit(0)))).where(F.col("__all") > floor).drop("__all")
+    return old.groupBy("fdate").agg(F.count("*").alias("n")).withColumn("__all", F.sum("n").over(Window.partitionBy(F.lit(0)))).where(F.col("__all") > floor).drop("__all")
 
 
 def write_payloads(rows: DataFrame, path: str, today: Column) -> None:
@@ -188,7 +306,7 @@ def write_payloads(rows: DataFrame, path: str, today: Column) -> None:
     shown = feed(rows, today)
     shown.orderBy(F.desc("fdate"), F.desc("val")).write.mode("overwrite").json(f"{path}/feed")
     year = rows.where("code = 'P'").withColumn("year", F.year("fdate"))
-    year.repartition("year").write.mode("overwrite").partitionBy("year").json(f"{path}/backtest")
+    year.sortWithinPartitions("year").write.mode("overwrite").partitionBy("year").json(f"{path}/backtest")
     one = F.struct("tdate", "fdate", "code", "sh", "px", "val", "drop")
     cards = rows.groupBy("ticker").agg(F.count("*").alias("trades"), F.count_if("ok").alias("passed"), F.sort_array(F.collect_list(one), asc=False).alias("rows"))
     cards.write.mode("overwrite").json(f"{path}/tickers")

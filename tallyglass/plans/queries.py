@@ -18,6 +18,7 @@ from tallyglass.plans import compute
 from tallyglass.operators.components import connected_components
 from tallyglass.sources import tpch
 from tallyglass.sources.tpch import SQL_BARS, SQL_BENCH, SQL_TRADES, table
+from tallyglass.storage import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -82,6 +83,11 @@ def _bars(spark, d):
     return tpch.numbered(tpch.bars(spark, d))
 
 
+def _stored_bars(spark, d):
+    """Bars as a table, where a query reads them several times."""
+    return cut(_bars(spark, d), "bars")
+
+
 def _rets(spark, d):
     return panel.with_returns(panel.monthly(_bars(spark, d)))
 
@@ -407,13 +413,7 @@ def repaired_bars(spark, d):
 )
 def nominal_factor(spark, d):
     """Prices as they were quoted, by the splits after each day."""
-    splits = table(spark, d, "part").where("p_size >= 45").select(
-        (F.col("p_partkey") % 100 + 1).alias("ticker"), F.date_add(F.lit("1993-01-01").cast("date"), (F.col("p_partkey") % 2000).cast("int")).alias("d"), F.when(F.col("p_size") % 2 == 0, 2.0).otherwise(0.5).alias("ratio")
-    )
-    listed = splits.groupBy("ticker").agg(F.collect_list(F.struct("d", "ratio")).alias("splits"))
-    x = tpch.bars(spark, d).join(listed, "ticker", "left")
-    factor = F.when(F.col("splits").isNull(), 1.0).otherwise(series.nominal_factor(F.col("splits"), F.col("d")))
-    return x.select("ticker", "d", "close", rnd(F.col("close") * factor).alias("nominal"))
+    return series.nominal_closes(tpch.bars(spark, d), _splits(spark, d)).select("ticker", "d", "close", "nominal")
 
 
 @query("SELECT ticker, CAST(isoyear(d) AS INTEGER) AS year, CAST(weekofyear(d) AS INTEGER) AS week, max(d) AS d, max_by(close, d) AS close FROM bars GROUP BY ALL", SQL_BARS)
@@ -564,29 +564,6 @@ def factor_alpha_3(spark, d):
 
 # --- slices ------------------------------------------------------------------------------------------------------
 
-SQL_STACK = """
-st AS (SELECT DISTINCT dim, grp, ticker, strftime(fdate, '%Y-%m') AS m FROM (
-  SELECT ticker, fdate, unnest([{'dim': 'all', 'grp': 'all'}, {'dim': 'form', 'grp': form}, {'dim': 'year', 'grp': CAST(year(fdate) AS VARCHAR)},
-    {'dim': 'size', 'grp': CASE WHEN val < 5e4 THEN '<50k' ELSE '50k-250k' END}], recursive := true) FROM trades WHERE code = 'P' AND val >= 30000))"""
-
-
-@query(
-    f"""SELECT dim, grp, hold, count(*) AS months, {r4('avg(r)')} AS mean, min(n) AS least FROM (
-  SELECT dim, grp, hold, h.k, count(*) AS n, avg(next_ret) AS r FROM (
-    SELECT DISTINCT dim, grp, hold, ticker, unnest(range(k, k + hold)) AS k FROM st JOIN mon USING (m), (VALUES (3), (6), (12)) v(hold)) h
-  JOIN rets ON rets.ticker = h.ticker AND rets.k = h.k WHERE dv >= {MIN_DV} AND next_ret IS NOT NULL GROUP BY dim, grp, hold, h.k HAVING count(*) >= {MIN_NAMES})
-GROUP BY dim, grp, hold""",
-    *PANEL, SQL_TRADES, SQL_STACK,
-)
-def slice_grid(spark, d):
-    """Portfolios of every slice and holding period in one pass."""
-    x = tpch.trades(spark, d).where("code = 'P' and val >= 30000").select("ticker", "fdate", "form", "val")
-    dims = {"all": F.lit("all"), "form": F.col("form"), "year": F.year("fdate"), "size": S.size_bucket("val")}
-    st = slices.stacked(x, dims).select("dim", "grp", "ticker", S.month("fdate").alias("m"))
-    grid = slices.portfolio_grid(_rets(spark, d), st, (3, 6, 12), MIN_DV, MIN_NAMES)
-    return grid.groupBy("dim", "grp", "hold").agg(F.count("*").alias("months"), rnd(F.avg("r")).alias("mean"), F.min("n").alias("least"))
-
-
 @query(
     "\nUNION ALL ".join(f"SELECT {i} AS lag, count(*) AS months, {r4('avg(r)')} AS mean FROM l{i}" for i in range(3)),
     *PANEL, SQL_SIGNALS, "mx AS (SELECT max(k) AS mk FROM mon)",
@@ -626,9 +603,8 @@ def threshold_ladder(spark, d):
 
 @query("SELECT owner, count(*) AS n, min(tdate) AS first, max(tdate) AS last, count(*) FILTER (code = 'P') AS buys FROM trades GROUP BY owner", SQL_TRADES)
 def owner_history(spark, d):
-    """Trades per owner, from the history lists."""
-    h = owners.history(tpch.trades(spark, d))
-    return h.select("owner", F.size("hist").cast("long").alias("n"), F.get("hist", F.lit(0))["tdate"].alias("first"), F.element_at("hist", -1)["tdate"].alias("last"), F.size(F.filter("hist", lambda x: x["code"] == "P")).cast("long").alias("buys"))
+    """What an owner has traded."""
+    return owners.summary(tpch.trades(spark, d))
 
 
 ROW = ["acc", "line", "ticker", "owner", "tdate", "code", "val"]
@@ -643,37 +619,34 @@ FROM trades JOIN (SELECT owner, min(tdate) AS first, list(DISTINCT strftime(tdat
 )
 def cmp_routine(spark, d):
     """Traded in the same month of each of the three years before."""
-    x = owners.with_history(tpch.trades(spark, d))
-    return x.select(*ROW, owners.routine("hist", "tdate").alias("routine"))
+    return owners.with_past(tpch.trades(spark, d)).select(*ROW, "routine")
 
 
-SQL_PAIRS = "pr AS (SELECT t.ticker, t.tdate, t.code, h.tdate AS before FROM (SELECT DISTINCT ticker, tdate, code FROM st0) t JOIN st0 h ON h.ticker = t.ticker AND h.code = t.code AND h.tdate < t.tdate)"
+def sql_regular(name: str, key: str, rows: str = "trades") -> str:
+    """The days of each key on which a trade is regular: its last four earlier trades by their running numbers."""
+    return f"""
+{name}_n AS (SELECT {key}, tdate, row_number() OVER (PARTITION BY {key} ORDER BY tdate) AS rn FROM {rows}),
+{name}_d AS (SELECT {key}, tdate, min(rn) - 1 AS p FROM {name}_n GROUP BY {key}, tdate),
+{name}_s AS (SELECT {key}, d.tdate, n.tdate AS before FROM {name}_d d JOIN {name}_n n USING ({key}) WHERE n.rn BETWEEN d.p - 3 AND d.p),
+{name}_g AS (SELECT {key}, tdate, len(ds) AS n, list_transform(range(1, len(ds)), lambda i: CAST(ds[i + 1] - ds[i] AS DOUBLE)) AS g FROM (
+  SELECT {key}, tdate, list_append(list_sort(list(before)), tdate) AS ds FROM {name}_s GROUP BY {key}, tdate)),
+{name} AS (SELECT {key}, tdate, n >= 4 AND list_min(g) > 0 AND list_max(g) <= 200 AND list_avg(g) >= 20 AND list_stddev_pop(g) / list_avg(g) < 0.25 AS regular FROM {name}_g)"""
 
 
 @query(
-    """SELECT ticker, tdate, code, coalesce(regular, false) AS regular FROM (SELECT DISTINCT ticker, tdate, code FROM st0) LEFT JOIN (
-  SELECT ticker, tdate, code, count(*) = max(len(ds)) - 1 AND max(len(ds)) >= 4 AND min(g) > 0 AND max(g) <= 200 AND avg(g) >= 20 AND stddev_pop(g) / avg(g) < 0.25 AS regular FROM (
-    SELECT ticker, tdate, code, ds, unnest(list_transform(range(1, len(ds)), lambda i: CAST(ds[i + 1] - ds[i] AS DOUBLE))) AS g FROM (
-      SELECT ticker, tdate, code, list_append(list_sort(list_sort(list(before))[-4:]), tdate) AS ds FROM pr GROUP BY ticker, tdate, code)) GROUP BY ticker, tdate, code) USING (ticker, tdate, code)""",
-    SQL_TRADES, "st0 AS (SELECT owner % 40 AS ticker, tdate, code FROM trades WHERE val >= 95000)", SQL_PAIRS,
+    "SELECT ticker, code, tdate, coalesce(regular, false) AS regular FROM reg_d LEFT JOIN reg USING (ticker, code, tdate)",
+    SQL_TRADES, "st0 AS (SELECT owner % 40 AS ticker, tdate, code FROM trades)", sql_regular("reg", "ticker, code", "st0"),
 )
 def regular_series(spark, d):
     """Trades at even distances; forty pooled owners, so that series are long."""
-    x = tpch.trades(spark, d).where("val >= 95000").withColumn("ticker", F.col("owner") % 40).withColumn("owner", F.col("ticker"))
-    own = owners.history(x)
-    rows = x.select("owner", "ticker", "tdate", "code").distinct().join(own, "owner")
-    return owners.with_regular(rows).select("ticker", "tdate", "code", "regular")
+    x = tpch.trades(spark, d).select((F.col("owner") % 40).alias("ticker"), "tdate", "code")
+    return owners.with_regular(x, ("ticker", "code")).select("ticker", "tdate", "code", "regular").distinct()
 
 
-@query()
+@query(ORACLE_SQL["regular_series"])
 def regular_series_all(spark, d):
-    """All trades at even distances, by forty pooled owners; earlier trades come from a window over distinct days, at most four of a day."""
-    x = tpch.trades(spark, d).select((F.col("owner") % 40).alias("ticker"), "tdate", "code")
-    days = x.groupBy("ticker", "code", "tdate").agg(F.least(F.count("*"), F.lit(4)).cast("int").alias("n"))
-    w = Window.partitionBy("ticker", "code").orderBy("tdate").rowsBetween(-4, -1)
-    item = F.array_repeat(F.struct("tdate", "ticker", "code"), F.col("n"))
-    rows = days.withColumn("hist", F.flatten(F.collect_list(item).over(w)))
-    return owners.with_regular(rows).select("ticker", "tdate", "code", "regular")
+    """``regular_series``, which reads all trades itself; the name is kept."""
+    return regular_series(spark, d)
 
 
 @query(
@@ -685,18 +658,32 @@ FROM (SELECT t.*, (SELECT min(h.tdate) FROM trades h WHERE h.owner = t.owner AND
 )
 def inflection(spark, d):
     """First purchase ever or in three years."""
-    x = owners.with_history(tpch.trades(spark, d))
-    return x.select(*ROW, owners.inflection("hist").alias("inflection"))
+    return owners.with_past(tpch.trades(spark, d)).select(*ROW, F.col("first").alias("inflection"))
 
 
-@query(
-    "SELECT ticker, tdate, px, count(*) AS rows_n, max(sync) AS sync FROM (SELECT t.ticker, t.tdate, floor(t.px / 5000) AS px, s.sync FROM trades t JOIN (SELECT ticker, tdate, floor(px / 5000) AS q, count(DISTINCT owner) AS sync FROM trades GROUP BY ALL) s ON s.ticker = t.ticker AND s.tdate = t.tdate AND s.q = floor(t.px / 5000) WHERE floor(t.px / 5000) <> 0) GROUP BY ALL",
-    SQL_TRADES,
-)
+SQL_GROUPS = "grp AS (SELECT c_custkey AS owner, c_custkey - c_custkey % 7 AS g FROM customer WHERE c_custkey % 2 = 0)"
+SQL_SYNC = "sy AS (SELECT ticker, tdate, px, count(DISTINCT coalesce(g, owner)) AS sync FROM trades LEFT JOIN grp USING (owner) GROUP BY ALL)"
+
+
+def _groups(spark, d):
+    """Half the customers in groups of owners who file together."""
+    c = F.col("c_custkey")
+    return table(spark, d, "customer").where(c % 2 == 0).select(c.alias("node"), (c - c % 7).alias("component"))
+
+
+@query("SELECT acc, line, t.ticker, t.tdate, t.px, sync FROM trades t JOIN sy USING (ticker, tdate, px)", SQL_TRADES, SQL_GROUPS, SQL_SYNC)
 def sync_filings(spark, d):
-    """Owners who traded a ticker on a day at one (coarse) price."""
-    x = owners.sync_count(tpch.trades(spark, d).withColumn("px", F.floor(F.col("px") / 5000).cast("double"))).where("px <> 0")
-    return x.groupBy("ticker", "tdate", "px").agg(F.count("*").alias("rows_n"), F.max("sync").alias("sync"))
+    """How many owner groups traded a ticker on a day at exactly one price."""
+    return owners.sync_count(tpch.trades(spark, d), _groups(spark, d)).select("acc", "line", "ticker", "tdate", "px", "sync")
+
+
+@query("SELECT day, orderpriority, sum(sync) AS sync, count(*) AS n FROM (SELECT o.day, o.orderpriority, s.sync FROM o JOIN (SELECT day, orderpriority, price, count(DISTINCT coalesce(g, owner)) AS sync FROM o LEFT JOIN grp USING (owner) GROUP BY ALL) s USING (day, orderpriority, price)) GROUP BY ALL",
+    "o AS (SELECT CAST(o_orderdate AS DATE) AS day, o_orderpriority AS orderpriority, floor(o_totalprice / 100000) AS price, o_custkey AS owner FROM orders)", SQL_GROUPS)
+def sync_orders(spark, d):
+    """The same of orders by day and priority, whose prices are coarse, so that many meet."""
+    x = table(spark, d, "orders").select(F.col("o_orderpriority").alias("ticker"), F.col("o_orderdate").cast("date").alias("tdate"), (F.floor(F.col("o_totalprice") / 100000) + 1).cast("double").alias("px"), F.col("o_custkey").alias("owner"))
+    x = owners.sync_count(x, _groups(spark, d))
+    return x.groupBy(F.col("tdate").alias("day"), F.col("ticker").alias("orderpriority")).agg(F.sum("sync").alias("sync"), F.count("*").alias("n"))
 
 
 @query(
@@ -711,24 +698,12 @@ def units_mismatch(spark, d):
     return owners.units_mismatch(x).select("ticker", "n", rnd("med").alias("med"), rnd("iqr").alias("iqr"), "mismatch")
 
 
-@query(
-    """, e(a, b) AS (SELECT a, b FROM ed UNION SELECT b, a FROM ed),
-reach(a, b) AS (SELECT a, a FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a),
-comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
-SELECT size, count(*) AS groups FROM (SELECT c, count(*) AS size FROM comp GROUP BY c) GROUP BY size""",
-    "RECURSIVE ed(a, b) AS (SELECT DISTINCT min(o_custkey), max(o_custkey) FROM orders WHERE o_totalprice > 100000 GROUP BY CAST(o_orderdate AS DATE), o_orderpriority, o_orderkey % 5 HAVING count(DISTINCT o_custkey) > 1)",
-)
+@query()
 def owner_groups(spark, d):
-    """Sizes of components of owners who filed together."""
-    x = table(spark, d, "orders").where("o_totalprice > 100000").groupBy(F.col("o_orderdate").cast("date"), "o_orderpriority", F.col("o_orderkey") % 5)
-    edges = x.agg(F.min("o_custkey").alias("a"), F.max("o_custkey").alias("b")).where("a <> b").select("a", "b")
-    found = connected_components(edges, "a", "b")
-    return found.groupBy("component").agg(F.count("*").alias("size")).groupBy("size").agg(F.count("*").alias("groups"))
-
+    """Sizes of components of owners who filed together: every member of every group of orders, linked to the group's smallest.
 
-@query()
-def owner_groups_all(spark, d):
-    """Sizes of components of owners who filed together: every member of every group of orders, linked to the group's smallest."""
+    A closure in SQL is too slow on whole tables; tests compare with a union of sets.
+    """
     keys = [F.col("o_orderdate").cast("date").alias("day"), F.col("o_orderpriority").alias("kind"), (F.col("o_orderkey") % 5).alias("part")]
     x = table(spark, d, "orders").select("o_custkey", *keys).distinct()
     least = x.groupBy("day", "kind", "part").agg(F.min("o_custkey").alias("a"))
@@ -737,32 +712,68 @@ def owner_groups_all(spark, d):
     return found.groupBy("component").agg(F.count("*").alias("size")).groupBy("size").agg(F.count("*").alias("groups"))
 
 
-def _gated(spark, d):
-    """Trades with what the cascade reads."""
-    b = _bars(spark, d)
-    x = series.as_of_features(tpch.trades(spark, d), b)
-    x = asof.as_of(x, series.adv(b).select("ticker", "d", "adv"), "tdate", name="__a").withColumn("adv", F.col("__a.adv")).drop("__a")
-    x = owners.sync_count(x)
-    x = owners.with_history(x).withColumn("routine", owners.routine("hist", "tdate")).drop("hist")
-    x = x.withColumn("no_price", F.col("close").isNull()).withColumn("no_liquidity", F.col("adv").isNull() & (F.col("hist_days") > 25))
-    x = x.withColumn("planned", F.col("acc") % 10 == 0).withColumn("fn_wavg", F.col("line") == 1).withColumn("di", F.when(F.col("line") == 2, "I").otherwise("D"))
-    return gates.apply_gates(x)
+@query()
+def owner_groups_all(spark, d):
+    """``owner_groups``, which links every member itself; the name is kept."""
+    return owner_groups(spark, d)
+
+
+SQL_SPLITS = "sp AS (SELECT p_partkey % 100 + 1 AS ticker, DATE '1993-01-01' + CAST(p_partkey % 2000 AS INTEGER) AS d, CASE WHEN p_size % 2 = 0 THEN 2.0::DOUBLE ELSE 0.5::DOUBLE END AS ratio FROM part WHERE p_size >= 45)"
 
 
-SQL_GATES = f"""
+def _splits(spark, d):
+    """Splits of half the tickers' histories, made of the larger parts."""
+    return table(spark, d, "part").where("p_size >= 45").select(
+        (F.col("p_partkey") % 100 + 1).alias("ticker"), F.date_add(F.lit("1993-01-01").cast("date"), (F.col("p_partkey") % 2000).cast("int")).alias("d"), F.when(F.col("p_size") % 2 == 0, 2.0).otherwise(0.5).alias("ratio")
+    )
+
+
+def _flagged(spark, d):
+    """Trades with the flags that a filing carries, a role, and a form of ownership."""
+    x = tpch.trades(spark, d)
+    return x.withColumns({
+        "plan_box": F.col("acc") % 10 == 0, "fn_b5": (F.col("acc") % 7 == 0) & (F.col("line") == 3), "fn_wavg": F.col("line") == 1, "fund_only": F.col("owner") % 50 == 0,
+        "di": F.when(F.col("line") == 2, "I").otherwise("D"), "role": F.substring(F.lit("FCDOTX"), (F.col("line") % 6 + 1).cast("int"), F.lit(1)),
+    })
+
+
+#: Prices here are noise without a memory: a bar lies far below its yearly high, so the working set's limits are lower than for companies.
+LIMITS = gates.Limits(set_dd=-0.95, set_adv=1e4)
+DEPTHS = (-0.8, -0.9, -0.95, -0.97, -0.99)
+
+
+def _verdicts(spark, d, bars=None):
+    return compute.verdicts(_flagged(spark, d), _stored_bars(spark, d) if bars is None else bars, LIMITS, _splits(spark, d), _groups(spark, d))
+
+
+SQL_VERDICTS = f"""
 adv0 AS (SELECT ticker, d, i, close, adv FROM bars JOIN advs USING (ticker, d, i)),
-ctx AS (SELECT t.*, b.close, b.adv, coalesce(b.i + 1, 0) AS hist_days FROM trades t ASOF LEFT JOIN adv0 b ON t.ticker = b.ticker AND t.tdate >= b.d),
-sy AS (SELECT ticker, tdate, px, count(DISTINCT owner) AS sync FROM trades GROUP BY ALL),
-oh AS (SELECT owner, min(tdate) AS first, list(DISTINCT strftime(tdate, '%Y-%m')) AS ms FROM trades GROUP BY owner),
-c2 AS (SELECT ctx.*, sync, CASE WHEN year(tdate) - year(first) >= 3 THEN list_contains(ms, CAST(year(tdate) - 1 AS VARCHAR) || strftime(tdate, '-%m'))
-  AND list_contains(ms, CAST(year(tdate) - 2 AS VARCHAR) || strftime(tdate, '-%m')) AND list_contains(ms, CAST(year(tdate) - 3 AS VARCHAR) || strftime(tdate, '-%m')) END AS routine
-  FROM ctx JOIN sy USING (ticker, tdate, px) JOIN oh USING (owner)),
+fl AS (SELECT *, acc % 10 = 0 OR (acc % 7 = 0 AND line = 3) AS planned, line = 1 AS fn_wavg, owner % 50 = 0 AS fund_only, CASE WHEN line = 2 THEN 'I' ELSE 'D' END AS di,
+  substr('FCDOTX', CAST(line % 6 + 1 AS BIGINT), 1) AS role FROM trades),
+dy AS (SELECT ticker, tdate, coalesce((SELECT product(ratio) FROM sp WHERE sp.ticker = q.ticker AND sp.d > q.tdate), 1) AS f,
+  (SELECT max(close) FROM bars x WHERE x.ticker = q.ticker AND x.d BETWEEN q.tdate - 365 AND q.tdate) AS hi FROM (SELECT DISTINCT ticker, tdate FROM trades) q),
+ctx AS (SELECT t.*, {r4("b.close * dy.f")} AS close, b.adv, coalesce(b.i + 1, 0) AS hist_days, CASE WHEN b.i >= 30 AND hi > 0 AND b.close > 0 THEN {r4("b.close / hi - 1")} END AS dd
+  FROM fl t JOIN dy ON dy.ticker = t.ticker AND dy.tdate = t.tdate ASOF LEFT JOIN adv0 b ON t.ticker = b.ticker AND t.tdate >= b.d),
+oh AS (SELECT owner, min(tdate) AS began, list(DISTINCT strftime(tdate, '%Y-%m')) AS ms FROM trades GROUP BY owner),
+od AS (SELECT owner, tdate, max(code = 'P') AS b FROM trades GROUP BY owner, tdate),
+pa AS (SELECT *, (SELECT min(h.tdate) FROM od h WHERE h.owner = q.owner AND h.tdate < q.tdate) AS f0, (SELECT max(h.tdate) FROM od h WHERE h.owner = q.owner AND h.tdate < q.tdate AND h.b) AS l0 FROM od q),
+un AS (SELECT ticker, abs(med - 1) > 0.15 AND (hi - lo) / med < 0.1 AS units FROM (
+  SELECT ticker, s[least(n, n // 2 + 1)] AS med, s[least(n, CAST(floor(0.75 * n) AS BIGINT) + 1)] AS hi, s[least(n, CAST(floor(0.25 * n) AS BIGINT) + 1)] AS lo
+  FROM (SELECT ticker, count(*) AS n, list_sort(list(px / close)) AS s FROM ctx WHERE code = 'P' AND px > 0 AND close > 0 GROUP BY ticker HAVING count(*) >= 5))),
+c2 AS (SELECT ctx.*, sync, coalesce(regular, false) AS regular, coalesce(units, false) AS units,
+  CASE WHEN year(tdate) - year(began) >= 3 THEN list_contains(ms, CAST(year(tdate) - 1 AS VARCHAR) || strftime(tdate, '-%m'))
+    AND list_contains(ms, CAST(year(tdate) - 2 AS VARCHAR) || strftime(tdate, '-%m')) AND list_contains(ms, CAST(year(tdate) - 3 AS VARCHAR) || strftime(tdate, '-%m')) END AS routine,
+  CASE WHEN f0 IS NULL THEN NULL WHEN l0 IS NULL THEN 'first-ever' WHEN tdate - f0 >= 1095 AND l0 < tdate - 1095 THEN 'first-in-3y' END AS first
+  FROM ctx JOIN sy USING (ticker, tdate, px) JOIN oh USING (owner) JOIN pa USING (owner, tdate) LEFT JOIN own USING (owner, ticker, code, tdate) LEFT JOIN un USING (ticker)),
 gated AS (SELECT *, CASE WHEN (px > 0 AND (px < 1e-4 OR px > 1e5)) OR val > 1e10 OR sh > 3e9 THEN 'badvalue'
-  WHEN regexp_matches(sec, '{S.NON_COMMON_PATTERN}') THEN 'security' WHEN hist_days < 20 THEN 'newlisting' WHEN adv IS NULL AND hist_days > 25 THEN 'noliq'
+  WHEN regexp_matches(sec, '{S.NON_COMMON_PATTERN}') THEN 'security' WHEN units THEN 'units' WHEN hist_days < 20 THEN 'newlisting' WHEN close IS NOT NULL AND adv IS NULL THEN 'noliq'
   WHEN adv > 0 AND val > adv * 300 THEN 'capacity' WHEN close <> 0 AND px <> 0 AND (px / close < 0.1 OR px / close > 10) THEN 'outlier'
-  WHEN close <> 0 AND px <> 0 AND code = 'P' AND px / close < 1 - CASE WHEN line = 1 THEN 0.15 ELSE 0.08 END::DOUBLE THEN 'discount'
-  WHEN sync >= 3 THEN 'sync' WHEN acc % 10 = 0 THEN 'planned' WHEN routine THEN 'routine' END AS "drop" FROM c2)"""
-GATES = (SQL_BARS, SQL_ADV, SQL_TRADES, SQL_GATES)
+  WHEN close <> 0 AND px <> 0 AND code = 'P' AND px / close < 1 - CASE WHEN fn_wavg THEN 0.15 ELSE 0.08 END::DOUBLE THEN 'discount'
+  WHEN sync >= 3 THEN 'sync' WHEN fund_only THEN 'fund' WHEN planned THEN 'planned' WHEN routine THEN 'routine' WHEN regular THEN 'regular' END AS "drop" FROM c2),
+feat AS (SELECT *, "drop" IS NULL AS ok, CASE WHEN "drop" IS NULL THEN first END AS inflection,
+  CASE WHEN adv IS NULL THEN 'н/д' WHEN adv < 3e6 THEN 'micro' WHEN adv < 3e7 THEN 'small' WHEN adv < 3e8 THEN 'mid' ELSE 'large' END AS bucket,
+  coalesce("drop" IS NULL AND dd >= -0.95 AND val >= 5e4 AND adv >= 1e4, false) AS in_set FROM gated)"""
+GATES = (SQL_BARS, SQL_ADV, SQL_TRADES, SQL_SPLITS, SQL_GROUPS, SQL_SYNC, sql_regular("own", "owner, ticker, code"), SQL_VERDICTS)
 
 
 @query(
@@ -772,13 +783,13 @@ GATES = (SQL_BARS, SQL_ADV, SQL_TRADES, SQL_GATES)
 )
 def gate_cascade(spark, d):
     """Every trade with its first broken rule and its tags."""
-    return _gated(spark, d).select(*ROW, "drop", "ok", F.array_join("tags", ",").alias("tags"))
+    return _verdicts(spark, d).select(*ROW, "drop", "ok", F.array_join("tags", ",").alias("tags"))
 
 
 @query("SELECT coalesce(\"drop\", 'ok') AS reason, count(*) AS n FROM gated GROUP BY reason", *GATES)
 def gate_drop_counts(spark, d):
     """Trades by reason."""
-    return slices.drop_counts(_gated(spark, d))
+    return slices.drop_counts(_verdicts(spark, d))
 
 
 # --- positions, feed, queues -------------------------------------------------------------------------------------
@@ -853,74 +864,168 @@ def change_since_entry(spark, d):
 
 
 @query(
-    """SELECT o_orderkey, ticker, day, d, close FROM (SELECT p.*, b.d, b.close, row_number() OVER (PARTITION BY o_orderkey ORDER BY abs(b.d - day), b.d DESC) AS r
-  FROM (SELECT o_orderkey, o_custkey % 50 + 1 AS ticker, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderkey % 5 = 0) p JOIN bars b ON b.ticker = p.ticker) WHERE r = 1""",
+    """SELECT o_orderkey, ticker, day, CASE WHEN fd IS NULL OR day - ld < fd - day THEN ld ELSE fd END AS d, CASE WHEN fd IS NULL OR day - ld < fd - day THEN lc ELSE fc END AS close
+FROM (SELECT p.*, a.d AS ld, a.close AS lc FROM p ASOF LEFT JOIN bars a ON a.ticker = p.ticker AND p.day >= a.d)
+JOIN (SELECT p.o_orderkey, b.d AS fd, b.close AS fc FROM p ASOF LEFT JOIN bars b ON b.ticker = p.ticker AND p.day <= b.d) USING (o_orderkey) WHERE ld IS NOT NULL OR fd IS NOT NULL""",
     SQL_BARS,
+    "p AS (SELECT o_orderkey, o_custkey % 50 + 1 AS ticker, CAST(o_orderdate AS DATE) AS day FROM orders)",
 )
 def nearest_bar(spark, d):
-    """The bar nearest to a day on either side."""
-    p = table(spark, d, "orders").where("o_orderkey % 5 = 0").select("o_orderkey", (F.col("o_custkey") % 50 + 1).alias("ticker"), F.col("o_orderdate").cast("date").alias("day"))
+    """The bar nearest to the day of every order, on either side; of two as near the later."""
+    p = table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 50 + 1).alias("ticker"), F.col("o_orderdate").cast("date").alias("day"))
     return compute.nearest(p, _bars(spark, d), "day").where("near is not null").select("o_orderkey", "ticker", "day", "near.d", "near.close")
 
 
-@query()
+@query(ORACLE_SQL["nearest_bar"])
 def nearest_bar_all(spark, d):
-    """The bar nearest to the day of every order, on either side."""
-    p = table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 50 + 1).alias("ticker"), F.col("o_orderdate").cast("date").alias("day"))
-    return compute.nearest(p, _bars(spark, d), "day").where("near is not null").select("o_orderkey", "ticker", "day", "near.d", "near.close")
+    """``nearest_bar``, which answers every order itself; the name is kept."""
+    return nearest_bar(spark, d)
 
 
-@query(
-    f"""SELECT dim, grp, hold, months, {r4('pow(1 + mean, 12) - 1')} AS ex, floor(t * 100 + 0.5) / 100 AS ex_t FROM (
-  SELECT dim, grp, hold, count(*) AS months, avg(v) AS mean,
-    avg(v) / sqrt(greatest((sum(e * e) + 1.5 * coalesce(sum(e * e1), 0) + 1.0 * coalesce(sum(e * e2), 0) + 0.5 * coalesce(sum(e * e3), 0)) / count(*), 1e-15) / count(*)) AS t
+DIMS_SQL = """
+st AS (SELECT ticker, strftime(fdate, '%Y-%m') AS m, p.dim AS dim, p.grp AS grp FROM (SELECT *, unnest([
+    {'dim': 'set', 'grp': CASE WHEN ok THEN CASE WHEN in_set THEN 'set' ELSE 'outside' END END}, {'dim': 'gate', 'grp': coalesce("drop", 'ok')}, {'dim': 'all', 'grp': CASE WHEN ok THEN 'passed' END},
+    {'dim': 'role', 'grp': CASE WHEN ok THEN role END}, {'dim': 'size', 'grp': CASE WHEN ok THEN CASE WHEN val < 5e4 THEN '<50k' WHEN val < 2.5e5 THEN '50k-250k' WHEN val < 1e6 THEN '250k-1m' ELSE '>1m' END END},
+    {'dim': 'liquidity', 'grp': CASE WHEN ok THEN bucket END}, {'dim': 'routine', 'grp': CASE WHEN routine THEN 'routine' WHEN NOT routine THEN 'opportunistic' ELSE 'no history' END},
+    {'dim': 'inflect', 'grp': CASE WHEN ok THEN coalesce(inflection, 'usual') END},
+    {'dim': 'dd', 'grp': CASE WHEN ok THEN CASE WHEN dd IS NULL THEN 'none' WHEN dd <= -0.30 THEN 'deep' WHEN dd <= -0.15 THEN 'mid' WHEN dd >= -0.05 THEN 'high' ELSE 'low' END END},
+    {'dim': 'year', 'grp': CASE WHEN ok THEN CAST(year(fdate) AS VARCHAR) END}]) AS p FROM feat WHERE code = 'P') WHERE p.grp IS NOT NULL)"""
+
+
+def sql_grid(name: str, by: str, source: str, least: int = MIN_NAMES) -> str:
+    """Monthly series of each ``by`` from a subquery ``by, ticker, k`` of what is held."""
+    keys = ", ".join(f"h.{c}" for c in by.split(", "))
+    return f"""
+{name} AS (SELECT {keys}, h.k + 1 AS k, count(*) AS n, avg(next_ret) AS r FROM ({source}) h JOIN rets ON rets.ticker = h.ticker AND rets.k = h.k
+  WHERE dv >= {MIN_DV} AND next_ret IS NOT NULL GROUP BY {keys}, h.k HAVING count(*) >= {least})"""
+
+
+def sql_excess(by: str, grid: str = "grid", bench: str = "uni") -> str:
+    """``by, ex_months, ex_mean, ex_t`` of a grid over a benchmark series."""
+    return f"""(SELECT {by}, count(*) AS ex_months, avg(v) AS ex_mean,
+    avg(v) / sqrt(greatest((sum(e * e) + 1.5 * coalesce(sum(e * e1), 0) + 1.0 * coalesce(sum(e * e2), 0) + 0.5 * coalesce(sum(e * e3), 0)) / count(*), 1e-15) / count(*)) AS ex_t
   FROM (SELECT *, lag(e, 1) OVER w AS e1, lag(e, 2) OVER w AS e2, lag(e, 3) OVER w AS e3 FROM (
-    SELECT g.dim, g.grp, g.hold, g.k, g.r / 100 - u.r / 100 AS v, g.r / 100 - u.r / 100 - avg(g.r / 100 - u.r / 100) OVER (PARTITION BY g.dim, g.grp, g.hold) AS e FROM grid g JOIN uni u ON u.k = g.k)
-    WINDOW w AS (PARTITION BY dim, grp, hold ORDER BY k)) GROUP BY dim, grp, hold) WHERE months >= 36""",
-    *PANEL, SQL_TRADES, SQL_STACK, UNIVERSE,
-    f"""grid AS (SELECT dim, grp, hold, h.k + 1 AS k, count(*) AS n, avg(next_ret) AS r FROM (
-    SELECT DISTINCT dim, grp, hold, ticker, unnest(range(k, k + hold)) AS k FROM st JOIN mon USING (m), (VALUES (3), (6), (12)) v(hold)) h
-  JOIN rets ON rets.ticker = h.ticker AND rets.k = h.k WHERE dv >= {MIN_DV} AND next_ret IS NOT NULL GROUP BY dim, grp, hold, h.k HAVING count(*) >= {MIN_NAMES})""",
+    SELECT g.*, g.r - u.r AS v, g.r - u.r - avg(g.r - u.r) OVER (PARTITION BY {", ".join("g." + c for c in by.split(", "))}) AS e FROM {grid} g JOIN {bench} u ON u.k = g.k)
+    WINDOW w AS (PARTITION BY {by} ORDER BY k)) GROUP BY {by})"""
+
+
+GRID = sql_grid("grid", "dim, grp, hold", "SELECT DISTINCT dim, grp, hold, ticker, unnest(range(k, k + hold)) AS k FROM st JOIN mon USING (m), (VALUES (3), (6), (12)) v(hold)")
+SLICES = (*PANEL, *GATES[1:], DIMS_SQL, UNIVERSE, GRID)
+
+
+def _slices(spark, d):
+    """The panel with returns and the series of all ten dimensions for three holding periods."""
+    b = _stored_bars(spark, d)
+    x = _verdicts(spark, d, b).where("code = 'P'")
+    st = slices.stacked(x, compute.dimensions(x)).select("dim", "grp", "ticker", S.month("fdate").alias("m"))
+    rets = cut(panel.with_returns(panel.monthly(b)), "returns")
+    return rets, slices.portfolio_grid(rets, st, (3, 6, 12), MIN_DV, MIN_NAMES)
+
+
+@query(f"SELECT dim, grp, hold, count(*) AS months, {r4('avg(r)')} AS mean, min(n) AS least FROM grid GROUP BY dim, grp, hold", *SLICES)
+def slice_grid(spark, d):
+    """Portfolios of every slice of ten dimensions and three holding periods in one pass."""
+    grid = _slices(spark, d)[1]
+    return grid.groupBy("dim", "grp", "hold").agg(F.count("*").alias("months"), rnd(F.avg("r")).alias("mean"), F.min("n").alias("least"))
+
+
+@query(
+    f"""SELECT dim, grp, hold, months, avg_n, {r4('ex_mean')} AS ex_mean, floor(ex_t * 100 + 0.5) / 100 AS ex_t
+FROM {sql_excess("dim, grp, hold")} JOIN (SELECT dim, grp, hold, count(*) AS months, floor(avg(n) + 0.5)::BIGINT AS avg_n FROM grid GROUP BY ALL) USING (dim, grp, hold) WHERE months >= 36""",
+    *SLICES,
 )
 def slice_cells(spark, d):
-    """Excess over the universe and its t for every slice (of a hundredth of the noisy returns)."""
-    x = tpch.trades(spark, d).where("code = 'P' and val >= 30000").select("ticker", "fdate", "form", "val")
-    dims = {"all": F.lit("all"), "form": F.col("form"), "year": F.year("fdate"), "size": S.size_bucket("val")}
-    st = slices.stacked(x, dims).select("dim", "grp", "ticker", S.month("fdate").alias("m"))
-    rets = _rets(spark, d)
-    grid = slices.portfolio_grid(rets, st, (3, 6, 12), MIN_DV, MIN_NAMES).withColumn("r", F.col("r") / 100)
-    uni = panel.universe(rets, 1, MIN_DV).withColumn("r", F.col("r") / 100)
-    return compute.cells(grid, uni, uni).select("dim", "grp", "hold", "months", "ex", "ex_t")
+    """Monthly excess over the universe and its t for every slice."""
+    rets, grid = _slices(spark, d)
+    uni = panel.universe(rets, 1, MIN_DV)
+    return compute.cells(grid, uni, uni).select("dim", "grp", "hold", "months", "avg_n", "ex_mean", "ex_t")
 
 
-@query(None)
-def slice_cells_full(spark, d):
-    """All statistics of every slice, with three-factor alphas."""
-    x = tpch.trades(spark, d).where("code = 'P' and val >= 30000").select("ticker", "fdate", "form", "val")
-    st = slices.stacked(x, {"all": F.lit("all"), "form": F.col("form")}).select("dim", "grp", "ticker", S.month("fdate").alias("m"))
-    rets = _rets(spark, d)
-    grid = slices.portfolio_grid(rets, st, (3, 6, 12), MIN_DV, MIN_NAMES)
-    uni = panel.universe(rets, 1, MIN_DV)
+def _factors(rets, uni):
     f = uni.select("m", F.col("r").alias("market"))
     for by, name in (("dv", "size"), ("mom", "momentum")):
         f = f.join(panel.tercile_spread(rets, by, by == "dv", MIN_DV).select("m", F.col("spread").alias(name)), "m", "left")
-    return compute.cells(grid, uni, uni, f)
+    return f
 
 
 @query(None)
+def slice_cells_full(spark, d):
+    """All statistics of every slice, with three-factor alphas."""
+    rets, grid = _slices(spark, d)
+    uni = panel.universe(rets, 1, MIN_DV)
+    return compute.cells(grid, uni, uni, _factors(rets, uni))
+
+
+NAMED = (*compute.SET, *compute.AVOID, *compute.REFERENCE)
+SQL_NAMED = "nm AS (" + "\nUNION ALL ".join(f"SELECT '{k}' AS key, {h} AS hold, ticker, strftime(fdate, '%Y-%m') AS m FROM feat WHERE code = 'P' AND ({c.replace('drop', chr(34) + 'drop' + chr(34))})" for k, h, c in NAMED) + ")"
+SQL_HELD = """
+hd AS (SELECT DISTINCT key, hold, ticker, unnest(range(k, k + hold)) AS k FROM nm JOIN mon USING (m)),
+hu AS (SELECT * FROM hd UNION ALL SELECT 'universe', 1, ticker, k FROM rets WHERE dv >= 1e4)"""
+SQL_TURN = """
+ln AS (SELECT hu.* FROM hu JOIN rets USING (ticker, k) WHERE dv >= 1e4 AND k < (SELECT max(k) FROM mon)),
+sz AS (SELECT key, hold, k, count(*) AS n FROM ln GROUP BY ALL),
+sy2 AS (SELECT a.key, a.hold, a.k, count(*) AS stay FROM ln a JOIN ln b ON a.key = b.key AND a.hold = b.hold AND a.ticker = b.ticker AND b.k = a.k - 1 GROUP BY ALL),
+tu AS (SELECT key, hold, avg((a.n + b.n - 2 * coalesce(stay, 0)) / greatest(a.n, b.n)) AS t FROM sz a JOIN (SELECT key, hold, k + 1 AS k, n FROM sz) b USING (key, hold, k) LEFT JOIN sy2 USING (key, hold, k) GROUP BY key, hold)"""
+
+
+@query(
+    f"""SELECT key, hold, months, avg_n, signals, {r4('ex_mean')} AS ex_mean, floor(ex_t * 100 + 0.5) / 100 AS ex_t, {r4('t * 12')} AS turnover, {r4('t / 2 * 12 * 0.005')} AS cost
+FROM {sql_excess("key, hold", "g2")} JOIN (SELECT key, hold, count(*) AS months, floor(avg(n) + 0.5)::BIGINT AS avg_n FROM g2 GROUP BY ALL) USING (key, hold)
+LEFT JOIN (SELECT key, hold, count(*) AS signals FROM nm GROUP BY ALL) USING (key, hold) LEFT JOIN tu USING (key, hold) WHERE months >= 36
+UNION ALL SELECT 'index', 0, count(*), 1, NULL, 0, NULL, NULL, NULL FROM uni""",
+    *PANEL, *GATES[1:], UNIVERSE, SQL_NAMED, SQL_HELD, sql_grid("g1", "key, hold", "SELECT * FROM hd"),
+    "g2 AS (SELECT * FROM g1 UNION ALL SELECT 'universe', 1, k, n, r FROM uni)", SQL_TURN,
+)
+def set_cells(spark, d):
+    """The working set, the slices to avoid, all that passed, the universe and the index, side by side."""
+    b = _stored_bars(spark, d)
+    rets = cut(panel.with_returns(panel.monthly(b)), "returns")
+    uni = panel.universe(rets, 1, MIN_DV)
+    x = compute.set_cells(_verdicts(spark, d, b).where("code = 'P'"), rets, uni, None, NAMED, MIN_DV, MIN_NAMES)
+    return x.select("key", "hold", "months", "avg_n", "signals", "ex_mean", "ex_t", "turnover", "cost")
+
+
+LADDER = [(f"depth {x}", f"val >= 5e4 AND dd >= {x}") for x in DEPTHS] + [(f"size {x}", f"val >= {x} AND dd >= -0.95") for x in compute.SIZES]
+
+
+@query(
+    f"""SELECT string_split(key, ' ')[1] AS ladder, CAST(string_split(key, ' ')[2] AS DOUBLE) AS step, months, {r4('ex_mean')} AS ex_mean, floor(ex_t * 100 + 0.5) / 100 AS ex_t
+FROM {sql_excess("key, hold", "g1")} JOIN (SELECT key, hold, count(*) AS months FROM g1 GROUP BY ALL) USING (key, hold) WHERE months >= 36""",
+    *PANEL, *GATES[1:], UNIVERSE,
+    "nm AS (" + "\nUNION ALL ".join(f"SELECT '{k}' AS key, 3 AS hold, ticker, strftime(fdate, '%Y-%m') AS m FROM feat WHERE code = 'P' AND ok AND adv >= 1e4 AND {c}" for k, c in LADDER) + ")",
+    SQL_HELD, sql_grid("g1", "key, hold", "SELECT * FROM hd"),
+)
+def set_ladders(spark, d):
+    """The working set with its depth and its least size moved in steps."""
+    b = _stored_bars(spark, d)
+    rets = cut(panel.with_returns(panel.monthly(b)), "returns")
+    x = compute.ladders(_verdicts(spark, d, b).where("code = 'P'"), rets, panel.universe(rets, 1, MIN_DV), LIMITS, min_dv=MIN_DV, min_names=MIN_NAMES, depths=DEPTHS)
+    return x.select("ladder", "step", "months", "ex_mean", "ex_t")
+
+
+@query(
+    """SELECT acc, line, ticker, owner, tdate, code, val, close, CAST(hist_days AS INTEGER) AS hist_days, adv, bucket, dd, sync, routine, regular, CASE WHEN units THEN true END AS units, planned,
+  inflection, "drop", ok, in_set, entry_day, entry_px FROM feat JOIN (
+    SELECT DISTINCT ent.ticker, ent.fdate, e.d AS entry_day, """
+    + r4("e.close * coalesce((SELECT product(ratio) FROM sp WHERE sp.ticker = e.ticker AND sp.d > e.d), 1)")
+    + """ AS entry_px FROM ent LEFT JOIN bars e ON e.ticker = ent.ticker AND e.i = ent.ei) USING (ticker, fdate)""",
+    *GATES, SQL_ENTRY,
+)
 def trade_features(spark, d):
     """Every trade with all features, its gate and whether it is in the working set."""
-    return compute.features(tpch.trades(spark, d), _bars(spark, d))
+    x = compute.features(_flagged(spark, d), _stored_bars(spark, d), LIMITS, _splits(spark, d), _groups(spark, d))
+    return x.select(*ROW, "close", "hist_days", "adv", "bucket", "dd", "sync", "routine", "regular", "units", "planned", "inflection", "drop", "ok", "in_set", "entry_day", "entry_px")
 
 
 @query(
     """SELECT acc, line, ticker, tdate, fdate, val, CASE WHEN tdate < fdate THEN len(list_filter(range(CAST(tdate AS TIMESTAMP), CAST(fdate AS TIMESTAMP), INTERVAL 1 DAY), lambda x: isodow(x) < 6)) ELSE 0 END AS delay,
-  DATE '1998-12-31' - fdate AS age, fdate + 90 AS exit FROM trades WHERE fdate >= DATE '1998-12-31' - 200""",
-    SQL_TRADES,
-)
+  DATE '1998-12-31' - fdate AS age, coalesce(entry_day, fdate) + 90 AS exit
+FROM (SELECT ent.*, e.d AS entry_day FROM ent LEFT JOIN bars e ON e.ticker = ent.ticker AND e.i = ent.ei) WHERE fdate >= DATE '1998-12-31' - 200""",
+    SQL_BARS, SQL_TRADES, SQL_ENTRY,
+)
 def feed_rows(spark, d):
     """Recent trades as the feed shows them."""
-    x = tpch.trades(spark, d).withColumn("entry_day", F.lit(None).cast("date"))
+    x = series.entry_features(tpch.trades(spark, d), _bars(spark, d))
     x = compute.feed(x, F.lit(AS_OF).cast("date"))
     return x.select("acc", "line", "ticker", "tdate", "fdate", "val", F.col("delay").cast("long").alias("delay"), F.col("age").cast("long").alias("age"), "exit")
 
@@ -931,12 +1036,12 @@ def feed_rows(spark, d):
   UNION ALL SELECT s_suppkey, 'again' FROM supplier WHERE s_suppkey % 3 = 0 AND s_suppkey % 5 < 4 AND s_suppkey IN (SELECT ticker FROM b)
   UNION ALL SELECT ticker, 'stale' FROM (SELECT s.ticker FROM (SELECT l_suppkey AS ticker, max(CAST(l_shipdate AS DATE)) - CAST(l_suppkey % 60 AS INTEGER) AS last FROM lineitem GROUP BY l_suppkey) s
     WHERE last < DATE '1998-12-31' - 20 AND ticker % 2 = 0 AND ticker IN (SELECT ticker FROM b) ORDER BY last, ticker LIMIT 20)) GROUP BY ticker""",
-    SQL_TRADES, "b AS (SELECT ticker, max(fdate) - 660 AS f FROM trades WHERE code = 'P' AND val > 80000 GROUP BY ticker)",
+    SQL_TRADES, "b AS (SELECT ticker, max(fdate) - 660 AS f FROM trades WHERE code = 'P' GROUP BY ticker)",
 )
 def refresh_candidates(spark, d):
     """Which series to load anew, and why."""
     today = F.lit(AS_OF).cast("date")
-    big = tpch.trades(spark, d).where("val > 80000").withColumn("fdate", F.date_sub("fdate", 660))  # so that the window is of the last hundred days
+    big = tpch.trades(spark, d).withColumn("fdate", F.date_sub("fdate", 660))  # so that the window is of the last hundred days
     have = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("ticker")).agg(F.max(F.col("l_shipdate").cast("date")).alias("l"))
     have = have.select("ticker", F.date_sub("l", (F.col("ticker") % 60).cast("int")).alias("last"))
     sup = table(spark, d, "supplier")
@@ -960,11 +1065,11 @@ def signals_by_month(spark, d):
       SELECT coalesce("drop", 'ok') AS grp, ticker, strftime(fdate, '%Y-%m') AS m FROM gated WHERE code = 'P'
       UNION ALL SELECT 'any drop', ticker, strftime(fdate, '%Y-%m') FROM gated WHERE code = 'P' AND "drop" IS NOT NULL) JOIN mon USING (m)) h
   JOIN rets ON rets.ticker = h.ticker AND rets.k = h.k WHERE dv >= {MIN_DV} AND next_ret IS NOT NULL GROUP BY grp, h.k HAVING count(*) >= {MIN_NAMES}) GROUP BY grp""",
-    *PANEL, SQL_ADV, SQL_TRADES, SQL_GATES,
+    *PANEL, *GATES[1:],
 )
 def avoid_slices(spark, d):
     """Portfolios of what the gates let through and of what they dropped, by reason and together."""
-    x = _gated(spark, d).where("code = 'P'").select("ticker", "drop", S.month("fdate").alias("m"))
+    x = _verdicts(spark, d).where("code = 'P'").select("ticker", "drop", S.month("fdate").alias("m"))
     dims = {"gate": F.coalesce("drop", F.lit("ok")), "any": F.when(F.col("drop").isNotNull(), "any drop")}
     st = slices.stacked(x, dims).select(F.lit("gate").alias("dim"), "grp", "ticker", "m")
     grid = slices.portfolio_grid(_rets(spark, d), st, (12,), MIN_DV, MIN_NAMES)
@@ -973,13 +1078,12 @@ def avoid_slices(spark, d):
 
 @query(
     """SELECT o_orderkey, age, CASE WHEN age < 21 THEN 'new' WHEN age < 30 THEN 'fresh' WHEN age < 91.5 THEN 'held' ELSE 'closed' END AS status
-FROM (SELECT o_orderkey, DATE '1998-12-31' - CAST(o_orderdate AS DATE) AS age FROM orders WHERE o_orderdate >= DATE '1998-07-01')"""
+FROM (SELECT o_orderkey, DATE '1998-12-31' - CAST(o_orderdate AS DATE) AS age FROM orders)"""
 )
 def position_status(spark, d):
     """Positions by age."""
     today, day = F.lit(AS_OF).cast("date"), F.col("o_orderdate").cast("date")
-    x = table(spark, d, "orders").where(F.col("o_orderdate") >= F.lit("1998-07-01").cast("date"))
-    return x.select("o_orderkey", F.datediff(today, day).cast("long").alias("age"), positions.status(day, today).alias("status"))
+    return table(spark, d, "orders").select("o_orderkey", F.datediff(today, day).cast("long").alias("age"), positions.status(day, today).alias("status"))
 
 
 @query(
