@@ -81,6 +81,21 @@ def cut(df: DataFrame, tag: str, codec: str = "snappy") -> DataFrame:
     return written(df, tag, codec)[0]
 
 
+@contextmanager
+def shuffle_partitions(spark: SparkSession, at_least: int) -> Iterator[None]:
+    """So many partitions, if the session has fewer, for the shuffles of jobs that run inside; small ones are still put together.
+
+    A number from the data keeps a task's share bounded whatever the session's setting.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(int(before), at_least)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def per_process(key: str, make):
     """``make()``'s value, made once in this Python process and kept between tasks."""
     import sys

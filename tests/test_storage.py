@@ -45,3 +45,13 @@ def test_components_keep_one_round(spark):
     found = connected_components(edges, "a", "b")
     assert len(set(os.listdir(folder)) - before) == 1
     assert found.agg(F.count("*"), F.max("component")).first() == (201, 0)
+
+
+def test_partitions_are_set_for_a_block_only(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with storage.shuffle_partitions(spark, 77):
+        assert spark.conf.get(key) == "77"
+    with storage.shuffle_partitions(spark, 1):
+        assert spark.conf.get(key) == before
+    assert spark.conf.get(key) == before
