@@ -1,16 +1,18 @@
 """Document likelihood over all segmentations into the pieces of a vocabulary.
 
-The vocabulary is an existing one; its scores, which order the pieces, give the
-starting weights, and one round of expectation-maximisation over all training
-words gives the weights that are used. A word's probability is the sum over all
+The vocabulary is an existing one, of the byte-pair kind (none of the public files
+has unigram log probabilities): its scores are the ranks of its merges. Their order
+gives the starting weights, 1 / (rank + 10), and one round of
+expectation-maximisation over all training words gives those that are used. A word's probability is the sum over all
 its segmentations, by a forward recursion in log space; a document's is the
 product over its words and its end.
 
 Texts are never shuffled. Tasks cut them into chunks of bounded size and number
 the distinct tokens of a chunk, so that what is joined with the corpus counts is
 a row for each chunk and distinct token, and what comes back to a chunk's
-documents is numbers only. Word weights are computed once for a run of equal
-tokens. Only sums over the corpus and one number for each piece of the
+documents is numbers only. A token's count is a sum that is combined before the
+shuffle, and its weight is computed once; both go to the chunks by an equal join,
+whose hot tokens the adaptive skew join can split. Only sums over the corpus and one number for each piece of the
 vocabulary come to the driver.
 """
 
@@ -24,13 +26,15 @@ import public_tokenizers
 import pyarrow as pa
 import sentencepiece
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyglass.storage import cut, per_process
+from tallyglass.storage import cut, per_process, shuffle_partitions
 
 VOCABULARY = "piece_bpe_32k.model"
 CHUNK_BYTES = 32 << 20
+#: Rows of chunks and tokens that a shuffle partition is meant to hold.
+PARTITION_ROWS = 2_000_000
 #: Added to a piece's starting weight's rank, and the weight of the starting distribution in counts of pieces.
 RANK_OFFSET, PRIOR = 10, 1000.0
 #: The end of a document, as a token: no word is empty.
@@ -256,17 +260,13 @@ def _fit(counted: DataFrame, name: str) -> np.ndarray:
 
 
 def _weigh(name: str, weights: np.ndarray):
-    """Add the token's log10 probability; equal tokens come one after the other."""
+    """Add each token's log10 probability to ``token, c``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, last, value = Lattice(pieces(name), weights), None, 0.0
+        lattice = Lattice(pieces(name), weights)
         for batch in batches:
-            out = np.empty(batch.num_rows)
-            for i, token in enumerate(batch.column(3).to_pylist()):
-                if token != last:
-                    last, value = token, lattice.score(token) / math.log(10)
-                out[i] = value
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(out)], names=["chunk", "ix", "c", "weight"])
+            found = np.fromiter(map(lattice.score, batch.column(0).to_pylist()), np.float64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found / math.log(10))], names=["token", "c", "weight"])
 
     return run
 
@@ -303,19 +303,23 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, chunk_bytes: int = CHUN
     weights are the vocabulary's own. Repeated rows are scored each. An empty
     table gives no rows; other columns are ignored.
     """
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text", F.col("held_out").cast("boolean"))
     chunks = cut(docs.mapInArrow(_chunked(chunk_bytes), _CHUNKED), "lm-chunks", "zstd")
-    by = Window.partitionBy("token")
-    counted = chunks.where("kind = 1").select("chunk", "ix", "token", F.sum("tf").over(by).alias("c"), (F.col("chunk") == F.min("chunk").over(by)).alias("once"))
-    counted = cut(counted, "lm-counted", "zstd")
-    once = counted.where("once and c > 0")
-    n_distinct, n_all = once.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
-    weights = _fit(once, vocabulary)
-    weighed = counted.select("chunk", "ix", "c", "token").mapInArrow(_weigh(vocabulary, weights), "chunk long, ix int, c long, weight double")
+    n_chunks, n_rows = chunks.where("kind = 1").agg(F.count_if(F.col("ix") == 0), F.count("*")).first()
+    own = chunks.where("kind = 1").select("chunk", "ix", "token", "tf")
+    with shuffle_partitions(spark, -(-n_rows // PARTITION_ROWS)):
+        counted = cut(own.groupBy("token").agg(F.sum("tf").alias("c")), "lm-tokens", "zstd")
+        n_distinct, n_all = counted.where("c > 0").agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
+        weights = _fit(counted.where("c > 0"), vocabulary)
+        scored = cut(counted.mapInArrow(_weigh(vocabulary, weights), "token string, c long, weight double"), "lm-weights", "zstd")
+        words = cut(own.join(scored, "token").select("chunk", "ix", "c", "weight"), "lm-words", "zstd")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_chunks)
     numbered = chunks.where("kind = 0").select("chunk", "doc_id", "held_out", "n_tokens", "step", "times")
     return (
-        numbered.groupBy("chunk")
-        .cogroup(weighed.groupBy("chunk"))
+        numbered.repartition(tasks, "chunk")
+        .groupBy("chunk")
+        .cogroup(words.repartition(tasks, "chunk").groupBy("chunk"))
         .applyInArrow(
             _total(n_all, n_distinct),
             "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
