@@ -83,3 +83,65 @@ def test_query(spark):
     d = "/root/testdata/sf0.01"
     docs = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
     verify(M.op8_mixing(spark, d).collect(), docs)
+
+
+def slow_takes(docs, seed=M.SEED):
+    """``taken`` row for row by plain loops: quotas by single highest quotients, then documents of a shard in their drawn order."""
+    total = sum(d["size"] for d in docs)
+    names = sorted({d["source"] for d in docs}, key=lambda s: (s is None, s or ""))
+    sizes = [sum(d["size"] for d in docs if d["source"] == s) for s in names]
+    goal = M.targets(sizes, [M.WEIGHTS[i % 3] for i in range(len(names))])
+    block = max(1, min(M.MOST_BLOCK, total // M.LEAST_BLOCKS))
+    out = {}
+    for s, size, t, blocks in zip(names, sizes, goal, slow_seats(goal, round(total / block))):
+        own = [d for d in docs if d["source"] == s]
+        cells = max(1, -(-size // (M.SHARDS * M.CELL_WORDS)), -(-len(own) // (M.SHARDS * M.CELL_ROWS)))
+        shards = sorted({d["h"] % M.SHARDS for d in own})
+        words = [sum(d["size"] for d in own if d["h"] % M.SHARDS == k) for k in shards]
+        for k, n, seats in zip(shards, words, slow_seats(words, blocks)):
+            quota = 3 * n if t >= 3 * size else min(seats * block, 3 * n)
+            times, rest = divmod(quota, n) if n else (0, 0)
+            for d in sorted((d for d in own if d["h"] % M.SHARDS == k), key=lambda d: ((d["h"] >> 16) % cells, d["h"], d["doc_id"])):
+                part = min(d["size"], rest)
+                rest -= part
+                out[d["doc_id"]] = times * d["size"] + part
+    return out
+
+
+def test_taken_row_for_row(spark):
+    r = random.Random(8)
+    rows = [(i, "w " * r.choice([0, 1, 5, 30, 200]), r.choice(["a", "b", "b", "b", "c", None])) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs = [x.asDict() for x in M._measured(df, M.SEED).collect()]
+    assert {x.doc_id: x.taken for x in M.mix(df).collect()} == slow_takes(docs)
+
+
+def test_many_sources_give_the_same_as_few(spark):
+    r = random.Random(9)
+    rows = [(i, "w " * r.choice([0, 1, 3, 10, 100]), None if i % 50 == 0 else f"s{r.randint(0, 150) ** 2 // 150:03d}") for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    few, many = (sorted(map(tuple, M.mix(df, most_listed=n).collect())) for n in (10_000, 0))
+    assert [x[:3] + x[4:] for x in few] == [x[:3] + x[4:] for x in many]
+    assert [x[3] for x in few] == pytest.approx([x[3] for x in many])
+
+
+def test_seats_of_equal_sources(spark):
+    for weights, seats in (([5.0] * 40, 17), ([5.0] * 40, 57), ([1.0, 2.0, 3.0, 0.0, 1.0], 9), ([0.0, 0.0], 3), ([7.0], 10**6)):
+        df = spark.createDataFrame(list(enumerate(weights)), "sx long, target double")
+        assert [x.blocks for x in M._spread_seats(df, seats).orderBy("sx").collect()] == M.sainte_lague(weights, seats)
+
+
+def test_source_of_empty_texts(spark):
+    rows = [(i, "", "a") for i in range(5000)] + [(9000, "x y", "b"), (9001, None, "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {x.doc_id: x for x in M.mix(df).collect()}
+    assert len(out) == 5002 and out[9000].taken == 2 and out[0].taken == 0 and out[9000].target == 2.0
+
+
+def test_mixed_edges(spark):
+    rows = [(1, "a b c", "s", 5, "q", 1), (2, None, "s", None, "q", 2), (3, "", None, 0, "q", 3), (None, "x\ty", None, 3, "q", 4), (1, "a b c", "s", 5, "q", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, h string, taken int").withColumnRenamed("h", "__h")
+    out = M.mixed(df)
+    assert out.columns == df.columns and {r["__h"] for r in out.collect()} == {"q"} and {r.doc_id for r in out.collect()} == {1, None}
+    assert M.mixed(df.limit(0)).count() == 0
+    assert M.mixed(df.select("doc_id", "text", "source")).columns == ["doc_id", "text", "source"]
