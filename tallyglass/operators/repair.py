@@ -7,10 +7,11 @@ series at a time. Each step takes and gives parallel numpy arrays.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 from math import log
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -192,32 +193,40 @@ def repair(bars: DataFrame, splits: DataFrame | None = None, holders: DataFrame
     ``holders``: ``ticker, start, end``, the interval of the present holder. The
     steps run in a fixed order: spikes, splits, holder, break, frozen tail.
     """
-    spark = bars.sparkSession
     day = lambda c: F.datediff(c, F.lit("1970-01-01").cast("date"))
-    if splits is None:
-        splits = spark.createDataFrame([], "ticker long, d date, ratio double")
-    if holders is None:
-        holders = spark.createDataFrame([], "ticker long, start date, end date")
-    known = splits.groupBy("ticker").agg(F.collect_list(F.struct(day("d").alias("d"), "ratio")).alias("splits"))
-    span = holders.select("ticker", day("start").alias("s"), day("end").alias("e"))
-    side = known.join(span, "ticker", "full")
-    rows = bars.select("ticker", day("d").alias("d"), "close", "adj", F.col("vol").cast("double").alias("vol")).join(side, "ticker", "left")
     kind = bars.schema["ticker"].dataType.simpleString()
-    schema = f"ticker {kind}, d int, close double, adj double, vol double, " + ", ".join(f"n_{c} long" for c in COUNTS)
-
-    def run(key: tuple, x: pd.DataFrame) -> pd.DataFrame:
-        x = x.sort_values("d")
-        one = x.iloc[0]
-        known = [(int(r["d"]), float(r["ratio"])) for r in one["splits"]] if one["splits"] is not None else []
-        s = Bars(x["d"].to_numpy(np.int64), *(x[c].to_numpy(np.float64) for c in ("close", "adj")), np.nan_to_num(x["vol"].to_numpy(np.float64)))
-        s = apply_missed_splits(drop_spikes(s), known)
-        s = clip_to_holder(s, None if pd.isna(one["s"]) else int(one["s"]), None if pd.isna(one["e"]) else int(one["e"]))
-        s = trim_frozen_tail(cut_at_break(s, {d for d, _ in known}))
-        out = pd.DataFrame({"ticker": key[0], "d": s.day, "close": s.close, "adj": s.adj, "vol": s.vol})
-        return out.assign(**{f"n_{c}": s.counts.get(c, 0) for c in COUNTS})
-
-    out = rows.groupBy("ticker").applyInPandas(run, schema)
-    return out.withColumn("d", F.date_add(F.lit("1970-01-01").cast("date"), F.col("d")))
+    rows = bars.select("ticker", day("d").cast("long").alias("d"), "close", "adj", F.col("vol").cast("double").alias("vol"))
+    side = [bars.limit(0).select("ticker", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0.0).alias("ratio"))]
+    if splits is not None:
+        side.append(splits.select(F.col("ticker").cast(kind).alias("ticker"), day("d").cast("long").alias("a"), F.lit(None).cast("long").alias("b"), F.col("ratio").cast("double").alias("ratio")))
+    if holders is not None:
+        side.append(holders.select(F.col("ticker").cast(kind).alias("ticker"), day("start").cast("long").alias("a"), day("end").cast("long").alias("b"), F.lit(None).cast("double").alias("ratio")))
+    side = reduce(DataFrame.unionByName, side)
+    schema = f"ticker {kind}, d long, close double, adj double, vol double, " + ", ".join(f"n_{c} long" for c in COUNTS)
+
+    def run(x: pa.Table, about: pa.Table) -> pa.Table:
+        x = x.sort_by("d")
+        facts = list(zip(*(about[c].to_pylist() for c in ("a", "b", "ratio"))))
+        known = [(a, r) for a, _, r in facts if r is not None]
+        start, end = next(((a, b) for a, b, r in facts if r is None), (None, None))
+        s = Bars(*(x[c].to_numpy() for c in ("d", "close", "adj")), np.nan_to_num(x["vol"].to_numpy()))
+        if len(s):
+            s = apply_missed_splits(drop_spikes(s), known)
+            s = clip_to_holder(s, start, end)
+            s = trim_frozen_tail(cut_at_break(s, {d for d, _ in known}))
+        n = len(s)
+        key = x["ticker"].combine_chunks()
+        columns = [key.slice(0, n), *(pa.array(c) for c in (s.day, s.close, s.adj, s.vol)), *(pa.array(np.full(n, s.counts.get(c, 0), np.int64)) for c in COUNTS)]
+        return pa.table(columns, names=["ticker", "d", "close", "adj", "vol", *(f"n_{c}" for c in COUNTS)])
+
+    out = rows.groupBy("ticker").cogroup(side.groupBy("ticker")).applyInArrow(run, schema)
+    return out.withColumn("d", F.date_add(F.lit("1970-01-01").cast("date"), F.col("d").cast("int")))
+
+
+def counters(repaired: DataFrame) -> DataFrame:
+    """One row for each ticker of ``repair``'s result: its counters, told once however often the series is read."""
+    names = [f"n_{c}" for c in COUNTS]
+    return repaired.groupBy("ticker").agg(F.count("*").alias("bars"), *[F.max(c).alias(c) for c in names])
 
 
 def splice(cached: DataFrame, fresh: DataFrame) -> DataFrame:

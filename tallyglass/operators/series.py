@@ -20,7 +20,7 @@ def _by_day():
 
 def lower_median(values) -> F.Column:
     """The middle value of an array, the lower of two; null for an empty one."""
-    s = F.array_sort(values)
+    s = F.sort_array(values)
     return F.when(F.size(s) > 0, F.element_at(s, ((F.size(s) - 1) / 2).cast("int") + 1))
 
 
@@ -101,35 +101,48 @@ def spike_candidates(bars: DataFrame, window: int = 30, ratio_limit: float = 3.0
     A bar is tested if it is 25 % off the mean log of its neighbours and has three
     on either side; it is kept where the two sides differ by more than the limit
     (a level shift), or where its volume confirms a move of less than tenfold.
+    Medians are worked out for tested bars only.
     """
     from math import log
 
     w = _by_day()
-    before, after = w.rowsBetween(-window, -1), w.rowsBetween(1, window)
     x = bars.withColumn("__ln", F.when(F.col("adj") > 0, F.ln("adj")).otherwise(0.0))
+    around = w.rowsBetween(-window, window)
     x = x.select(
         "*",
-        F.collect_list("adj").over(before).alias("__b"),
-        F.collect_list("adj").over(after).alias("__a"),
-        F.concat(F.collect_list("vol").over(before), F.collect_list("vol").over(after)).alias("__v"),
-        F.sum("__ln").over(w.rowsBetween(-window, window)).alias("__sum"),
+        F.collect_list("adj").over(around).alias("__p"),
+        F.collect_list(F.coalesce("vol", F.lit(0.0))).over(around).alias("__v"),
+        F.sum("__ln").over(around).alias("__sum"),
+        (F.row_number().over(w) - 1).alias("__at"),
         F.count("*").over(Window.partitionBy("ticker")).alias("__n"),
     )
+    before = F.least(F.col("__at"), F.lit(window))
+    after = F.size("__p") - 1 - before
+    tested = (F.col("__n") >= 5) & (before >= 3) & (after >= 3)
+    tested = tested & (F.abs(F.col("__ln") - (F.col("__sum") - F.col("__ln")) / (F.size("__p") - 1)) >= log(1.25))
+    x = x.withColumn("__tested", tested).withColumn("__before", before)
 
     def median(a):
-        s, n = F.array_sort(a), F.size(a)
-        return F.when(n == 0, 0.0).otherwise((F.element_at(s, ((n + 1) / 2).cast("int")) + F.element_at(s, (n / 2).cast("int") + 1)) / 2)
+        s, n = F.sort_array(a), F.size(a)
+        return F.when(F.col("__tested"), F.when(n == 0, 0.0).otherwise((F.element_at(s, ((n + 1) / 2).cast("int")) + F.element_at(s, (n / 2).cast("int") + 1)) / 2))
 
-    near = F.abs(F.col("__ln") - (F.col("__sum") - F.col("__ln")) / (F.size("__b") + F.size("__a"))) < log(1.25)
-    x = x.withColumn("__mb", median(F.col("__b"))).withColumn("__ma", median(F.col("__a"))).withColumn("__m", median(F.concat("__b", "__a")))
-    x = x.withColumn("__mv", median(F.filter("__v", lambda v: v > 0)))
+    sides = lambda c: (F.slice(c, F.lit(1), F.col("__before")), F.slice(c, F.col("__before") + 2, F.lit(window)))
+    (left, right), volumes = sides("__p"), F.concat(*sides("__v"))
+    x = x.withColumns({"__mb": median(left), "__ma": median(right), "__m": median(F.concat(left, right)), "__mv": median(F.filter(volumes, lambda v: v > 0))})
     shift = (F.col("__mb") > 0) & (F.col("__ma") > 0) & (ratio(F.greatest("__mb", "__ma"), F.least("__mb", "__ma")) > ratio_limit)
     off = F.when(F.col("adj") <= 0, float("inf")).otherwise(F.greatest(ratio("adj", "__m"), ratio("__m", "adj")))
     confirmed = (off < 10) & (F.col("__mv") > 0) & (F.col("vol") > F.col("__mv") * 1.5)
-    spike = (F.col("__n") >= 5) & (F.size("__b") >= 3) & (F.size("__a") >= 3) & ~near & ~shift & (F.col("__m") > 0) & (off > ratio_limit) & ~F.coalesce(confirmed, F.lit(False))
+    spike = F.col("__tested") & ~shift & (F.col("__m") > 0) & (off > ratio_limit) & ~F.coalesce(confirmed, F.lit(False))
     return x.select(*bars.columns, F.coalesce(spike, F.lit(False)).alias("spike"), F.col("__m").alias("neighbours"))
 
 
+def drop_spikes(bars: DataFrame, passes: int = 3) -> DataFrame:
+    """``bars`` without spikes, in several passes: a spike beside another shows once that is gone. One shuffle serves all passes."""
+    for _ in range(passes):
+        bars = spike_candidates(bars).where("not spike").select(*bars.columns)
+    return bars
+
+
 def weekly_close(bars: DataFrame) -> DataFrame:
     """The last close of each ISO week: ``ticker, year, week, d, close``."""
     keys = (F.extract(F.lit("YEAROFWEEK"), F.col("d")).cast("int").alias("year"), F.weekofyear("d").alias("week"))
@@ -155,13 +168,14 @@ def forward_returns(trades: DataFrame, bars: DataFrame, bench: DataFrame, as_of_
     ends = ends.withColumn("dead", (F.col("last.d") < stale) & (F.col("through").isNull() | (F.col("through") < stale)))
     w = _by_day()
     steps = sorted({*horizons.values(), *short.values()})
-    ahead = bars.select("ticker", "d", "i", "adj", *[F.lead(F.struct("d", "adj"), h).over(w).alias(f"f{h}") for h in steps])
-    rows = entry_after(trades, ahead, "fdate").join(ends, "ticker", "left")
+    ahead = bars.select(F.col("ticker").alias("__t"), F.col("i").alias("__i"), *[F.lead(F.struct("d", "adj"), h).over(w).alias(f"f{h}") for h in steps])
+    rows = entry_after(trades, bars.select("ticker", "d", "i", "adj"), "fdate").join(ends, "ticker", "left")
+    rows = rows.join(ahead, (F.col("ticker") == F.col("__t")) & (F.col("entry.i") == F.col("__i")), "left").drop("__t", "__i")
     # exits that need a benchmark: the day of each
     for m, h in horizons.items():
         late = F.col("dead") & (F.col("last.i") > F.col("entry.i"))
-        exit_ = F.when(F.col(f"entry.f{h}").isNotNull(), F.col(f"entry.f{h}")).when(late, F.struct(F.col("last.d").alias("d"), F.col("last.adj").alias("adj")))
-        status = F.when(F.col("entry").isNull(), "o").when(F.col(f"entry.f{h}").isNotNull(), "c").when(late, "d").otherwise("o")
+        exit_ = F.when(F.col(f"f{h}").isNotNull(), F.col(f"f{h}")).when(late, F.struct(F.col("last.d").alias("d"), F.col("last.adj").alias("adj")))
+        status = F.when(F.col("entry").isNull(), "o").when(F.col(f"f{h}").isNotNull(), "c").when(late, "d").otherwise("o")
         rows = rows.withColumn(f"s{m}", status).withColumn(f"__x{m}", F.when(F.col("entry").isNotNull(), exit_))
     days = rows.select(F.explode(F.array(F.col("entry.d"), *[F.col(f"__x{m}.d") for m in horizons])).alias("d")).where("d is not null")
     common = calendar_as_of(bench, days)
@@ -173,7 +187,7 @@ def forward_returns(trades: DataFrame, bars: DataFrame, bench: DataFrame, as_of_
         moved = F.when(F.col(f"__b{m}.d") > F.col("__be.d"), ratio(F.col(f"__b{m}.adj"), F.col("__be.adj")) - 1)
         rows = rows.withColumn(f"r{m}", rnd(r)).withColumn(f"x{m}", rnd(r - F.coalesce(moved, F.lit(0.0))))
     for name, h in short.items():
-        rows = rows.withColumn(name, rnd(ratio(F.col(f"entry.f{h}.adj"), F.col("entry.adj")) - 1))
+        rows = rows.withColumn(name, rnd(ratio(F.col(f"f{h}.adj"), F.col("entry.adj")) - 1))
     rows = rows.withColumn("no_entry", F.col("entry").isNull() & F.col("at").isNull())
     figures = [f"{p}{m}" for m in horizons for p in "rxs"]
     return rows.select(*trades.columns, F.col("entry.d").alias("entry_day"), *figures, *short, "no_entry")

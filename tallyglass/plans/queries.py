@@ -397,12 +397,40 @@ def spike_candidates(spark, d):
     return series.spike_candidates(_bars(spark, d)).select("ticker", "d", "adj", "spike")
 
 
+def sql_spike_pass(name: str, source: str) -> str:
+    """``source`` without the spikes of one pass."""
+    return f"""
+{name} AS (SELECT ticker, d, adj, vol FROM (
+  SELECT *, count(*) OVER (PARTITION BY ticker) AS n, sum(ln(adj)) OVER f AS s, count(*) OVER b AS nb, count(*) OVER a AS na, coalesce(median(adj) OVER b, 0) AS mb,
+    coalesce(median(adj) OVER a, 0) AS ma, median(adj) OVER e AS m, median(vol) FILTER (vol > 0) OVER e AS mv FROM {source}
+  WINDOW b AS (PARTITION BY ticker ORDER BY d ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING), a AS (PARTITION BY ticker ORDER BY d ROWS BETWEEN 1 FOLLOWING AND 30 FOLLOWING),
+    e AS (PARTITION BY ticker ORDER BY d ROWS BETWEEN 30 PRECEDING AND 30 FOLLOWING EXCLUDE CURRENT ROW), f AS (PARTITION BY ticker ORDER BY d ROWS BETWEEN 30 PRECEDING AND 30 FOLLOWING))
+WHERE NOT coalesce(n >= 5 AND nb >= 3 AND na >= 3 AND NOT (abs(ln(adj) - (s - ln(adj)) / (nb + na)) < ln(1.25))
+  AND NOT (mb > 0 AND ma > 0 AND greatest(mb, ma) / least(mb, ma) > 3) AND m > 0 AND greatest(adj / m, m / adj) > 3
+  AND NOT (greatest(adj / m, m / adj) < 10 AND coalesce(mv, 0) > 0 AND vol > coalesce(mv, 0) * 1.5), false))"""
+
+
+@query("SELECT ticker, d, adj FROM p3", SQL_BARS, sql_spike_pass("p1", "bars"), sql_spike_pass("p2", "p1"), sql_spike_pass("p3", "p2"))
+def spikes_dropped(spark, d):
+    """Bars without spikes, in three passes."""
+    return series.drop_spikes(tpch.bars(spark, d)).select("ticker", "d", "adj")
+
+
 @query(None)
 def repaired_bars(spark, d):
-    """The chain of repairs over all series, with counters; holders are the suppliers' own spans."""
+    """The chain of repairs over all series, with counters; present holders have had their symbols for one to four years."""
     b = tpch.bars(spark, d)
-    splits = table(spark, d, "part").where("p_size >= 45").select((F.col("p_partkey") % 100 + 1).alias("ticker"), F.date_add(F.lit("1993-01-01").cast("date"), (F.col("p_partkey") % 2000).cast("int")).alias("d"), (F.col("p_size") % 7 / 3 + 0.1).alias("ratio"))
-    return repair.repair(b, splits)
+    k = F.col("s_suppkey")
+    start = F.date_add(F.lit("1992-01-01").cast("date"), (k % 1461).cast("int"))
+    holders = table(spark, d, "supplier").select(k.alias("ticker"), start.alias("start"), F.when(k % 3 == 0, F.lit("1997-06-30")).otherwise(F.lit("2002-12-31")).cast("date").alias("end"))
+    splits = _splits(spark, d).withColumn("ratio", F.col("ratio") * F.lit(1.2))
+    return repair.repair(b, splits, holders)
+
+
+@query(None)
+def repair_counts(spark, d):
+    """What the repairs did to each series, told once."""
+    return repair.counters(repaired_bars(spark, d))
 
 
 @query(
