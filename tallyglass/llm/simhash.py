@@ -234,22 +234,27 @@ def near_duplicates(docs: DataFrame, max_local: int = MAX_LOCAL) -> DataFrame:
 
 
 def representatives(docs: DataFrame, max_local: int = MAX_LOCAL) -> DataFrame:
-    """One row of ``docs`` for each component, with all its columns: that of the smallest doc_id (nulls last)."""
+    """One row of ``docs`` for each component, with all its columns: that of the smallest doc_id (nulls last).
+
+    Null and empty texts are one component, as their fingerprints are equal. An
+    empty table gives no rows.
+    """
     return first_rows(docs, _grouped(docs, max_local).select("doc_id", "t", "root"))
 
 
 def first_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The row of ``docs`` with the smallest doc_id (nulls last) of each ``root`` of ``rows``, which has ``doc_id, t, root`` for every row."""
+    """The row of ``docs`` with the smallest doc_id (nulls last) of each ``root`` of ``rows``, which has ``doc_id, t, root`` for every row.
+
+    Of equal rows one is taken. Columns are those of ``docs``, whatever their names.
+    """
     rows = cut(rows, "first-rows")
     first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("x"))
-    copies = rows.groupBy("doc_id", "t", "root").agg(F.count("*").alias("__n"))
-    chosen = first.select(F.col("x.doc_id").alias("__id"), F.col("x.t").alias("__t"))
-    copies = copies.select(F.col("doc_id").alias("__i"), F.col("t").alias("__u"), "__n")
-    chosen = chosen.join(copies, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__t") == F.col("__u"))).drop("__i", "__u")
-    on = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__t"))
-    found = docs.join(chosen, on)
-    again = found.where("__n > 1").dropDuplicates(["__id", "__t"])  # the same row more than once
-    return found.where("__n = 1").unionByName(again).select(*docs.columns)
+    copies = rows.groupBy(F.col("doc_id").alias("i"), F.col("t").alias("u"), "root").agg(F.count("*").alias("n"))
+    chosen = first.select(F.col("x.doc_id").alias("id"), F.col("x.t").alias("t")).join(copies, F.col("id").eqNullSafe(F.col("i")) & (F.col("t") == F.col("u"))).select("id", "t", "n")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    found = packed.join(chosen, F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")) & (F.xxhash64("row.text") == F.col("t")))
+    again = found.where("n > 1").dropDuplicates(["id", "t"])  # the same row more than once
+    return found.where("n = 1").unionByName(again).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tallyglass.llm import simhash as S
 
@@ -89,3 +90,12 @@ def test_query(spark):
     groups = components(fps.values())
     least = {f: min(i for i, x in fps.items() if x in g) for g in groups for f in g}
     assert all(r.component_id == least[fps[r.doc_id]] for r in out)
+
+
+def test_representatives_keep_clashing_columns(spark):
+    rows = [(3, "a b c d", "x", 1, 5), (1, "A b c d", "y", 2, 6), (1, "A b c d", "y", 2, 6), (None, "q r s t", "z", 3, 7), (9, None, "n", 4, 8), (8, "", "m", 5, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, t string, root int, n int").withColumn("__id", F.col("n")).withColumn("id", F.lit("own")).withColumn("a.b", F.lit(0))
+    out = S.representatives(df)
+    assert out.columns == df.columns
+    assert sorted((tuple(r)[:5] for r in out.collect()), key=str) == sorted([(1, "A b c d", "y", 2, 6), (None, "q r s t", "z", 3, 7), (8, "", "m", 5, 9)], key=str)
+    assert S.representatives(df.limit(0)).count() == 0
