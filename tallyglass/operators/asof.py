@@ -80,3 +80,16 @@ def interval_lookup(probes: DataFrame, intervals: DataFrame, day: str, by: str =
         return laid.withColumn("hits", F.sum("__n").over(w)).where("__k = 1").select(by, "__d", "hits")
 
     return per_day(probes, by, day, answer).withColumn("hits", F.coalesce("hits", F.lit(0)))
+
+
+def covers(probes: DataFrame, intervals: DataFrame, first: str, last: str, by: str = "ticker", start: str = "start", end: str = "end") -> DataFrame:
+    """``probes`` with ``covered``: whether one single interval of the same ``by`` holds both days; null where ``by`` has none.
+
+    Of the intervals that begin by the first day only the farthest end matters: a running maximum, looked up as of that day.
+    """
+    w = Window.partitionBy(by).orderBy(start)
+    reach = intervals.select(by, F.col(start).alias("d"), F.max(end).over(w).alias("reach"), F.lit(0).alias("i")).distinct()
+    x = as_of(probes, reach, first, by, name="__r")
+    known = intervals.select(F.col(by).alias("__known")).distinct()
+    x = x.join(known, F.col(by) == F.col("__known"), "left")
+    return x.withColumn("covered", F.when(F.col("__known").isNotNull(), F.coalesce(F.col("__r.reach") >= F.col(last), F.lit(False)))).drop("__r", "__known")

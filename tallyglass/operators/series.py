@@ -149,13 +149,15 @@ def weekly_close(bars: DataFrame) -> DataFrame:
     return bars.groupBy("ticker", *keys).agg(F.max("d").alias("d"), F.max_by("close", "d").alias("close"))
 
 
-def forward_returns(trades: DataFrame, bars: DataFrame, bench: DataFrame, as_of_day, alive=None, horizons: dict = HORIZONS, short: dict = SHORT_COLUMNS) -> DataFrame:
+def forward_returns(trades: DataFrame, bars: DataFrame, bench: DataFrame, as_of_day, alive=None, horizons: dict = HORIZONS, short: dict = SHORT_COLUMNS, small: DataFrame | None = None) -> DataFrame:
     """Returns from the first bar after ``fdate``, and over a common benchmark.
 
     For each horizon ``r`` (return), ``x`` (over the benchmark; where it has no
     window nothing is subtracted) and ``s``: c closed, d delisted (closed at the
     last bar, which must be after the entry), o open. ``short`` columns only where
-    matured. ``no_entry`` marks trades before the series begins. ``alive`` is an
+    matured. With ``small``, a benchmark of small companies, there is also ``e``:
+    over that one where the row's ``bucket`` is micro or small, else the common
+    one. ``matured`` is the day on which the second horizon ended. ``no_entry`` marks trades before the series begins. ``alive`` is an
     optional frame ``ticker, through``: the registry's last listing day; a series
     that ended is delisted only if the registry does not know better.
     """
@@ -177,20 +179,34 @@ def forward_returns(trades: DataFrame, bars: DataFrame, bench: DataFrame, as_of_
         exit_ = F.when(F.col(f"f{h}").isNotNull(), F.col(f"f{h}")).when(late, F.struct(F.col("last.d").alias("d"), F.col("last.adj").alias("adj")))
         status = F.when(F.col("entry").isNull(), "o").when(F.col(f"f{h}").isNotNull(), "c").when(late, "d").otherwise("o")
         rows = rows.withColumn(f"s{m}", status).withColumn(f"__x{m}", F.when(F.col("entry").isNotNull(), exit_))
-    days = rows.select(F.explode(F.array(F.col("entry.d"), *[F.col(f"__x{m}.d") for m in horizons])).alias("d")).where("d is not null")
+    days = rows.select(F.explode(F.array(F.col("entry.d"), *[F.col(f"__x{m}.d") for m in horizons])).alias("d")).where("d is not null").distinct()
     common = calendar_as_of(bench, days)
-    common = common.select(F.col("d").alias("__d"), "b").where("b is not null")
-    rows = rows.join(F.broadcast(common.select("__d", F.col("b").alias("__be"))), F.col("entry.d") == F.col("__d"), "left").drop("__d")
+    common = common.withColumn("s", F.col("b")) if small is None else common.join(calendar_as_of(small, days, name="s"), "d")
+    is_small = F.col("bucket").isin("micro", "small") if small is not None else F.lit(False)
+
+    def at(name: str, day) -> None:
+        """Add both benchmarks' bars as of a day; the calendar bounds the table."""
+        nonlocal rows
+        rows = rows.join(F.broadcast(common.select(F.col("d").alias("__d"), F.struct("b", "s").alias(name))), day == F.col("__d"), "left").drop("__d")
+
+    def moved(kind: str, m: str):
+        """How the benchmark moved meanwhile; 0 where it has no window."""
+        begin, end = F.col(f"__be.{kind}"), F.col(f"__b{m}.{kind}")
+        return F.coalesce(F.when(end["d"] > begin["d"], ratio(end["adj"], begin["adj"]) - 1), F.lit(0.0))
+
+    at("__be", F.col("entry.d"))
     for m in horizons:
-        rows = rows.join(F.broadcast(common.select("__d", F.col("b").alias(f"__b{m}"))), F.col(f"__x{m}.d") == F.col("__d"), "left").drop("__d")
+        at(f"__b{m}", F.col(f"__x{m}.d"))
         r = ratio(F.col(f"__x{m}.adj"), F.col("entry.adj")) - 1
-        moved = F.when(F.col(f"__b{m}.d") > F.col("__be.d"), ratio(F.col(f"__b{m}.adj"), F.col("__be.adj")) - 1)
-        rows = rows.withColumn(f"r{m}", rnd(r)).withColumn(f"x{m}", rnd(r - F.coalesce(moved, F.lit(0.0))))
+        rows = rows.withColumns({f"r{m}": rnd(r), f"x{m}": rnd(r - moved("b", m))})
+        if small is not None:
+            rows = rows.withColumn(f"e{m}", rnd(r - F.when(is_small, moved("s", m)).otherwise(moved("b", m))))
     for name, h in short.items():
         rows = rows.withColumn(name, rnd(ratio(F.col(f"f{h}.adj"), F.col("entry.adj")) - 1))
     rows = rows.withColumn("no_entry", F.col("entry").isNull() & F.col("at").isNull())
-    figures = [f"{p}{m}" for m in horizons for p in "rxs"]
-    return rows.select(*trades.columns, F.col("entry.d").alias("entry_day"), *figures, *short, "no_entry")
+    figures = [f"{p}{m}" for m in horizons for p in ("rxs" if small is None else "rexs")]
+    second = list(horizons)[min(1, len(horizons) - 1)]
+    return rows.select(*trades.columns, F.col("entry.d").alias("entry_day"), *figures, *short, F.col(f"__x{second}.d").alias("matured"), "no_entry")
 
 
 def nominal_closes(bars: DataFrame, splits: DataFrame) -> DataFrame:
@@ -211,7 +227,8 @@ def day_features(trades: DataFrame, bars: DataFrame, splits: DataFrame | None =
     ``close`` is that of the last bar so far, as it was quoted on ``day`` (see
     ``nominal_closes``; without ``splits`` as it is); ``hist_days`` the number of
     bars so far, null without a series; ``adv`` and ``bucket`` those of that bar,
-    ``bars`` has them; ``dd`` see ``drawdown_calendar``. Bars, splits and the
+    ``bars`` has them; ``dd`` see ``drawdown_calendar``; ``split`` the product of
+    the ratios of later splits (1 without). Bars, splits and the
     distinct days asked for are sorted once for all of it.
     """
     kinds = {"close": "double", "i": "int", "adv": "double", "bucket": "string", "__ratio": "double", "__asked": "boolean"}
@@ -241,9 +258,10 @@ def day_features(trades: DataFrame, bars: DataFrame, splits: DataFrame | None =
             F.col("__last.adv").alias("adv"),
             F.col("__last.bucket").alias("bucket"),
             F.when(ok, rnd(ratio("__last.close", "__high") - 1)).alias("dd"),
+            F.col("__f").alias("split"),
         )
 
-    new = [c for c in ("close", "hist_days", "adv", "bucket", "dd") if c in trades.columns]
+    new = [c for c in ("close", "hist_days", "adv", "bucket", "dd", "split") if c in trades.columns]
     return per_day(trades.drop(*new), "ticker", day, answer)
 
 

@@ -31,14 +31,15 @@ def change_since(trades: DataFrame, bars: DataFrame) -> DataFrame:
 
 
 def reassigned(trades: DataFrame, latest: DataFrame, known: DataFrame) -> DataFrame:
-    """``trades`` with ``same``: whether the day lies in the symbol's present interval; null if the registry has none or the issuer is in the reference.
+    """``trades`` with ``same`` (whether the day lies in the symbol's present interval; null if the registry has none or the issuer is in the reference) and ``unknown_symbol`` (the registry would be needed and has none).
 
     ``latest``: ticker, start, end; ``known``: cik of issuers in the reference.
     """
     x = trades.join(latest.select("ticker", F.col("start").alias("__s"), F.col("end").alias("__e")), "ticker", "left")
     x = x.join(known.select(F.col("cik"), F.lit(True).alias("__k")).distinct(), "cik", "left")
     same = F.when(F.col("__k").isNull() & F.col("__s").isNotNull(), F.col("tdate").between(F.col("__s"), F.col("__e")))
-    return x.withColumn("same", same).drop("__s", "__e", "__k")
+    unknown = F.col("__k").isNull() & F.col("__s").isNull()
+    return x.withColumns({"same": same, "unknown_symbol": unknown}).drop("__s", "__e", "__k")
 
 
 def planned(rows: DataFrame) -> DataFrame:
@@ -71,10 +72,11 @@ def verdicts(trades: DataFrame, bars: DataFrame, limits: gates.Limits = gates.Li
 
 
 def features(trades: DataFrame, bars: DataFrame, limits: gates.Limits = gates.Limits(), splits: DataFrame | None = None, groups: DataFrame | None = None) -> DataFrame:
-    """``verdicts`` with ``entry_day, entry_px``: where a reader of the filing comes in, and at what quoted price; ``trades`` needs fdate."""
+    """``verdicts`` with ``entry_day, entry_px`` (where a reader of the filing comes in, and at what quoted price) and ``px_adj`` (the trade's price on the scale of the bars); ``trades`` needs fdate."""
     x = series.entry_features(verdicts(trades, bars, limits, splits, groups), bars, splits)
+    x = x.withColumn("px_adj", rnd(ratio("px", "split")))
     if "reassigned" in trades.columns:
-        x = x.withColumns({c: F.when(~F.coalesce(F.col("reassigned"), F.lit(False)), F.col(c)) for c in ("entry_day", "entry_px")})
+        x = x.withColumns({c: F.when(~F.coalesce(F.col("reassigned"), F.lit(False)), F.col(c)) for c in ("entry_day", "entry_px", "px_adj")})
     return x
 
 
@@ -129,17 +131,56 @@ def feed(rows: DataFrame, today: Column, days: int = FEED_DAYS) -> DataFrame:
 
 
 def marks(rows: DataFrame) -> DataFrame:
-    """Marks beside a row: at its high, the gap of the entry to the insider's price, whether it is worth showing."""
+    """Marks beside a row: at its high, the gap of the entry to the insider's price, whether it is worth showing.
+
+    Where the row has ``cur`` (the last close) and ``chg`` (the change with
+    dividends), ``price_only`` is the change of the price alone, if they differ by
+    0.2 points or more.
+    """
     gap = ratio("entry_px", "px") - 1
-    return rows.withColumns({"at_high": F.coalesce(F.col("dd") >= -0.05, F.lit(False)), "gap": F.when(F.abs(gap) >= 0.005, rnd(gap))})
+    out = rows.withColumns({"at_high": F.coalesce(F.col("dd") >= -0.05, F.lit(False)), "gap": F.when(F.abs(gap) >= 0.005, rnd(gap))})
+    if "cur" in rows.columns and "chg" in rows.columns:
+        alone = rnd(ratio("cur", "entry_px") - 1)
+        out = out.withColumn("price_only", F.when(F.abs(alone - F.col("chg")) >= 0.002, alone))
+    return out
+
+
+def positive_years(years: DataFrame) -> DataFrame:
+    """``positive, years`` of ``by_year``'s rows."""
+    return years.agg(F.count_if(F.col("ex") > 0).alias("positive"), F.count("*").alias("years"))
+
+
+#: What a chart shows: how many days back, and whether by day or by week.
+CHARTS = {"1y": (370, True), "5y": (5 * 365, False), "max": (None, False)}
 
 
-def quality(rows: DataFrame) -> DataFrame:
-    """One row of counters: rows, passed, without price, by tickers."""
-    return rows.agg(
-        F.count("*").alias("rows"), F.count_if("ok").alias("passed"), F.count_if("no_price").alias("no_price"), F.count_if("in_set").alias("in_set"),
-        F.count_distinct(F.when(F.col("no_price"), F.col("ticker"))).alias("tickers_without"),
+def chart(bars: DataFrame, today: Column, span: str = "1y") -> DataFrame:
+    """``ticker, d, close`` of a ticker's chart: daily closes of a year, or weekly ones of five years or all."""
+    days, daily = CHARTS[span]
+    x = bars.select("ticker", "d", "close") if daily else series.weekly_close(bars).select("ticker", "d", "close")
+    return x if days is None else x.where(F.col("d") >= F.date_sub(today, days))
+
+
+def chart_marks(rows: DataFrame, today: Column, span: str = "1y", purchases_only: bool = False) -> DataFrame:
+    """The trades on that chart, at prices of its scale (``px_adj``, else ``px``)."""
+    days, _ = CHARTS[span]
+    x = rows.where(F.col("code") == "P") if purchases_only else rows
+    x = x if days is None else x.where(F.col("tdate") >= F.date_sub(today, days))
+    return x.withColumn("shown", F.coalesce("px_adj", "px"))
+
+
+def quality(rows: DataFrame, repaired: DataFrame | None = None) -> DataFrame:
+    """One row of counters: rows, passed, without price or entry, reassigned and unknown symbols, with tickers; sums of the repairs, from ``repair.counters``."""
+    has = lambda c: F.coalesce(F.col(c).cast("boolean"), F.lit(False)) if c in rows.columns else F.lit(False)
+    tickers = lambda on: F.count_distinct(F.when(on, F.col("ticker")))
+    out = rows.agg(
+        F.count("*").alias("rows"), F.count_if("ok").alias("passed"), F.count_if("no_price").alias("no_price"), F.count_if("in_set").alias("in_set"), tickers(F.col("no_price")).alias("tickers_without"),
+        F.count_if(has("reassigned")).alias("reassigned"), tickers(has("reassigned")).alias("tickers_reassigned"), F.count_if(has("unknown_symbol")).alias("unknown_symbol"), F.count_if(has("no_entry")).alias("no_entry"),
     )
+    if repaired is not None:
+        names = [c for c in repaired.columns if c.startswith("n_")]
+        out = out.join(F.broadcast(repaired.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names], F.count_if(sum((F.col(c) for c in names), F.lit(0)) > 0).alias("series_repaired"))))
+    return out
 
 
 def cells(grid: DataFrame, market: DataFrame, universe: DataFrame, factors: DataFrame | None = None, by: Sequence[str] = ("dim", "grp", "hold"), least: int = LEAST_MONTHS) -> DataFrame:
@@ -301,13 +342,24 @@ def needs_replay(rows: DataFrame, floor: int = 0) -> DataFrame:
     return old.groupBy("fdate").agg(F.count("*").alias("n")).withColumn("__all", F.sum("n").over(Window.partitionBy(F.lit(0)))).where(F.col("__all") > floor).drop("__all")
 
 
-def write_payloads(rows: DataFrame, path: str, today: Column) -> None:
-    """JSON documents: the feed, the back test by year, a card for each ticker, counters."""
+def write_payloads(rows: DataFrame, path: str, today: Column, bars: DataFrame | None = None, stats_: DataFrame | None = None, repaired: DataFrame | None = None) -> None:
+    """JSON documents: the feed, the back test by year with its index, a card for each ticker with its index, the cells, counters.
+
+    With ``bars`` a card also has the last year's daily closes and all weekly ones.
+    """
     shown = feed(rows, today)
     shown.orderBy(F.desc("fdate"), F.desc("val")).write.mode("overwrite").json(f"{path}/feed")
     year = rows.where("code = 'P'").withColumn("year", F.year("fdate"))
-    year.sortWithinPartitions("year").write.mode("overwrite").partitionBy("year").json(f"{path}/backtest")
+    year.hint("rebalance", "year").write.mode("overwrite").partitionBy("year").json(f"{path}/backtest")
+    year.groupBy("year").agg(F.count("*").alias("n"), F.count_if("ok").alias("passed")).orderBy("year").coalesce(1).write.mode("overwrite").json(f"{path}/backtest-index")
     one = F.struct("tdate", "fdate", "code", "sh", "px", "val", "drop")
     cards = rows.groupBy("ticker").agg(F.count("*").alias("trades"), F.count_if("ok").alias("passed"), F.sort_array(F.collect_list(one), asc=False).alias("rows"))
+    cards.select("ticker", "trades", "passed").orderBy("ticker").write.mode("overwrite").json(f"{path}/tickers-index")
+    if bars is not None:
+        for name, span in (("daily", "1y"), ("weekly", "max")):
+            line = chart(bars, today, span).groupBy("ticker").agg(F.sort_array(F.collect_list(F.struct("d", "close"))).alias(name))
+            cards = cards.join(line, "ticker", "left")
     cards.write.mode("overwrite").json(f"{path}/tickers")
-    quality(rows).write.mode("overwrite").json(f"{path}/meta")
+    if stats_ is not None:
+        slices.ordered(stats_).write.mode("overwrite").json(f"{path}/stats")
+    quality(rows, repaired).write.mode("overwrite").json(f"{path}/meta")

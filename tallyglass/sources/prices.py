@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyglass.functions.scalars import iso_date, rnd, to_number
@@ -68,3 +68,31 @@ def nominal_bars(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     done = split_adjusted(x.withColumn("vol", F.lit(0.0))).where("d is not null and close > 0 and adj > 0")
     bars = done.select("ticker", "d", rnd("close").alias("close"), rnd("adj").alias("adj"), F.when(F.col("v") > 0, rnd("v", 0)).otherwise(0.0).alias("vol"))
     return bars, x.where("factor is not null").select("ticker", "d", rnd("factor", 6).alias("ratio"))
+
+
+_CACHED = "d string, close string, adj string, vol string"
+
+
+def _cached_name(path: Column) -> Column:
+    return F.regexp_extract(path, r"([^/]+)\.csv\.gz$", 1)
+
+
+def price_cache(spark: SparkSession, path: str) -> DataFrame:
+    """Bars of the cached series, a gzip CSV (day, close, adjusted, volume) for each ticker, named by it.
+
+    Lines without a valid day or positive prices are left out. ``repair.repair`` makes
+    series of them, and ``repair.counters`` tells once for each what that did.
+    """
+    x = spark.read.schema(_CACHED).csv(f"{path}/*.csv.gz").select(_cached_name(F.input_file_name()).alias("ticker"), iso_date("d").alias("d"), to_number("close").alias("close"), to_number("adj").alias("adj"), F.coalesce(to_number("vol"), F.lit(0.0)).alias("vol"))
+    return x.where("d is not null and close > 0 and adj > 0")
+
+
+def cached_tickers(spark: SparkSession, path: str) -> DataFrame:
+    """``ticker`` of every cached series, from the listing alone: no file is opened."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.csv.gz").load(path).select(_cached_name(F.col("path")).alias("ticker")).where("ticker <> ''").distinct()
+
+
+def json_documents(spark: SparkSession, path: str, schema: str, fallback: DataFrame | None = None) -> DataFrame:
+    """Documents, plain or gzip, one a file; bodies that are no JSON give the rows of ``fallback`` (nothing without one)."""
+    rows = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
+    return rows if fallback is None else rows.unionByName(fallback.where(F.lit(rows.isEmpty())))

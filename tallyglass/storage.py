@@ -52,6 +52,12 @@ def remove(spark: SparkSession, *paths: str) -> None:
             made.remove(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[set[str]]:
     """Remove the scratch tables made inside, except for paths put into the set that it gives."""

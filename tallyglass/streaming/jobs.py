@@ -8,15 +8,17 @@ replace what they correct at read time, however late, so no watermark drops them
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from datetime import date
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from tallyglass.operators.filings import newest
+from tallyglass.operators.filings import newest, write_by_year
+from tallyglass.storage import cut
 
 
 def files(spark: SparkSession, path: str, schema: StructType | str, form: str = "parquet", per_run: int | None = None) -> DataFrame:
@@ -27,31 +29,38 @@ def files(spark: SparkSession, path: str, schema: StructType | str, form: str =
     return reader.load(path)
 
 
-def append_new(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], day: str = "tdate") -> StreamingQuery:
-    """Append rows whose key the target lacks, by year of ``day``; each batch looks only at the years that it touches.
+def append_new(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], day: str = "tdate", replace: bool = False) -> StreamingQuery:
+    """Put rows into the table at ``target``, by year of ``day``: those whose key it lacks, or with ``replace`` (while older rows are read again) all.
 
-    A batch that is run again after a failure finds its rows there and adds none.
+    Each batch looks only at the years that it touches. A batch that is run again
+    after a failure finds its rows there and adds none.
     """
 
     def batch(df: DataFrame, _: int) -> None:
-        spark = df.sparkSession
-        fresh = df.dropDuplicates(list(keys)).withColumn("year", F.year(day)).persist()
-        try:
-            years = [r.year for r in fresh.select("year").distinct().collect()]
-            try:
-                there = spark.read.parquet(target).where(F.col("year").isin(years)).select(*keys)
-                fresh_rows = fresh.join(there, list(keys), "left_anti")
-            except Exception as e:  # the first batch: nothing there yet
-                if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                    raise
-                fresh_rows = fresh
-            fresh_rows.write.mode("append").partitionBy("year").parquet(target)
-        finally:
-            fresh.unpersist()
+        write_by_year(df, target, keys, day, replace, first_year=0)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def purge_covered(spark: SparkSession, target: str, start: date, day: str = "fdate") -> None:
+    """Drop rows of before ``start``, which the quarterly tables hold by now, from the live table."""
+    kept = cut(spark.read.parquet(target).where(F.col(day) >= F.lit(start)), "live")
+    kept.hint("rebalance", "year").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year").parquet(target)
+
+
+def pending_days(indexed: DataFrame, last: Column, today: Column) -> DataFrame:
+    """``d``: the days to read after ``last``, in order, of those that have an index (``indexed``: d).
+
+    Weekends have none. A weekday without an index is a holiday, unless it lies
+    within two days of ``today``: then its index is still to come, and it and all
+    after it wait.
+    """
+    days = indexed.sparkSession.range(1).select(F.explode(F.sequence(F.date_add(last, 1), today)).alias("d")).where(F.weekday("d") < 5)
+    x = days.join(indexed.select("d", F.lit(True).alias("has")).distinct(), "d", "left")
+    late = x.where(F.col("has").isNull() & (F.date_add("d", 2) >= today)).agg(F.min("d").alias("late"))
+    return x.where("has").join(F.broadcast(late)).where(F.col("late").isNull() | (F.col("d") < F.col("late"))).select("d").orderBy("d")
+
+
 def corrected(log: DataFrame, content_keys: Sequence[str], order: str = "acc") -> DataFrame:
     """The log as it stands: of one content the amendment, else the later filing."""
     amended = F.when(F.col("form") == "4/A", 0).otherwise(1)
@@ -81,25 +90,44 @@ def new_positions(signals: DataFrame, key: str, hold_days: float = 91.5, day: st
     return rows.groupBy(key).applyInPandasWithState(run, f"{key} {kind}, first date", "first date", "append", GroupStateTimeout.NoTimeout)
 
 
-def announce(opened: DataFrame, checkpoint: str, send: Callable[[DataFrame], None], seed: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
-    """Hand the rows of each batch to ``send``; the very first batch goes to ``seed``, silently."""
+def announce(opened: DataFrame, checkpoint: str, send: Callable[[DataFrame], None], seed: Callable[[DataFrame], None] | None = None, version: int = 1, today: Column | None = None, fresh_days: int = 7) -> StreamingQuery:
+    """Hand the rows of each batch to ``send``; the very first batch of a ``version`` goes to ``seed``, silently.
+
+    State and cursor are kept apart for each version, so that a changed rule for
+    what a position is reads all again and sends nothing old. With ``today`` only
+    positions opened in the last ``fresh_days`` are sent; all are remembered.
+    """
 
     def batch(df: DataFrame, number: int) -> None:
         if number == 0 and seed is not None:
             seed(df)
         else:
-            send(df)
+            send(df if today is None else df.where(F.col("first") >= F.date_sub(today, fresh_days)))
 
-    return opened.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return opened.writeStream.foreachBatch(batch).option("checkpointLocation", f"{checkpoint}/v{version}").trigger(availableNow=True).start()
 
 
 def cards(opened: DataFrame, most: int = 4) -> DataFrame:
-    """Messages for new positions: one each up to ``most``, else a single digest."""
-    n = Window.partitionBy(F.lit(0))
-    x = opened.withColumn("__n", F.count("*").over(n))
-    own = x.where(F.col("__n") <= most).select(F.concat_ws(" ", F.lit("New position:"), F.col("ticker").cast("string"), F.col("first").cast("string")).alias("message"))
-    rest = x.where(F.col("__n") > most).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set(F.col("ticker").cast("string"))), ", ").alias("t")).where("n > 0")
-    return own.unionByName(rest.select(F.concat(F.col("n").cast("string"), F.lit(" new positions: "), F.col("t")).alias("message")))
+    """Messages for new positions: one each up to ``most``, else a single digest; it names the first fifty tickers."""
+    n = F.broadcast(opened.agg(F.count("*").alias("__n")))
+    own = opened.join(n).where(F.col("__n") <= most).select(F.concat_ws(" ", F.lit("New position:"), F.col("ticker").cast("string"), F.col("first").cast("string")).alias("message"))
+    names = opened.select(F.col("ticker").cast("string").alias("t")).distinct().orderBy("t").limit(50).agg(F.array_join(F.array_sort(F.collect_list("t")), ", ").alias("t"))
+    rest = n.where(F.col("__n") > most).join(names)
+    return own.unionByName(rest.select(F.concat(F.col("__n").cast("string"), F.lit(" new positions: "), F.col("t")).alias("message")))
+
+
+def poll(spark: SparkSession, fetch: Callable[[], DataFrame], keep: Callable[[DataFrame], None], checkpoint: str, seconds: float = 30.0) -> StreamingQuery:
+    """Ask ``fetch`` for quotes at a steady rate and hand each answer to ``keep``; a round that is late is skipped, not made up for.
+
+    How quotes are fetched is the caller's; ``plans.compute.covered`` tells whether an answer is good enough.
+    """
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+
+    def batch(df: DataFrame, _: int) -> None:
+        if not df.isEmpty():
+            keep(fetch())
+
+    return ticks.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").start()
 
 
 def live_changes(snapshot: DataFrame, quotes: DataFrame) -> DataFrame:

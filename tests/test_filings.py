@@ -43,8 +43,8 @@ def test_quarterly_archive(spark, tmp_path):
 
 
 FILING = """head <XML>
-<ownershipDocument><documentType>4</documentType><issuer><issuerCik>0000111222</issuerCik><issuerTradingSymbol> tst </issuerTradingSymbol></issuer>
-<reportingOwner><reportingOwnerId><rptOwnerCik>77</rptOwnerCik><rptOwnerName>Smith &amp; Jones Trust</rptOwnerName></reportingOwnerId>
+<ownershipDocument><documentType>4</documentType><issuer><issuerCik>0000445566</issuerCik><issuerTradingSymbol> tst </issuerTradingSymbol></issuer>
+<reportingOwner><reportingOwnerId><rptOwnerCik>77</rptOwnerCik><rptOwnerName>Oak &amp; Elm Trust</rptOwnerName></reportingOwnerId>
 <reportingOwnerRelationship><isDirector>1</isDirector><officerTitle>President</officerTitle></reportingOwnerRelationship></reportingOwner>
 <nonDerivativeTable>{fills}</nonDerivativeTable>
 <footnotes><footnote id="F1">The weighted average price.</footnote><footnote id="F2">Under a trading plan.</footnote></footnotes></ownershipDocument>
@@ -70,8 +70,8 @@ def test_single_filings(spark):
     rows = {r.acc: r for r in R.parse_filings(df)[0].collect()}
     assert set(rows) == {"X1", "X2"}
     r = rows["X1"]
-    assert (r.cik, r.t, r.sh, r.px, r.di, r.own, r.own_d, r.sh_d) == (111222, "TST", 4000, 9.5, "M", None, 11000, 1000)
-    assert r.owners[0].name == "Smith & Jones Trust" and r.owners[0].rel == "DC" and r.fn.wavg and not r.fn.b5
+    assert (r.cik, r.t, r.sh, r.px, r.di, r.own, r.own_d, r.sh_d) == (445566, "TST", 4000, 9.5, "M", None, 11000, 1000)
+    assert r.owners[0].name == "Oak & Elm Trust" and r.owners[0].rel == "DC" and r.fn.wavg and not r.fn.b5
     assert rows["X2"].sh == 3000 and rows["X2"].di == "I" and rows["X2"].fn.b5  # no note of its own
 
 

@@ -121,19 +121,107 @@ def test_owner_names_and_growth(spark):
 
 
 def test_behaviour(spark):
+    d = dt.date.fromisoformat
+
     def rows(history, day):
-        hist = [(dt.date.fromisoformat(d), dt.date.fromisoformat(d), c, 1, v, 1.0) for d, c, v in sorted(history)]
-        df = spark.createDataFrame([(hist, dt.date.fromisoformat(day), 1, "P")], "hist array<struct<tdate:date,fdate:date,code:string,ticker:long,val:double,sh:double>>, tdate date, ticker long, code string")
-        return owners.with_regular(df).select(owners.routine("hist", "tdate").alias("routine"), "regular", owners.inflection("hist").alias("inflection"), owners.typical_purchase("hist").alias("typical")).first()
-
-    r = rows([(f"{y}-03-05", "P", 100.0) for y in (2017, 2018, 2019)], "2020-03-20")
-    assert (r.routine, r.inflection, r.typical) == (True, None, 100)
-    assert rows([("2017-03-05", "P", 1.0), ("2018-04-05", "P", 1.0), ("2019-03-05", "P", 1.0)], "2020-03-20").routine is False
-    assert rows([("2019-03-05", "P", 1.0)], "2020-03-20").routine is None and rows([], "2020-03-20").routine is None
-    assert rows([(f"2020-0{m}-10", "P", 1.0) for m in (1, 2, 3, 4)], "2020-05-10").regular is True
-    assert rows([("2020-01-10", "P", 1.0), ("2020-01-12", "P", 1.0), ("2020-04-10", "P", 1.0)], "2020-05-10").regular is False
-    assert rows([("2016-01-10", "P", 1.0), ("2019-12-10", "S", 1.0)], "2020-05-10").inflection == "first-in-3y"
-    assert rows([("2019-12-10", "S", 1.0)], "2020-05-10").inflection == "first-ever" and rows([], "2020-05-10").inflection is None
+        trades = [(1, 1, d(x), c, v) for x, c, v in history] + [(1, 1, d(day), "P", 7.0)]
+        df = spark.createDataFrame(trades, "owner long, ticker long, tdate date, code string, val double")
+        asked = df.where(F.col("val") == 7.0)
+        x = owners.with_regular(owners.with_past(df)).where(F.col("val") == 7.0).first()
+        return x, owners.typical_purchase(asked, df).first().typical
+
+    r, typical = rows([(f"{y}-03-05", "P", 100.0) for y in (2017, 2018, 2019)], "2020-03-20")
+    assert (r.routine, r["first"], typical) == (True, None, 100)
+    assert rows([("2017-03-05", "P", 1.0), ("2018-04-05", "P", 1.0), ("2019-03-05", "P", 1.0)], "2020-03-20")[0].routine is False
+    assert rows([("2019-03-05", "P", 1.0)], "2020-03-20")[0].routine is None and rows([], "2020-03-20")[0].routine is None
+    assert rows([(f"2020-0{m}-10", "P", 1.0) for m in (1, 2, 3, 4)], "2020-05-10")[0].regular is True
+    assert rows([("2020-01-10", "P", 1.0), ("2020-01-12", "P", 1.0), ("2020-04-10", "P", 1.0)], "2020-05-10")[0].regular is False
+    assert rows([(f"2020-0{m}-10", "P", 1.0) for m in (1, 2, 2, 3, 4)], "2020-05-10")[0].regular is False  # twice on a day
+    assert rows([("2016-01-10", "P", 1.0), ("2019-12-10", "S", 1.0)], "2020-05-10")[0]["first"] == "first-in-3y"
+    assert rows([("2019-12-10", "S", 1.0)], "2020-05-10")[0]["first"] == "first-ever" and rows([], "2020-05-10")[0]["first"] is None
+
+
+def test_past_of_null_keys_and_one_huge_owner(spark):
+    none = spark.createDataFrame([(None, 1, dt.date(2020, 1, 1), "P"), (1, 1, None, "P")], "owner long, ticker long, tdate date, code string")
+    assert [(r.routine, r["first"], r.regular) for r in owners.with_regular(owners.with_past(none)).collect()] == [(None, None, False)] * 2
+    day = F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") % 7000).cast("int"))
+    huge = spark.range(200_000).select(F.lit(1).alias("owner"), (F.col("id") % 5).alias("ticker"), day.alias("tdate"), F.lit("P").alias("code"))
+    x = owners.with_regular(owners.with_past(huge))
+    assert x.agg(F.count("*"), F.count_if("routine"), F.count_if("regular"), F.max("first")).first() == (200_000, x.where(F.year("tdate") >= 2003).count(), 0, None)
+
+
+def test_sync_of_owner_groups(spark):
+    rows = [(o, "A", DAY, p) for o, p in ((1, 5.0), (2, 5.0), (3, 5.0), (4, 6.0), (5, None), (6, 0.0))]
+    t = spark.createDataFrame(rows, "owner long, ticker string, tdate date, px double")
+    groups = spark.createDataFrame([(1, 1), (2, 1)], "node long, component long")
+    sync = lambda g: {r.owner: r.sync for r in owners.sync_count(t, g).collect()}
+    assert sync(None) == {1: 3, 2: 3, 3: 3, 4: 1, 5: 1, 6: 1} and sync(groups) == {1: 2, 2: 2, 3: 2, 4: 1, 5: 1, 6: 1}
+
+
+def test_spike_passes_agree_with_the_chain(spark):
+    r = np.random.default_rng(4)
+    rows = []
+    for t in range(4):
+        p = 40 * np.exp(np.cumsum(r.normal(0, 0.02, 200)))
+        p[r.integers(0, 200, 25)] *= r.choice([0.05, 8, 50], 25)
+        rows += [(t, DAY + dt.timedelta(days=i), float(x), float(x), float(v)) for i, (x, v) in enumerate(zip(p, r.integers(0, 3000, 200)))]
+    df = spark.createDataFrame(rows, "ticker long, d date, close double, adj double, vol double")
+    kept = {(x.ticker, x.d) for x in series.drop_spikes(df).collect()}
+    want = set()
+    for t in range(4):
+        own = [x for x in rows if x[0] == t]
+        s = repair.drop_spikes(Bars(np.arange(200), *(np.array([x[k] for x in own]) for k in (2, 3, 4))))
+        want |= {(t, own[i][1]) for i in s.day}
+    assert kept == want and len(kept) < 790
+
+
+def test_interval_containment(spark):
+    from tallyglass.operators import asof
+
+    d = lambda n: DAY + dt.timedelta(days=n)
+    spans = spark.createDataFrame([("A", d(0), d(10)), ("A", d(5), d(7)), ("A", d(12), d(20)), ("A", d(12), d(14))], "ticker string, start date, end date")
+    probes = [("A", 0, 10), ("A", 6, 9), ("A", 6, 12), ("A", 12, 20), ("A", -1, 3), ("A", 21, 22), ("B", 1, 2)]
+    p = spark.createDataFrame([(t, d(a), d(b)) for t, a, b in probes], "ticker string, a date, b date")
+    got = {(r.ticker, (r.a - DAY).days, (r.b - DAY).days): r.covered for r in asof.covers(p, spans, "a", "b").collect()}
+    assert [got[x] for x in probes] == [True, True, False, True, False, False, None]
+
+
+def test_benchmark_by_bucket(spark):
+    d = lambda n: DAY + dt.timedelta(days=n)
+    b = spark.createDataFrame([(t, d(n), 100.0 + n, 100.0 + n, 1.0, n) for t in "AB" for n in range(80)], "ticker string, d date, close double, adj double, vol double, i int")
+    t = spark.createDataFrame([("A", d(0), "small"), ("B", d(0), "large"), ("B", d(-30), "small")], "ticker string, fdate date, bucket string")
+    bench, small = (spark.createDataFrame([(d(n), 100.0 + k * n) for n in range(80)], "d date, adj double") for k in (0.0, 1.0))
+    out = {(r.ticker, r.bucket): r for r in series.forward_returns(t, b, bench, F.lit(d(80)), small=small).collect()}
+    a, c, gone = out["A", "small"], out["B", "large"], out["B", "small"]
+    assert a.r3 == a.x3 == c.e3 == pytest.approx(164 / 101 - 1, abs=1e-4) and a.e3 == 0.0 and a.s3 == "c" and a.s6 == "o" and a.matured is None
+    assert gone.no_entry and gone.r3 is None and "e3" not in series.forward_returns(t, b, bench, F.lit(d(80))).columns
+
+
+def test_writing_by_year(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda *x: spark.createDataFrame([(a, dt.date(y, 5, 1) if y else None, v) for a, y, v in x], "acc string, tdate date, val int")
+    have = lambda: sorted((r.acc, r.year, r.val) for r in spark.read.parquet(path).collect())
+    filings.write_by_year(rows(("a", 2019, 1), ("b", 2020, 1), ("b", 2020, 1), ("old", 2009, 1), ("far", 2030, 1), ("none", None, 1)), path, ["acc"], last_year=2024)
+    filings.write_by_year(rows(("b", 2020, 2), ("c", 2020, 2)), path, ["acc"])
+    assert have() == [("a", 2019, 1), ("b", 2020, 1), ("c", 2020, 2)]
+    filings.write_by_year(rows(("b", 2020, 3), ("d", 2021, 3)), path, ["acc"], replace=True)
+    assert have() == [("a", 2019, 1), ("b", 2020, 3), ("c", 2020, 2), ("d", 2021, 3)]
+    filings.write_by_year(rows(), path, ["acc"])
+    assert len(have()) == 4
+
+
+def test_tables_sorted_by_any_column(spark):
+    df = spark.createDataFrame([("x", 2.0), ("y", None), ("z", -5.0)], "dim string, v double").withColumns({"grp": F.col("dim"), "hold": F.lit(3)})
+    ids = lambda *a: "".join(r.dim for r in slices.sorted_by(df, *a, [F.desc("dim")]).collect())
+    assert (ids("v", "desc"), ids("v", "asc"), ids("v", None), ids("dim", "asc")) == ("xzy", "yzx", "zyx", "xyz")
+    same = df.withColumn("dim", F.lit("d"))
+    assert "".join(r.grp for r in slices.ordered(same).collect()) == "xyz" and "".join(r.grp for r in slices.ordered(same, "v").collect()) == "xzy"
+
+
+def test_queue_leaves_out_what_failed_often(spark):
+    t = spark.createDataFrame([(c, "P", 10.0, DAY) for c in "ABC"], "ticker string, code string, val double, tdate date")
+    failed = spark.createDataFrame([("A", 3), ("B", 2)], "ticker string, tries int")
+    assert [r.ticker for r in slices.refresh_queue(t, t.limit(0).select("ticker"), 9, failed=failed).collect()] == ["B", "C"]
 
 
 def test_gate_order(spark):

@@ -26,6 +26,20 @@ def test_append_is_resumable_and_amendments_win(spark, tmp_path):
     assert sorted((r.acc, r.val) for r in jobs.corrected(log, ["owner", "tdate"]).collect()) == [("AR", 6), ("B", 7)]
     with pytest.raises(Exception):  # another failure than a missing target is not swallowed
         jobs.append_new(jobs.files(spark, f"{src}/*", SCHEMA), out, f"{ck}2", ["nothing"]).awaitTermination()
+    write(spark, src, "c", [("A", "4", d, d, 1, 9.0)])
+    jobs.append_new(jobs.files(spark, f"{src}/c", SCHEMA), out, f"{ck}3", ["acc"]).awaitTermination()
+    assert spark.read.parquet(out).where("acc = 'A'").first().val == 5.0
+    jobs.append_new(jobs.files(spark, f"{src}/c", SCHEMA), out, f"{ck}4", ["acc"], replace=True).awaitTermination()
+    assert sorted((r.acc, r.val) for r in spark.read.parquet(out).collect()) == [("A", 9.0), ("AR", 6.0), ("B", 7.0)]
+    jobs.purge_covered(spark, out, d + dt.timedelta(days=1))
+    assert [r.acc for r in spark.read.parquet(out).collect()] == ["AR"]
+
+
+def test_days_that_wait_for_their_index(spark):
+    day = lambda n: dt.date(2024, 3, n)
+    indexed = spark.createDataFrame([(day(n),) for n in (4, 5, 7, 12)], "d date")  # the 9th and 10th are a weekend
+    run = lambda today: [r.d.day for r in jobs.pending_days(indexed, F.lit(day(1)), F.lit(day(today))).collect()]
+    assert run(15) == [4, 5, 7, 12] and run(8) == [4, 5] and run(10) == [4, 5, 7] and run(4) == [4] and run(3) == []
 
 
 def test_positions_announced_once(spark, tmp_path):
@@ -44,6 +58,13 @@ def test_positions_announced_once(spark, tmp_path):
     assert sorted(seen) == [("B", day(6)), ("C", day(-100)), ("C", day(0))]
     run("3", [("B", day(20)), ("A", day(92))])
     assert sorted(seen)[0] == ("A", day(92)) and len(seen) == 4
+    stream = jobs.new_positions(jobs.files(spark, f"{src}/*", "ticker string, day date"), "ticker")
+    jobs.announce(stream, ck, lambda df: seen.extend(map(tuple, df.collect())), lambda df: seeds.extend(map(tuple, df.collect())), version=2).awaitTermination()
+    assert len(seen) == 4 and len(seeds) > 4  # a new version remembers all and says nothing
+    spark.createDataFrame([("N", day(200)), ("O", day(150))], "ticker string, day date").coalesce(1).write.parquet(f"{src}/4")
+    stream = jobs.new_positions(jobs.files(spark, f"{src}/*", "ticker string, day date"), "ticker")
+    jobs.announce(stream, ck, lambda df: seen.extend(map(tuple, df.collect())), version=2, today=F.lit(day(204))).awaitTermination()
+    assert seen[4:] == [("N", day(200))]
 
 
 def test_cards_and_live_changes(spark):
@@ -64,3 +85,16 @@ def test_windowed_counts(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("counts").agg(F.sum("n")).first()[0] == spark.read.parquet(path).count()
+
+
+def test_polling(spark, tmp_path):
+    quotes, kept = spark.createDataFrame([("A", 1.0)], "symbol string, p double"), []
+    q = jobs.poll(spark, lambda: quotes, lambda df: kept.append(df.count()), str(tmp_path / "ck"), 0.5)
+    try:
+        for _ in range(60):
+            if kept:
+                break
+            q.awaitTermination(1)
+    finally:
+        q.stop()
+    assert kept and set(kept) == {1}
