@@ -490,15 +490,16 @@ def portfolio_control(spark, d):
     return _control(_rets(spark, d)).select("m", "n", rnd("r").alias("r"))
 
 
-@query(
-    f"""SELECT f.fac AS fac, m, {r4('spread')} AS spread FROM (
+SQL_FACTORS = f"""
+fac AS (SELECT f.fac AS fac, m, spread FROM (
   SELECT fac, k + 1 AS k, CASE WHEN fac = 'dv' THEN 1 ELSE -1 END * (avg(next_ret) FILTER (r <= n // 3) - avg(next_ret) FILTER (r > n - n // 3)) AS spread
   FROM (SELECT *, row_number() OVER (PARTITION BY fac, k ORDER BY x, ticker) AS r, count(*) OVER (PARTITION BY fac, k) AS n FROM (
     SELECT 'dv' AS fac, dv AS x, ticker, k, next_ret FROM rets WHERE dv >= {MIN_DV} UNION ALL SELECT 'mom', mom, ticker, k, next_ret FROM rets WHERE dv >= {MIN_DV} AND mom IS NOT NULL))
   WHERE n // 3 >= 5 AND next_ret IS NOT NULL GROUP BY fac, k
-  HAVING count(*) FILTER (r <= n // 3) >= 5 AND count(*) FILTER (r > n - n // 3) >= 5) f JOIN mon USING (k)""",
-    *PANEL,
-)
+  HAVING count(*) FILTER (r <= n // 3) >= 5 AND count(*) FILTER (r > n - n // 3) >= 5) f JOIN mon USING (k))"""
+
+
+@query(f"SELECT fac, m, {r4('spread')} AS spread FROM fac", *PANEL, SQL_FACTORS)
 def factor_terciles(spark, d):
     """Size and momentum spreads between outer thirds."""
     rets = _rets(spark, d)
@@ -579,7 +580,34 @@ def factor_alpha(spark, d):
     return x.select(*[rnd(c).alias(c) for c in ("alpha", "t", "beta")], "months")
 
 
-@query(None)
+def sql_alpha(name: str, of: str, by: str = "one") -> str:
+    """``by, alpha_mean, alpha_t, beta_market, beta_size, beta_momentum, n`` by Cramer's rule on the covariances of a series ``by, k, m, r``."""
+    det = "(aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac))"
+    return f"""
+{name}_x AS (SELECT {by}, g.k, g.r - {RF_SQL.replace("substr(m", "substr(g.m")} AS y, uni.r - {RF_SQL.replace("substr(m", "substr(g.m")} AS a, s.spread AS b, c.spread AS c
+  FROM {of} g JOIN uni ON uni.m = g.m JOIN fac s ON s.m = g.m AND s.fac = 'dv' JOIN fac c ON c.m = g.m AND c.fac = 'mom'),
+{name}_c AS (SELECT {by}, var_pop(a) AS aa, var_pop(b) AS bb, var_pop(c) AS cc, covar_pop(a, b) AS ab, covar_pop(a, c) AS ac, covar_pop(b, c) AS bc, covar_pop(y, a) AS ya, covar_pop(y, b) AS yb,
+  covar_pop(y, c) AS yc, count(*) AS n FROM {name}_x GROUP BY {by}),
+{name}_f AS (SELECT {by}, n, (ya * (bb * cc - bc * bc) - ab * (yb * cc - bc * yc) + ac * (yb * bc - bb * yc)) / {det} AS b1,
+  (aa * (yb * cc - bc * yc) - ya * (ab * cc - bc * ac) + ac * (ab * yc - yb * ac)) / {det} AS b2, (aa * (bb * yc - yb * bc) - ab * (ab * yc - yb * ac) + ya * (ab * bc - bb * ac)) / {det} AS b3 FROM {name}_c),
+{name}_g AS (SELECT {by}, k, y - b1 * a - b2 * b - b3 * c AS r FROM {name}_x JOIN {name}_f USING ({by}) WHERE n >= 30),
+{name}_z AS (SELECT DISTINCT k, 0.0::DOUBLE AS r FROM {name}_g),
+{name} AS (SELECT {by}, ex_mean AS alpha_mean, ex_t AS alpha_t, b1 AS beta_market, b2 AS beta_size, b3 AS beta_momentum, n FROM {sql_excess(by, f"{name}_g", f"{name}_z")} JOIN {name}_f USING ({by}))"""
+
+
+def sql_excess(by: str, grid: str = "grid", bench: str = "uni") -> str:
+    """``by, ex_months, ex_mean, ex_t`` of a grid over a benchmark series."""
+    return f"""(SELECT {by}, count(*) AS ex_months, avg(v) AS ex_mean,
+    avg(v) / sqrt(greatest((sum(e * e) + 1.5 * coalesce(sum(e * e1), 0) + 1.0 * coalesce(sum(e * e2), 0) + 0.5 * coalesce(sum(e * e3), 0)) / count(*), 1e-15) / count(*)) AS ex_t
+  FROM (SELECT *, lag(e, 1) OVER w AS e1, lag(e, 2) OVER w AS e2, lag(e, 3) OVER w AS e3 FROM (
+    SELECT g.*, g.r - u.r AS v, g.r - u.r - avg(g.r - u.r) OVER (PARTITION BY {", ".join("g." + c for c in by.split(", "))}) AS e FROM {grid} g JOIN {bench} u ON u.k = g.k)
+    WINDOW w AS (PARTITION BY {by} ORDER BY k)) GROUP BY {by})"""
+
+
+@query(
+    f"SELECT {r4('alpha_mean')} AS alpha, {r4('alpha_t')} AS t, {r4('beta_market')} AS beta_market, {r4('beta_size')} AS beta_size, {r4('beta_momentum')} AS beta_momentum, n AS months FROM al",
+    *EW, UNIVERSE, SQL_FACTORS, "ew1 AS (SELECT 1 AS one, * FROM ew)", sql_alpha("al", "ew1"),
+)
 def factor_alpha_3(spark, d):
     """Alpha on market, size and momentum."""
     rets, ew = _ew(spark, d)
@@ -928,15 +956,6 @@ def sql_grid(name: str, by: str, source: str, least: int = MIN_NAMES) -> str:
   WHERE dv >= {MIN_DV} AND next_ret IS NOT NULL GROUP BY {keys}, h.k HAVING count(*) >= {least})"""
 
 
-def sql_excess(by: str, grid: str = "grid", bench: str = "uni") -> str:
-    """``by, ex_months, ex_mean, ex_t`` of a grid over a benchmark series."""
-    return f"""(SELECT {by}, count(*) AS ex_months, avg(v) AS ex_mean,
-    avg(v) / sqrt(greatest((sum(e * e) + 1.5 * coalesce(sum(e * e1), 0) + 1.0 * coalesce(sum(e * e2), 0) + 0.5 * coalesce(sum(e * e3), 0)) / count(*), 1e-15) / count(*)) AS ex_t
-  FROM (SELECT *, lag(e, 1) OVER w AS e1, lag(e, 2) OVER w AS e2, lag(e, 3) OVER w AS e3 FROM (
-    SELECT g.*, g.r - u.r AS v, g.r - u.r - avg(g.r - u.r) OVER (PARTITION BY {", ".join("g." + c for c in by.split(", "))}) AS e FROM {grid} g JOIN {bench} u ON u.k = g.k)
-    WINDOW w AS (PARTITION BY {by} ORDER BY k)) GROUP BY {by})"""
-
-
 GRID = sql_grid("grid", "dim, grp, hold", "SELECT DISTINCT dim, grp, hold, ticker, unnest(range(k, k + hold)) AS k FROM st JOIN mon USING (m), (VALUES (3), (6), (12)) v(hold)")
 SLICES = (*PANEL, *GATES[1:], DIMS_SQL, UNIVERSE, GRID)
 
@@ -976,7 +995,25 @@ def _factors(rets, uni):
     return f
 
 
-@query(None)
+def two(x: str) -> str:
+    return f"(floor(({x}) * 100 + 0.5) / 100)"
+
+
+def year_of(mean: str) -> str:
+    """A monthly mean over a year, rounded."""
+    return r4(f"pow(1 + {mean}, 12) - 1")
+
+
+@query(
+    f"""SELECT dim, grp, hold, months, {r4('cagr')} AS cagr, {r4('vol')} AS vol, {r4('least(0, dd)')} AS dd, avg_n, CASE WHEN te > 0 THEN {two('dmean * 12 / te')} END AS ir, CASE WHEN v0 > 0 THEN {two('rmean * 12 / v0')} END AS sharpe,
+  CASE WHEN early_n >= 24 THEN {year_of('early_mean')} END AS early, CASE WHEN months - early_n >= 24 THEN {year_of('late_mean')} END AS late, {r4('ex_mean')} AS ex_mean, {year_of('ex_mean')} AS ex, {two('ex_t')} AS ex_t,
+  {year_of('ex_mean')} AS over_all, {two('ex_t')} AS over_all_t, {year_of('alpha_mean')} AS alpha, {two('alpha_t')} AS alpha_t, {two('beta_market')} AS beta_market, {two('beta_size')} AS beta_size, {two('beta_momentum')} AS beta_momentum, avg_n < 10 AS thin
+FROM (SELECT dim, grp, hold, count(*) AS months, pow(product(1 + r), 12.0 / count(*)) - 1 AS cagr, coalesce(stddev_samp(r), 0) * sqrt(12) AS vol, min(eq / greatest(1, peak) - 1) AS dd, floor(avg(n) + 0.5)::BIGINT AS avg_n,
+    sqrt(12 * var_pop(r - u)) AS te, avg(r - u) AS dmean, sqrt(12 * var_pop(r)) AS v0, avg(r - {RF_SQL}) AS rmean, count(*) FILTER (m < '2021-01') AS early_n, avg(r - u) FILTER (m < '2021-01') AS early_mean, avg(r - u) FILTER (m >= '2021-01') AS late_mean
+  FROM (SELECT *, max(eq) OVER (PARTITION BY dim, grp, hold ORDER BY k) AS peak FROM (SELECT gm.*, uni.r AS u, product(1 + gm.r) OVER (PARTITION BY dim, grp, hold ORDER BY gm.k) AS eq FROM gm JOIN uni ON uni.k = gm.k)) GROUP BY ALL)
+JOIN {sql_excess("dim, grp, hold")} USING (dim, grp, hold) LEFT JOIN al USING (dim, grp, hold) WHERE months >= 36""",
+    *SLICES, SQL_FACTORS, "gm AS (SELECT grid.*, m FROM grid JOIN mon USING (k))", sql_alpha("al", "gm", "dim, grp, hold"),
+)
 def slice_cells_full(spark, d):
     """All statistics of every slice, with three-factor alphas."""
     rets, grid = _slices(spark, d)
