@@ -209,6 +209,12 @@ def forward_returns(trades: DataFrame, bars: DataFrame, bench: DataFrame, as_of_
     return rows.select(*trades.columns, F.col("entry.d").alias("entry_day"), *figures, *short, F.col(f"__x{second}.d").alias("matured"), "no_entry")
 
 
+def _later_product(value: str, n: str) -> F.Column:
+    """The product of a ticker's values on later days than a row's; 1 without any. Backwards, so that it is a running one."""
+    later = Window.partitionBy("ticker").orderBy(F.desc(n)).rangeBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.product(value).over(later), F.lit(1.0))
+
+
 def nominal_closes(bars: DataFrame, splits: DataFrame) -> DataFrame:
     """``bars`` with ``nominal``: the close as it was quoted, by the ratios of all splits after its day, to four places.
 
@@ -216,8 +222,7 @@ def nominal_closes(bars: DataFrame, splits: DataFrame) -> DataFrame:
     """
     rows = bars.withColumn("__ratio", F.lit(None).cast("double")).unionByName(splits.select("ticker", "d", F.col("ratio").cast("double").alias("__ratio")), allowMissingColumns=True)
     x = rows.withColumn("__n", F.datediff("d", F.lit("1970-01-01").cast("date")))
-    later = Window.partitionBy("ticker").orderBy("__n").rangeBetween(1, Window.unboundedFollowing)
-    x = x.withColumn("__f", F.coalesce(F.product("__ratio").over(later), F.lit(1.0))).where("__ratio is null")
+    x = x.withColumn("__f", _later_product("__ratio", "__n")).where("__ratio is null")
     return x.select(*bars.columns, rnd(F.col("close") * F.col("__f")).alias("nominal"))
 
 
@@ -245,7 +250,7 @@ def day_features(trades: DataFrame, bars: DataFrame, splits: DataFrame | None =
             {
                 "__high": F.max("close").over(w.rangeBetween(-days, 0)),
                 "__last": F.max(bar).over(w.rangeBetween(Window.unboundedPreceding, 0)),
-                "__f": F.coalesce(F.product("__ratio").over(w.rangeBetween(1, Window.unboundedFollowing)), F.lit(1.0)),
+                "__f": _later_product("__ratio", "__n"),
                 "__any": F.count("i").over(Window.partitionBy("ticker")) > 0,
             }
         ).where("__asked")

@@ -283,7 +283,7 @@ def _sql_forward() -> str:
 @query(None)
 def forward_returns(spark, d):
     """Returns after the filing at 3, 6, 12 and 24 months, over the benchmark, with status, and short columns."""
-    x = series.forward_returns(tpch.trades(spark, d).where("code = 'P'"), _bars(spark, d), tpch.benchmark(spark, d), F.lit(AS_OF).cast("date"))
+    x = series.forward_returns(cut(tpch.trades(spark, d).where("code = 'P'"), "trades"), _stored_bars(spark, d), tpch.benchmark(spark, d), F.lit(AS_OF).cast("date"))
     figures = [f"{p}{m}" for m in series.HORIZONS for p in "rxs"]
     return x.select("acc", "line", "ticker", "val", "entry_day", *figures, *series.SHORT_COLUMNS, "no_entry")
 
@@ -787,12 +787,13 @@ def _splits(spark, d):
 
 
 def _flagged(spark, d):
-    """Trades with the flags that a filing carries, a role, and a form of ownership."""
+    """Trades with the flags that a filing carries, a role, and a form of ownership, as a table: a verdict reads them several times."""
     x = tpch.trades(spark, d)
-    return x.withColumns({
+    x = x.withColumns({
         "plan_box": F.col("acc") % 10 == 0, "fn_b5": (F.col("acc") % 7 == 0) & (F.col("line") == 3), "fn_wavg": F.col("line") == 1, "fund_only": F.col("owner") % 50 == 0,
         "di": F.when(F.col("line") == 2, "I").otherwise("D"), "role": F.substring(F.lit("FCDOTX"), (F.col("line") % 6 + 1).cast("int"), F.lit(1)),
     })
+    return cut(x, "trades")
 
 
 #: Prices here are noise without a memory: a bar lies far below its yearly high, so the working set's limits are lower than for companies.
