@@ -34,7 +34,7 @@ BLOCK_BYTES, LEVEL = 8192, 5
 #: Where the two smallest sizes are equal, a text is compressed again at this level, which finds shorter matches.
 FINE_LEVEL = 12
 #: A text is rejected if the best language saves less than this share of its own size against the next. Of held-out
-#: texts in a learnt language about 1 in 250 is (nearly all of under 30 bytes), of texts in a language left out 8 in 10.
+#: texts in a learnt language about 1 in 250 is (nearly all of under 30 bytes), of texts in a language left out about 7 in 10.
 MARGIN = 0.02
 #: Margin at which the score is a half.
 HALF_SCORE = 0.05

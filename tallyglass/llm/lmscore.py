@@ -59,10 +59,13 @@ class Pieces:
             elif ranks[-1] is not None and piece:
                 self.number[piece] = i
         self.end, self.size = model.eos_id(), model.get_piece_size()
-        #: The longest piece that begins with two given characters.
-        self.reach: dict[str, int] = {}
-        for piece in self.number:
-            self.reach[piece[:2]] = max(len(piece), self.reach.get(piece[:2], 0))
+        #: The pieces as a tree of characters; where one ends, its number is under 0.
+        self.tree: dict = {}
+        for piece, i in self.number.items():
+            node = self.tree
+            for character in piece:
+                node = node.setdefault(character, {})
+            node[0] = i
         start = np.array([0.0 if r is None else 1.0 / (r + RANK_OFFSET) for r in ranks])
         start[self.end] = start.max()
         self.start = start / start.sum()
@@ -86,11 +89,9 @@ class Lattice:
     def __init__(self, vocabulary: Pieces, weights: np.ndarray):
         self.vocabulary = vocabulary
         weights = np.maximum(weights, 1e-300)
-        logs = np.log(weights)
-        self.log = {p: float(logs[i]) for p, i in vocabulary.number.items()}
-        self.entry = {p: (i, float(weights[i])) for p, i in vocabulary.number.items()}
-        self.bytes = [float(logs[i]) for i in vocabulary.bytes]
-        self.end = float(logs[vocabulary.end])
+        self.weight, self.log = weights.tolist(), np.log(weights).tolist()
+        self.bytes = [self.log[i] for i in vocabulary.bytes]
+        self.end = self.log[vocabulary.end]
 
     def _spelt(self, character: str) -> float:
         return sum(self.bytes[b] for b in character.encode("utf-8", "surrogatepass"))
@@ -99,21 +100,25 @@ class Lattice:
         """Natural log of the probability, summed over all segmentations."""
         if token == END:
             return self.end
-        text, get, reach = _SPACE + token, self.log.get, self.vocabulary.reach.get
+        text, tree, logs, exp, log1p = _SPACE + token, self.vocabulary.tree, self.log, math.exp, math.log1p
         n = len(text)
-        terms: list[list[float]] = [[] for _ in range(n + 1)]
-        terms[0].append(0.0)
+        to: list[float | None] = [0.0] + [None] * n
         for i in range(n):
-            here = terms[i]
-            here = here[0] if len(here) == 1 else _sum(here)
-            terms[i] = ()
-            p = get(text[i])
-            terms[i + 1].append(here + (self._spelt(text[i]) if p is None else p))
-            for j in range(i + 2, min(n, i + reach(text[i : i + 2], 0)) + 1):
-                p = get(text[i:j])
-                if p is not None:
-                    terms[j].append(here + p)
-        return _sum(terms[n])
+            here, j = to[i], i
+            node = tree.get(text[i])
+            if node is None or 0 not in node:  # a character that is no piece is spelt in bytes
+                x, old = here + self._spelt(text[i]), to[i + 1]
+                to[i + 1] = x if old is None else old + log1p(exp(x - old)) if old > x else x + log1p(exp(old - x))
+            while node is not None:
+                j += 1
+                piece = node.get(0)
+                if piece is not None:
+                    x, old = here + logs[piece], to[j]
+                    to[j] = x if old is None else old + log1p(exp(x - old)) if old > x else x + log1p(exp(old - x))
+                if j == n:
+                    break
+                node = node.get(text[j])
+        return to[n]
 
     def expect(self, token: str, count: float, into: list[float]) -> None:
         """Add to ``into`` the expected number of each piece in ``count`` times ``token``.
@@ -125,37 +130,47 @@ class Lattice:
         if token == END:
             into[v.end] += count
             return
-        text, get, reach = _SPACE + token, self.entry.get, v.reach.get
+        text, tree, weight = _SPACE + token, v.tree, self.weight
         n = len(text)
         before = [0.0] * (n + 1)
         before[0] = 1.0
         edges: list[tuple[int, int, int, float]] = []
         for i in range(n):
-            here = before[i]
-            e = get(text[i])
-            number, p = e if e else (-1, math.exp(self._spelt(text[i])))
-            before[i + 1] += here * p
-            edges.append((i, i + 1, number, p))
-            for j in range(i + 2, min(n, i + reach(text[i : i + 2], 0)) + 1):
-                e = get(text[i:j])
-                if e:
-                    before[j] += here * e[1]
-                    edges.append((i, j, e[0], e[1]))
+            here, j = before[i], i
+            node = tree.get(text[i])
+            if node is None or 0 not in node:
+                p = math.exp(self._spelt(text[i]))
+                before[i + 1] += here * p
+                edges.append((i, i + 1, -1, p))
+            while node is not None:
+                j += 1
+                piece = node.get(0)
+                if piece is not None:
+                    p = weight[piece]
+                    before[j] += here * p
+                    edges.append((i, j, piece, p))
+                if j == n:
+                    break
+                node = node.get(text[j])
         if before[n] > 1e-250:
             after = [0.0] * n + [count / before[n]]
-            shares = []
             for i, j, number, p in reversed(edges):
                 x = p * after[j]
                 after[i] += x
-                shares.append((i, number, x * before[i]))
-        else:
-            shares = self._long_shares(n, count, edges, text)
-        for i, number, x in shares:
+                if number >= 0:
+                    into[number] += x * before[i]
+                else:
+                    self._add_bytes(into, text[i], x * before[i])
+            return
+        for i, number, x in self._long_shares(n, count, edges, text):
             if number >= 0:
                 into[number] += x
             else:
-                for b in text[i].encode("utf-8", "surrogatepass"):
-                    into[v.bytes[b]] += x
+                self._add_bytes(into, text[i], x)
+
+    def _add_bytes(self, into: list[float], character: str, x: float) -> None:
+        for b in character.encode("utf-8", "surrogatepass"):
+            into[self.vocabulary.bytes[b]] += x
 
     def _long_shares(self, n: int, count: float, edges: list, text: str) -> list[tuple[int, int, float]]:
         """The shares of the edges, forward and backward in log space."""
