@@ -72,3 +72,27 @@ def test_stage_on_documents(spark):
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
     want = {rows[g][0] for g in slow_groups([t for _, t in rows])}
     assert {r.doc_id for r in dict(C.STAGES)["near_duplicates"](spark, docs, D).collect()} == want
+
+
+def test_family_and_shared_passage(spark, monkeypatch):
+    """A family around one text, edited little or much, with and without that text, and texts that only quote one passage; pairs stay few."""
+    r = random.Random(11)
+    texts = []
+    for with_source in (True, False):
+        words = [f"f{with_source}{r.randrange(9000)}" for _ in range(100)]
+        texts += [" ".join(words)] * with_source
+        texts += [" ".join(edited(r, words, r.randint(1, 5))) for _ in range(120)]
+        texts += [" ".join(words[: r.randrange(70, 99)]) for _ in range(15)]  # cut short: all their shingles are others' too
+    passage = [f"p{i}" for i in range(60)]
+    texts += [" ".join([*(f"q{r.randrange(10**6)}" for _ in range(r.randrange(25, 60))), *passage]) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made, plain = [], N._left_pairs
+    monkeypatch.setattr(N, "_left_pairs", lambda *a: made.append(plain(*a)) or made[-1])
+    found = {}
+    for x in N.groups(docs).collect():
+        found.setdefault(x.root, set()).add(x.doc_id)
+    want = {}
+    for i, g in enumerate(slow_groups(texts)):
+        want.setdefault(g, set()).add(i)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
+    assert made[0].count() < 10 * len(texts)
