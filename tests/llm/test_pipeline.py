@@ -1,5 +1,7 @@
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
 from tallyglass.llm import langid, mixing
 from tests.llm.test_packing import tokenizer, verify  # noqa: F401
@@ -19,10 +21,10 @@ def test_stages_against_brute_force(spark, tokenizer):  # noqa: F811
     want = set()
     for i, r in rows.items():
         lang, _, margin = one(r.text)
-        if lang != "und" and (margin >= langid.MARGIN or len(langid.letters(r.text).decode()) < langid.SHORT):
+        if lang != "und" and margin >= langid.MARGIN:
             want.add(i)
     kept = {r.doc_id for r in first.collect()}
-    assert kept == want and not kept & {9001, 9002} and len(kept) > 0.99 * (len(rows) - 2)
+    assert kept == want and not kept & {9001, 9002} and len(kept) > 0.98 * (len(rows) - 2)
 
     second = C.near_duplicates(spark, first, D)
     fps = {i: slow_fingerprint(rows[i].text) for i in kept}
@@ -50,3 +52,21 @@ def test_stages_against_brute_force(spark, tokenizer):  # noqa: F811
 def test_run(spark):
     out = C.run(spark, D)
     assert out.count() > 100 and {"doc_id", "sequence_id", "offset"} <= set(out.columns)
+
+
+def test_stages_on_odd_rows_and_clashing_columns(spark):
+    """Nulls, empty texts, repeats and columns of the stages' own names pass through; no rows give no rows."""
+    words = "the of and to in is was that for with as on at by from this have".split()
+    text = " ".join(words[i % 17] + words[i * 7 % 17] for i in range(300))
+    rows = [(1, text, "en", "a", 9), (1, text, "en", "a", 9), (None, text + " end", "en", None, 9), (3, None, None, None, None), (4, "", "en", "a", 0), (5, "der die das und " * 60, "de", "b", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("lang_margin", "__h", "size", "t", "root", "row", "shard", "key"):
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    now = docs
+    for name, stage in C.STAGES[:-1]:
+        assert stage(spark, docs.limit(0), D).count() == 0, name
+        now = stage(spark, now, D)
+        assert now.columns == docs.columns and {r.lang_margin for r in now.collect()} == {"own lang_margin"} and {r.key for r in now.collect()} == {"own key"}, name
+    assert {r.doc_id for r in now.collect()} <= {1, None, 5}
+    assert C.STAGES[-1][1](spark, docs.limit(0), D).count() == 0
+    assert C.STAGES[-1][1](spark, docs, D).count() >= len(rows)
