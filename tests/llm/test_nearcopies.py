@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 import corpus_pipeline as C
 from tallyglass.llm import nearcopies as N
 from tallyglass.llm import simhash
@@ -74,7 +76,8 @@ def test_stage_on_documents(spark):
     assert {r.doc_id for r in dict(C.STAGES)["near_duplicates"](spark, docs, D).collect()} == want
 
 
-def test_family_and_shared_passage(spark, monkeypatch):
+@pytest.mark.parametrize("rare", [0, 2, 64])
+def test_family_and_shared_passage(spark, monkeypatch, rare):
     """A family around one text, edited little or much, with and without that text, and texts that only quote one passage; pairs stay few."""
     r = random.Random(11)
     texts = []
@@ -87,6 +90,7 @@ def test_family_and_shared_passage(spark, monkeypatch):
     texts += [" ".join([*(f"q{r.randrange(10**6)}" for _ in range(r.randrange(25, 60))), *passage]) for _ in range(150)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     made, plain = [], N._left_pairs
+    monkeypatch.setattr(N, "RARE", rare)
     monkeypatch.setattr(N, "_left_pairs", lambda *a: made.append(plain(*a)) or made[-1])
     found = {}
     for x in N.groups(docs).collect():
@@ -95,4 +99,4 @@ def test_family_and_shared_passage(spark, monkeypatch):
     for i, g in enumerate(slow_groups(texts)):
         want.setdefault(g, set()).add(i)
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
-    assert made[0].count() < 10 * len(texts)
+    assert rare < 64 or made[0].count() < 10 * len(texts)
