@@ -1,0 +1,69 @@
+import hashlib
+import random
+import re
+
+import duckdb
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tallyglass.llm import fim
+
+D = "/root/testdata/sf0.001"
+TOKEN = re.compile(r"[A-Za-z]+|[^A-Za-z]")
+
+
+def slow(doc, text, rate=90, suffix_first=20, seed=1):
+    """n, form, prefix_chars, middle_chars, output by the letter of the definition."""
+    text = text or ""
+    units = TOKEN.findall(text)
+    digits = hashlib.sha256(f"{seed}:{'' if doc is None else doc}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(digits[i : i + 8], 16) for i in range(0, 32, 8))
+    n = len(units)
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    prefix, middle, suffix = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not text or any(s in text for s in ("<P>", "<S>", "<M>")) or h3 % 100 >= rate:
+        return n, "plain", None, None, text
+    if h4 % 100 < suffix_first:
+        return n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="abPSM<> \n\té漢😀Zz09", max_size=40))
+def test_events_against_tokens(text):
+    events = fim.Scanner().scan(text.encode())
+    units = TOKEN.findall(text)
+    assert events.units == len(units) and events.length == len(text)
+    assert events.has_sentinel == any(s in text for s in fim.SENTINELS)
+    assert [events.place(r) for r in range(len(units) + 1)] == [len("".join(units[:r])) for r in range(len(units) + 1)]
+
+
+def test_rows_and_round_trip(spark):
+    r = random.Random(2)
+    texts = [None, "", " ", "a", "é", "<P>", "x<S>y", "<M", "<P<S<M", "<", "P>", "<<P", "word " * 40_000, "漢字" * 3000, "\n\n", "a\x00b", "Ünï côdé tèxt 😀😀 ok", "no<m>lower<p>"]
+    texts += ["".join(r.choice("ab <>PSMé\n漢") for _ in range(r.randint(1, 60))) for _ in range(300)]
+    rows = [(i if i % 50 else None, t, "own", 1) for i, t in enumerate(texts)] + [(7, texts[7], "own", 1)] * 2 + [(7, "other text", "own", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, form string, n long")
+    out = fim.transform(docs)
+    found = sorted((tuple(x) for x in out.collect()), key=str)
+    want = sorted(((i, *slow(i, t)) for i, t, *_ in rows), key=str)
+    assert found == want and {x[2] for x in found} == {"plain", "psm", "spm"}
+    back = out.withColumn("back", fim.restored()).select("doc_id", "back").collect()
+    assert sorted((x.doc_id, x.back) for x in back if x.doc_id is not None) == sorted((i, t or "") for i, t, *_ in rows if i is not None)
+    assert fim.transform(docs.limit(0)).count() == 0
+
+
+def test_parameters(spark):
+    docs = spark.createDataFrame([(i, f"some words {i} to cut") for i in range(50)], "doc_id long, text string")
+    assert {x.form for x in fim.transform(docs, rate=0).collect()} == {"plain"}
+    assert {x.form for x in fim.transform(docs, rate=100, suffix_first=100).collect()} == {"spm"}
+    rows = {x.doc_id: tuple(x)[1:] for x in fim.transform(docs, seed=5).collect()}
+    assert rows == {i: slow(i, f"some words {i} to cut", seed=5) for i in range(50)}
+
+
+def test_query_against_sql(spark):
+    c = duckdb.connect()
+    c.sql(f"create view documents as from '{D}/documents.parquet'")
+    found = fim.op12_fim(spark, D)
+    want = c.sql(fim.ORACLE)
+    assert found.columns == want.columns and sorted(map(tuple, found.collect())) == sorted(want.fetchall())
