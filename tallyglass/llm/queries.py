@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyglass.llm import fim, langid, lmscore, media, mixing, packing, sharding, simhash, topk, urlfilter, warc
+from tallyglass.llm import fim, langid, lmscore, media, mixing, packing, periodic, sharding, simhash, topk, urlfilter, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_lmscore": lmscore.op9_lmscore,
     "op10_sharding": sharding.op10_sharding,
+    "op11_periodic": periodic.op11_periodic,
     "op12_fim": fim.op12_fim,
 }
 
@@ -22,5 +23,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_topk": topk.ORACLE,
     "op6_urlfilter": urlfilter.ORACLE,
     "op7_warc": warc.ORACLE,
+    "op11_periodic": periodic.ORACLE,
     "op12_fim": fim.ORACLE,
 }
