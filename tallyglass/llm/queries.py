@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyglass.llm import fim, langid, lmscore, media, mixing, packing, periodic, sharding, simhash, topk, urlfilter, warc
+from tallyglass.llm import fim, langid, lmscore, media, mixing, packing, periodic, sharding, simhash, superkmers, topk, urlfilter, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_sharding": sharding.op10_sharding,
     "op11_periodic": periodic.op11_periodic,
     "op12_fim": fim.op12_fim,
+    "op13_superkmers": superkmers.op13_superkmers,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -25,4 +26,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_warc": warc.ORACLE,
     "op11_periodic": periodic.ORACLE,
     "op12_fim": fim.ORACLE,
+    "op13_superkmers": superkmers.ORACLE,
 }

@@ -1,0 +1,96 @@
+import hashlib
+import random
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tallyglass.llm import superkmers as K
+
+D = "/root/testdata/sf0.001"
+
+
+def slow(rows, width):
+    """doc_id, n_words, n_removed, kept text by a table of all windows."""
+    rank = lambda d: 2**63 - 1 if d is None else d
+    split = [(rank(d), (t or "").encode().split()) for d, t in rows]
+    first = {}
+    for d, words in split:
+        for i in range(len(words) - width + 1):
+            w = tuple(words[i : i + width])
+            first[w] = min(d, first.get(w, d))
+    out = []
+    for (doc, _), (d, words) in zip(rows, split):
+        gone = set()
+        for i in range(len(words) - width + 1):
+            if first[tuple(words[i : i + width])] < d:
+                gone.update(range(i, i + width))
+        out.append((doc, len(words), len(gone), b" ".join(w for i, w in enumerate(words) if i not in gone).decode()))
+    return sorted(out, key=str)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from([b"a", b"b", b"c", b"dd"]), max_size=80), st.sampled_from([(5, 1), (6, 3), (4, 4), (50, 8)]))
+def test_super_kmers_hold_each_window_once(words, size):
+    width, mer = size
+    found = list(K.super_kmers(words, width, mer))
+    assert [i for _, a, n in found for i in range(a, a + n)] == list(range(max(0, len(words) - width + 1)))
+    key = {}
+    for k, a, n in found:
+        for i in range(a, a + n):
+            assert key.setdefault(tuple(words[i : i + width]), k) == k
+    if len(words) >= width:
+        ranks = K.window_ranks(np.array([int.from_bytes(w) for w in words]), width)
+        windows = [tuple(words[i : i + width]) for i in range(len(words) - width + 1)]
+        assert len(ranks) == len(windows) and len(set(zip(ranks.tolist(), windows))) == len(set(windows)) == len(set(ranks.tolist()))
+
+
+def corpus(r, width):
+    """Passages shared at many offsets, copies, near copies, repeats within a text, long and short texts."""
+    words = lambda n: [f"w{r.randrange(40)}" for _ in range(n)]
+    passages = [words(r.randint(width - 2, 3 * width)) for _ in range(4)]
+    texts = []
+    for _ in range(60):
+        parts = []
+        for _ in range(r.randint(1, 4)):
+            parts += words(r.randint(0, width))
+            if r.random() < 0.6:
+                p = r.choice(passages)
+                a = r.randrange(5)
+                parts += p[a : len(p) - r.randrange(5)]
+        texts.append(r.choice([" ", "\n", "\t "]).join(parts))
+    texts += [texts[3]] * 4 + [texts[5].replace(" ", "  ")] + [" ".join(passages[0])] * 2 + [" ".join(["x"] * (5 * width)), " ".join(["x"] * (2 * width)), " ".join(["y", *["x"] * width])]
+    return texts + [None, "", " \n", "one two", " ".join(words(60 * width)) + " " + " ".join(passages[1])]
+
+
+@pytest.mark.parametrize(("width", "mer", "most"), [(8, 2, 20_000), (8, 3, 30), (50, 8, 20_000), (50, 8, 0), (5, 1, 60), (4, 4, 20_000)])
+def test_rows_against_all_windows(spark, width, mer, most):
+    r = random.Random(width * 100 + mer)
+    texts = corpus(r, width)
+    r.shuffle(texts)
+    rows = [(i * 7 % 101 if i % 17 else None, t) for i, t in enumerate(texts)] + [(4, texts[1]), (4, texts[2]), (4, texts[2])]
+    docs = spark.createDataFrame([(d, t, "own", 1) for d, t in rows], "doc_id long, text string, t string, first long")
+    out = K.deduplicated(docs, width, mer, most)
+    assert out.columns == ["doc_id", "n_words", "n_removed", "text"]
+    found = sorted(map(tuple, out.collect()), key=str)
+    assert found == slow(rows, width) and sum(x[2] > 0 for x in found) > 5
+    assert any(0 < x[2] < x[1] for x in found)
+
+
+def test_no_rows_and_bad_sizes(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert K.deduplicated(docs).count() == 0
+    with pytest.raises(ValueError, match="minimiser"):
+        K.deduplicated(docs, 5, 6)
+
+
+def test_query_against_brute_force_and_sql(spark):
+    rows = sorted(map(tuple, K.op13_superkmers(spark, D).collect()))
+    documents = [(d.doc_id, d.text) for d in spark.read.parquet(f"{D}/documents.parquet").collect()]
+    assert rows == [(d, n, m, hashlib.sha256(t.encode()).hexdigest()) for d, n, m, t in sorted(slow(documents, 50))]
+    assert any(0 < m < n for _, n, m, _ in rows)
+    c = duckdb.connect()
+    c.sql(f"create view documents as from '{D}/documents.parquet'")
+    assert rows == sorted(c.sql(K.ORACLE).fetchall())
