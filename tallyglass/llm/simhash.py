@@ -245,7 +245,8 @@ def representatives(docs: DataFrame, max_local: int = MAX_LOCAL) -> DataFrame:
 def first_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """The row of ``docs`` with the smallest doc_id (nulls last) of each ``root`` of ``rows``, which has ``doc_id, t, root`` for every row.
 
-    Of equal rows one is taken. Columns are those of ``docs``, whatever their names.
+    Of rows with the same id and text the least by all other columns is taken, so
+    that reruns agree. Columns are those of ``docs``, whatever their names.
     """
     rows = cut(rows, "first-rows")
     first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("x"))
@@ -253,8 +254,8 @@ def first_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
     chosen = first.select(F.col("x.doc_id").alias("id"), F.col("x.t").alias("t")).join(copies, F.col("id").eqNullSafe(F.col("i")) & (F.col("t") == F.col("u"))).select("id", "t", "n")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     found = packed.join(chosen, F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")) & (F.xxhash64("row.text") == F.col("t")))
-    again = found.where("n > 1").dropDuplicates(["id", "t"])  # the same row more than once
-    return found.where("n = 1").unionByName(again).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    again = found.where("n > 1").groupBy("id", "t").agg(F.min_by("row", F.to_json("row")).alias("row"))  # to_json: also where a column has no order
+    return found.where("n = 1").select("row").unionByName(again.select("row")).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:

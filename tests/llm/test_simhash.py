@@ -99,3 +99,11 @@ def test_representatives_keep_clashing_columns(spark):
     assert out.columns == df.columns
     assert sorted((tuple(r)[:5] for r in out.collect()), key=str) == sorted([(1, "A b c d", "y", 2, 6), (None, "q r s t", "z", 3, 7), (8, "", "m", 5, 9)], key=str)
     assert S.representatives(df.limit(0)).count() == 0
+
+
+def test_first_rows_do_not_depend_on_order(spark):
+    """Rows equal in id and text: the one that stays is the same whatever the order and the columns' kinds."""
+    rows = [(1, "same text here", None, {"k": 2}), (1, "same text here", "b", {"k": 1}), (1, "same text here", "a", {"k": 3}), (2, "same text here", "a", {"k": 0})]
+    schema = "doc_id long, text string, source string, more map<string,int>"
+    found = {str(S.representatives(spark.createDataFrame(r, schema).repartition(n)).collect()) for r in (rows, rows[::-1]) for n in (1, 3)}
+    assert len(found) == 1 and "doc_id=1" in found.pop()
