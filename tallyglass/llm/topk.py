@@ -32,7 +32,9 @@ from tallyglass.storage import cut
 SHARD_ROWS, BLOCK_QUERIES, LEAF_ROWS, TOGETHER = 8192, 16_384, 128, 1024
 #: The cells' tree is fitted on about CELL_SAMPLE rows for each of at most MOST_CELLS cells.
 MOST_CELLS, CELL_SAMPLE = 4096, 32
-_LEAST, _MOST, _NONE = -(2**63), 2**63 - 1, -(2**200)
+_LEAST, _MOST = -(2**63), 2**63 - 1
+#: Below any score, by the type that scores are exact in (see ``_number_type``); its negative is one of that type too.
+_NONE = {np.float64: -np.inf, np.int64: -(2**62), object: -(2**200)}
 
 
 def quantise(column: str = "embedding"):
@@ -124,6 +126,11 @@ class Tree:
         return out
 
 
+def _floors(floors, kind) -> np.ndarray:
+    """Scores to be reached, in the type of the scores."""
+    return np.array([_NONE[kind] if x is None else x for x in floors], kind)
+
+
 def search(ids, keys, vectors, query_keys, queries, floor, k: int, leaf_rows: int = LEAF_ROWS):
     """The ``k`` best of ``vectors`` for each of ``queries``: ``(query row, id, score)`` arrays.
 
@@ -133,8 +140,8 @@ def search(ids, keys, vectors, query_keys, queries, floor, k: int, leaf_rows: in
     """
     kind = _number_type(vectors, queries)
     vectors, queries = vectors.astype(kind), queries.astype(kind)
-    none = _NONE if kind is object else -np.inf  # below any score
-    floor = np.array([none if x is None else x for x in floor], object if kind is object else np.float64)
+    none = _NONE[kind]
+    floor = _floors(floor, kind)
     tree, out = Tree(vectors, leaf_rows), []
     for at in range(0, len(queries), TOGETHER):
         own = slice(at, at + TOGETHER)
@@ -161,7 +168,7 @@ def _search_part(tree: Tree, ids, keys, vectors, query_keys, queries, floor, k:
             kth = np.sort(scores(rows, members), axis=1)[:, -k]
             worst[rows] = np.maximum(worst[rows], kth)
     bound = tree.bounds(queries, worst, none)
-    order = np.argsort(-bound, axis=1, kind="stable")
+    order = np.argsort(bound, axis=1, kind="stable")[:, ::-1]
     best_score, best_id = np.full((n, k), none, worst.dtype), np.full((n, k), _MOST)
     rows, leaves = np.arange(n), np.array(tree.leaves)
     for step in range(len(leaves)):
@@ -289,8 +296,7 @@ def _route(first: bool):
                 rows.append(np.arange(len(bound)) + at)
                 columns.append(np.argmax(bound, axis=1))
             else:
-                floor = np.array([_NONE if x is None else x for x in floors[at : at + TOGETHER]], object)
-                i, j = np.nonzero(bound >= (floor if kind is object else np.array([-np.inf if x == _NONE else x for x in floor]))[:, None])
+                i, j = np.nonzero(bound >= _floors(floors[at : at + TOGETHER], kind)[:, None])
                 rows.append(i + at)
                 columns.append(j)
         i, j = np.concatenate(rows), np.concatenate(columns)
@@ -377,7 +383,7 @@ WITH v AS (
   SELECT row_number() OVER () AS own, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT a.own, a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+  SELECT a.own, a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: CAST(z[1] AS HUGEINT) * z[2])) AS BIGINT) AS score
   FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.own <> b.own AND len(a.q) = len(b.q)),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5

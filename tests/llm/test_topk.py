@@ -39,6 +39,27 @@ def test_clustered_and_equal_vectors(spark):
     assert sorted(map(tuple, K.top_k(df, every=7, shard_rows=40).collect())) == brute(data, 7)
 
 
+def test_scores_beyond_doubles(spark):
+    """Scores of 2^52 to 2^62, one apart, in the type for them: best rows are not lost by rounding."""
+    big = 2.0**22 / 256
+    data = [(50, [big, 1 / 256]), (3, [2.0**38 / 256, 0.0]), (1, [2.0**38 / 256, 2 / 256]), (2, [2.0**38 / 256, 1 / 256]), (9, [2.0**38 / 256, 3 / 256])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    for rows in (2, 8192):
+        assert [tuple(x) for x in K.top_k(df, k=2, shard_rows=rows).orderBy("rank").collect()] == [(50, 1, 9, 2**60 + 3), (50, 2, 1, 2**60 + 2)]
+    r = np.random.default_rng(9)
+    for bits in (25, 27, 28, 30):  # components of so many bits: floats, longs, then Python's integers
+        data = [(int(i), [float(x) for x in r.integers(-(2**bits), 2**bits, 8) / 256]) for i in range(150)]
+        data += [(200 + i, [x + (i % 2) / 256 for x in data[0][1]]) for i in range(12)]
+        found = sorted(map(tuple, K.top_k(spark.createDataFrame(data, "vec_id long, embedding array<double>"), every=10, shard_rows=30).collect()))
+        known = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in data]
+        want = []
+        for i, q in known:
+            if i % 10 == 0:
+                best = sorted((-sum(x * y for x, y in zip(q, w)), j) for j, w in known if j != i)[:5]
+                want += [(i, n + 1, j, min(max(-s, -(2**63)), 2**63 - 1)) for n, (s, j) in enumerate(best)]
+        assert found == sorted(want), bits
+
+
 def test_tree_bounds_prune():
     r = np.random.default_rng(3)
     v = np.concatenate([r.normal(c, 0.1, (200, 4)) for c in (-9, 0, 9)])
