@@ -17,8 +17,10 @@ What travels is kept small, without leaving out a window:
   themselves, one for each digest, and count their windows exactly: the words
   of a bucket are ranked, ranks of pairs give those of strings twice as long, and so
   on to the window; windows of equal rank are equal.
-* A bucket of more than ``most`` words is not held by one task: its strings send
-  each window's digest instead, and a grouped minimum finds the first document.
+* A bucket of more than ``most`` words is not held by one task. Its strings are cut
+  into pieces of a few windows, at fixed distances from the minimiser, so that copies
+  are cut alike; digests of pieces, and of the windows of those pieces that still differ, find
+  their first document by grouped minima.
 
 A later occurrence of a string loses all its windows; in the first document a
 window goes if it starts in an earlier document through another string.
@@ -43,14 +45,16 @@ WIDTH, MER = 50, 8
 MOST = 20_000
 #: Words of the buckets that a task ranks together.
 TOGETHER = 500_000
+#: Windows of a piece of a string in a larger bucket.
+PIECE = 8
 #: Stands for a null doc_id: later than all others.
 _LAST = 2**63 - 1
 
 _TIMES = np.random.default_rng(13).integers(0, 2**63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def minimisers(words: list[bytes], width: int = WIDTH, mer: int = MER) -> np.ndarray:
-    """The minimiser of each window."""
+def mers(words: list[bytes], mer: int = MER) -> np.ndarray:
+    """The hash of each string of ``mer`` words."""
     n = len(words) - mer + 1
     h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     least = np.zeros(n, np.uint64)
@@ -59,6 +63,12 @@ def minimisers(words: list[bytes], width: int = WIDTH, mer: int = MER) -> np.nda
     least ^= least >> np.uint64(31)
     least *= _TIMES[-1]
     least ^= least >> np.uint64(29)
+    return least
+
+
+def minimisers(words: list[bytes], width: int = WIDTH, mer: int = MER) -> np.ndarray:
+    """The minimiser of each window."""
+    least = mers(words, mer)
     held, room = 1, width - mer + 1  # values that each minimum has seen
     while held < room:
         step = min(held, room - held)
@@ -183,23 +193,56 @@ def _ranked(width: int):
     return run
 
 
-def _windows(width: int):
-    """A row for each window of a string: its digest and place."""
+def pieces(words: list[bytes], key: int, width: int = WIDTH, mer: int = MER) -> Iterator[tuple[int, int, int]]:
+    """Number, first window and end of the pieces of a super-k-mer with the minimiser ``key``: windows in a row at like distances (``PIECE``) from it."""
+    places = np.flatnonzero(mers(words, mer).view(np.int64) == key)
+    at = np.arange(len(words) - width + 1)
+    before = places[np.searchsorted(places, at)]
+    number = (before - at) // PIECE
+    edges = [0, *(np.flatnonzero((np.diff(before) != 0) | (np.diff(number) != 0)) + 1).tolist(), len(at)]
+    for a, b in zip(edges, edges[1:]):
+        yield int(number[a]), a, b
+
+
+_PIECE = "key long, number long, first long, s1 long, s2 long, a int, p1 long, p2 long, w array<struct<w1:long,w2:long>>"
+
+
+def _pieces(width: int, mer: int):
+    """The pieces of strings, with digests of them and of their windows."""
+    names = [x.split()[0] for x in _PIECE.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, s1, s2, text in zip(*(batch.column(c).to_pylist() for c in range(4))):
+            for key, first, s1, s2, text in zip(*(batch.column(c).to_pylist() for c in range(5))):
                 words = text.split()
-                n = len(words) - width + 1
-                for at in range(0, n, 10_000):
-                    own = [_digest(b" ".join(words[i : i + width])) for i in range(at, min(n, at + 10_000))]
-                    w1, w2 = zip(*own)
-                    columns = [pa.array(w1, pa.int64()), pa.array(w2, pa.int64()), *(pa.array([v] * len(own), pa.int64()) for v in (first, s1, s2)), pa.array(range(at, at + len(own)), pa.int32())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "first", "s1", "s2", "a"])
+                rows, digests = [], []
+                for number, a, b in pieces(words, key, width, mer):
+                    own = [_digest(b" ".join(words[i : i + width])) for i in range(a, b)]
+                    rows.append((key, number, first, s1, s2, a, *_digest(b" ".join(words[a : b + width - 1]))))
+                    digests.append(own)
+                flat = np.array([d for own in digests for d in own], np.int64).reshape(-1, 2)
+                windows = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, j])) for j in (0, 1)], names=["w1", "w2"])
+                offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in digests])]), pa.int32())
+                columns = [pa.array(c, pa.int32() if n == "a" else pa.int64()) for c, n in zip(zip(*rows), names)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(offsets, windows)], names=names)
 
     return run
 
 
+def _spread(texts: DataFrame, width: int, mer: int) -> DataFrame:
+    """Spans of earlier windows in buckets that no task holds."""
+    rows = cut(texts.select("key", "first", "s1", "s2", "words").mapInArrow(_pieces(width, mer), _PIECE), "superkmer-pieces")
+    differ = (F.min("p1") != F.max("p1")) | (F.min("p2") != F.max("p2"))
+    several = rows.groupBy("key", "number").agg(differ.alias("several")).where("several").select("key", "number")
+    earliest = rows.groupBy("p1", "p2").agg(F.min("first").alias("x"))
+    rows = cut(rows.join(earliest, ["p1", "p2"]), "superkmer-pieces")
+    later = rows.where("x < first").select("s1", "s2", "a", (F.col("a") + F.size("w")).alias("b"))
+    windows = rows.where("x = first").join(several, ["key", "number"]).select("first", "s1", "s2", "a", F.posexplode("w").alias("i", "w")).select("first", "s1", "s2", (F.col("a") + F.col("i")).alias("a"), "w.*")
+    windows = cut(windows, "superkmer-windows")
+    earliest = windows.groupBy("w1", "w2").agg(F.min("first").alias("x"), F.max("first").alias("y")).where("x < y").select("w1", "w2", "x")
+    return later.unionByName(windows.join(earliest, ["w1", "w2"]).where("x < first").select("s1", "s2", "a", (F.col("a") + 1).alias("b")))
+
+
 def spans(docs: DataFrame, width: int = WIDTH, mer: int = MER, most: int = MOST) -> DataFrame:
     """``doc, t, a, b``: stretches of windows of a document (a to b - 1) that start in one with a smaller doc_id as well; ``docs`` is ``doc, t, text``."""
     marks = cut(docs.select("doc", "t", F.col("text").cast("binary").alias("text")).mapInArrow(_marks(width, mer), _MARK), "superkmer-marks")
@@ -217,10 +260,7 @@ def spans(docs: DataFrame, width: int = WIDTH, mer: int = MER, most: int = MOST)
     texts = texts.select(F.col("text").cast("binary").alias("text"), "asked").mapInArrow(_strings(width), "key long, hot boolean, first long, s1 long, s2 long, words binary")
     texts = cut(texts, "superkmer-texts")
     here = texts.where("not hot").select("key", "first", "s1", "s2", "words").repartition("key").sortWithinPartitions("key").mapInArrow(_ranked(width), _SPAN)
-    windows = cut(texts.where("hot").select("first", "s1", "s2", "words").mapInArrow(_windows(width), "w1 long, w2 long, first long, s1 long, s2 long, a int"), "superkmer-windows")
-    earliest = windows.groupBy("w1", "w2").agg(F.min("first").alias("x"), F.max("first").alias("y")).where("x < y").select("w1", "w2", "x")
-    spread = windows.join(earliest, ["w1", "w2"]).where("x < first").select("s1", "s2", "a", (F.col("a") + 1).alias("b"))
-    partly = here.unionByName(spread).distinct()
+    partly = here.unionByName(_spread(texts.where("hot"), width, mer)).distinct()
 
     found = marks.join(strings.where("first < last").select("s1", "s2", "first"), ["s1", "s2"]).where("doc > first").select("doc", "t", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b"))
     owned = strings.where("several").select("s1", "s2", "first").join(partly, ["s1", "s2"])

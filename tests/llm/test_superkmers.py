@@ -41,6 +41,14 @@ def test_super_kmers_hold_each_window_once(words, size):
     for k, a, n in found:
         for i in range(a, a + n):
             assert key.setdefault(tuple(words[i : i + width]), k) == k
+    cut_at = {}
+    for k, a, n in found:
+        own = words[a : a + n + width - 1]
+        parts = list(K.pieces(own, k, width, mer))
+        assert [i for _, x, y in parts for i in range(x, y)] == list(range(n))
+        for number, x, y in parts:
+            for i in range(x, y):
+                assert cut_at.setdefault(tuple(own[i : i + width]), number) == number
     if len(words) >= width:
         ranks = K.window_ranks(np.array([int.from_bytes(w) for w in words]), width)
         windows = [tuple(words[i : i + width]) for i in range(len(words) - width + 1)]
