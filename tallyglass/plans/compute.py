@@ -169,8 +169,8 @@ def chart_marks(rows: DataFrame, today: Column, span: str = "1y", purchases_only
     return x.withColumn("shown", F.coalesce("px_adj", "px"))
 
 
-def quality(rows: DataFrame, repaired: DataFrame | None = None) -> DataFrame:
-    """One row of counters: rows, passed, without price or entry, reassigned and unknown symbols, with tickers; sums of the repairs, from ``repair.counters``."""
+def quality(rows: DataFrame, repaired: DataFrame | None = None, states: DataFrame | None = None) -> DataFrame:
+    """One row of counters: rows, passed, without price or entry, reassigned and unknown symbols, with tickers; sums of the repairs, from ``repair.counters``; filings ``recovered`` from broken markup and ``lost``, from ``filing_states``."""
     has = lambda c: F.coalesce(F.col(c).cast("boolean"), F.lit(False)) if c in rows.columns else F.lit(False)
     tickers = lambda on: F.count_distinct(F.when(on, F.col("ticker")))
     out = rows.agg(
@@ -180,6 +180,8 @@ def quality(rows: DataFrame, repaired: DataFrame | None = None) -> DataFrame:
     if repaired is not None:
         names = [c for c in repaired.columns if c.startswith("n_")]
         out = out.join(F.broadcast(repaired.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names], F.count_if(sum((F.col(c) for c in names), F.lit(0)) > 0).alias("series_repaired"))))
+    if states is not None:
+        out = out.join(F.broadcast(states.agg(*[F.count_if(F.col("state") == c).alias(c) for c in ("recovered", "lost")])))
     return out
 
 

@@ -6,19 +6,17 @@ DataFrame work shared by all.
 
 from __future__ import annotations
 
-import io
 import re
 import xml.etree.ElementTree as ET
-import zipfile
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyglass.functions import scalars as S
 from tallyglass.operators.filings import fold_fills, fold_ownership
+from tallyglass.sources.archive import PARTITION_BYTES, zip_table
 
 NOTE_FIELDS = (
     "TRANS_SHARES_FN", "TRANS_PRICEPERSHARE_FN", "SECURITY_TITLE_FN", "TRANS_ACQUIRED_DISP_CD_FN", "NATURE_OF_OWNERSHIP_FN", "DIRECT_INDIRECT_OWNERSHIP_FN",
@@ -26,19 +24,6 @@ NOTE_FIELDS = (
 )
 
 
-def zip_members(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
-    """``path, member, content``: named text members of zip archives; a missing member gives no row."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at, data in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(data)) as z:
-                    have = set(z.namelist())
-                    yield pd.DataFrame([(at, n, z.read(n).decode("utf-8", "replace")) for n in names if n in have], columns=["path", "member", "content"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, member string, content string")
-
-
 def tsv_rows(texts: DataFrame, columns: Sequence[str], content: str = "content", keep: Sequence[str] = ()) -> DataFrame:
     """Rows of tab-separated texts with a header, without quoting; a missing column or cell is empty, blank lines are left out."""
     lines = F.split(F.regexp_replace(content, "\r", ""), "\n")
@@ -121,17 +106,21 @@ def normalise_quarter(submission: DataFrame, owner: DataFrame, transaction: Data
     return assemble(filings, owners, fills, notes)
 
 
-def read_quarters(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Trades and markers of all quarterly zip archives under ``path``; the footnote table may be missing."""
-    tables = {"SUBMISSION.tsv": SUBMISSION, "REPORTINGOWNER.tsv": OWNER, "NONDERIV_TRANS.tsv": TRANSACTION, "FOOTNOTES.tsv": FOOTNOTE}
-    members = zip_members(spark, path, list(tables))
-    return normalise_quarter(*[tsv_rows(members.where(F.col("member") == n), columns) for n, columns in tables.items()])
+def read_quarters(spark: SparkSession, path: str, partition_bytes: int = PARTITION_BYTES) -> tuple[DataFrame, DataFrame]:
+    """Trades and markers of all quarterly zip archives under ``path``; the footnote table may be missing.
+
+    A large table is read by several tasks, which make rows only of what counts.
+    """
+    table = lambda name, columns: zip_table(spark, path, f"{name}.tsv", columns, partition_bytes)
+    submission = table("SUBMISSION", SUBMISSION).where(F.col("DOCUMENT_TYPE").isin("4", "4/A"))
+    dealt = table("NONDERIV_TRANS", TRANSACTION).where(F.col("TRANS_CODE").isin("P", "S"))
+    return normalise_quarter(submission, table("REPORTINGOWNER", OWNER), dealt, table("FOOTNOTES", FOOTNOTE))
 
 
-def index_entries(lines: DataFrame, value: str = "value") -> DataFrame:
-    """``form, cik, path`` from lines of daily indexes: forms 4 and 4/A, columns two or more blanks apart."""
-    x = lines.where(F.col(value).rlike(r"(?U)^(4|4/A)\s{2,}")).select(F.split(F.trim(value), r"(?U)\s{2,}").alias("p")).where(F.size("p") >= 5)
-    return x.select(F.col("p")[0].alias("form"), F.col("p")[2].try_cast("long").alias("cik"), F.trim(F.col("p")[4]).alias("path"))
+def index_entries(lines: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """``form, cik, path`` (and ``keep``) from lines of daily indexes: forms 4 and 4/A, columns two or more blanks apart."""
+    x = lines.where(F.col(value).rlike(r"(?U)^(4|4/A)\s{2,}")).select(*keep, F.split(F.trim(value), r"(?U)\s{2,}").alias("p")).where(F.size("p") >= 5)
+    return x.select(*keep, F.col("p")[0].alias("form"), F.col("p")[2].try_cast("long").alias("cik"), F.trim(F.col("p")[4]).alias("path"))
 
 
 def unescape(s: Column | str) -> Column:
@@ -148,20 +137,93 @@ _FILING = (
 )
 
 
-def _filing_rows(acc: str, fdate, text: str) -> Iterator[dict]:
-    """The parts of one filing, as rows of the normalised tables; nothing for other documents or broken XML."""
-    envelope = re.search(r"<XML>(.*?)</XML>", text or "", re.S)
+_TAG = re.compile(r"<!--.*?-->|<\?.*?\?>|<!\[CDATA\[(.*?)\]\]>|<(/?)([A-Za-z][\w.:-]*)((?:\s[^<>]*?)?)(/?)>", re.S)
+_ATTRIBUTE = re.compile(r"""([\w.:-]+)\s*=\s*["']?([^"'\s>]*)""")
+
+
+def recovered(markup: str) -> ET.Element | None:
+    """The elements that can be told from markup that is no XML; None if there are none.
+
+    A tag closes the nearest element of its name. Elements within that were never
+    closed count as missing: their children go to what is around them, their own
+    text is dropped, as it has no end (with attributes they stay as empty ones). So do those that are open at the end; an end tag
+    without a start is passed over. Unknown entities and bare ampersands are text.
+    """
+    top = ET.Element("")
+    stack, at = [top], 0
+
+    def text(s: str) -> None:
+        e = stack[-1]
+        if len(e):
+            e[-1].tail = (e[-1].tail or "") + s
+        else:
+            e.text = (e.text or "") + s
+
+    def abandon() -> None:
+        """The innermost element has no end."""
+        lost = stack.pop()
+        stack[-1].remove(lost)
+        if lost.attrib:
+            ET.SubElement(stack[-1], lost.tag, lost.attrib)
+        for child in lost:
+            child.tail = None
+            stack[-1].append(child)
+
+    for m in _TAG.finditer(markup):
+        text(_plain(markup[at : m.start()]))
+        at = m.end()
+        data, end, name, attributes, empty = m.groups()
+        if data is not None:
+            text(data)
+        elif end:
+            if any(e.tag == name for e in stack[1:]):
+                while stack[-1].tag != name:
+                    abandon()
+                stack.pop()
+        elif name:
+            e = ET.SubElement(stack[-1], name, {k: _plain(v) for k, v in _ATTRIBUTE.findall(attributes)})
+            if not empty:
+                stack.append(e)
+    document = next((e for e in stack if e.tag == "ownershipDocument"), None)  # the document itself may be cut off
+    while stack[-1] is not top and stack[-1] is not document:
+        abandon()
+    return document if document is not None else next(iter(top), None)
+
+
+def _plain(s: str) -> str:
+    """``unescape`` for one string."""
+    if "&" not in s:
+        return s
+    s = re.sub(r"&#\d+;", " ", s)
+    for name, c in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
+        s = s.replace(f"&{name};", c)
+    return s
+
+
+def document(text: str | None) -> tuple[ET.Element | None, str]:
+    """The ownership document of a filing and how it was read: ``ok``, ``recovered`` (no XML), ``lost`` (no document could be told) or ``other`` (of another kind, or without an envelope)."""
+    envelope = re.search(r"<XML>(.*?)(?:</XML>|\Z)", text or "", re.S)
     if not envelope:
-        return
+        return None, "other"
+    state = "ok"
     try:  # numeric entities stand for a blank here
         root = ET.fromstring(re.sub(r"&#\d+;", " ", envelope[1].strip()))
     except ET.ParseError:
+        root, state = recovered(envelope[1]), "recovered"
+    if root is None or root.tag != "ownershipDocument":
+        return None, "lost" if "<ownershipDocument" in envelope[1] else "other"
+    form = (root.findtext("documentType") or "").strip()
+    return (root, state) if form in ("4", "4/A") else (None, "other" if form else "lost")
+
+
+def _filing_rows(acc: str, fdate, text: str) -> Iterator[dict]:
+    """The parts of one filing, as rows of the normalised tables; nothing for other documents."""
+    root, _ = document(text)
+    if root is None:
         return
     value = lambda e, path: ("".join(x.itertext()).strip() if e is not None and (x := e.find(path)) is not None else None)
     true = lambda s: s in ("1", "true")
     form = value(root, "documentType")
-    if root.tag != "ownershipDocument" or form not in ("4", "4/A"):
-        return
     base, issuer, remarks = {"acc": acc, "fdate": fdate}, root.find("issuer"), value(root, "remarks") or ""
     cik = value(issuer, "issuerCik")
     yield base | {
@@ -201,7 +263,17 @@ def parse_filings(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
         "acc", "code", "swap", S.iso_date("tdate").alias("tdate"), S.to_number("sh").alias("sh"), S.to_number("px").alias("px"), S.to_number("own").alias("own"),
         F.when(F.col("di") == "I", "I").otherwise("D").alias("di"), "sec", "note_ids",
     )
-    return assemble(filings, owners, fills, x.where("kind = 'note'").select("acc", "id", "text"))
+    return assemble(filings, owners, fills, x.where("kind = 'note' and text <> ''").select("acc", "id", "text"))
+
+
+def filing_states(texts: DataFrame) -> DataFrame:
+    """``acc, state`` of single filings, see ``document``: what was read from broken markup, and what was lost, can be counted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([document(t)[1] for t in batch.column(1).to_pylist()], pa.string())], names=["acc", "state"])
+
+    return texts.select(F.col("acc").cast("string"), F.col("text").cast("string")).mapInArrow(run, "acc string, state string")
 
 
 def ticker_reference(spark: SparkSession, path: str) -> DataFrame:

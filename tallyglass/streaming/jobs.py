@@ -18,6 +18,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from tallyglass.operators.filings import newest, write_by_year
+from tallyglass.sources.filings import index_entries
 from tallyglass.storage import cut
 
 
@@ -61,6 +62,15 @@ def pending_days(indexed: DataFrame, last: Column, today: Column) -> DataFrame:
     return x.where("has").join(F.broadcast(late)).where(F.col("late").isNull() | (F.col("d") < F.col("late"))).select("d").orderBy("d")
 
 
+def follow(lines: DataFrame, keep: Callable[[DataFrame], None], checkpoint: str) -> StreamingQuery:
+    """Hand the filings of the days that are ready, each once though several parties list it, to ``keep``: ``day, form, cik, path``. ``lines`` is ``archive.daily_tail``."""
+
+    def batch(df: DataFrame, _: int) -> None:
+        keep(df.groupBy("day", "path").agg(F.min("form").alias("form"), F.min("cik").alias("cik")).select("day", "form", "cik", "path"))
+
+    return index_entries(lines, keep=["day"]).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def corrected(log: DataFrame, content_keys: Sequence[str], order: str = "acc") -> DataFrame:
     """The log as it stands: of one content the amendment, else the later filing."""
     amended = F.when(F.col("form") == "4/A", 0).otherwise(1)

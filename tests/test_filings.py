@@ -106,3 +106,42 @@ def test_price_sources(spark):
     bars, splits = P.nominal_bars(spark.createDataFrame(rows, "ticker string, date string, close double, adjClose double, volume double, adjVolume double, splitFactor double"))
     assert [r.close for r in bars.orderBy("d").collect()] == [50, 51, 52, 53] and [(str(r.d), r.ratio) for r in splits.collect()] == [("2020-01-03", 2.0)]
     assert bars.first().vol == 20
+
+
+def rows_of(spark, *texts):
+    df = spark.createDataFrame([(f"X{i}", "2026-07-01", t) for i, t in enumerate(texts)], "acc string, fdate string, text string")
+    return {r.acc: r for r in R.parse_filings(df)[0].collect()}, {r.acc: r.state for r in R.filing_states(df).collect()}
+
+
+def test_broken_filings_are_read_as_far_as_they_go(spark):
+    good = FILING.format(fills=fills("2026-06-30"))
+    broken = [
+        good.replace("Oak &amp; Elm", "Oak & Elm"),  # a bare ampersand
+        good.replace("</issuerTradingSymbol>", "</issuerTradingSymbol></b>"),  # an end without a start
+        good.replace('<footnoteId id="F1"/>', "<footnoteId id=F1>"),  # neither quoted nor closed
+        good.replace("<securityTitle><value>Common</value></securityTitle>", "<securityTitle><value>Common</securityTitle>"),  # the value has no end: the title stands
+        good.replace("<transactionCode>F</transactionCode>", "<transactionCode>F"),  # that fill has no code and counts no more than before
+        good[: good.index("<footnotes>")],  # cut off: no notes
+        good.replace("<documentType>4</documentType>", "<documentType>4 & more"),  # lost
+        good.replace("&amp;", "&nbsp;"),  # an entity that XML does not know stays as it is
+        good,
+    ]
+    rows, states = rows_of(spark, *broken, "no envelope", None, "<XML><edgarSubmission/></XML>", "<XML><a></XML>", "<XML><ownershipDocument", "<XML></XML>")
+    assert [states[f"X{i}"] for i in range(15)] == [*["recovered"] * 6, "lost", "recovered", "ok", *["other"] * 4, "lost", "other"]
+    assert set(rows) == {f"X{i}" for i in (0, 1, 2, 3, 4, 5, 7, 8)}
+    plain = rows["X8"].asDict() | {"acc": None}
+    for i in (0, 1, 2, 4):
+        assert rows[f"X{i}"].asDict() | {"acc": None} == plain, i
+    assert rows["X3"].asDict() | {"acc": None, "sec": None} == plain | {"sec": None} and rows["X3"].sec == ""
+    assert rows["X5"].sh == 4000 and not rows["X5"].fn.wavg and rows["X7"].owners[0].name == "Oak &nbsp; Elm Trust"
+
+
+def test_recovery_of_whole_markup_is_parsing():
+    text = FILING.format(fills=fills("2026-06-30"))
+    xml = text[text.index("<own") : text.index("</XML>")]
+    shape = lambda e: (e.tag, dict(e.attrib), "".join(e.itertext()), [shape(x) for x in e])
+    assert shape(R.recovered("<?xml version='1.0'?><!-- <b> -->" + xml)) == shape(R.ET.fromstring(xml))
+    assert R.recovered("no tags & none") is None and R.recovered("</a>") is None
+    e = R.recovered("<a>x<b>y<c>z</c>t</a>")
+    assert shape(e) == ("a", {}, "xz", [("c", {}, "z", [])])  # b was never closed: its own text goes, what is in it stays
+    assert shape(R.recovered('<a k="1&lt;2" m=3><![CDATA[<q>]]></a>')) == ("a", {"k": "1<2", "m": "3"}, "<q>", [])
