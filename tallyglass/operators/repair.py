@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyglass.operators.rolling import without_spikes
+
 
 @dataclass
 class Bars:
@@ -46,51 +48,10 @@ def _positive(x: np.ndarray) -> np.ndarray:
 
 def drop_spikes(s: Bars, window: int = 30, limit: float = 3.0, passes: int = 3) -> Bars:
     """Remove bars far from their neighbours, in up to three passes; see ``series.spike_candidates``."""
-    for _ in range(passes):
-        n = len(s)
-        if n < 5:
-            break
-        ln = np.zeros(n)
-        ln[s.adj > 0] = np.log(s.adj[s.adj > 0])
-        total = np.concatenate([[0.0], np.cumsum(ln)])
-        at = np.arange(n)
-        lo, hi = np.maximum(0, at - window), np.minimum(n - 1, at + window)
-        others = np.maximum(hi - lo, 1)
-        far = np.abs(ln - (total[hi + 1] - total[lo] - ln) / others) >= log(1.25)
-        tested = np.flatnonzero(far & (at - lo >= 3) & (hi - at >= 3))
-        gone = tested[_spikes(s, tested, window, limit)].tolist()
-        if not gone:
-            break
-        s.count("spikes", len(gone))
-        s = s.take(np.delete(at, gone))
-    return s
-
-
-def _row_medians(x: np.ndarray) -> np.ndarray:
-    """True medians of the rows, without NaN; 0 for a row of nothing else."""
-    x = np.sort(x, axis=1)  # NaN comes last
-    n = (~np.isnan(x)).sum(axis=1)
-    row = np.arange(len(x))
-    return np.where(n > 0, (x[row, np.maximum(n - 1, 0) // 2] + x[row, np.minimum(n // 2, x.shape[1] - 1)]) / 2, 0.0)
-
-
-def _spikes(s: Bars, tested: np.ndarray, window: int, limit: float) -> np.ndarray:
-    """Which of the tested bars are spikes, all at once."""
-    if not len(tested):
-        return np.zeros(0, bool)
-    steps = np.concatenate([np.arange(-window, 0), np.arange(1, window + 1)])
-    at = tested[:, None] + steps
-    inside = (at >= 0) & (at < len(s))
-    at = np.clip(at, 0, len(s) - 1)
-    price = np.where(inside, s.adj[at], np.nan)
-    volume = np.where(inside & (s.vol[at] > 0), s.vol[at], np.nan)
-    left, right, middle, usual = _row_medians(price[:, :window]), _row_medians(price[:, window:]), _row_medians(price), _row_medians(volume)
-    own = s.adj[tested]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        shifted = (np.minimum(left, right) > 0) & (np.maximum(left, right) / np.minimum(left, right) > limit)
-        off = np.where(own > 0, np.maximum(own / middle, middle / own), np.inf)
-    confirmed = (off < 10) & (usual > 0) & (s.vol[tested] > 1.5 * usual)
-    return (middle > 0) & ~shifted & (off > limit) & ~confirmed
+    left = without_spikes(s.adj, s.vol, window, limit, passes)
+    if len(left) < len(s):
+        s.count("spikes", len(s) - len(left))
+    return s.take(left)
 
 
 def apply_missed_splits(s: Bars, splits: list[tuple[int, float]], tolerance: float = 0.25, around: int = 3) -> Bars:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from tallyglass.functions.scalars import adv_bucket, ratio, rnd
+from tallyglass.operators import rolling
 from tallyglass.operators.asof import as_of, calendar_as_of, entry_after, per_day
 
 YEAR_BARS, MONTH_BARS, MIN_BARS = 252, 21, 30
@@ -18,17 +22,39 @@ def _by_day():
     return Window.partitionBy("ticker").orderBy("d")
 
 
-def lower_median(values) -> F.Column:
-    """The middle value of an array, the lower of two; null for an empty one."""
-    s = F.sort_array(values)
-    return F.when(F.size(s) > 0, F.element_at(s, ((F.size(s) - 1) / 2).cast("int") + 1))
-
-
 def drawdown_bars(bars: DataFrame) -> DataFrame:
-    """``dd``: close against its high of the last 252 bars, from the 31st bar on."""
-    high = F.max("close").over(_by_day().rowsBetween(-(YEAR_BARS - 1), 0))
-    dd = F.when((F.col("i") >= MIN_BARS) & (high > 0) & (F.col("close") > 0), rnd(ratio("close", high) - 1))
-    return bars.withColumn("dd", dd)
+    """``dd``: close against its high of the last 252 bars, from the 31st bar on.
+
+    A window of 252 bars is the end of one block of 252 and the beginning of the
+    next: the running high of a block so far, and that of a block from a bar on,
+    251 bars before. So each bar is looked at twice, whatever the length of the window.
+    """
+    x = bars.withColumn("__row", F.row_number().over(_by_day()) - 1).withColumn("__block", F.floor(F.col("__row") / YEAR_BARS))
+    block = Window.partitionBy("ticker", "__block")
+    upto = block.orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
+    onward = block.orderBy(F.desc("d")).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("__rest", F.max("close").over(onward)).withColumn("__so_far", F.max("close").over(upto))
+    high = F.greatest("__so_far", F.lag("__rest", YEAR_BARS - 1).over(_by_day()))  # nulls are passed over
+    x = x.withColumn("__high", high)
+    dd = F.when((F.col("i") >= MIN_BARS) & (F.col("__high") > 0) & (F.col("close") > 0), rnd(ratio("close", "__high") - 1))
+    return x.select(*bars.columns, dd.alias("dd"))
+
+
+def _highs(rows: DataFrame, days: int) -> DataFrame:
+    """The high of ``close`` in the ``days`` before each row with ``__asked``, its own day included: ``ticker, __n, high``. ``rows``: ticker, __n (day number), close, __asked.
+
+    As in ``drawdown_bars``, with blocks of as many days: the answer is the higher of a block's running high at the window's end
+    and of another's, taken from its end, at the window's beginning.
+    """
+    size = days + 1
+    edges = rows.where("__asked").select("ticker", F.explode(F.array(F.struct("__n", F.lit(True).alias("end"), F.col("__n").alias("of")), F.struct((F.col("__n") - days).alias("__n"), F.lit(False).alias("end"), F.col("__n").alias("of")))).alias("x"))
+    laid = rows.where("not __asked").select("ticker", "__n", "close", F.lit(None).cast("boolean").alias("end"), F.lit(None).cast("int").alias("of"))
+    laid = laid.unionByName(edges.select("ticker", "x.__n", F.lit(None).cast("double").alias("close"), "x.end", "x.of"))
+    block = Window.partitionBy("ticker", F.floor(F.col("__n") / size))
+    upto = block.orderBy("__n").rangeBetween(Window.unboundedPreceding, 0)
+    onward = block.orderBy(F.desc("__n")).rangeBetween(Window.unboundedPreceding, 0)
+    laid = laid.withColumn("__so_far", F.max("close").over(upto)).withColumn("__rest", F.max("close").over(onward)).where("end is not null")
+    return laid.groupBy("ticker", F.col("of").alias("__n")).agg(F.max(F.when(F.col("end"), F.col("__so_far")).otherwise(F.col("__rest"))).alias("high"))
 
 
 def drawdown_calendar(bars: DataFrame, probes: DataFrame, day: str = "tdate", days: int = 365) -> DataFrame:
@@ -37,18 +63,18 @@ def drawdown_calendar(bars: DataFrame, probes: DataFrame, day: str = "tdate", da
     The window begins at the probe's day, not at the bar's: the distinct days that
     are asked for stand in the same ordered series as bars, as rows without a price.
     """
-    none = F.lit(None)
+    none, epoch = F.lit(None), F.lit("1970-01-01").cast("date")
     right = bars.select("ticker", F.col("d").alias("__d"), "close", F.col("i").cast("int").alias("i"), F.lit(False).alias("__asked"))
 
     def answer(asked: DataFrame) -> DataFrame:
         left = asked.select("ticker", "__d", none.cast("double").alias("close"), none.cast("int").alias("i"), F.lit(True).alias("__asked"))
-        rows = left.unionByName(right).withColumn("__n", F.datediff("__d", F.lit("1970-01-01").cast("date")))
+        rows = left.unionByName(right).withColumn("__n", F.datediff("__d", epoch))
         w = Window.partitionBy("ticker").orderBy("__n")
         # the last bar is the one with the largest place; its close rides along in the struct
         last = F.max(F.when(F.col("i").isNotNull(), F.struct("i", "close"))).over(w.rangeBetween(Window.unboundedPreceding, 0))
-        rows = rows.withColumn("__high", F.max("close").over(w.rangeBetween(-days, 0))).withColumn("__last", last).where("__asked")
-        ok = (F.col("__last.i") >= MIN_BARS) & (F.col("__high") > 0) & (F.col("__last.close") > 0)
-        return rows.select("ticker", "__d", F.when(ok, rnd(ratio("__last.close", "__high") - 1)).alias("dd"))
+        found = rows.withColumn("__last", last).where("__asked").join(_highs(rows, days), ["ticker", "__n"])
+        ok = (F.col("__last.i") >= MIN_BARS) & (F.col("high") > 0) & (F.col("__last.close") > 0)
+        return found.select("ticker", "__d", F.when(ok, rnd(ratio("__last.close", "high") - 1)).alias("dd"))
 
     return per_day(probes, "ticker", day, answer)
 
@@ -62,9 +88,14 @@ def momentum(bars: DataFrame) -> DataFrame:
 def adv(bars: DataFrame, window: int = 60, min_index: int = 20, min_values: int = 15) -> DataFrame:
     """``adv``: the lower median of close times volume over the last ``window`` bars, a whole number."""
     value = F.when((F.col("vol") > 0) & ~F.isnan("vol"), F.col("close") * F.col("vol"))
-    values = F.collect_list(value).over(_by_day().rowsBetween(-(window - 1), 0))
-    ok = (F.col("i") >= min_index) & (F.size("__v") >= min_values)
-    return bars.withColumn("__v", values).withColumn("adv", F.when(ok, rnd(lower_median("__v"), 0))).drop("__v").withColumn("bucket", adv_bucket("adv"))
+    rows = bars.withColumn("adv", value.cast("double"))
+
+    def medians(x: pa.Table) -> pa.Table:
+        found = rolling.lower_medians(rolling.numbers(x, "adv"), window, min_values)
+        return x.set_column(x.schema.get_field_index("adv"), "adv", pa.array(found, from_pandas=True))
+
+    x = rolling.by_series(rows, medians, rows.schema)
+    return x.withColumn("adv", F.when(F.col("i") >= min_index, rnd("adv", 0))).withColumn("bucket", adv_bucket("adv"))
 
 
 def nominal_factor(splits, day) -> F.Column:
@@ -103,44 +134,22 @@ def spike_candidates(bars: DataFrame, window: int = 30, ratio_limit: float = 3.0
     (a level shift), or where its volume confirms a move of less than tenfold.
     Medians are worked out for tested bars only.
     """
-    from math import log
+    schema = StructType([*bars.schema.fields, StructField("spike", BooleanType()), StructField("neighbours", DoubleType())])
 
-    w = _by_day()
-    x = bars.withColumn("__ln", F.when(F.col("adj") > 0, F.ln("adj")).otherwise(0.0))
-    around = w.rowsBetween(-window, window)
-    x = x.select(
-        "*",
-        F.collect_list("adj").over(around).alias("__p"),
-        F.collect_list(F.coalesce("vol", F.lit(0.0))).over(around).alias("__v"),
-        F.sum("__ln").over(around).alias("__sum"),
-        (F.row_number().over(w) - 1).alias("__at"),
-        F.count("*").over(Window.partitionBy("ticker")).alias("__n"),
-    )
-    before = F.least(F.col("__at"), F.lit(window))
-    after = F.size("__p") - 1 - before
-    tested = (F.col("__n") >= 5) & (before >= 3) & (after >= 3)
-    tested = tested & (F.abs(F.col("__ln") - (F.col("__sum") - F.col("__ln")) / (F.size("__p") - 1)) >= log(1.25))
-    x = x.withColumn("__tested", tested).withColumn("__before", before)
-
-    def median(a):
-        s, n = F.sort_array(a), F.size(a)
-        return F.when(F.col("__tested"), F.when(n == 0, 0.0).otherwise((F.element_at(s, ((n + 1) / 2).cast("int")) + F.element_at(s, (n / 2).cast("int") + 1)) / 2))
-
-    sides = lambda c: (F.slice(c, F.lit(1), F.col("__before")), F.slice(c, F.col("__before") + 2, F.lit(window)))
-    (left, right), volumes = sides("__p"), F.concat(*sides("__v"))
-    x = x.withColumns({"__mb": median(left), "__ma": median(right), "__m": median(F.concat(left, right)), "__mv": median(F.filter(volumes, lambda v: v > 0))})
-    shift = (F.col("__mb") > 0) & (F.col("__ma") > 0) & (ratio(F.greatest("__mb", "__ma"), F.least("__mb", "__ma")) > ratio_limit)
-    off = F.when(F.col("adj") <= 0, float("inf")).otherwise(F.greatest(ratio("adj", "__m"), ratio("__m", "adj")))
-    confirmed = (off < 10) & (F.col("__mv") > 0) & (F.col("vol") > F.col("__mv") * 1.5)
-    spike = F.col("__tested") & ~shift & (F.col("__m") > 0) & (off > ratio_limit) & ~F.coalesce(confirmed, F.lit(False))
-    return x.select(*bars.columns, F.coalesce(spike, F.lit(False)).alias("spike"), F.col("__m").alias("neighbours"))
-
-
-def drop_spikes(bars: DataFrame, passes: int = 3) -> DataFrame:
+    def test(x: pa.Table) -> pa.Table:
+        found, middle = rolling.spikes(rolling.numbers(x, "adj"), np.nan_to_num(rolling.numbers(x, "vol")), window, ratio_limit)
+        return x.append_column("spike", pa.array(found)).append_column("neighbours", pa.array(middle, from_pandas=True))
+
+    return rolling.by_series(bars, test, schema)
+
+
+def drop_spikes(bars: DataFrame, passes: int = 3, window: int = 30, ratio_limit: float = 3.0) -> DataFrame:
     """``bars`` without spikes, in several passes: a spike beside another shows once that is gone. One shuffle serves all passes."""
-    for _ in range(passes):
-        bars = spike_candidates(bars).where("not spike").select(*bars.columns)
-    return bars
+
+    def drop(x: pa.Table) -> pa.Table:
+        return x.take(pa.array(rolling.without_spikes(rolling.numbers(x, "adj"), np.nan_to_num(rolling.numbers(x, "vol")), window, ratio_limit, passes)))
+
+    return rolling.by_series(bars, drop, bars.schema)
 
 
 def weekly_close(bars: DataFrame) -> DataFrame:

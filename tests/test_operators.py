@@ -158,21 +158,75 @@ def test_sync_of_owner_groups(spark):
     assert sync(None) == {1: 3, 2: 3, 3: 3, 4: 1, 5: 1, 6: 1} and sync(groups) == {1: 2, 2: 2, 3: 2, 4: 1, 5: 1, 6: 1}
 
 
-def test_spike_passes_agree_with_the_chain(spark):
+def slow_spikes(adj, vol, window=30, limit=3.0):
+    """One pass by the definition: medians of lists of neighbours."""
+    n, gone = len(adj), set()
+    for i in range(n if n >= 5 else 0):
+        left, right = adj[max(0, i - window) : i], adj[i + 1 : i + 1 + window]
+        volumes = [v for v in (*vol[max(0, i - window) : i], *vol[i + 1 : i + 1 + window]) if v > 0]
+        log = lambda x: np.log(x) if x > 0 else 0.0
+        if min(len(left), len(right)) < 3 or abs(log(adj[i]) - np.mean([log(x) for x in (*left, *right)])) < np.log(1.25):
+            continue
+        a, b, m = np.median(left), np.median(right), np.median([*left, *right])
+        if (min(a, b) > 0 and max(a, b) / min(a, b) > limit) or not m > 0:
+            continue
+        off = max(adj[i] / m, m / adj[i]) if adj[i] > 0 else np.inf
+        usual = np.median(volumes) if volumes else 0.0
+        if off > limit and not (off < 10 and usual > 0 and vol[i] > 1.5 * usual):
+            gone.add(i)
+    return gone
+
+
+def test_spike_passes_against_the_definition(spark):
     r = np.random.default_rng(4)
     rows = []
     for t in range(4):
         p = 40 * np.exp(np.cumsum(r.normal(0, 0.02, 200)))
         p[r.integers(0, 200, 25)] *= r.choice([0.05, 8, 50], 25)
+        p[r.integers(0, 200, 2)] = 0
         rows += [(t, DAY + dt.timedelta(days=i), float(x), float(x), float(v)) for i, (x, v) in enumerate(zip(p, r.integers(0, 3000, 200)))]
+    rows += [(9, DAY + dt.timedelta(days=i), 1.0, 1.0 + 99 * (i == 2), None) for i in range(4)]
     df = spark.createDataFrame(rows, "ticker long, d date, close double, adj double, vol double")
     kept = {(x.ticker, x.d) for x in series.drop_spikes(df).collect()}
-    want = set()
-    for t in range(4):
+    once = {(x.ticker, x.d) for x in series.spike_candidates(df).where("spike").collect()}
+    want, first = set(), set()
+    for t in (0, 1, 2, 3, 9):
         own = [x for x in rows if x[0] == t]
-        s = repair.drop_spikes(Bars(np.arange(200), *(np.array([x[k] for x in own]) for k in (2, 3, 4))))
-        want |= {(t, own[i][1]) for i in s.day}
-    assert kept == want and len(kept) < 790
+        for turn in range(3):
+            gone = slow_spikes([x[3] for x in own], [x[4] or 0.0 for x in own])
+            first |= {(t, own[i][1]) for i in gone} if not turn else set()
+            own = [x for i, x in enumerate(own) if i not in gone]
+        want |= {(t, x[1]) for x in own}
+    assert kept == want and len(kept) < 790 and once == first
+
+
+def test_moving_windows_against_lists(spark):
+    from tallyglass.operators import rolling
+
+    r = np.random.default_rng(6)
+    values = r.integers(0, 9, 300).astype(float)
+    values[r.integers(0, 300, 80)] = np.nan
+    for window, least in ((1, 1), (7, 3), (60, 15), (400, 1)):
+        got = rolling.lower_medians(values, window, least)
+        for i in range(300):
+            own = sorted(v for v in values[max(0, i - window + 1) : i + 1] if v == v)
+            assert np.isnan(got[i]) if len(own) < least else got[i] == own[(len(own) - 1) // 2]
+    days = np.cumsum(r.integers(1, 40, 600))
+    close = [None if i % 50 == 7 else float(x) for i, x in enumerate(r.integers(1, 500, 600))]
+    bars_ = spark.createDataFrame([(t, DAY + dt.timedelta(days=int(d)), c, i) for t in "AB" for i, (d, c) in enumerate(zip(days, close))], "ticker string, d date, close double, i int")
+    high = lambda lo, hi: max((c for c in close[lo:hi] if c is not None), default=None)
+    dd = lambda c, h, i: None if i < 30 or not c or not h else float(np.floor((c / h - 1) * 1e4 + 0.5) / 1e4)
+    got = {(x.ticker, x.i): x.dd for x in series.drawdown_bars(bars_).collect()}
+    assert got == {(t, i): dd(close[i], high(max(0, i - 251), i + 1), i) for t in "AB" for i in range(600)}
+    asked = sorted({int(x) for x in r.integers(-50, days[-1] + 500, 400)} | {int(days[40]) + 365, int(days[40]) + 366, 0})
+    probes = spark.createDataFrame([("A", DAY + dt.timedelta(days=x)) for x in asked] + [("C", DAY)], "ticker string, tdate date")
+    got = {(x.ticker, x.tdate): x.dd for x in series.drawdown_calendar(bars_, probes).collect()}
+    for x in asked:
+        last = int(np.searchsorted(days, x, "right")) - 1
+        lo = int(np.searchsorted(days, x - 365))
+        want = dd(close[last], high(lo, last + 1), last) if last >= 0 else None
+        assert got["A", DAY + dt.timedelta(days=x)] == want, x
+    assert got["C", DAY] is None
 
 
 def test_interval_containment(spark):
@@ -310,7 +364,8 @@ def test_statistics(spark):
     v = stats.versus(s, f.select("m", F.col("market").alias("r"))).first()
     assert abs(v.ex - 0.005) < 1e-9 and v.ir > 100
     t = stats.newey_west(s).first()
-    mean, want = stats._nw(ret)
+    e = ret - ret.mean()
+    mean, want = ret.mean(), ret.mean() / np.sqrt((e @ e / n + sum(2 * (1 - i / 4) * (e[i:] @ e[:-i]) / n for i in (1, 2, 3))) / n)
     assert t.mean == pytest.approx(mean) and t.t == pytest.approx(want)
     assert stats.newey_west(s.where("k < 11")).first().t is None
     p = stats.path(s).first()
@@ -320,6 +375,29 @@ def test_statistics(spark):
     assert stats.factor_alpha(s.where("k < 20"), f, ["market"]).count() == 0
 
 
+def test_regression_by_normal_equations(spark):
+    """Against least squares of another library, by group; factors that depend on each other give no row."""
+    r = np.random.default_rng(8)
+    rows, want = [], {}
+    for g, n in (("a", 40), ("b", 200), ("few", 29), ("flat", 50)):
+        x = r.normal(0, 0.05, (n, 3)) + [1, 0, -2]
+        if g == "flat":
+            x[:, 2] = 3 * x[:, 0] - x[:, 1]
+        y = 0.3 + x @ [0.5, -2.0, 1.5] + r.normal(0, 0.01, n)
+        rows += [(g, *map(float, v), float(w)) for v, w in zip(x, y)]
+        if g in "ab":
+            want[g] = np.linalg.lstsq(np.column_stack([np.ones(n), x]), y, rcond=None)[0][1:]
+    df = spark.createDataFrame(rows, "g string, x1 double, x2 double, x3 double, y double")
+    found = {v.g: v for v in stats.regression(df, "y", ["x1", "x2", "x3"], ["g"]).collect()}
+    assert set(found) == {"a", "b"} and found["b"].n == 200
+    for g, b in want.items():
+        assert [found[g][f"beta_x{i}"] for i in (1, 2, 3)] == pytest.approx(b, rel=1e-6)
+    one = stats.regression(df.where("g = 'b'"), "y", ["x1"]).first()
+    assert one.beta_x1 == pytest.approx(df.where("g = 'b'").agg(F.regr_slope("y", "x1")).first()[0])
+    plan = stats.regression(df, "y", ["x1", "x2", "x3"], ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan and "Pandas" not in plan
+
+
 # --- series and positions ----------------------------------------------------------------------------------------
 
 
