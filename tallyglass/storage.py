@@ -102,6 +102,18 @@ def shuffle_partitions(spark: SparkSession, at_least: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, at_most: int) -> Iterator[None]:
+    """Batches of so many bytes at most, for the Python stages of jobs that run inside: a task holds one on either side, and what is made of it."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before.removesuffix("b")), at_most)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def per_process(key: str, make):
     """``make()``'s value, made once in this Python process and kept between tasks."""
     import sys

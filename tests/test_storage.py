@@ -55,3 +55,14 @@ def test_partitions_are_set_for_a_block_only(spark):
     with storage.shuffle_partitions(spark, 1):
         assert spark.conf.get(key) == before
     assert spark.conf.get(key) == before
+
+
+def test_batches_are_bounded_inside_only(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    largest = lambda: spark.range(4000).repartition(1).selectExpr("repeat('x', 1000) as t").mapInArrow(lambda bs: (b.from_arrays([[b.nbytes]], names=["n"]) for b in bs), "n long").agg({"n": "max"}).first()[0]
+    with storage.arrow_batches(spark, 100_000):
+        assert largest() < 300_000
+        with storage.arrow_batches(spark, 1 << 40):
+            assert spark.conf.get(key) == "100000"
+    assert spark.conf.get(key) == before and largest() > 1_000_000
