@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyglass.functions.scalars import ratio, rnd
-from tallyglass.storage import cut, exists
 
 
 def fold_fills(fills: DataFrame, keys: Sequence[str], sh: str = "sh", px: str = "px") -> DataFrame:
@@ -69,27 +68,3 @@ def replace_present(stored: DataFrame, fresh: DataFrame, keys: Sequence[str]) ->
     """``stored`` with the rows of ``fresh``, which win on equal keys: what a rebuild writes."""
     fresh = fresh.dropDuplicates(list(keys))
     return stored.join(fresh.select(*keys), list(keys), "left_anti").unionByName(fresh)
-
-
-def write_by_year(rows: DataFrame, path: str, keys: Sequence[str], day: str = "tdate", replace: bool = False, first_year: int = 2010, last_year: int | None = None) -> None:
-    """Put ``rows`` into the Parquet table at ``path``, partitioned by the ``year`` of ``day`` (of an amendment: its original's day).
-
-    Rows whose key is stored are left alone, or with ``replace`` take the stored
-    one's place; all else that is stored stays. Only the years that ``rows``
-    touches are read, or written anew. Years before ``first_year`` or after
-    ``last_year`` + 1 are left out, as are rows without a day.
-    """
-    spark = rows.sparkSession
-    keys = [*keys, "year"]
-    x = rows.withColumn("year", F.year(day)).where(F.col("year") >= first_year).dropDuplicates(keys)
-    if last_year is not None:
-        x = x.where(F.col("year") <= last_year + 1)
-    x = cut(x, "by-year")
-    if exists(spark, path):
-        stored = spark.read.schema(x.schema).parquet(path).join(F.broadcast(x.select("year").distinct()), "year", "left_semi").select(x.columns)
-        x = cut(stored.join(x.select(*keys), keys, "left_anti").unionByName(x), "by-year") if replace else x.join(stored.select(*keys), keys, "left_anti")
-    out = x.hint("rebalance", "year").write.partitionBy("year")  # a large year is written by several tasks
-    if replace:
-        out.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    else:
-        out.mode("append").parquet(path)

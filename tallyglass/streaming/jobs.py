@@ -7,19 +7,21 @@ replace what they correct at read time, however late, so no watermark drops them
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from tallyglass.operators.filings import newest, write_by_year
+from tallyglass.operators import published
+from tallyglass.operators.filings import newest
 from tallyglass.sources.filings import index_entries
-from tallyglass.storage import cut
+from tallyglass.streaming.state import position_changes
+
+#: Days after a position's first day in which one may still enter.
+FRESH_DAYS = 45
 
 
 def files(spark: SparkSession, path: str, schema: StructType | str, form: str = "parquet", per_run: int | None = None) -> DataFrame:
@@ -33,20 +35,19 @@ def files(spark: SparkSession, path: str, schema: StructType | str, form: str =
 def append_new(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], day: str = "tdate", replace: bool = False) -> StreamingQuery:
     """Put rows into the table at ``target``, by year of ``day``: those whose key it lacks, or with ``replace`` (while older rows are read again) all.
 
-    Each batch looks only at the years that it touches. A batch that is run again
+    Each batch looks only at the years that it touches, and shows when all of it is written (``published.stored`` reads the table). A batch that is run again
     after a failure finds its rows there and adds none.
     """
 
     def batch(df: DataFrame, _: int) -> None:
-        write_by_year(df, target, keys, day, replace, first_year=0)
+        published.write_by_year(df, target, keys, day, replace, first_year=0)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def purge_covered(spark: SparkSession, target: str, start: date, day: str = "fdate") -> None:
-    """Drop rows of before ``start``, which the quarterly tables hold by now, from the live table."""
-    kept = cut(spark.read.parquet(target).where(F.col(day) >= F.lit(start)), "live")
-    kept.hint("rebalance", "year").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year").parquet(target)
+    """Drop rows of before ``start``, which the quarterly tables hold by now, from the live table, in one step."""
+    published.purge(spark, target, F.col(day) >= F.lit(start))
 
 
 def pending_days(indexed: DataFrame, last: Column, today: Column) -> DataFrame:
@@ -78,26 +79,8 @@ def corrected(log: DataFrame, content_keys: Sequence[str], order: str = "acc") -
 
 
 def new_positions(signals: DataFrame, key: str, hold_days: float = 91.5, day: str = "day") -> DataFrame:
-    """A stream of ``key, first``: one row when a position opens, none for what adds to it.
-
-    State is the opening day for each key. Days that come late and lie before it
-    are part of what is already known. Within a batch days are taken in order.
-    """
-    kind = signals.schema[key].dataType.simpleString()
-
-    def run(name: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        first = state.get[0] if state.exists else None
-        out = []
-        for d in sorted({x for f in frames for x in f["day"]}):
-            if first is None or (d - first).days > hold_days:
-                first = d
-                out.append((name[0], d))
-        if first is not None:
-            state.update((first,))
-        yield pd.DataFrame(out, columns=[key, "first"])
-
-    rows = signals.select(key, F.col(day).cast("date").alias("day"))
-    return rows.groupBy(key).applyInPandasWithState(run, f"{key} {kind}, first date", "first date", "append", GroupStateTimeout.NoTimeout)
+    """A stream of ``key, first``: a row for each position that opens, none for what adds to it; see ``state.position_changes``, whose withdrawals are left out."""
+    return position_changes(signals, key, day, hold_days).where("change = 1").select(key, "first")
 
 
 def announce(opened: DataFrame, checkpoint: str, send: Callable[[DataFrame], None], seed: Callable[[DataFrame], None] | None = None, version: int = 1, today: Column | None = None, fresh_days: int = 7) -> StreamingQuery:
@@ -117,13 +100,24 @@ def announce(opened: DataFrame, checkpoint: str, send: Callable[[DataFrame], Non
     return opened.writeStream.foreachBatch(batch).option("checkpointLocation", f"{checkpoint}/v{version}").trigger(availableNow=True).start()
 
 
-def cards(opened: DataFrame, most: int = 4) -> DataFrame:
-    """Messages for new positions: one each up to ``most``, else a single digest; it names the first fifty tickers."""
-    n = F.broadcast(opened.agg(F.count("*").alias("__n")))
-    own = opened.join(n).where(F.col("__n") <= most).select(F.concat_ws(" ", F.lit("New position:"), F.col("ticker").cast("string"), F.col("first").cast("string")).alias("message"))
-    names = opened.select(F.col("ticker").cast("string").alias("t")).distinct().orderBy("t").limit(50).agg(F.array_join(F.array_sort(F.collect_list("t")), ", ").alias("t"))
-    rest = n.where(F.col("__n") > most).join(names)
-    return own.unionByName(rest.select(F.concat(F.col("__n").cast("string"), F.lit(" new positions: "), F.col("t")).alias("message")))
+def cards(opened: DataFrame, most: int = 4, fresh_days: int = FRESH_DAYS) -> DataFrame:
+    """``ticker, message`` for new positions: a card each up to ``most`` of them, else a line each of one digest, under its head (``ticker`` null, first).
+
+    ``opened``: ticker, first, and where there are val, dd (below the high of a year) and deadline these are told; the
+    deadline is ``fresh_days`` after the first day if there is none. Every position is named, however many there are.
+    """
+    has = lambda c, text: F.when(F.col(c).isNotNull(), text) if c in opened.columns else F.lit(None).cast("string")
+    deadline = F.coalesce("deadline", F.date_add("first", fresh_days)) if "deadline" in opened.columns else F.date_add("first", fresh_days)
+    depth = F.when(F.abs("dd") < 0.005, F.lit("at its high of a year")).otherwise(F.format_string("%.1f%% below its high", F.abs(F.col("dd")) * 100)) if "dd" in opened.columns else F.lit("")
+    name = F.col("ticker").cast("string")
+    facts = [has("val", F.concat(F.lit("$"), F.format_number(F.col("val"), 0)) if "val" in opened.columns else F.lit("")), has("dd", depth), F.concat(F.lit("enter by "), deadline.cast("string"))]
+    n = opened.agg(F.count("*").alias("__n"))
+    x = opened.join(F.broadcast(n))
+    card = F.concat_ws(", ", F.concat_ws(" ", F.lit("New position:"), name, F.col("first").cast("string")), *facts)
+    line = F.concat_ws(" · ", name, *facts)
+    rows = x.select(F.col("first"), name.alias("ticker"), F.when(F.col("__n") <= most, card).otherwise(line).alias("message"))
+    head = n.where(F.col("__n") > most).select(F.lit(None).cast("date").alias("first"), F.lit(None).cast("string").alias("ticker"), F.concat(F.col("__n").cast("string"), F.lit(" new positions")).alias("message"))
+    return rows.unionByName(head).orderBy(F.col("ticker").isNotNull(), F.desc("first"), "ticker").select("ticker", "message")
 
 
 def poll(spark: SparkSession, fetch: Callable[[], DataFrame], keep: Callable[[DataFrame], None], checkpoint: str, seconds: float = 30.0) -> StreamingQuery:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyglass.functions import scalars as S
-from tallyglass.operators import filings, gates, owners, panel, positions, repair, series, slices, stats
+from tallyglass.operators import filings, gates, owners, panel, positions, published, repair, series, slices, stats
 from tallyglass.operators.components import connected_components
 from tallyglass.operators.repair import Bars
 
@@ -254,16 +254,72 @@ def test_benchmark_by_bucket(spark):
 def test_writing_by_year(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = lambda *x: spark.createDataFrame([(a, dt.date(y, 5, 1) if y else None, v) for a, y, v in x], "acc string, tdate date, val int")
-    have = lambda: sorted((r.acc, r.year, r.val) for r in spark.read.parquet(path).collect())
-    filings.write_by_year(rows(("a", 2019, 1), ("b", 2020, 1), ("b", 2020, 1), ("old", 2009, 1), ("far", 2030, 1), ("none", None, 1)), path, ["acc"], last_year=2024)
-    filings.write_by_year(rows(("b", 2020, 2), ("c", 2020, 2)), path, ["acc"])
+    have = lambda: sorted((r.acc, r.year, r.val) for r in published.stored(spark, path).collect())
+    published.write_by_year(rows(("a", 2019, 1), ("b", 2020, 1), ("b", 2020, 1), ("old", 2009, 1), ("far", 2030, 1), ("none", None, 1)), path, ["acc"], last_year=2024)
+    published.write_by_year(rows(("b", 2020, 2), ("c", 2020, 2)), path, ["acc"])
     assert have() == [("a", 2019, 1), ("b", 2020, 1), ("c", 2020, 2)]
-    filings.write_by_year(rows(("b", 2020, 3), ("d", 2021, 3)), path, ["acc"], replace=True)
+    published.write_by_year(rows(("b", 2020, 3), ("d", 2021, 3)), path, ["acc"], replace=True)
     assert have() == [("a", 2019, 1), ("b", 2020, 3), ("c", 2020, 2), ("d", 2021, 3)]
-    filings.write_by_year(rows(), path, ["acc"])
+    published.write_by_year(rows(), path, ["acc"])
     assert len(have()) == 4
 
 
+def test_readers_see_a_change_whole_or_not(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = lambda *x: spark.createDataFrame([(a, dt.date(y, 5, 1), v) for a, y, v in x], "acc string, tdate date, val int")
+    have = lambda: sorted((r.acc, r.year, r.val) for r in published.stored(spark, path).collect())
+    assert published.stored(spark, path) is None and published.current(spark, path) == (0, {})
+    published.write_by_year(rows(("a", 2019, 1), ("b", 2020, 1), ("c", 2021, 1)), path, ["acc"])
+    before, held = have(), published.stored(spark, path)
+    switch = published._switch
+
+    def fail(*_):
+        raise OSError("lost before the switch")
+
+    monkeypatch.setattr(published, "_switch", fail)
+    for change in (lambda: published.write_by_year(rows(("b", 2020, 2), ("d", 2021, 2)), path, ["acc"], replace=True), lambda: published.write_by_year(rows(("e", 2022, 2)), path, ["acc"]), lambda: published.purge(spark, path, F.col("val") > 5)):
+        with pytest.raises(OSError):
+            change()
+        assert have() == before  # all was written, nothing shows
+    monkeypatch.setattr(published, "_switch", switch)
+    published.write_by_year(rows(("b", 2020, 2), ("d", 2021, 2)), path, ["acc"], replace=True)
+    assert have() == [("a", 2019, 1), ("b", 2020, 2), ("c", 2021, 1), ("d", 2021, 2)]
+    assert sorted((r.acc, r.year, r.val) for r in held.collect()) == before  # a reader that began before goes on
+    assert [r.acc for r in published.stored(spark, path, [2020]).collect()] == ["b"]
+    published.purge(spark, path, F.col("tdate") >= "2021-01-01")
+    assert have() == [("c", 2021, 1), ("d", 2021, 2)]
+    number, _ = published.current(spark, path)
+    with pytest.raises(RuntimeError, match="meanwhile"):  # two writers
+        published._switch(spark, path, number, {"years": {}})
+    published.vacuum(spark, path)
+    assert have() == [("c", 2021, 1), ("d", 2021, 2)] and published._numbers(spark, path) == [number]
+    assert len(list((tmp_path / "t").glob("year=*/version=*"))) == 1
+    published.purge(spark, path, F.lit(False))
+    assert published.stored(spark, path) is None
+    published.write_by_year(rows(("z", 2019, 9)), path, ["acc"])
+    assert have() == [("z", 2019, 9)]
+
+
+def test_pages_by_key_join_up(spark, tmp_path):
+    r = random.Random(2)
+    rows = [(r.choice([None, "a", "b", "c"]), r.choice([None, 1.0, 2.0, -3.0]), r.randrange(3)) for _ in range(157)]
+    df = spark.createDataFrame(rows, "t string, v double, n long")
+    for order in ([("v", True), ("t", False), ("n", False)], [("t", True), ("n", True), ("v", False)], [("n", False), ("t", False), ("v", True)]):
+        table = slices.sorted_table(df, str(tmp_path / order[0][0]), order)
+        want = [tuple(x) for x in df.orderBy(*slices.by_order(order)).collect()]
+        for first, later in ((10, 20), (1, 50), (200, 1)):
+            found, cursor = [], None
+            while True:
+                got = slices.page_after(table, order, first if cursor is None else later, cursor).collect()
+                if not got:
+                    break
+                found += map(tuple, got)
+                cursor = slices.cursor(got, order, cursor)
+            assert found == want
+    plan = slices.page_after(table, order, 5, {"key": (2, "b", 1.0), "seen": 1})._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "GreaterThanOrEqual(n,2)" in plan and "Exchange" not in plan
+
+
 def test_tables_sorted_by_any_column(spark):
     df = spark.createDataFrame([("x", 2.0), ("y", None), ("z", -5.0)], "dim string, v double").withColumns({"grp": F.col("dim"), "hold": F.lit(3)})
     ids = lambda *a: "".join(r.dim for r in slices.sorted_by(df, *a, [F.desc("dim")]).collect())

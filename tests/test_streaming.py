@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tallyglass.operators import published
 from tallyglass.streaming import jobs
 
 SCHEMA = "acc string, form string, fdate date, tdate date, owner long, val double"
@@ -21,18 +22,18 @@ def test_append_is_resumable_and_amendments_win(spark, tmp_path):
     write(spark, src, "b", [("A", "4", d, d, 1, 5.0), ("AR", "4/A", d + dt.timedelta(days=900), d, 1, 6.0)])
     run()
     run()
-    log = spark.read.parquet(out)
+    log = published.stored(spark, out)
     assert sorted(r.acc for r in log.collect()) == ["A", "AR", "B"]
     assert sorted((r.acc, r.val) for r in jobs.corrected(log, ["owner", "tdate"]).collect()) == [("AR", 6), ("B", 7)]
     with pytest.raises(Exception):  # another failure than a missing target is not swallowed
         jobs.append_new(jobs.files(spark, f"{src}/*", SCHEMA), out, f"{ck}2", ["nothing"]).awaitTermination()
     write(spark, src, "c", [("A", "4", d, d, 1, 9.0)])
     jobs.append_new(jobs.files(spark, f"{src}/c", SCHEMA), out, f"{ck}3", ["acc"]).awaitTermination()
-    assert spark.read.parquet(out).where("acc = 'A'").first().val == 5.0
+    assert published.stored(spark, out).where("acc = 'A'").first().val == 5.0
     jobs.append_new(jobs.files(spark, f"{src}/c", SCHEMA), out, f"{ck}4", ["acc"], replace=True).awaitTermination()
-    assert sorted((r.acc, r.val) for r in spark.read.parquet(out).collect()) == [("A", 9.0), ("AR", 6.0), ("B", 7.0)]
+    assert sorted((r.acc, r.val) for r in published.stored(spark, out).collect()) == [("A", 9.0), ("AR", 6.0), ("B", 7.0)]
     jobs.purge_covered(spark, out, d + dt.timedelta(days=1))
-    assert [r.acc for r in spark.read.parquet(out).collect()] == ["AR"]
+    assert [r.acc for r in published.stored(spark, out).collect()] == ["AR"]
 
 
 def test_days_that_wait_for_their_index(spark):
@@ -69,9 +70,13 @@ def test_positions_announced_once(spark, tmp_path):
 
 def test_cards_and_live_changes(spark):
     few = spark.createDataFrame([("A", dt.date(2020, 1, 1))], "ticker string, first date")
-    assert [r.message for r in jobs.cards(few).collect()] == ["New position: A 2020-01-01"]
+    assert [tuple(r) for r in jobs.cards(few).collect()] == [("A", "New position: A 2020-01-01, enter by 2020-02-15")]
     many = spark.createDataFrame([(c, dt.date(2020, 1, 1)) for c in "EDCBA"], "ticker string, first date")
-    assert [r.message for r in jobs.cards(many).collect()] == ["5 new positions: A, B, C, D, E"]
+    assert [r.message for r in jobs.cards(many).collect()] == ["5 new positions", *(f"{c} · enter by 2020-02-15" for c in "ABCDE")]
+    d = dt.date(2020, 1, 1)
+    lots = spark.createDataFrame([(f"T{i:03d}", d, 60000.0 + i, -0.034 if i else -0.001, d if i == 1 else None) for i in range(120)], "ticker string, first date, val double, dd double, deadline date")
+    lines = [r.message for r in jobs.cards(lots).collect()]
+    assert len(lines) == 121 and lines[1] == "T000 · $60,000 · at its high of a year · enter by 2020-02-15" and lines[2] == "T001 · $60,001 · 3.4% below its high · enter by 2020-01-01"
     snap = spark.createDataFrame([("A", 10.0, 0.5, 4.0), ("B", 10.0, None, 5.0)], "symbol string, cur double, chg double, entry_px double")
     live = spark.createDataFrame([("A", 20.0), ("B", 10.0), ("Z", 1.0)], "symbol string, p double")
     assert {r.symbol: r.change for r in jobs.live_changes(snap, live).collect()} == {"A": 2.0, "B": 1.0}
