@@ -30,7 +30,7 @@ def summary(trades: DataFrame, owner: str = "owner") -> DataFrame:
     return trades.groupBy(owner).agg(F.count("*").alias("n"), F.min("tdate").alias("first"), F.max("tdate").alias("last"), F.count_if(F.col("code") == "P").alias("buys"))
 
 
-def with_past(trades: DataFrame, owner: str = "owner", years: int = 3) -> DataFrame:
+def with_past(trades: DataFrame, owner: str = "owner", years: int = 3, history: DataFrame | None = None) -> DataFrame:
     """``trades`` with ``routine`` and ``first``: what the owner's other trades say of one on that day.
 
     ``routine``: there was a trade in this month of each of the three years before;
@@ -43,7 +43,7 @@ def with_past(trades: DataFrame, owner: str = "owner", years: int = 3) -> DataFr
     owner than the calendar has; the rows get their day's answer by an equal join.
     """
     month = F.year("tdate") * 12 + F.month("tdate") - 1
-    days = trades.where(F.col(owner).isNotNull() & F.col("tdate").isNotNull()).groupBy(owner, "tdate").agg(F.max((F.col("code") == "P").cast("int")).alias("__buy"))
+    days = (trades if history is None else history).where(F.col(owner).isNotNull() & F.col("tdate").isNotNull()).groupBy(owner, "tdate").agg(F.max((F.col("code") == "P").cast("int")).alias("__buy"))
     months = Window.partitionBy(owner).orderBy("__m")
     there = lambda k: F.count("*").over(months.rangeBetween(-12 * k, -12 * k)) > 0
     before = Window.partitionBy(owner).orderBy("tdate").rowsBetween(Window.unboundedPreceding, -1)
@@ -60,17 +60,17 @@ def with_past(trades: DataFrame, owner: str = "owner", years: int = 3) -> DataFr
     return trades.join(x, (F.col(owner) == F.col("__owner")) & (F.col("tdate") == F.col("__day")), "left").drop("__owner", "__day")
 
 
-def with_regular(trades: DataFrame, by: tuple[str, ...] = ("owner", "ticker", "code")) -> DataFrame:
+def with_regular(trades: DataFrame, by: tuple[str, ...] = ("owner", "ticker", "code"), history: DataFrame | None = None) -> DataFrame:
     """``trades`` with ``regular``: the last trades of this owner, issuer and kind, up to four, and this one come at even distances.
 
     At least three before it, each on a day of its own; no gap over 200 days; on
     average at least 20; population deviation under a quarter of the mean. False
-    where a key or the day is null. Windows go over the distinct days of a key.
+    where a key or the day is null. ``history`` as in ``with_past``. Windows go over the distinct days of a key.
     """
     known = F.col("tdate").isNotNull()
     for c in by:
         known = known & F.col(c).isNotNull()
-    days = trades.where(known).groupBy(*by, "tdate").agg(F.count("*").alias("n"))
+    days = (trades if history is None else history).where(known).groupBy(*by, "tdate").agg(F.count("*").alias("n"))
     w = Window.partitionBy(*by).orderBy("tdate")
     x = days.select("*", *[F.lag(F.struct("tdate", "n"), k).over(w).alias(f"__{k}") for k in (1, 2, 3, 4)])
     gap = lambda a, b: F.datediff(a, b).cast("long")
@@ -105,10 +105,11 @@ def sync_count(trades: DataFrame, groups: DataFrame | None = None, owner: str =
     """``trades`` with ``sync``: how many owner groups traded this ticker on this day at exactly this price; 1 without a price.
 
     ``groups`` is ``node, component`` of ``owner_groups``: a fund, its partner and
-    its manager are one. An owner that is in none stands for itself.
+    its manager are one. An owner that is in none stands for itself. ``owner`` may be an array of all who file a row.
     """
     keys = ["ticker", "tdate", "px"]
-    x = trades.where(F.col("px") != 0).select(*keys, F.col(owner).alias("__owner")).distinct()
+    who = F.explode(owner) if dict(trades.dtypes)[owner].startswith("array") else F.col(owner)
+    x = trades.where(F.col("px") != 0).select(*keys, who.alias("__owner")).distinct()
     if groups is not None:
         x = x.join(groups.select(F.col("node").alias("__owner"), F.col("component").alias("__group")), "__owner", "left").withColumn("__owner", F.coalesce("__group", "__owner"))
     n = x.groupBy(*keys).agg(F.count_distinct("__owner").alias("__n"))

@@ -1,7 +1,8 @@
 """The batch job end to end: trades and prices to gated rows, and series to cells.
 
-Everything is lazy; the caller decides what to write. Thresholds are in
-``gates.Limits`` and the keyword arguments.
+Thresholds are in ``gates.Limits`` and the keyword arguments. ``cells``,
+``set_cells`` and owners' groups store tables that are read several times (``storage.cut``)
+while a plan is being built; everything else is lazy.
 """
 
 from __future__ import annotations
@@ -48,22 +49,23 @@ def planned(rows: DataFrame) -> DataFrame:
     return rows.withColumn("planned", reduce(or_, has, F.lit(False)))
 
 
-def verdicts(trades: DataFrame, bars: DataFrame, limits: gates.Limits = gates.Limits(), splits: DataFrame | None = None, groups: DataFrame | None = None) -> DataFrame:
+def verdicts(trades: DataFrame, bars: DataFrame, limits: gates.Limits = gates.Limits(), splits: DataFrame | None = None, groups: DataFrame | None = None, history: DataFrame | None = None, sync_owners: str = "owner") -> DataFrame:
     """All that the gates read, their verdict and the working set.
 
     ``trades`` needs ticker, owner, tdate, code, sh, px, val; flags in it
     (``fn_*``, ``planned``, ``plan_box``, ``fund_only``, ``cancelled``,
     ``reassigned``) are used where present. ``bars`` has ``i``. ``splits``
     (ticker, d, ratio) make closes comparable with the trade's price: as quoted
-    on the day. ``groups`` (node, component) are owners who file together. A
-    reassigned row gets no prices.
+    on the day. ``groups`` (node, component) are owners who file together; ``sync_owners``
+    names who files a row, one or an array. ``history`` (owner, ticker, code, tdate) is what all owners
+    did, where that is more than ``trades``. A reassigned row gets no prices.
     """
     x = series.day_features(trades, series.adv(bars).select("ticker", "d", "close", "i", "adv", "bucket"), splits)
     x = x.withColumn("bucket", F.coalesce("bucket", F.lit("н/д")))
     if "reassigned" in trades.columns:
         gone = F.coalesce(F.col("reassigned"), F.lit(False))
         x = x.withColumns({c: F.when(~gone, F.col(c)) for c in ("close", "hist_days", "adv", "dd")} | {"bucket": F.when(gone, "н/д").otherwise(F.col("bucket"))})
-    x = planned(owners.with_regular(owners.with_past(owners.sync_count(x, groups))))
+    x = planned(owners.with_regular(owners.with_past(owners.sync_count(x, groups, sync_owners), history=history), history=history))
     x = x.withColumn("no_price", F.col("close").isNull()).withColumn("no_liquidity", F.col("close").isNotNull() & F.col("adv").isNull())
     mismatch = owners.units_mismatch(x).where("mismatch").select("ticker", F.lit(True).alias("units"))
     x = gates.apply_gates(x.join(mismatch, "ticker", "left"), limits)
@@ -73,9 +75,14 @@ def verdicts(trades: DataFrame, bars: DataFrame, limits: gates.Limits = gates.Li
 
 def features(trades: DataFrame, bars: DataFrame, limits: gates.Limits = gates.Limits(), splits: DataFrame | None = None, groups: DataFrame | None = None) -> DataFrame:
     """``verdicts`` with ``entry_day, entry_px`` (where a reader of the filing comes in, and at what quoted price) and ``px_adj`` (the trade's price on the scale of the bars); ``trades`` needs fdate."""
-    x = series.entry_features(verdicts(trades, bars, limits, splits, groups), bars, splits)
+    return entries(verdicts(trades, bars, limits, splits, groups), bars, splits)
+
+
+def entries(rows: DataFrame, bars: DataFrame, splits: DataFrame | None = None) -> DataFrame:
+    """``rows`` with verdicts, and ``entry_day, entry_px, px_adj``."""
+    x = series.entry_features(rows, bars, splits)
     x = x.withColumn("px_adj", rnd(ratio("px", "split")))
-    if "reassigned" in trades.columns:
+    if "reassigned" in rows.columns:
         x = x.withColumns({c: F.when(~F.coalesce(F.col("reassigned"), F.lit(False)), F.col(c)) for c in ("entry_day", "entry_px", "px_adj")})
     return x
 
@@ -115,7 +122,8 @@ def named_signals(rows: DataFrame, wanted: Sequence[tuple[str, int, str]]) -> Da
     hits = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(h).alias("hold"), F.expr(c).alias("on")) for k, h, c in wanted])
     x = rows.withColumn("__h", F.explode(F.filter(hits, lambda x: F.coalesce(x["on"], F.lit(False)))))
     x = x.groupBy("__h.key", "__h.hold", "ticker", S.month("fdate").alias("m")).agg(F.count("*").alias("__n"))
-    return x.withColumn("signals", F.sum("__n").over(Window.partitionBy("key"))).drop("__n")
+    each = x.groupBy(F.col("key").alias("__key")).agg(F.sum("__n").alias("signals"))  # as many as are wanted
+    return x.join(F.broadcast(each), F.col("key") == F.col("__key")).drop("__n", "__key")
 
 
 def feed(rows: DataFrame, today: Column, days: int = FEED_DAYS) -> DataFrame:
@@ -249,7 +257,10 @@ def set_cells(
     found = net_of_costs(found, slices.held_turnover(held.unionByName(all_), rets, by, min_dv), by)
     found = found.join(sig.select(*by, "signals").distinct(), by, "left")
     index = cells(market.select(F.lit("index").alias("key"), F.lit(0).alias("hold"), "k", F.lit(1).cast("long").alias("n"), "r"), market, whole, None, by)
-    return found.unionByName(index.withColumns({"ex_t": F.lit(None).cast("double"), "ir": F.lit(None).cast("double")}), allowMissingColumns=True)
+    index = index.withColumns({"ex_t": F.lit(None).cast("double"), "ir": F.lit(None).cast("double")})
+    if factors is not None:  # against itself
+        index = index.withColumns({"alpha": F.lit(0.0), "beta_market": F.lit(1.0), "beta_momentum": F.lit(0.0)})
+    return found.unionByName(index, allowMissingColumns=True)
 
 
 #: Steps of the two ladders: depth below the high, and the least size of a purchase.
@@ -344,19 +355,27 @@ def needs_replay(rows: DataFrame, floor: int = 0) -> DataFrame:
     return old.groupBy("fdate").agg(F.count("*").alias("n")).withColumn("__all", F.sum("n").over(Window.partitionBy(F.lit(0)))).where(F.col("__all") > floor).drop("__all")
 
 
-def write_payloads(rows: DataFrame, path: str, today: Column, bars: DataFrame | None = None, stats_: DataFrame | None = None, repaired: DataFrame | None = None) -> None:
+def write_payloads(rows: DataFrame, path: str, today: Column, bars: DataFrame | None = None, stats_: DataFrame | None = None, repaired: DataFrame | None = None, trades: DataFrame | None = None, states: DataFrame | None = None) -> None:
     """JSON documents: the feed, the back test by year with its index, a card for each ticker with its index, the cells, counters.
 
-    With ``bars`` a card also has the last year's daily closes and all weekly ones.
+    A ticker's trades (``trades``, of all kinds; ``rows`` without it) are lines under ``trades/ticker=...``, the newest first,
+    so that no task holds a list of them; its card has the counts and, with ``bars``, the last year's daily
+    closes and all weekly ones, as many as the calendar has.
     """
     shown = feed(rows, today)
     shown.orderBy(F.desc("fdate"), F.desc("val")).write.mode("overwrite").json(f"{path}/feed")
     year = rows.where("code = 'P'").withColumn("year", F.year("fdate"))
     year.hint("rebalance", "year").write.mode("overwrite").partitionBy("year").json(f"{path}/backtest")
     year.groupBy("year").agg(F.count("*").alias("n"), F.count_if("ok").alias("passed")).orderBy("year").coalesce(1).write.mode("overwrite").json(f"{path}/backtest-index")
-    one = F.struct("tdate", "fdate", "code", "sh", "px", "val", "drop")
-    cards = rows.groupBy("ticker").agg(F.count("*").alias("trades"), F.count_if("ok").alias("passed"), F.sort_array(F.collect_list(one), asc=False).alias("rows"))
-    cards.select("ticker", "trades", "passed").orderBy("ticker").write.mode("overwrite").json(f"{path}/tickers-index")
+    one = rows.select("ticker", "tdate", "fdate", "code", "sh", "px", "val", "drop")
+    if trades is not None:
+        sold = trades.where("code <> 'P'").select("ticker", "tdate", "fdate", "code", "sh", "px", "val")
+        one = one.unionByName(sold, allowMissingColumns=True)
+    place = ["ticker", F.desc("tdate"), F.desc("fdate"), "code", "val"]
+    one.repartitionByRange(*place).sortWithinPartitions(*place).write.mode("overwrite").partitionBy("ticker").json(f"{path}/trades")
+    counts = one.groupBy("ticker").agg(F.count("*").alias("trades")).join(rows.groupBy("ticker").agg(F.count_if("ok").alias("passed")), "ticker", "left")
+    cards = counts.withColumn("passed", F.coalesce("passed", F.lit(0)))
+    cards.orderBy("ticker").write.mode("overwrite").json(f"{path}/tickers-index")
     if bars is not None:
         for name, span in (("daily", "1y"), ("weekly", "max")):
             line = chart(bars, today, span).groupBy("ticker").agg(F.sort_array(F.collect_list(F.struct("d", "close"))).alias(name))
@@ -364,4 +383,4 @@ def write_payloads(rows: DataFrame, path: str, today: Column, bars: DataFrame |
     cards.write.mode("overwrite").json(f"{path}/tickers")
     if stats_ is not None:
         slices.ordered(stats_).write.mode("overwrite").json(f"{path}/stats")
-    quality(rows, repaired).write.mode("overwrite").json(f"{path}/meta")
+    quality(rows, repaired, states).write.mode("overwrite").json(f"{path}/meta")

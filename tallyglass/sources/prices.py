@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyglass.functions.scalars import iso_date, rnd, to_number
 from tallyglass.operators.series import split_adjusted
@@ -92,7 +93,20 @@ def cached_tickers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.csv.gz").load(path).select(_cached_name(F.col("path")).alias("ticker")).where("ticker <> ''").distinct()
 
 
-def json_documents(spark: SparkSession, path: str, schema: str, fallback: DataFrame | None = None) -> DataFrame:
-    """Documents, plain or gzip, one a file; bodies that are no JSON give the rows of ``fallback`` (nothing without one)."""
-    rows = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
-    return rows if fallback is None else rows.unionByName(fallback.where(F.lit(rows.isEmpty())))
+def json_documents(spark: SparkSession, path: str, schema: str, fallback: dict | None = None) -> DataFrame:
+    """The rows of documents, plain or gzip, one a file (an object, or an array of them).
+
+    Each document that is no JSON gives the row ``fallback`` instead (nothing without one), whatever the others are.
+    """
+    bodies = spark.read.text(path, wholetext=True)
+    one = StructType.fromDDL(schema)
+    marked = f"{schema}, __broken string"
+    options = {"columnNameOfCorruptRecord": "__broken"}
+    rows = F.when(F.col("value").rlike(r"^\s*\["), F.from_json("value", f"array<struct<{','.join(f'`{f.name}`:{f.dataType.simpleString()}' for f in one)}>>"))
+    single = F.from_json("value", marked, options)
+    plain = F.when(single["__broken"].isNull(), F.array(F.struct(*[single[f.name].alias(f.name) for f in one])))
+    found = bodies.select(F.coalesce(rows, plain).alias("rows"))
+    if fallback is not None:
+        spare = F.array(F.struct(*[F.lit(fallback.get(f.name)).cast(f.dataType).alias(f.name) for f in one]))
+        found = found.select(F.coalesce("rows", spare).alias("rows"))
+    return found.select(F.explode("rows").alias("row")).select("row.*")

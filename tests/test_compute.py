@@ -148,6 +148,9 @@ def test_price_cache(spark, tmp_path):
     (tmp_path / "doc.json").write_text('{"a": 1}')
     (tmp_path / "doc.json.gz").write_bytes(gzip.compress(b'{"a": 2}'))
     (tmp_path / "bad.json").write_text("<html>")
-    other = spark.createDataFrame([(9,)], "a int")
-    read = lambda *names: sorted(r.a for n in names for r in prices.json_documents(spark, str(tmp_path / n), "a int", other).collect())
-    assert read("doc.json") == [1] and read("doc.json.gz") == [2] and read("bad.json") == [9]
+    read = lambda n, **k: sorted(r.a for r in prices.json_documents(spark, str(tmp_path / n), "a int", **k).collect())
+    spare = {"fallback": {"a": 9}}
+    assert read("doc.json", **spare) == [1] and read("doc.json.gz", **spare) == [2] and read("bad.json", **spare) == [9] and read("bad.json") == []
+    (tmp_path / "many.json").write_text('[{"a": 4}, {"a": 5}]')
+    (tmp_path / "cut.json").write_text('[{"a": 6}, {"a"')
+    assert read("*.json*", **spare) == [1, 2, 4, 5, 9, 9] and read("*.json*") == [1, 2, 4, 5]  # each broken one has its own
