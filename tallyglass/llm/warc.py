@@ -4,15 +4,16 @@ Writing: every task writes gzip archives of bounded size, one gzip member per
 record, under names of its own; only what the driver commits is listed in a
 manifest, so retried or lost tasks leave nothing that a reader sees. Each write
 adds a manifest of its own and readers take all of them, so writes to one path
-add up; a write in overwrite mode replaces those before it. A member
+add up; a write in overwrite mode names in its manifest those that it replaces, so that
+readers see it in one step, and deletes them after that. A member
 carries its length in the gzip header ("sl" extra field), so that a reader can
-step over it.
+seek past it.
 
 Reading: a partition is a set of files of about ``partition_bytes``. Predicates
 on record type and header columns are pushed down; on the digest only where it is
 taken from the header (``none``), as a foreign header may lack it or spell it otherwise. Of each member only the first
 bytes are inflated, the headers are parsed, and if a predicate fails, or the
-payload isn't asked for, the rest is stepped over.
+payload isn't asked for, the rest is not read: the reader seeks past it.
 
 The option ``payload`` says what is decoded: ``none`` (headers only), ``digest``
 (length and digest are taken from the payload itself) or ``bytes``.
@@ -61,7 +62,9 @@ def _member(data: bytes, level: int) -> bytes:
     packer = zlib.compressobj(level, zlib.DEFLATED, -15)
     body = packer.compress(data) + packer.flush()
     total = 10 + 2 + 12 + len(body) + 8
-    extra = b"sl" + struct.pack("<HII", 8, total & 0xFFFFFFFF, len(data) & 0xFFFFFFFF)
+    if max(total, len(data)) >= 1 << 32:  # more than the field can say: its length shows when it is inflated
+        return b"\x1f\x8b\x08\0\0\0\0\0\0\xff" + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+    extra = b"sl" + struct.pack("<HII", 8, total, len(data))
     return b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H", len(extra)) + extra + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
 
 
@@ -107,19 +110,15 @@ class _Files(InputPartition):
     paths: list
 
 
-def _manifests(fs, root: str) -> list[str]:
-    """Paths of the manifests under ``root``."""
+def _manifests(fs, root: str) -> dict[str, list[str]]:
+    """The manifests under ``root`` that count, those that none replaces, and the names of their archives."""
     found = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
-    return sorted(x.path for x in found if x.is_file and x.base_name.startswith(MANIFEST))
-
-
-def _listed(fs, manifests: list[str]) -> list[str]:
-    """Names of the archives in ``manifests``."""
-    names: list[str] = []
-    for path in manifests:
-        with fs.open_input_stream(path) as f:
-            names += json.loads(f.read())
-    return names
+    held = {}
+    for x in sorted((x for x in found if x.is_file and x.base_name.startswith(MANIFEST)), key=lambda x: x.path):
+        with fs.open_input_stream(x.path) as f:
+            held[x.base_name] = json.loads(f.read())
+    gone = {name for x in held.values() for name in x["replaces"]}
+    return {name: x["files"] for name, x in held.items() if name not in gone}
 
 
 class _Writer(DataSourceArrowWriter):
@@ -148,11 +147,12 @@ class _Writer(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         fs, root = pafs.FileSystem.from_uri(self.path)
         fs.create_dir(root, recursive=True)
-        old = _manifests(fs, root) if self.overwrite else []
+        old = _manifests(fs, root) if self.overwrite else {}
         with fs.open_output_stream(f"{root}/{MANIFEST}-{uuid.uuid4().hex}.json") as out:
-            out.write(json.dumps(sorted(f for m in messages if m for f in m.files)).encode())
-        for path in [*old, *(f"{root}/{name}" for name in _listed(fs, old))]:
-            fs.delete_file(path)
+            out.write(json.dumps({"files": sorted(f for m in messages if m for f in m.files), "replaces": sorted(old)}).encode())
+        # from here on readers see this write alone; archives go first, so that what is left after a failure is still named as replaced
+        for name in [*(f for files in old.values() for f in files), *old]:
+            fs.delete_file(f"{root}/{name}")
 
     def abort(self, messages: list) -> None:
         fs, root = pafs.FileSystem.from_uri(self.path)
@@ -188,7 +188,7 @@ class _Reader(DataSourceReader):
         fs, root = pafs.FileSystem.from_uri(self.path)
         manifests = _manifests(fs, root)
         if manifests:
-            infos = fs.get_file_info([f"{root}/{n}" for n in _listed(fs, manifests)])
+            infos = fs.get_file_info([f"{root}/{n}" for files in manifests.values() for n in files])
         else:
             infos = [x for x in fs.get_file_info(pafs.FileSelector(root, recursive=True)) if x.path.endswith((".warc.gz", ".warc"))]
         parts, now, used = [], [], 0
@@ -217,8 +217,8 @@ class _Reader(DataSourceReader):
             return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], kinds.get(n, pa.string())) for n in names], names=names)
 
         for path in partition.paths:
-            with fs.open_input_stream(path, compression=None) as f:
-                for position, head, rest in _records(_Source(f), path.endswith(".gz")):
+            with fs.open_input_file(path) as f:
+                for position, head, rest in _records(_Source(f, _HEADS if self.payload == "none" else _WHOLE), path.endswith(".gz")):
                     row = _row(head) | {"file": path.rsplit("/", 1)[-1], "position": position, "payload": None}
                     if not self._wanted(row):
                         continue
@@ -249,26 +249,29 @@ def _row(head: dict) -> dict:
     }
 
 
+#: Bytes that are read ahead: where only headers are wanted, and where payloads are.
+_HEADS, _WHOLE = 8 << 10, 1 << 20
+
+
 class _Source:
-    """A forward-only reader that can look ahead."""
+    """A reader that goes forward and can look ahead; what is skipped beyond that is not read."""
 
-    def __init__(self, f):
-        self.f, self.data, self.at, self.position = f, b"", 0, 0
+    def __init__(self, f, ahead: int = _WHOLE):
+        self.f, self.ahead, self.data, self.at, self.position = f, ahead, b"", 0, 0
 
     def peek(self, n: int) -> memoryview:
-        if len(self.data) - self.at < n:
-            self.data = self.data[self.at :] + self.f.read(max(n, 1 << 20))
+        missing = n - (len(self.data) - self.at)
+        if missing > 0:
+            self.data = self.data[self.at :] + self.f.read(max(missing, self.ahead))
             self.at = 0
         return memoryview(self.data)[self.at : self.at + n]
 
     def skip(self, n: int) -> None:
         self.position += n
-        held = len(self.data) - self.at
-        if n <= held:
-            self.at += n
-        else:
+        self.at += n
+        if self.at > len(self.data):
+            self.f.seek(self.position)
             self.data, self.at = b"", 0
-            self.f.read(n - held)
 
 
 def _headers(raw: bytes) -> dict:

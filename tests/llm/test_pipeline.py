@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from tallyglass.llm import langid, mixing
+from tests.llm.test_nearcopies import slow_groups
 from tests.llm.test_packing import tokenizer, verify  # noqa: F401
 from tests.llm.test_simhash import components, slow_fingerprint
 
@@ -35,6 +36,15 @@ def test_stages_against_brute_force(spark, tokenizer):  # noqa: F811
     stay = {r.doc_id for r in second.collect()}
     assert stay == set(least.values()) and 9003 in stay and 9004 not in stay and second.columns == docs.columns
 
+    # the registered stage, against all pairs
+    stages = dict(C.STAGES)
+    assert stages["language_id"] is C.language_id and stages["mix_sources"] is C.mix_sources and stages["pack_sequences"] is C.pack_sequences
+    second = stages["near_duplicates"](spark, first, D)
+    ordered = sorted(kept)
+    want = {ordered[g] for g in slow_groups([rows[i].text for i in ordered])}
+    stay = {r.doc_id for r in second.collect()}
+    assert stay == want and second.count() == len(want) and second.columns == docs.columns and 9003 in stay and 9004 not in stay
+
     third = C.mix_sources(spark, second, D)
     assert third.columns == docs.columns
     takes = {r.doc_id: r.taken for r in mixing.mix(second).collect()}
@@ -49,9 +59,23 @@ def test_stages_against_brute_force(spark, tokenizer):  # noqa: F811
     verify(last.collect(), [(r.doc_id, r.text) for r in mixed], tokenizer)
 
 
-def test_run(spark):
+def test_run_is_its_stages(spark):
+    now = spark.read.parquet(f"{D}/documents.parquet")
+    for _, stage in C.STAGES:
+        now = stage(spark, now, D)
+    rows = lambda df: sorted(map(str, df.collect()))
     out = C.run(spark, D)
-    assert out.count() > 100 and {"doc_id", "sequence_id", "offset"} <= set(out.columns)
+    assert {"doc_id", "sequence_id", "offset"} <= set(out.columns) and out.count() > 100
+    assert rows(out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens")) == rows(now.select("doc_id", "start", "length", "ids_crc32", "doc_tokens"))
+
+
+def test_run_on_an_empty_and_an_odd_table(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    text = " ".join("the of and to in is was that for with as on at by from this have".split()[i * 7 % 17] for i in range(400))
+    for name, rows in (("none", []), ("odd", [(None, None, None, None, None), (1, "", "en", "a", 0), (1, text, "en", "a", 9), (1, text, "en", "a", 9), (2, text, "en", None, 9), (None, text + " end of it", None, "b", 9)])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        out = C.run(spark, f"{tmp_path}/{name}").collect()
+        assert {r.doc_id for r in out} == ({1} if rows else set()), name  # the least id of what is alike
 
 
 def test_stages_on_odd_rows_and_clashing_columns(spark):

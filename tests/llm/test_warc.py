@@ -1,4 +1,5 @@
 import gzip
+import random
 
 import pytest
 
@@ -100,3 +101,49 @@ def test_broadcast_and_shuffle_agree(spark):
     pages = spark.createDataFrame([(*r, 1) for r in ROWS], "page_id long, url string, html string, least int")
     a, b = (sorted(map(tuple, W.deduplicated(pages, most_broadcast=n).collect()), key=str) for n in (0, 100))
     assert a == b and W.deduplicated(pages.limit(0)).count() == 0
+
+
+class Counted:
+    """A file that counts the bytes read from it."""
+
+    def __init__(self, path):
+        self.f, self.n = open(path, "rb"), 0
+
+    def read(self, n):
+        data = self.f.read(n)
+        self.n += len(data)
+        return data
+
+    def seek(self, at):
+        self.f.seek(at)
+
+
+def test_headers_cost_no_payload_bytes(tmp_path):
+    r = random.Random(1)
+    path, sizes = tmp_path / "a.warc.gz", [0, 10, 300_000, 5, 2_000_000, 70_000, 1]
+    path.write_bytes(b"".join(W.record(i, f"http://x/{i}", r.randbytes(n), "response", None) for i, n in enumerate(sizes)))
+    plain = tmp_path / "b.warc"
+    plain.write_bytes(gzip.decompress(path.read_bytes()))
+    for p, packed in ((path, True), (plain, False)):
+        f = Counted(p)
+        found = [(h["warc-record-id"], at) for at, h, _ in W._records(W._Source(f, W._HEADS), packed)]
+        assert [x for x, _ in found] == [f"<urn:page:{i}>" for i in range(len(sizes))] and f.n < 100_000 < p.stat().st_size / 20
+        whole = Counted(p)
+        assert [len(rest()) for _, _, rest in W._records(W._Source(whole), packed)] == [n + len(f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n}\r\n\r\n") for n in sizes]
+
+
+def test_overwriting_shows_in_one_step(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/w"
+    page = lambda n: spark.createDataFrame([(n, "u", bytearray(b"x"), "response", None)], W.WRITE_SCHEMA)
+    ids = lambda: sorted(r.page_id for r in W.read_warc(spark, path).collect())
+    W.write_warc(page(1), path)
+    W.write_warc(page(2), path)
+    (tmp_path / "w").chmod(0o755)
+    kept = {f: f.read_bytes() for f in (tmp_path / "w").iterdir() if f.is_file() and not f.name.startswith(".")}
+    W.write_warc(page(3), path, mode="overwrite")
+    assert ids() == [3]
+    for f, data in kept.items():  # as if the writer was lost before it deleted them
+        f.write_bytes(data)
+    assert ids() == [3]
+    W.write_warc(page(4), path)
+    assert ids() == [3, 4]
