@@ -17,7 +17,9 @@ from __future__ import annotations
 import datetime as dt
 import fnmatch
 import posixpath
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -56,6 +58,71 @@ class _Range(InputPartition):
     stop: int
 
 
+class Member:
+    """The content of a member of a zip archive as a file: stored ones are sought in, of packed ones what is passed over is inflated and thrown away."""
+
+    def __init__(self, f, info: zipfile.ZipInfo):
+        if info.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+            raise ValueError(f"{info.filename} is packed in a way other than deflate")
+        f.seek(info.header_offset + 26)
+        name, extra = struct.unpack("<HH", f.read(4))
+        self.f, self.info, self.first = f, info, info.header_offset + 30 + name + extra
+        self._restart()
+
+    def _restart(self) -> None:
+        self.data, self.at, self.taken = b"", 0, 0  # taken: bytes of the archive
+        self.inflate = zlib.decompressobj(-15) if self.info.compress_type == zipfile.ZIP_DEFLATED else None
+        self.f.seek(self.first)
+
+    def _more(self) -> bytes:
+        """The next piece of the content, nothing at its end."""
+        while self.taken < self.info.compress_size:
+            raw = self.f.read(min(1 << 20, self.info.compress_size - self.taken))
+            if not raw:
+                raise EOFError(f"{self.info.filename} ends early")
+            self.taken += len(raw)
+            piece = self.inflate.decompress(raw) if self.inflate else raw
+            if piece:
+                return piece
+        return b""
+
+    def tell(self) -> int:
+        return self.at
+
+    def seek(self, at: int) -> None:
+        if at < self.at or not self.inflate:
+            self._restart()
+        if not self.inflate:
+            self.at = self.taken = at
+            self.f.seek(self.first + at)
+            return
+        while self.at + len(self.data) < at:
+            self.at += len(self.data)
+            self.data = self._more()
+            if not self.data:
+                return
+        self.data, self.at = self.data[at - self.at :], at
+
+    def read(self, n: int) -> bytes:
+        parts, have = [self.data], len(self.data)
+        while have < n and (piece := self._more()):
+            parts.append(piece)
+            have += len(piece)
+        whole = b"".join(parts)
+        self.data, self.at = whole[n:], self.at + min(n, have)
+        return whole[:n]
+
+    def readline(self) -> bytes:
+        parts, piece = [], self.data or self._more()
+        while piece and b"\n" not in piece:
+            parts.append(piece)
+            piece = self._more()
+        end = piece.find(b"\n") + 1
+        line = b"".join([*parts, piece[:end]])
+        self.data, self.at = piece[end:], self.at + len(line)
+        return line
+
+
 def lines_of(member, start: int, stop: int, block: int = BLOCK_BYTES) -> Iterator[list[str]]:
     """The lines whose first byte lies in a range of a seekable file, in lists of about ``block`` bytes.
 
@@ -136,7 +203,8 @@ class _ZipReader(DataSourceReader):
         if not partition.path:
             return
         fs, _ = _open(self.path)
-        with fs.open_input_file(partition.path) as f, zipfile.ZipFile(f) as z, z.open(self.member) as member:
+        with fs.open_input_file(partition.path) as f, zipfile.ZipFile(f) as z:
+            member = Member(f, z.getinfo(self.member))
             header = member.readline().decode("utf-8", "replace").replace("\r", "").removesuffix("\n").split("\t")
             first = member.tell()
             for lines in lines_of(member, max(partition.start, first), partition.stop):

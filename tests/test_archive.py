@@ -27,6 +27,21 @@ def test_each_line_is_in_one_range(lines, ended, size, block):
     assert found == want
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.binary(max_size=300), st.booleans(), st.lists(st.tuples(st.sampled_from(["seek", "read", "line"]), st.integers(0, 320)), max_size=12))
+def test_members_are_files(data, packed, steps):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED if packed else zipfile.ZIP_STORED) as z:
+        z.writestr("first", b"other" * 9)
+        z.writestr("T", data)
+    member, plain = A.Member(out, zipfile.ZipFile(out).getinfo("T")), io.BytesIO(data)
+    for what, n in steps:
+        if what == "seek":
+            member.seek(min(n, len(data))), plain.seek(min(n, len(data)))
+        else:
+            assert (member.read(n), member.tell()) == (plain.read(n), plain.tell()) if what == "read" else (member.readline(), member.tell()) == (plain.readline(), plain.tell())
+
+
 def made(path, tables, packed=True):
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED if packed else zipfile.ZIP_STORED) as z:
         for n, t in tables.items():
