@@ -17,7 +17,9 @@ from pyspark.sql.types import StructType
 
 from tallyglass.operators import published
 from tallyglass.operators.filings import newest
+from tallyglass.plans.compute import needs_replay
 from tallyglass.sources.filings import index_entries
+from tallyglass.storage import cut
 from tallyglass.streaming.state import position_changes
 
 #: Days after a position's first day in which one may still enter.
@@ -72,6 +74,24 @@ def follow(lines: DataFrame, keep: Callable[[DataFrame], None], checkpoint: str)
     return index_entries(lines, keep=["day"]).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def replay(target: str, indexed: DataFrame, parse: Callable[[DataFrame], DataFrame], keys: Sequence[str], day: str = "tdate", floor: int = 0) -> DataFrame | None:
+    """Read again the days of the live table at ``target`` whose rows an older version wrote; the filings that were read, or None if there is nothing to do.
+
+    ``indexed``: day, path of the filings that can be had; ``parse`` makes rows of some of these. They take the place of the
+    stored ones in one step, all else stays, so the table is never short of rows. Rows that can't be had again remain: give
+    their number as ``floor`` from then on (see ``compute.needs_replay``).
+    """
+    rows = published.stored(indexed.sparkSession, target)
+    if rows is None:
+        return None
+    days = cut(needs_replay(rows, floor).select(F.col("fdate").alias("day")), "replay")
+    queue = indexed.join(F.broadcast(days), "day", "left_semi")  # as many days as the live table has
+    if queue.isEmpty():
+        return None
+    published.write_by_year(parse(queue), target, keys, day, replace=True, first_year=0)
+    return queue
+
+
 def corrected(log: DataFrame, content_keys: Sequence[str], order: str = "acc") -> DataFrame:
     """The log as it stands: of one content the amendment, else the later filing."""
     amended = F.when(F.col("form") == "4/A", 0).otherwise(1)

@@ -103,3 +103,17 @@ def test_polling(spark, tmp_path):
     finally:
         q.stop()
     assert kept and set(kept) == {1}
+
+
+def test_stale_days_are_read_again(spark, tmp_path):
+    path, d = str(tmp_path / "live"), lambda n: dt.date(2024, 3, n)
+    schema = "acc string, fdate date, tdate date, own double, own_d double, di string"
+    old = [("a", d(4), d(1), 5.0, None, "D"), ("b", d(5), d(4), 5.0, 5.0, "D"), ("c", d(6), d(5), 5.0, None, "D"), ("i", d(6), d(5), 5.0, None, "I")]
+    published.write_by_year(spark.createDataFrame(old, schema), path, ["acc"])
+    indexed = spark.createDataFrame([(d(4), "p/a"), (d(5), "p/b"), (d(7), "p/z")], "day date, path string")  # the 6th can't be had again
+    new = lambda q: q.select(F.substring("path", 3, 1).alias("acc"), F.col("day").alias("fdate"), F.lit(d(1)).alias("tdate"), F.lit(5.0).alias("own"), F.lit(4.0).alias("own_d"), F.lit("D").alias("di"))
+    assert [r.path for r in jobs.replay(path, indexed, new, ["acc"]).collect()] == ["p/a"]
+    rows = {r.acc: r.own_d for r in published.stored(spark, path).collect()}
+    assert rows == {"a": 4.0, "b": 5.0, "c": None, "i": None}
+    assert jobs.replay(path, indexed, new, ["acc"]) is None  # what is left is in no index
+    assert jobs.replay(str(tmp_path / "none"), indexed, new, ["acc"]) is None
