@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tallyglass.functions import scalars as S
 from tallyglass.operators import filings, gates, owners, panel, positions, published, repair, series, slices, stats
 from tallyglass.operators.components import connected_components
-from tallyglass.operators.repair import Bars
+from tests import folds
+from tests.folds import Bars
 
 DAY = dt.date(2020, 1, 1)
 
@@ -25,35 +26,35 @@ def bars(prices, vols=None, start=0):
 
 
 def test_spikes():
-    assert len(repair.drop_spikes(bars([10] * 5 + [8000] + [10] * 6))) == 11
-    assert len(repair.drop_spikes(bars([10] * 6 + [60] * 6))) == 12  # a new level
+    assert len(folds.drop_spikes(bars([10] * 5 + [8000] + [10] * 6))) == 11
+    assert len(folds.drop_spikes(bars([10] * 6 + [60] * 6))) == 12  # a new level
     block = bars([40] * 50 + [15000] * 16 + [40] * 54, [500] * 120)
-    assert len(repair.drop_spikes(block)) == 104
+    assert len(folds.drop_spikes(block)) == 104
     for price, vol, gone in ((70, 2e7, 0), (70, 5e5, 1), (2800, 2e6, 1)):
         v = [1e6] * 60
         v[30] = vol
-        assert len(repair.drop_spikes(bars([10] * 30 + [price] + [10] * 29, v))) == 60 - gone
+        assert len(folds.drop_spikes(bars([10] * 30 + [price] + [10] * 29, v))) == 60 - gone
 
 
 def test_splits():
-    s = repair.apply_missed_splits(bars([5.6] * 10 + [255] * 10, [500_000] * 20), [(10, 0.02)])
+    s = folds.apply_missed_splits(bars([5.6] * 10 + [255] * 10, [500_000] * 20), [(10, 0.02)])
     assert (s.adj[0], s.vol[0], s.counts["splits"]) == (280, 10000, 1)
-    assert not repair.apply_missed_splits(bars([50] * 20), [(10, 0.5)]).counts
-    late = repair.apply_missed_splits(bars([0.112] * 10 + [10.8] * 10), [(12, 0.0067)])
+    assert not folds.apply_missed_splits(bars([50] * 20), [(10, 0.5)]).counts
+    late = folds.apply_missed_splits(bars([0.112] * 10 + [10.8] * 10), [(12, 0.0067)])
     assert late.counts["splits"] == 1 and abs(late.adj[0] - 10.8) < 6.1
 
 
 def test_clip_break_frozen():
-    assert repair.clip_to_holder(bars([0.12] * 60 + [31] * 60), 60, 10**6).counts["head"] == 60
-    assert not repair.clip_to_holder(bars([30] * 120), 60, 10**6).counts
-    assert repair.clip_to_holder(bars([30] * 300), 0, 100).counts["tail"] > 0
-    assert repair.cut_at_break(bars([0.33] * 45 + [23] * 45), set()).counts["break"] == 45
-    assert not repair.cut_at_break(bars([17] * 45 + [102] * 45, [1000] * 45 + [20000] * 45), set()).counts
-    assert not repair.cut_at_break(bars([10] * 45 + [1.5] * 45), set()).counts
-    assert not repair.cut_at_break(bars([0.33] * 45 + [23] * 45), {45}).counts
+    assert folds.clip_to_holder(bars([0.12] * 60 + [31] * 60), 60, 10**6).counts["head"] == 60
+    assert not folds.clip_to_holder(bars([30] * 120), 60, 10**6).counts
+    assert folds.clip_to_holder(bars([30] * 300), 0, 100).counts["tail"] > 0
+    assert folds.cut_at_break(bars([0.33] * 45 + [23] * 45), set()).counts["break"] == 45
+    assert not folds.cut_at_break(bars([17] * 45 + [102] * 45, [1000] * 45 + [20000] * 45), set()).counts
+    assert not folds.cut_at_break(bars([10] * 45 + [1.5] * 45), set()).counts
+    assert not folds.cut_at_break(bars([0.33] * 45 + [23] * 45), {45}).counts
     rising = list(range(100, 140)) + [139] * 30
-    assert repair.trim_frozen_tail(bars(rising, [1000] * 40 + [0] * 30)).counts["frozen"] == 30
-    assert not repair.trim_frozen_tail(bars([139] * 10)).counts
+    assert folds.trim_frozen_tail(bars(rising, [1000] * 40 + [0] * 30)).counts["frozen"] == 30
+    assert not folds.trim_frozen_tail(bars([139] * 10)).counts
 
 
 def test_repair_does_not_depend_on_row_order(spark):
