@@ -416,7 +416,54 @@ def spikes_dropped(spark, d):
     return series.drop_spikes(tpch.bars(spark, d)).select("ticker", "d", "adj")
 
 
-@query(None)
+SQL_REPAIR = (
+    "RECURSIVE one AS (SELECT 1)", SQL_BARS, sql_spike_pass("p1", "bars"), sql_spike_pass("p2", "p1"), sql_spike_pass("p3", "p2"),
+    """
+s0 AS MATERIALIZED (SELECT ticker, d, close, p3.adj, p3.vol, row_number() OVER (PARTITION BY ticker ORDER BY d) - 1 AS i, count(*) OVER (PARTITION BY ticker) AS n FROM p3 JOIN bars USING (ticker, d)),
+sp AS (SELECT p_partkey % 100 + 1 AS ticker, DATE '1993-01-01' + CAST(p_partkey % 2000 AS INTEGER) AS d, CASE WHEN p_size % 2 = 0 THEN 2.4::DOUBLE ELSE 0.6::DOUBLE END AS ratio FROM part WHERE p_size >= 45),
+placed AS (SELECT sp.ticker, sp.d, ratio, count(*) FILTER (s0.d < sp.d) AS pos, any_value(n) AS n FROM (SELECT *, row_number() OVER () AS id FROM sp WHERE ratio <= 0.5 OR ratio >= 2) sp JOIN s0 USING (ticker) GROUP BY sp.ticker, sp.d, ratio, id),
+marks AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY d, ratio) AS k FROM placed WHERE pos > 0 AND pos < n),
+folded AS (
+  SELECT 0 AS k, ticker, d, i, close, adj, vol, 0 AS splits FROM s0
+  UNION ALL
+  SELECT r.k + 1, r.ticker, r.d, r.i, CASE WHEN r.i < p THEN floor(close / f * 1e4 + 0.5) / 1e4 ELSE close END, CASE WHEN r.i < p THEN floor(adj / f * 1e4 + 0.5) / 1e4 ELSE adj END,
+    CASE WHEN r.i < p THEN floor(vol * f + 0.5) ELSE vol END, splits + CASE WHEN p IS NULL THEN 0 ELSE 1 END
+  FROM folded r LEFT JOIN (
+    SELECT ticker, b.i AS p, CASE WHEN b.miss <= 0.25 THEN ratio ELSE 1 / b.step END AS f FROM (
+      SELECT m.ticker, any_value(ratio) AS ratio, min(struct_pack(miss := abs(ln(y.adj / x.adj * ratio)), i := y.i, step := y.adj / x.adj)) AS b
+      FROM marks m JOIN folded y ON y.ticker = m.ticker AND y.k + 1 = m.k AND y.i BETWEEN pos - 3 AND pos + 3 JOIN folded x ON x.ticker = y.ticker AND x.i = y.i - 1
+      WHERE x.adj > 0 AND y.adj > 0 GROUP BY m.ticker)
+    WHERE b.miss <= ln(2) AND abs(ln(b.step)) >= ln(1.8)) e ON e.ticker = r.ticker
+  WHERE r.k < (SELECT coalesce(max(k), 0) FROM marks)),
+s1 AS MATERIALIZED (SELECT * EXCLUDE (k) FROM folded WHERE k = (SELECT coalesce(max(k), 0) FROM marks)),
+holder AS (SELECT s_suppkey AS ticker, DATE '1992-01-01' + CAST(s_suppkey % 1461 AS INTEGER) AS a, CASE WHEN s_suppkey % 3 = 0 THEN DATE '1997-06-30' ELSE DATE '2002-12-31' END AS z FROM supplier),
+s2 AS (SELECT *, lag(adj) OVER w AS before, lag(d) OVER w AS day_before, count(*) OVER (PARTITION BY ticker) AS n FROM (
+  SELECT s1.*, a, count(*) OVER (PARTITION BY ticker) AS n1 FROM s1 LEFT JOIN holder USING (ticker) QUALIFY z IS NULL OR NOT z < max(d) OVER (PARTITION BY ticker) - 90 OR d <= z)
+  WINDOW w AS (PARTITION BY ticker ORDER BY d)),
+heads AS (SELECT ticker, i AS lo FROM s2 WHERE d >= a AND day_before < a
+  AND (d - day_before >= 30 OR (before > 0 AND adj > 0 AND greatest(before / adj, adj / before) >= 2))),
+s3 AS MATERIALIZED (SELECT s2.* EXCLUDE (n), n1 - n AS tail, coalesce(lo, 0) AS head, i - coalesce(lo, 0) AS j, n - coalesce(lo, 0) AS n FROM s2 LEFT JOIN heads USING (ticker) WHERE i >= coalesce(lo, 0)),
+steps AS MATERIALIZED (SELECT ticker, j, row_number() OVER (PARTITION BY ticker ORDER BY j) AS k FROM s3
+  WHERE n >= 60 AND j >= 30 AND j < n - 10 AND CASE WHEN before > 0 THEN adj / before >= 5 ELSE before = 0 AND adj > 0 END AND (ticker, d) NOT IN (SELECT ticker, d FROM sp)),
+breaks AS (
+  SELECT 0 AS k, ticker, CAST(0 AS BIGINT) AS start FROM (SELECT DISTINCT ticker FROM steps)
+  UNION ALL
+  SELECT k, ticker, CASE WHEN l >= 10 AND pa > 0 AND pb > 0 AND pb / pa >= 4 AND NOT (coalesce(va, 0) > 0 AND coalesce(vb, 0) > 0 AND vb / va > 1.5) THEN j ELSE start END FROM (
+    SELECT c.k, c.ticker, c.j, b.start, count(*) FILTER (x.j < c.j) AS l, quantile_disc(adj, 0.5) FILTER (x.j < c.j) AS pa, quantile_disc(adj, 0.5) FILTER (x.j >= c.j) AS pb,
+      quantile_disc(vol, 0.5) FILTER (x.j < c.j AND vol > 0) AS va, quantile_disc(vol, 0.5) FILTER (x.j >= c.j AND vol > 0) AS vb
+    FROM breaks b JOIN steps c ON c.ticker = b.ticker AND c.k = b.k + 1 JOIN s3 x ON x.ticker = c.ticker AND x.j >= greatest(b.start, c.j - 30) AND x.j < c.j + 30 GROUP BY ALL)),
+s4 AS MATERIALIZED (SELECT s3.*, coalesce(start, 0) AS broken, count(*) OVER (PARTITION BY ticker) AS left_n FROM s3 LEFT JOIN (SELECT ticker, max(start) AS start FROM breaks GROUP BY ticker) USING (ticker) WHERE j >= coalesce(start, 0)),
+flat AS (SELECT ticker, any_value(left_n) AS left_n, max(n) AS n, max_by(adj, j) AS price, min(j) AS least FROM s4 GROUP BY ticker),
+turn AS (SELECT ticker, coalesce(max(j) FILTER (adj <> price) + 1, any_value(least)) AS first, any_value(f.n) AS n, any_value(f.left_n) AS left_n FROM s4 JOIN flat f USING (ticker) GROUP BY ticker),
+ends AS (SELECT ticker, first FROM s4 JOIN turn t USING (ticker) WHERE t.left_n >= 25 AND t.n - first >= 5 GROUP BY ticker, first, t.n
+  HAVING coalesce(sum(vol) FILTER (vol > 0 AND j > first), 0) <= 0.01 * quantile_disc(vol, 0.5) FILTER (vol > 0 AND j < first AND j >= first - 60) * (t.n - first)),
+repaired AS (SELECT s4.ticker, s4.d, close, adj, vol, (SELECT count(*) FROM bars b WHERE b.ticker = s4.ticker) - (SELECT any_value(n) FROM s0 WHERE s0.ticker = s4.ticker) AS n_spikes,
+  CAST(splits AS BIGINT) AS n_splits, head AS n_head, tail AS n_tail, broken AS n_break, CASE WHEN first IS NULL THEN 0 ELSE n - first - 1 END AS n_frozen
+  FROM s4 LEFT JOIN ends USING (ticker) WHERE first IS NULL OR j <= first)""",
+)
+
+
+@query("SELECT * FROM repaired", *SQL_REPAIR)
 def repaired_bars(spark, d):
     """The chain of repairs over all series, with counters; present holders have had their symbols for one to four years."""
     b = tpch.bars(spark, d)
@@ -427,7 +474,7 @@ def repaired_bars(spark, d):
     return repair.repair(b, splits, holders)
 
 
-@query(None)
+@query("SELECT ticker, count(*) AS bars, max(n_spikes) AS n_spikes, max(n_splits) AS n_splits, max(n_head) AS n_head, max(n_tail) AS n_tail, max(n_break) AS n_break, max(n_frozen) AS n_frozen FROM repaired GROUP BY ticker", *SQL_REPAIR)
 def repair_counts(spark, d):
     """What the repairs did to each series, told once."""
     return repair.counters(repaired_bars(spark, d))
