@@ -102,6 +102,12 @@ def rescaled(series: DataFrame, events: DataFrame) -> DataFrame:
     return x.withColumns(new | {"n_splits": F.when(F.col("events").isNull(), 0).otherwise(F.size("events")).cast("long")}).drop("events")
 
 
+def with_neighbours(series: DataFrame) -> DataFrame:
+    """``series`` with ``prev`` and ``next``, the prices beside each bar."""
+    w = Window.partitionBy(KEY).orderBy("i")
+    return series.withColumns({"prev": F.lag("adj").over(w), "next": F.lead("adj").over(w)})
+
+
 def whole(series: DataFrame) -> DataFrame:
     """``ticker, lo, hi``: all bars of each series."""
     return series.groupBy(KEY).agg(F.lit(0).cast("long").alias("lo"), F.count("*").alias("hi"))
@@ -133,14 +139,12 @@ def holder_range(series: DataFrame, holders: DataFrame, gap: int = 30, jump: flo
 
 
 def break_range(series: DataFrame, ranges: DataFrame, splits: DataFrame | None = None, step: float = 5.0, level: float = 4.0, volume: float = 1.5, side: int = 30, least: int = 60) -> DataFrame:
-    """``ranges`` that begin with the last upward break, and ``n_break``.
+    """``ranges`` that begin with the last upward break, and ``n_break``; ``series`` has its ``with_neighbours``.
 
     A break is a step of five times, not on the day of a known split, that the level
     keeps without a surge in volume; the bars before are only those since the break before it.
     """
-    prev = F.lag("adj").over(Window.partitionBy(KEY).orderBy("i"))
-    x = series.select(KEY, "i", "d", "adj", prev.alias("prev"))
-    x = x.where(F.when(F.col("prev") > 0, F.col("adj") / F.col("prev") >= step).otherwise((F.col("prev") == 0) & (F.col("adj") > 0)))
+    x = series.select(KEY, "i", "d", "adj", "prev").where(F.when(F.col("prev") > 0, F.col("adj") / F.col("prev") >= step).otherwise((F.col("prev") == 0) & (F.col("adj") > 0)))
     x = x.join(ranges.select(KEY, "lo", "hi"), KEY)
     x = x.where((F.col("hi") - F.col("lo") >= least) & (F.col("i") >= F.col("lo") + side) & (F.col("i") < F.col("hi") - 10))
     if splits is not None:
@@ -170,9 +174,8 @@ def break_range(series: DataFrame, ranges: DataFrame, splits: DataFrame | None =
 
 
 def frozen_range(series: DataFrame, ranges: DataFrame, least: int = 5, back: int = 60) -> DataFrame:
-    """``ranges`` whose tail of one repeated price and almost no volume is cut back to its first bar, and ``n_frozen``."""
-    ahead = F.lead("adj").over(Window.partitionBy(KEY).orderBy("i"))
-    x = series.select(KEY, "i", "adj", ahead.alias("next")).where(F.col("adj") != F.col("next"))
+    """``ranges`` whose tail of one repeated price and almost no volume is cut back to its first bar, and ``n_frozen``; ``series`` has its ``with_neighbours``."""
+    x = series.select(KEY, "i", "adj", "next").where(F.col("adj") != F.col("next"))
     x = x.join(ranges.select(KEY, "lo", "hi"), KEY).where((F.col("i") >= F.col("lo")) & (F.col("i") < F.col("hi") - 1))
     first = x.groupBy(KEY).agg((F.max("i") + 1).alias("first"))
     tails = ranges.select(KEY, "lo", "hi").join(first, KEY, "left").withColumn("first", F.coalesce("first", "lo"))
@@ -189,14 +192,16 @@ def repair(bars: DataFrame, splits: DataFrame | None = None, holders: DataFrame
 
     ``bars``: ``ticker, d, close, adj, vol``; ``splits``: ``ticker, d, ratio``;
     ``holders``: ``ticker, start, end``, the interval of the present holder. A
-    missing volume is 0, of bars of one day the lower price comes first. The
-    series without spikes are stored (``storage.cut``); a series of which nothing stays has no rows.
+    missing volume is 0, of bars of one day the lower price comes first. The series
+    without spikes, those rescaled and the ranges are stored while the plan is built (``storage.cut``); a series of which nothing stays has no rows.
     """
     none = F.lit(0).cast("long")
     x = cut(numbered_without_spikes(bars), "series")
-    x = x.withColumn("n_splits", none) if splits is None else cut(rescaled(x, missed_splits(x, splits)), "rescaled")
+    x = cut(with_neighbours(x.withColumn("n_splits", none) if splits is None else rescaled(x, missed_splits(x, splits))), "rescaled")
     ranges = whole(x).withColumns({"n_head": none, "n_tail": none}) if holders is None else holder_range(x, holders)
-    ranges = frozen_range(x, break_range(x, ranges, splits))
+    # a row a ticker, read several times by the next step
+    ranges = cut(break_range(x, cut(ranges, "ranges"), splits), "ranges")
+    ranges = frozen_range(x, ranges)
     out = x.join(ranges, KEY).where((F.col("i") >= F.col("lo")) & (F.col("i") < F.col("hi")))
     return out.select(KEY, "d", "close", "adj", "vol", *[f"n_{c}" for c in COUNTS])
 
