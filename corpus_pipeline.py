@@ -24,15 +24,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the smallest id of each group of op1's fingerprints within three bits; near_copies joins more."""
+    """Keep the document of the smallest id of each group of op1's fingerprints within three bits; near_copies checks these links and joins more."""
     return simhash.representatives(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of the smallest id (a null one last) of each group joined by 5-word Jaccard similarity of 0.8 or more.
 
-    Null and empty texts are one group; of repeated rows one stays. Columns are
-    those of ``docs``; no rows give no rows.
+    Links come from op1's ball hashing and are checked exactly; near copies beyond
+    its three bits are joined after them. Null and empty texts are one group; of
+    repeated rows one stays. Columns are those of ``docs``; no rows give no rows.
     """
     return nearcopies.representatives(docs)
 

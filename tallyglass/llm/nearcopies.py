@@ -1,11 +1,16 @@
 """Near copies: groups of documents joined by Jaccard similarity of 0.8 or more of their 5-word shingles.
 
-Candidates come from MinHash bands: ``BANDS`` keys for each set of shingles, each of
+The first candidates are the links of ``simhash``: meet-in-the-middle ball hashing of
+the fingerprints, within three bits. Each is compared exactly, as fingerprints that
+close do not always mean 0.8, and those that hold are joined.
+
+At similarity 0.8 about ten bits differ, so near copies remain that no link joins. Their
+candidates come from MinHash bands: ``BANDS`` keys for each set of shingles, each of
 ``ROWS`` minima; a pair at similarity 0.8 shares none with probability
 (1 - 0.8^4)^25 = 2e-6, a closer one with less. Every candidate pair is then compared
 exactly, already joined through others, or ruled out by a bound:
 
-First each member of a band is compared with the band's hub, the member that meets
+First each member of a band that is not joined with it yet is compared with the band's hub, the member that meets
 most others over all its bands: in a family of near copies that is the text they come
 from. So a large family costs a comparison for each member.
 
@@ -32,10 +37,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyglass.llm.simhash import first_rows
+from tallyglass.llm.simhash import fingerprint, first_rows, links
 from tallyglass.operators.components import connected_components
 from tallyglass.storage import arrow_batches, cut
 
@@ -83,10 +88,11 @@ def _name(hashes: np.ndarray) -> int:
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [shingles(t) for t in batch.column(1).to_pylist()]
+        texts = batch.column(1).to_pylist()
+        found, fps = [shingles(t) for t in texts], np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(map(_name, found), pa.int64()), pa.array(map(len, found), pa.int64()), pa.array(map(bands, found), pa.list_(pa.int64()))],
-            names=["doc_id", "t", "s", "n", "keys"],
+            [batch.column(0), batch.column(2), pa.array(fps), pa.array(map(_name, found), pa.int64()), pa.array(map(len, found), pa.int64()), pa.array(map(bands, found), pa.list_(pa.int64()))],
+            names=["doc_id", "t", "fp", "s", "n", "keys"],
         )
 
 
@@ -129,6 +135,25 @@ def _joined(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return cut(x.select("a", "b", "x", "y").mapInArrow(_alike, "a long, b long"), "nearcopies-edges")
 
 
+def _close(n: str, m: str) -> Column:
+    """Whether sets of these sizes may be similar enough; a little wider than the bound, as comparison is exact."""
+    return F.least(n, m) >= F.lit(SIMILARITY) * F.greatest(n, m) - 1e-6
+
+
+def _linked_pairs(rows: DataFrame) -> DataFrame:
+    """``a, b``: sets whose texts have fingerprints within three bits, as ``simhash.links`` finds them.
+
+    Of the sets of one fingerprint each is paired with the least, and the least
+    ones along the links, so that copies make no pairs among each other.
+    """
+    of = cut(rows.select("fp", "s", "n").distinct(), "nearcopies-fp")
+    heads = cut(of.groupBy("fp").agg(F.min(F.struct("s", "n")).alias("x")), "nearcopies-heads")
+    same = heads.join(of, "fp").select("x", F.struct("s", "n").alias("y"))
+    met = links(heads.select("fp")).join(heads.select(F.col("fp").alias("a"), "x"), "a").join(heads.select(F.col("fp").alias("b"), F.col("x").alias("y")), "b")
+    pairs = same.unionByName(met.select("x", "y")).where((F.col("x.s") != F.col("y.s")) & _close("x.n", "y.n"))
+    return pairs.select(F.least("x.s", "y.s").alias("a"), F.greatest("x.s", "y.s").alias("b")).distinct()
+
+
 def _left_pairs(open_: DataFrame, sets: DataFrame) -> DataFrame:
     """``a, b`` of the members of open bands that may still be similar enough; ``open_`` has key, s, n, c, hub_c."""
     who = open_.groupBy("s").agg(F.max("n").alias("n"), F.max("c").alias("c"), F.max(F.col("c") != F.col("hub_c")).alias("far"))
@@ -167,21 +192,25 @@ def groups(docs: DataFrame) -> DataFrame:
 
 def _groups(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("t"))
-    rows = cut(rows.mapInArrow(_signed, "doc_id long, t long, s long, n long, keys array<long>"), "nearcopies-rows")
+    rows = cut(rows.mapInArrow(_signed, "doc_id long, t long, fp long, s long, n long, keys array<long>"), "nearcopies-rows")
+    linked = cut(_linked_pairs(rows), "nearcopies-linked")
+    edges = _joined(linked, _sets_of(linked.select(F.explode(F.array("a", "b")).alias("s")), docs, rows))
+    found = connected_components(edges, "a", "b").select(F.col("node").alias("s"), F.col("component").alias("c"))
+
     members = rows.select("s", "n", F.explode("keys").alias("key")).distinct()
     sizes = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     met = cut(members.join(sizes, "key"), "nearcopies-met")
     meets = met.groupBy("s").agg(F.sum("size").alias("meets"))
-    met = met.join(meets, "s")
-    hubs = met.groupBy("key").agg(F.max(F.struct("meets", "s", "n")).alias("hub")).select("key", F.col("hub.s").alias("hub"), F.col("hub.n").alias("hub_n"))
-    met = cut(met.join(hubs, "key").select("key", "s", "n", "hub", "hub_n"), "nearcopies-hubs")
-    # sets whose sizes differ by more can't be similar enough; checked exactly where they don't
-    lengths = F.least("n", "hub_n") >= F.lit(SIMILARITY) * F.greatest("n", "hub_n") - 1e-6
-    first = cut(met.where((F.col("s") != F.col("hub")) & lengths).select(F.least("hub", "s").alias("a"), F.greatest("hub", "s").alias("b")).distinct(), "nearcopies-pairs")
-    edges = _joined(first, _sets_of(first.select(F.explode(F.array("a", "b")).alias("s")), docs, rows))
+    met = met.join(meets.join(found, "s", "left").withColumn("c", F.coalesce("c", "s")), "s")
+    hubs = met.groupBy("key").agg(F.max(F.struct("meets", "s", "n", "c")).alias("hub")).select("key", F.col("hub.s").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.c").alias("hub_c"))
+    met = cut(met.join(hubs, "key").select("key", "s", "n", "c", "hub", "hub_n", "hub_c"), "nearcopies-hubs")
+    # those that the links have joined are done; sets whose sizes differ by more can't be similar enough
+    first = met.where((F.col("c") != F.col("hub_c")) & _close("n", "hub_n"))
+    first = cut(first.select(F.least("hub", "s").alias("a"), F.greatest("hub", "s").alias("b")).distinct(), "nearcopies-pairs")
+    edges = edges.unionByName(_joined(first, _sets_of(first.select(F.explode(F.array("a", "b")).alias("s")), docs, rows)))
 
     found = connected_components(edges, "a", "b").select(F.col("node").alias("__s"), F.col("component").alias("c"))
-    known = met.join(found, F.col("s") == F.col("__s"), "left").withColumn("c", F.coalesce("c", "s")).drop("__s")
+    known = met.drop("c", "hub_c").join(found, F.col("s") == F.col("__s"), "left").withColumn("c", F.coalesce("c", "s")).drop("__s")
     heads = known.where("s = hub").select("key", F.col("c").alias("hub_c"))
     known = cut(known.join(heads, "key"), "nearcopies-known")
     open_ = cut(known.join(known.where("c <> hub_c").select("key").distinct(), "key", "left_semi").where("s <> hub"), "nearcopies-open")

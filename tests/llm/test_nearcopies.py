@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline as C
@@ -100,3 +101,31 @@ def test_family_and_shared_passage(spark, monkeypatch, rare):
         want.setdefault(g, set()).add(i)
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
     assert rare < 64 or made[0].count() < 10 * len(texts)
+
+
+def test_links_of_fingerprints_come_first_and_are_checked(spark, monkeypatch):
+    """Ball hashing joins by itself, bands are not asked again for what it joined, and three bits without 0.8 join nothing."""
+    r = random.Random(4)
+    words = [f"w{r.randrange(9000)}" for _ in range(600)]
+    edges = [words, [*words[:-1], "end"], ["start", *words[1:]]]
+    tails = [["a", "b", "c"] * 300 + [f"{x}{i}" for i in range(12)] for x in "xy"]  # repeats weigh in fingerprints, not in sets
+    texts = [" ".join(w) for w in [*edges, *tails, *edges[:1]]]
+    apart = lambda i, j: (simhash.fingerprint(texts[i]) ^ simhash.fingerprint(texts[j])).bit_count()
+    assert max(apart(0, 1), apart(0, 2)) <= 3 and apart(3, 4) <= 3 and slow_groups(texts) == [0, 0, 0, 3, 4, 0]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stage = dict(C.STAGES)["near_duplicates"]
+
+    compared, joined = [], N._joined
+    with monkeypatch.context() as m:
+        m.setattr(N, "_joined", lambda pairs, sets: compared.append(pairs.count()) or joined(pairs, sets))
+        assert {x.doc_id for x in stage(spark, docs, D).collect()} == {0, 3, 4}
+    assert compared[0] >= 2 and compared[1] == 0
+
+    signed = N._signed
+
+    def without_bands(batches):
+        for b in signed(batches):
+            yield b.set_column(b.schema.get_field_index("keys"), "keys", pa.array([[]] * b.num_rows, pa.list_(pa.int64())))
+
+    monkeypatch.setattr(N, "_signed", without_bands)
+    assert {x.doc_id for x in stage(spark, docs, D).collect()} == {0, 3, 4}
