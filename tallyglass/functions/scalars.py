@@ -40,9 +40,13 @@ def _col(x: Column | str) -> Column:
 
 
 def rnd(x: Column | str, digits: int = 4) -> Column:
-    """Round half towards plus infinity, the rule of all published figures."""
+    """Round half towards plus infinity, the rule of all published figures.
+
+    ``floor`` gives a long, which ends at 9.2e18; a double of 2^52 or more has no fraction and is left as it is.
+    """
     scale = float(10**digits)
-    return F.floor(_col(x) * scale + 0.5) / scale
+    y = _col(x) * scale + 0.5
+    return F.when(F.abs(y) < 2.0**52, F.floor(y)).otherwise(y) / scale
 
 
 def ratio(a: Column | str, b: Column | str) -> Column:

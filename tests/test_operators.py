@@ -472,6 +472,16 @@ def test_nominal_factor(spark):
     assert (f("2023-01-01"), f("2025-01-01")) == (0.05, 1.0)
 
 
+def test_closes_as_quoted_beyond_the_range_of_a_long(spark):
+    day = lambda n: DAY + dt.timedelta(days=n)
+    b = spark.createDataFrame([("A", day(0), 1634.3633), ("A", day(9), 2.00005)], "ticker string, d date, close double")
+    splits = spark.createDataFrame([("A", day(5), 2.0)] * 60, "ticker string, d date, ratio double")
+    got = {r.d: r.nominal for r in series.nominal_closes(b, splits).collect()}
+    assert got == {day(0): (1634.3633 * 2.0**60 * 1e4 + 0.5) / 1e4, day(9): 2.0001}
+    x = one(spark, a=S.rnd(F.lit(-1e300)), b=S.rnd(F.lit(2.0**52 + 2), 0), c=S.rnd(F.lit(None).cast("double")), d=S.rnd(F.lit(float("inf"))))
+    assert tuple(x) == (-1e300, 2.0**52 + 2, None, float("inf"))
+
+
 def test_positions_are_anchored(spark):
     days = [0, 60, 100, 195, 400]
     rows = [("T", DAY + dt.timedelta(days=i), 1.0) for i in days]
