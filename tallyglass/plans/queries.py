@@ -929,7 +929,7 @@ def gate_cascade(spark, d):
 @query("SELECT coalesce(\"drop\", 'ok') AS reason, count(*) AS n FROM gated GROUP BY reason", *GATES)
 def gate_drop_counts(spark, d):
     """Trades by reason."""
-    return slices.drop_counts(_verdicts(spark, d))
+    return _in_parts(spark, d, lambda x, b: slices.drop_counts(x)).groupBy("reason").agg(F.sum("n").alias("n"))
 
 
 # --- positions, feed, queues -------------------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from tallyglass.plans import queries
 from tests import test_queries
 from tests.test_queries import con  # noqa: F401
 
-NAMES = ("gate_cascade",)
+NAMES = ("gate_cascade", "gate_drop_counts")
 
 
 def shuffled():
