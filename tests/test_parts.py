@@ -11,7 +11,7 @@ from tallyglass.plans import queries
 from tests import test_queries
 from tests.test_queries import con  # noqa: F401
 
-NAMES = ("gate_cascade", "gate_drop_counts", "trade_features", "slice_grid", "slice_cells", "slice_cells_full", "avoid_slices", "set_cells")
+NAMES = ("gate_cascade", "gate_drop_counts", "trade_features", "slice_grid", "slice_cells", "slice_cells_full", "avoid_slices", "set_cells", "set_ladders")
 
 
 def shuffled():
